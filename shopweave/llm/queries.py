@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing
+from . import bpe, chat, media, mixing, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -44,13 +44,72 @@ FROM marked GROUP BY conv_id
 """
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary file; jobs that have none of these can still use the other queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded to ids and decoded again."""
+    path = tokenizer_file("word_bpe_49k.json")
+    ids = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every whole text over a public vocabulary of 50,256 byte strings."""
+    return wordpiece.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows for every vector whose vec_id is divisible by 50."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, unnest(e) AS x, generate_subscripts(e, 1) AS i, len(e) AS n FROM v WHERE vec_id % 50 = 0),
+c AS (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i, len(e) AS n FROM v),
+s AS (SELECT query_id, vec_id, sum(q.x * c.x)::BIGINT AS score FROM q JOIN c USING (i, n) WHERE vec_id <> query_id GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text stored as 8-bit samples, declared wrongly, sniffed and read back."""
+    held = media.store_payload(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = media.sniff_media(held)
+    return got.select(
+        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.concat_ws(";", "true_type", F.when(F.col("true_type") != F.col("declared_type"), F.lit("corrected")), F.concat(F.lit("embedded="), F.size("embedded").cast("string"))).alias("feature"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed 5 : 2 : 1 by source to 150 % of all words."""
     return mixing.mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by its nearest labelled examples."""
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_bpe": op2_bpe,
+    "op3_token_counts": op3_token_counts,
+    "op5_topk_search": op5_topk_search,
+    "op6_media": op6_media,
     "op8_mixing": op8_mixing,
+    "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL}
