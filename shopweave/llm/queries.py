@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, media, mixing, topk, toxicity, wordpiece
+from . import bpe, chat, jaccard, media, mixing, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -64,6 +64,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 3-word shingles at a Jaccard similarity of 0.9."""
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows for every vector whose vec_id is divisible by 50."""
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_bpe": op2_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_topk_search": op5_topk_search,
     "op6_media": op6_media,
     "op8_mixing": op8_mixing,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,3 +36,21 @@ def uniform(*cols: Column, seed: int = 0) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+class Remembered(dict):
+    """Results of make(key) in two generations of at most size keys: a full one becomes the old one, so frequent keys survive."""
+
+    def __init__(self, make: Callable[[Any], Any], size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key: Any) -> Any:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        self[key] = got
+        return got
