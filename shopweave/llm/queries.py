@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, media, mixing, topk, toxicity, wordpiece
+from . import bpe, chat, jaccard, lm, media, mixing, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -103,6 +103,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole texts scored by counts and by the mixed model, both learnt from nine tenths of the documents."""
+    return lm.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scored by its nearest labelled examples."""
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk_search": op5_topk_search,
     "op6_media": op6_media,
     "op8_mixing": op8_mixing,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL}
