@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -18,12 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import Remembered, stored
 
+#: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
 #: Lengths of word beginnings that are terms of their own, for inflected and compound words.
 BEGINNINGS = (4, 5, 6)
-REMEMBERED = 400_000
+#: Weight of a component that every vector has, in units of one term of idf 1: it keeps a
+#: text with one weak term apart from one with many, which the angle alone would not.
+BACKGROUND = 12.0
+#: Words that a worker remembers.
+REMEMBERED = 300_000
 OUT = "held_out boolean, score double, predicted int, evidence array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
 
 
@@ -49,7 +54,7 @@ def sample_labels(labels: DataFrame, per_class: int) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def choose_terms(examples: DataFrame, most: int, least_share: float = 0.02, least_ratio: float = 5.0) -> list[str]:
+def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, least_ratio: float = 5.0) -> list[str]:
     """At most `most` terms that examples(text, toxic) tie to the toxic class, strongest first.
 
     A term must occur in 3 toxic texts and in least_share of them, least_ratio times as
@@ -84,32 +89,29 @@ def choose_terms(examples: DataFrame, most: int, least_share: float = 0.02, leas
 
 
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, and numbers and counts of the terms in each whole text; empty arrays where there are none."""
+    """doc_id, text_hash, and numbers and counts of the terms in each whole text; empty arrays where there are none."""
     number = {t: i for i, t in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class Known(dict):
-            def __missing__(self, word: str) -> tuple[int, ...]:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                got = self[word] = tuple(number[t] for t in terms_of(word) if t in number)
-                return got
-
-        known = Known()
+        known = Remembered(lambda word: tuple(number[t] for t in terms_of(word) if t in number), REMEMBERED)
         for batch in batches:
             got = [Counter(chain.from_iterable(filter(None, map(known.__getitem__, words(t))))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([sorted(g) for g in got], pa.list_(pa.int32())), pa.array([[g[t] for t in sorted(g)] for g in got], pa.list_(pa.int32()))],
-                names=["doc_id", "terms", "counts"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array([sorted(g) for g in got], pa.list_(pa.int32())), pa.array([[g[t] for t in sorted(g)] for g in got], pa.list_(pa.int32()))],
+                names=["doc_id", "text_hash", "terms", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, terms array<int>, counts array<int>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, terms array<int>, counts array<int>")
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples as postings, in blocks of examples with the largest weight of each term."""
+    """Unit vectors of examples as postings, in blocks of examples with the largest weight of each term.
+
+    Neighbours in the given order share a block; bounds are tight where they are alike.
+    """
 
     def __init__(self, vectors: list[list[tuple[int, float]]], n_terms: int, block: int = 64):
-        self.block, self.n = block, len(vectors)
+        self.block = block
         blocks = max(1, -(-len(vectors) // block))
         self.most = np.zeros((n_terms, blocks))
         lists: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
@@ -136,18 +138,18 @@ class BlockMaxIndex:
         return [(-s, i) for s, i in best]
 
 
-def unit_vector(terms: list[int], counts: list[int], idf: np.ndarray) -> list[tuple[int, float]]:
+def unit_vector(terms: Sequence[int], counts: Sequence[int], idf: np.ndarray) -> list[tuple[int, float]]:
     weights = [(1 + math.log(c)) * idf[t] for t, c in zip(terms, counts, strict=True)]
-    norm = math.sqrt(sum(w * w for w in weights))
-    return [(t, float(w / norm)) for t, w in zip(terms, weights, strict=True)] if norm else []
+    norm = math.sqrt(sum(w * w for w in weights) + BACKGROUND**2)
+    return [*((t, float(w / norm)) for t, w in zip(terms, weights, strict=True)), (len(idf), BACKGROUND / norm)]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: int = 10_000, max_terms: int = 2_000) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence for every row of docs(doc_id, text).
+    """doc_id, text_hash, held_out, score, predicted, evidence for every row of docs(doc_id, text).
 
     labels(doc_id, toxic) teach only through rows with crc32(doc_id as text) mod 5 not 0, of
-    which at most per_class of each class are examples (the bound on what is broadcast,
-    with max_terms); document frequencies count all of docs. score is the vote of the k
+    which at most per_class of each class are examples (which, with max_terms, bounds what
+    is broadcast); document frequencies count all of docs. score is the vote of the k
     nearest distinct examples, each weighted by 1 / (distance + 0.05), with one weak vote
     for the class share. A text without any term (also null or empty text) scores the
     share of toxic examples among those without terms. Without labels every score is 0.
@@ -168,35 +170,39 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     toxic, clean = sum(r["toxic"] for r in grouped), sum(r["clean"] for r in grouped)
     prior = toxic / (toxic + clean) if toxic + clean else 0.0
     base = plain["toxic"] / (plain["toxic"] + plain["clean"]) if plain else prior if not terms else 0.0
-    size = (len(terms), [(r["doc_id"], r["toxic"], r["clean"]) for r in entries], [unit_vector(r["terms"], r["counts"], idf) for r in entries])
+    units = [(unit_vector(r["terms"], r["counts"], idf), (r["doc_id"], r["toxic"], r["clean"])) for r in entries]
+    units.sort(key=lambda u: (max(u[0][:-1], key=lambda x: x[1])[0], u[0][-1][1], u[1]))
+    index_rows = docs.sparkSession.sparkContext.broadcast(([v for v, _ in units], [a for _, a in units]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n_terms, about, units = size
-        index = BlockMaxIndex(units, n_terms)
-        remembered: dict[tuple, tuple[float, list[dict]]] = {}
+        vectors_, about = index_rows.value
+        index = BlockMaxIndex(vectors_, len(idf) + 1)
 
-        def vote(ts: list[int], cs: list[int]) -> tuple[float, list[dict]]:
-            if not ts:
+        def vote(key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[float, list[dict]]:
+            if not key[0]:
                 return base, []
-            key = (*ts, *cs)
-            if key not in remembered:
-                if len(remembered) >= REMEMBERED // 10:
-                    remembered.clear()
-                near = index.nearest(unit_vector(ts, cs, idf), k)
-                yes, total = prior, 1.0
-                for s, i in near:
-                    _, t, c = about[i]
-                    w = 1 / (max(0.0, 1 - s) + 0.05)
-                    yes, total = yes + w * t / (t + c), total + w
-                remembered[key] = yes / total, [{"doc_id": about[i][0], "similarity": s, "toxic": about[i][1], "clean": about[i][2]} for s, i in near]
-            return remembered[key]
+            near = index.nearest(unit_vector(*key, idf), k)
+            yes, total = prior, 1.0
+            for s, i in near:
+                _, t, c = about[i]
+                w = 1 / (max(0.0, 1 - s) + 0.05)
+                yes, total = yes + w * t / (t + c), total + w
+            return yes / total, [{"doc_id": about[i][0], "similarity": s, "toxic": about[i][1], "clean": about[i][2]} for s, i in near]
+
+        votes = Remembered(vote, REMEMBERED // 20)
 
         item = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int64()), ("clean", pa.int64())])
         for batch in batches:
-            got = [vote(t, c) for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            got = [votes[tuple(t), tuple(c)] for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array([g[0] for g in got], pa.float64()), pa.array([int(g[0] >= 0.5) for g in got], pa.int32()),
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array([g[0] for g in got], pa.float64()), pa.array([int(g[0] >= 0.5) for g in got], pa.int32()),
                  pa.array([g[1] for g in got], pa.list_(item))],
-                names=["doc_id", "held_out", "score", "predicted", "evidence"])
+                names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
+
+    return vectors.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "terms", "counts").mapInArrow(run, f"doc_id bigint, text_hash bigint, {OUT}")
+
 
-    return vectors.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "terms", "counts").mapInArrow(run, f"doc_id bigint, {OUT}")
+def reject_toxic(docs: DataFrame, scored: DataFrame) -> DataFrame:
+    """Rows of docs, all columns, whose doc_id and text are not predicted toxic."""
+    gone = scored.filter("predicted = 1").select("doc_id", "text_hash").distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["text_hash"]), "left_anti")
