@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC makes day and week boundaries the same on every machine; AQE splits skewed
 #: joins and sizes the shuffles; ANSI stays on, so bad casts need try_cast.
@@ -18,3 +21,23 @@ def get_spark(master: str | None = None, app: str = "shopweave", **conf: str) ->
     """A session with SETTINGS; master and further settings only where the caller gives them."""
     builder = SparkSession.builder.appName(app).config(map={**SETTINGS, **conf})
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset (tests), one of our own."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = tempfile.mkdtemp(prefix="spark-shopweave-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A path below shared_dir that nothing has used yet."""
+    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def require(df: DataFrame, *columns: str) -> None:
+    """Raise ValueError naming the columns that df lacks."""
+    if missing := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
