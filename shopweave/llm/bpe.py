@@ -25,12 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import Remembered
+
 #: White space of the normalizer; Python's own str.split also splits on \x1c-\x1f.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _ODD = regex.compile("[\x1c-\x1f]")
 _SPLIT = regex.compile(f"[{_SPACE}]+")
-#: Words, pieces and pairs that a worker remembers; a full memory is emptied.
-REMEMBERED = 600_000
+#: Words and pairs that a worker remembers.
+REMEMBERED = 300_000
+#: Rows handled at a time, so that no step holds more than a few MB beyond its batch.
+SLICE = 128
 
 
 def byte_symbols() -> list[str]:
@@ -51,7 +55,7 @@ class WordBpe:
             spec = json.load(f)
         model, self.suffix = spec["model"], spec["model"]["end_of_word_suffix"]
         self.symbols = byte_symbols()
-        self._byte_of = {b: s for b, s in enumerate(self.symbols)}
+        self._byte_of = dict(enumerate(self.symbols))
         vocab = model["vocab"]
         names = self.symbols + [s + self.suffix for s in self.symbols]
         texts = [*self.symbols, *(chr(ord(s) + self.LAST) for s in self.symbols)]
@@ -70,7 +74,7 @@ class WordBpe:
             self.right.append(y)
             self.merge[x, y] = new
         self.base = base
-        self.ids = np.array([vocab[n] for n in names], dtype=np.int32)
+        self.id_bytes = [np.int32(vocab[n]).tobytes() for n in names]
         self.length = [len(t) for t in texts]
         known = {t: i for i, t in enumerate(texts)}
         self.shorter = [next((known[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in known), -1) for t in texts]
@@ -83,16 +87,7 @@ class WordBpe:
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self._pieces = regex.compile(pattern.replace(r"\s", _SPACE))
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                got = self[word] = outer._word(word)
-                return got
-
-        self.words = Words()
+        self.words = Remembered(self._word, REMEMBERED)
         # the offset table: all token names one after another, and where each starts
         table = {**{i: n for n, i in vocab.items()}, **{i: n for n, i in self.special.items()}}
         coded = [table.get(i, "").encode() + b" " for i in range(max(table) + 1)]
@@ -106,9 +101,6 @@ class WordBpe:
         touch: had a merge joined them before either went into its parent, the
         border would be gone. Of equal merges the left one comes first.
         """
-        known = self.pairs.get((a, b))
-        if known is not None:
-            return known
         u, v, up_u, up_v = a, b, 1 << 30, 1 << 30
         result = True
         while True:
@@ -129,37 +121,46 @@ class WordBpe:
 
     def encode_piece(self, piece: str) -> list[int]:
         """Token numbers of one piece, a non-empty word or run of marks."""
-        s = "".join(map(self._byte_of.__getitem__, piece.encode()))
+        s = piece.encode().decode("latin-1").translate(self._byte_of)
         s = s[:-1] + chr(ord(s[-1]) + self.LAST)
         n = len(s)
+        length, shorter, pairs = self.length, self.shorter, self.pairs
         longest = [-1] * n
-        for end, token in self.automaton.iter(s):
-            start = end - self.length[token] + 1
-            if longest[start] < 0 or self.length[token] > self.length[longest[start]]:
-                longest[start] = token
-        open_ = [True] * (n + 1)
+        for end, token in self.automaton.iter(s):  # of those that start at one place, the longest ends last
+            longest[end - length[token] + 1] = token
+        ruled_out: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], -1
         while at < n:
-            while token >= 0 and not (open_[at + self.length[token]] and (not out or self.compatible(out[-1], token))):
-                token = self.shorter[token]
+            while token >= 0:
+                if at + length[token] not in ruled_out:
+                    if before < 0:
+                        break
+                    fits = pairs.get((before, token))
+                    if fits or fits is None and self.compatible(before, token):
+                        break
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at += self.length[token]
-                token = longest[at] if at < n else -1
-            else:  # nothing fits here: this place is ruled out, try a shorter token before it
-                open_[at] = False
-                token = out.pop()
-                at -= self.length[token]
-                token = self.shorter[token]
+                at += length[token]
+                before = token
+                if at < n:
+                    token = longest[at]
+            else:  # nothing fits here: rule this place out and try a shorter token before it
+                ruled_out.add(at)
+                at -= length[before]
+                token = shorter[out.pop()]
+                before = out[-1] if out else -1
         return out
 
     def _word(self, word: str) -> bytes:
         """Ids of a text without white space, as the bytes of an int32 array."""
         if not word.isascii():
             word = unicodedata.normalize("NFC", word).replace("Σ", "σ")  # no final form of sigma
-        out = chain.from_iterable(self.encode_piece(p) for p in self._pieces.findall(word.lower()))
-        return self.ids[list(out)].tobytes()
+        word = word.lower()
+        # letters only are one piece, whatever the pattern's other parts
+        tokens = self.encode_piece(word) if word.isalpha() else chain.from_iterable(map(self.encode_piece, self._pieces.findall(word)))
+        return b"".join(map(self.id_bytes.__getitem__, tokens))
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as the bytes of an int32 array; special tokens in the text keep their ids."""
@@ -191,6 +192,12 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _with(batch: pa.RecordBatch, name: str, array: pa.Array) -> pa.RecordBatch:
     cols = {n: batch.column(n) for n in batch.schema.names if n != name}
     return pa.RecordBatch.from_arrays([*cols.values(), array], names=[*cols, name])
@@ -201,7 +208,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in _sliced(batches):
             got = [bpe.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
             ids = np.frombuffer(b"".join(got), dtype=np.int32)
@@ -216,7 +223,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in _sliced(batches):
             col = batch.column(ids)
             ends = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
             flat = pa.compute.list_flatten(col).to_numpy(zero_copy_only=False)

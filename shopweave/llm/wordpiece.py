@@ -17,7 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-REMEMBERED = 400_000
+from .shared import Remembered
+
+#: Words that a worker remembers.
+REMEMBERED = 300_000
 
 
 class PieceCounter:
@@ -52,16 +55,7 @@ class PieceCounter:
                     at = self.fail[at]
                 self.fail[v], self.popped[v] = self.next[at][b], count
             queue.extend((v, c, w) for c, w in self.next[v].items())
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word: bytes) -> int:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                got = self[word] = outer.count(b" " + word)
-                return got
-
-        self.words = Words()
+        self.words = Remembered(lambda word: self.count(b" " + word), REMEMBERED)
 
     def count(self, word: bytes) -> int:
         nxt, fail, popped = self.next, self.fail, self.popped
