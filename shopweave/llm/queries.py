@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, lm, media, mixing, topk, toxicity, wordpiece
+from . import bpe, chat, jaccard, licenses, lm, media, mixing, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -98,6 +98,42 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files of a tree source/lang/doc_id.txt."""
+    parts = [F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("und")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))]
+    return licenses.scan_licenses(read(spark, sf_dir, "documents").select(F.concat_ws("/", *parts).alias("path"), "text"))
+
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(licenses.TEMPLATES))
+_TERMS = r"list_filter(list_transform(string_split_regex(lower({}), '[^a-z0-9.-]+'), lambda w: regexp_replace(w, '^[.-]+|[.-]+$', '', 'g')), lambda w: w <> '')"
+
+OP7_SQL = rf"""
+WITH t AS (SELECT template, license, {_TERMS.format("text")} AS words FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, license, text)),
+f AS (SELECT concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'und'), doc_id || '.txt') AS path, text FROM documents),
+voc AS (SELECT DISTINCT unnest(words) AS term FROM t),
+has AS (SELECT path, unnest(list_distinct({_TERMS.format("text")})) AS term FROM f),
+spread AS (SELECT term, count(*) AS df FROM has JOIN voc USING (term) GROUP BY term),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM f))::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM voc LEFT JOIN spread USING (term)),
+tw AS (SELECT template, license, term, count(*) * any_value(idf) AS w FROM (SELECT template, license, unnest(words) AS term FROM t) JOIN idf USING (term) GROUP BY ALL),
+pattern AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS p FROM tw),
+lines AS (SELECT path, text, list_distinct(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(lower(s), '{licenses.MARKS}'))) AS ls FROM f),
+passages AS (SELECT path, generate_subscripts(ls, 1) AS no, unnest(ls) AS part FROM lines WHERE len(ls) > 0 UNION ALL SELECT path, 0, text FROM lines WHERE len(ls) > 0),
+pw AS (SELECT path, no, term, count(*) * coalesce(any_value(idf), ln((1 + (SELECT count(*) FROM f))::DOUBLE) + 1) AS w FROM (SELECT path, no, unnest({_TERMS.format("part")}) AS term FROM passages) LEFT JOIN idf USING (term) GROUP BY path, no, term),
+norms AS (SELECT path, no, sqrt(sum(w * w)) AS norm FROM pw GROUP BY ALL),
+cosines AS (SELECT path, no, template, license, round(sum(pw.w * p) / any_value(norm), 6) AS score FROM pw JOIN pattern USING (term) JOIN norms USING (path, no) GROUP BY ALL),
+hits AS (SELECT * FROM cosines WHERE score >= CASE WHEN no = 0 THEN {licenses.FILE} ELSE {licenses.HEADER} END),
+own AS (SELECT path, arg_max(license, (score, -template)) AS license, max(score) AS score FROM hits GROUP BY path),
+files AS (SELECT path, license, score, template FROM hits WHERE no = 0 QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, template) = 1),
+holders AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS source, arg_min(license, (-score, template, path)) AS inherited FROM files GROUP BY ALL),
+folders AS (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder FROM f),
+above AS (SELECT folder, unnest(list_transform(generate_series(0, len(string_split(folder, '/'))), lambda k: {{'depth': k, 'source': array_to_string(string_split(folder, '/')[1:k], '/')}}), recursive := true) FROM folders),
+given AS (SELECT folder, arg_max(inherited, depth) AS inherited, arg_max(source, depth) AS source FROM above JOIN holders USING (source) GROUP BY folder)
+SELECT f.path, coalesce(own.license, inherited) AS license, own.score, CASE WHEN own.license IS NOT NULL THEN 'own' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+  CASE WHEN own.license IS NULL THEN source END AS source
+FROM f LEFT JOIN own USING (path) LEFT JOIN given ON folder = regexp_extract(f.path, '^(.*)/[^/]*$', 1)
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed 5 : 2 : 1 by source to 150 % of all words."""
     return mixing.mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -120,8 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_topk_search": op5_topk_search,
     "op6_media": op6_media,
+    "op7_licenses": op7_licenses,
     "op8_mixing": op8_mixing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL, "op7_licenses": OP7_SQL}

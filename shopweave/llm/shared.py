@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset (tests), one of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="spark-shopweave-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+from shopweave.session import new_path
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts lineage, and a lost executor costs only a reread."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path := new_path(spark, tag))
     return spark.read.schema(df.schema).parquet(path)
 
 
