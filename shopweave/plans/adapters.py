@@ -197,7 +197,7 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with lots by their balance."""
-    c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").cast("string").alias("id"), F.lit("x@y.example").alias("email"), F.col("c_name").alias("first_name"), F.lit("").alias("last_name"),
-                    F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0)) / 1000).cast("long").alias("amount_lose"))
+    """Orders with lots by their amount, some with none."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("id"), F.lit("x@y.example").alias("email"), F.col("o_orderpriority").alias("first_name"), F.lit("").alias("last_name"),
+                    F.floor(F.greatest(F.col("o_totalprice"), F.lit(0.0)) / 10000).cast("long").alias("amount_lose"))

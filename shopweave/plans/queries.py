@@ -472,8 +472,8 @@ _PRIZES = ", ".join(f"('{n}', {c})" for n, c in draw.PRIZES)
 
 @_register("weighted_draw", f"""
 WITH p AS (SELECT prize, sum(n) OVER (ORDER BY i) - n AS a, sum(n) OVER (ORDER BY i) AS b FROM (SELECT col0 AS prize, col1 AS n, row_number() OVER () AS i FROM (VALUES {_PRIZES}))),
-k AS (SELECT least(sum(n), 0) AS nothing, sum(n) AS total FROM (VALUES {_PRIZES}) AS v(x, n)),
-e AS (SELECT c_custkey::VARCHAR AS id, 'x@y.example' AS email, c_name AS first_name, '' AS last_name, floor(greatest(c_acctbal, 0) / 1000)::BIGINT AS amount_lose FROM customer),
+k AS (SELECT sum(n) AS total FROM (VALUES {_PRIZES}) AS v(x, n)),
+e AS (SELECT o_orderkey::VARCHAR AS id, 'x@y.example' AS email, o_orderpriority AS first_name, '' AS last_name, floor(greatest(o_totalprice, 0) / 10000)::BIGINT AS amount_lose FROM orders),
 w AS (SELECT * FROM e WHERE amount_lose > 0 QUALIFY row_number() OVER (ORDER BY -ln({_U.format("draw")}) / amount_lose, id) <= (SELECT total FROM k)),
 r AS (SELECT *, row_number() OVER (ORDER BY {_U.format("prize")}, id) - 1 AS rank FROM w)
 SELECT id, email, first_name, last_name, amount_lose, prize FROM r JOIN p ON rank >= a AND rank < b""")
