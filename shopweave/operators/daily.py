@@ -22,6 +22,15 @@ def _counted(items: DataFrame, exclude_cancelled: bool) -> DataFrame:
     return items.filter(~F.coalesce("cancellation_status", F.lit(False))) if exclude_cancelled else items
 
 
+def _first_orders(items: DataFrame) -> DataFrame:
+    """Per customer c, the place of the first order; repeated item rows change nothing, so they need not be made distinct."""
+    return items.groupBy(F.col("customer_id").alias("c")).agg(F.min(_place()).alias("first"))
+
+
+def _place() -> Column:
+    return F.struct(F.col("created_at").isNull().alias("late"), "created_at", "order_id")
+
+
 def new_customer_flag(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
     """order_id, customer_id, created_at, is_nc: true for each customer's first order of all time.
 
@@ -30,39 +39,52 @@ def new_customer_flag(items: DataFrame, exclude_cancelled: bool = False) -> Data
     aggregate and joined back, so a customer with very many orders is no bottleneck.
     """
     require(items, "order_id", "customer_id", "created_at")
-    orders = _counted(items, exclude_cancelled).select("order_id", "customer_id", "created_at").distinct()
-    rank = F.struct(F.col("created_at").isNull().alias("late"), "created_at", "order_id")
-    first = orders.groupBy(F.col("customer_id").alias("c")).agg(F.min(rank).alias("first"))
-    return orders.join(first, F.col("customer_id").eqNullSafe(F.col("c"))).select(
-        "order_id", "customer_id", "created_at", rank.eqNullSafe(F.col("first")).alias("is_nc"))
+    counted = _counted(items, exclude_cancelled)
+    orders = counted.select("order_id", "customer_id", "created_at").distinct()
+    return orders.join(_first_orders(counted), F.col("customer_id").eqNullSafe(F.col("c"))).select(
+        "order_id", "customer_id", "created_at", _place().eqNullSafe(F.col("first")).alias("is_nc"))
 
 
 def flagged_items(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
     """items with their day and is_nc. An order_id must have one created_at; with two it would be an order of each day."""
-    flags = new_customer_flag(items, exclude_cancelled).select(F.col("order_id").alias("o"), F.col("created_at").alias("t"), F.col("customer_id").alias("c"), "is_nc")
-    same = F.col("order_id").eqNullSafe(F.col("o")) & F.col("created_at").eqNullSafe(F.col("t")) & F.col("customer_id").eqNullSafe(F.col("c"))
-    return _counted(items, exclude_cancelled).join(flags, same, "left").withColumns({"date": F.to_date("created_at"), "is_nc": F.coalesce("is_nc", F.lit(False))}).drop("o", "t", "c")
+    counted = _counted(items, exclude_cancelled)
+    joined = counted.join(_first_orders(counted), F.col("customer_id").eqNullSafe(F.col("c")))
+    return joined.withColumns({"date": F.to_date("created_at"), "is_nc": _place().eqNullSafe(F.col("first"))}).drop("c", "first")
+
+
+ORDER_COSTS = ("total_shipping_cost", "total_packaging", "total_payment_fees")
+
+
+def _per_order(items: DataFrame, exclude_cancelled: bool) -> DataFrame:
+    """One row per order, day, flag and costs, with the sums of its items: what both daily tables are made of, from one pass."""
+    return flagged_items(items, exclude_cancelled).groupBy("order_id", "date", "is_nc", *ORDER_COSTS).agg(*[
+        money_sum(F.col(c)).alias(c) for c in ("item_gross_revenue", "item_net_revenue", "total_cogs", "quantity")])
+
+
+def _item_sums() -> list[Column]:
+    gross, net = money_sum(F.col("item_gross_revenue")), money_sum(F.col("item_net_revenue"))
+    return [
+        gross.alias("gross_revenue"), net.alias("net_revenue_items"), money_sum(F.col("total_cogs")).alias("product_costs"), money_sum(F.col("quantity")).alias("gross_quantity"),
+        money_sum(F.when(F.col("is_nc"), F.col("item_gross_revenue"))).alias("nc_gross_revenue"), (gross - net).alias("taxes")]
+
+
+def _order_sums() -> list[Column]:
+    return [
+        (money_sum(F.col("total_shipping_cost")) + money_sum(F.col("total_packaging"))).alias("fulfillment_costs"), money_sum(F.col("total_payment_fees")).alias("transaction_costs"),
+        (F.count_distinct("order_id") + F.max(F.col("order_id").isNull().cast("long"))).alias("gross_orders"), F.sum(F.col("is_nc").cast("long")).alias("nc_gross_orders")]
 
 
 def daily_items(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
     """Per day: gross and net item revenue, product costs, quantity, gross revenue of new customers, taxes."""
     require(items, "item_gross_revenue", "item_net_revenue", "total_cogs", "quantity")
-    out = flagged_items(items, exclude_cancelled).groupBy("date").agg(
-        money_sum(F.col("item_gross_revenue")).alias("gross_revenue"), money_sum(F.col("item_net_revenue")).alias("net_revenue_items"),
-        money_sum(F.col("total_cogs")).alias("product_costs"), money_sum(F.col("quantity")).alias("gross_quantity"),
-        money_sum(F.when(F.col("is_nc"), F.col("item_gross_revenue"))).alias("nc_gross_revenue"))
-    return _doubles(out.withColumn("taxes", F.col("gross_revenue") - F.col("net_revenue_items")))
+    return _doubles(flagged_items(items, exclude_cancelled).groupBy("date").agg(*_item_sums()))
 
 
 def daily_orders(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
     """Per day: fulfilment costs, payment fees, orders, orders of new customers. Order amounts stand on each item row and count once."""
-    costs = ("total_shipping_cost", "total_packaging", "total_payment_fees")
-    require(items, *costs)
-    once = flagged_items(items, exclude_cancelled).select("order_id", "date", "is_nc", *costs).distinct()
-    out = once.groupBy("date").agg(
-        (money_sum(F.col("total_shipping_cost")) + money_sum(F.col("total_packaging"))).alias("fulfillment_costs"), money_sum(F.col("total_payment_fees")).alias("transaction_costs"),
-        (F.count_distinct("order_id") + F.max(F.col("order_id").isNull().cast("long"))).alias("gross_orders"), F.sum(F.col("is_nc").cast("long")).alias("nc_gross_orders"))
-    return _doubles(out)
+    require(items, *ORDER_COSTS)
+    once = flagged_items(items, exclude_cancelled).select("order_id", "date", "is_nc", *ORDER_COSTS).distinct()
+    return _doubles(once.groupBy("date").agg(*_order_sums()))
 
 
 def daily_refunds(returns: DataFrame, basis: str = "refund_date") -> DataFrame:
@@ -89,12 +111,15 @@ def _doubles(df: DataFrame) -> DataFrame:
 def daily_business(items: DataFrame, returns: DataFrame, ads: DataFrame, basis: str = "refund_date", exclude_cancelled: bool = False) -> DataFrame:
     """Profit per day, sorted by day: revenue less taxes and refunds, then product costs (cm1), transaction and fulfilment (cm2), and ad spend (cm3).
 
-    Each part has one row a day, so a union summed by day equals their full outer
-    joins, and unknown days fall together without more ado.
+    Item and order sums come from one pass over the items. Each part has one row a day, so
+    a union summed by day equals their full outer joins, and unknown days fall together
+    without more ado.
     """
     money = ("gross_revenue", "taxes", "refunds", "product_costs", "transaction_costs", "fulfillment_costs", "channel_spend", "nc_gross_revenue", "gross_quantity")
     counts = ("channel_impressions", "channel_clicks", "gross_orders", "nc_gross_orders")
-    parts = [daily_items(items, exclude_cancelled), daily_orders(items, exclude_cancelled), daily_refunds(returns, basis), daily_spend(ads)]
+    require(items, "item_gross_revenue", "item_net_revenue", "total_cogs", "quantity", *ORDER_COSTS)
+    sales = _doubles(_per_order(items, exclude_cancelled).groupBy("date").agg(*_item_sums(), *_order_sums()))
+    parts = [sales, daily_refunds(returns, basis), daily_spend(ads)]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     day = both.groupBy("date").agg(*[money_sum(F.col(c)).alias(c) for c in money], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
     day = day.withColumn("net_revenue", F.col("gross_revenue") - F.col("taxes") - F.col("refunds"))
