@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
-from .shared import Remembered, stored
+from .components import Forest, components
+from .shared import Remembered, held, stored
 
 #: Words that a worker remembers the hashes of.
 REMEMBERED = 300_000
@@ -127,7 +127,7 @@ def fingerprints(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, fp (of the whole set; null if empty), keys (of each set once in a task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, reach = Shingler(words), Reach(percent)
+        shingles, reach = held(("jaccard", words), lambda: Shingler(words)), Reach(percent)
         sent = Remembered(lambda fp: False, REMEMBERED)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -180,28 +180,11 @@ def shared_parts(marked: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-class Forest:
-    """Union-find over 0 .. n - 1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 class Region:
     """Sets that one task joins with each other."""
 
     def __init__(self, sets: list[np.ndarray], reach: Reach):
-        self.reach, self.forest = reach, Forest(len(sets))
+        self.reach, self.forest = reach, Forest()
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
         flat = np.concatenate(sets)
         # shingles renumbered from the rarest to the commonest in this region
@@ -210,7 +193,6 @@ class Region:
         rank[np.argsort(count, kind="stable")] = np.arange(len(count))
         ends = np.cumsum(self.sizes)[:-1]
         self.sets = [np.sort(x) for x in np.split(rank[number.ravel()], ends)]
-        self.links: list[tuple[int, int]] = []
 
     def overlap(self, i: int, others: np.ndarray) -> np.ndarray:
         """Size of what set i shares with each of the others."""
@@ -228,8 +210,7 @@ class Region:
         others = others[(100 * np.minimum(a, b) >= self.reach.t * np.maximum(a, b))]
         if len(others):
             for j in others[self.reach.linked(self.overlap(i, others), a, self.sizes[others])]:
-                if self.forest.join(i, int(j)):
-                    self.links.append((i, int(j)))
+                self.forest.join(i, int(j))
 
     def all_pairs(self, members: np.ndarray) -> None:
         """Linked sets share one of their rarest shingles, as many as may differ and one more."""
@@ -269,6 +250,7 @@ def voronoi(away: np.ndarray, radius: float) -> np.ndarray:
 
 
 def _join_sets(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Each linked set and the one that stands for its component."""
     fps, seen, sets = [], set(), []
     for fp, blob in zip(table.column("fp").to_pylist(), table.column("hashes").to_pylist(), strict=True):
         if fp not in seen:
@@ -279,11 +261,11 @@ def _join_sets(table: pa.Table, percent: int) -> list[tuple[int, int]]:
         return []
     region = Region(sets, Reach(percent))
     region.join(np.arange(len(fps)))
-    return [(fps[i], fps[j]) for i, j in region.links]
+    return [(fps[i], fps[r]) for i in range(len(fps)) if (r := region.forest.root(i)) != i]
 
 
 def join_regions(sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: links enough to connect all linked sets of sets(region, fp, hashes), region by region, in one task each."""
+    """a, b: edges that connect what links connect among sets(region, fp, hashes), region by region, in one task each."""
     edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
@@ -368,7 +350,7 @@ def candidate_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame
     rows = docs.select(_doc_id(docs), "text").withColumn("slot", _slot(F.col("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, shingles = np.unpackbits(sent.value).astype(bool), Shingler(words)
+        table, shingles = np.unpackbits(sent.value).astype(bool), held(("jaccard", words), lambda: Shingler(words))
         for batch in batches:
             hit = np.nonzero(table[batch.column("slot").to_numpy()])[0]
             for at in range(0, len(hit), 512):

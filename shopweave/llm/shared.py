@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from typing import Any
 
@@ -44,3 +45,15 @@ class Remembered(dict):
             got = self.make(key)
         self[key] = got
         return got
+
+
+_held: dict[Any, Any] = {}
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """make()'s result, kept in this Python worker from task to task; what the worker kept under another key is dropped first."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
