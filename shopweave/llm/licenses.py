@@ -32,7 +32,7 @@ TEMPLATES = [
 # Fixed value: a line without any of these roots is no licence header.
 MARKS = "licen[cs]|copyright|permission|redistribut|spdx|free software"
 #: Least cosine of a header, and of a whole text that counts as a licence file.
-HEADER, FILE = 0.6, 0.3
+HEADER, FILE = 0.6, 0.5
 
 
 def terms(text: Column) -> Column:

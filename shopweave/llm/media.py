@@ -160,13 +160,13 @@ def store_payload(df: DataFrame, text: str = "text", unit: int = 64) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [(t or "").encode() for t in batch.column("__text").to_pylist()]
+            raw = [(t or "").encode() for t in batch.column(len(kept)).to_pylist()]
             media = [wav_of(b + b"\0" * (-len(b) % unit or (0 if b else unit))) for b in raw]
             new = [pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary()), pa.array([UNKNOWN] * len(raw), pa.string())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *new], names=[*(f.name for f in kept), "n_bytes", "media", "declared_type"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*(f.name for f in kept), "n_bytes", "media", "declared_type"])
 
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_bytes bigint, media binary, declared_type string"])
-    return df.select(*[df[f.name] for f in kept], df[text].alias("__text")).mapInArrow(run, out)
+    return df.select(*[df[f.name] for f in kept], df[text]).mapInArrow(run, out)
 
 
 def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> DataFrame:
@@ -183,7 +183,7 @@ def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds, payloads, inner = [], [], []
-            for data in batch.column(media).to_pylist():
+            for data in batch.column(len(kept)).to_pylist():
                 data = data or b""
                 found = sniff(data)
                 whole = next((f for f in found if f[0] == 0), (0, len(data), UNKNOWN, 0, len(data)))
@@ -191,9 +191,9 @@ def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> Dat
                 payloads.append(data[whole[3] : whole[4]])
                 inner.append([{"start": s, "size": n, "type": k, "bytes": data[s : s + n] if carve else None} for s, n, k, _, _ in found if s])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in kept), pa.array(kinds, pa.string()), pa.array(payloads, pa.binary()), pa.array(inner, pa.list_(item))],
+                [*batch.columns[: len(kept)], pa.array(kinds, pa.string()), pa.array(payloads, pa.binary()), pa.array(inner, pa.list_(item))],
                 names=[*(f.name for f in kept), "true_type", "payload", "embedded"])
 
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept),
                      "true_type string, payload binary, embedded array<struct<start:bigint,size:bigint,type:string,bytes:binary>>"])
-    return df.mapInArrow(run, out)
+    return df.select(*[df[f.name] for f in kept], df[media]).mapInArrow(run, out)

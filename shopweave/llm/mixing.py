@@ -136,5 +136,5 @@ def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """
     copies = mixed.groupBy("source", "doc_id").agg(F.max("copies").cast("int").alias("copies")).filter("copies > 0")
     on = docs["doc_id"].eqNullSafe(copies["doc_id"]) & docs["source"].eqNullSafe(copies["source"])
-    joined = docs.join(copies, on).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), copies["copies"])).alias("__copy"))
-    return joined.drop("__copy")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return docs.join(copies, on).select(F.explode(F.array_repeat(row, copies["copies"])).alias("r")).select("r.*")

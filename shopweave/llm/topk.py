@@ -95,7 +95,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     integers. Ties go to the smaller id. Blocks and shards bound a tile's memory;
     the query set is not broadcast.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), quantized(F.col(vector), scale).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector), scale).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.filter("id IS NOT NULL AND vector IS NOT NULL")
     asks = rows.filter("asks").select("id", "vector")
     blocks = max(1, math.ceil(asks.count() / block))

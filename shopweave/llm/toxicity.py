@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Remembered, stored
+from .shared import Remembered, held, stored
 
 #: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
@@ -93,7 +93,7 @@ def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     number = {t: i for i, t in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Remembered(lambda word: tuple(number[t] for t in terms_of(word) if t in number), REMEMBERED)
+        known = held(("toxicity", *terms), lambda: Remembered(lambda word: tuple(number[t] for t in terms_of(word) if t in number), REMEMBERED))
         for batch in batches:
             got = [Counter(chain.from_iterable(filter(None, map(known.__getitem__, words(t))))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +156,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     Repeated rows score alike.
     """
     sample = stored(sample_labels(labels, per_class), "tox-sample")
-    examples = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    examples = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     terms = choose_terms(examples, max_terms)
     vectors = stored(term_vectors(docs, terms), "tox-vectors")
     df = {r["t"]: r["n"] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}

@@ -11,13 +11,12 @@ from __future__ import annotations
 import base64
 from collections import deque
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import Remembered
+from .shared import Remembered, held
 
 #: Words that a worker remembers.
 REMEMBERED = 300_000
@@ -71,11 +70,14 @@ class PieceCounter:
         return total
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> PieceCounter:
     """From a file of base64 tokens and ranks."""
-    with open(path, "rb") as f:
-        return PieceCounter(base64.b64decode(line.split()[0]) for line in f if line.strip())
+
+    def make() -> PieceCounter:
+        with open(path, "rb") as f:
+            return PieceCounter(base64.b64decode(line.split()[0]) for line in f if line.strip())
+
+    return held(("wordpiece", path), make)
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -91,9 +93,9 @@ def count_tokens(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load(path)
         for batch in batches:
-            rows = [(len(b), len(w := b.split()), sum(map(counter.words.__getitem__, w))) for b in ((t or "").encode() for t in batch.column("__text").to_pylist())]
-            cols = [batch.column(f.name) for f in kept] + [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
+            rows = [(len(b), len(w := b.split()), sum(map(counter.words.__getitem__, w))) for b in ((t or "").encode() for t in batch.column(len(kept)).to_pylist())]
+            cols = [*batch.columns[: len(kept)]] + [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays(cols, names=[*(f.name for f in kept), *new])
 
-    return df.select(*[df[f.name] for f in kept], df[text].alias("__text")).mapInArrow(
+    return df.select(*[df[f.name] for f in kept], df[text]).mapInArrow(
         run, T.StructType([*kept, *(T.StructField(n, T.LongType()) for n in new)]))
