@@ -69,7 +69,7 @@ v AS (SELECT week_start, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE
     printf('<b>Woche: %s</b><br>Open: %.2f €<br>High: %.2f €<br>Low: %.2f €<br>Close: %.2f €<br>Volumen: %d Stück', strftime(week_start, '%d.%m.%Y'),
       round(open, 2)::DOUBLE, round(high, 2)::DOUBLE, round(low, 2)::DOUBLE, round(close, 2)::DOUBLE, volume::BIGINT) AS hover_text FROM crossed)"""
 TICKETS = """turns AS (
-  SELECT conv_id AS id, to_timestamp(1704067200 + conv_id * 60)::TIMESTAMP AS created_at, to_timestamp(1704067200 + conv_id * 60 + turn * 90)::TIMESTAMP AS updated_at,
+  SELECT conv_id AS id, make_timestamp((1704067200 + conv_id * 60) * 1000000) AS created_at, make_timestamp((1704067200 + conv_id * 60 + turn * 90) * 1000000) AS updated_at,
     'frage zu ' || ['#', '', '12000000 siehe #', '#12000000 oder '][conv_id % 4 + 1] || (12100000 + conv_id) AS description,
     CASE role WHEN 'user' THEN 'open' WHEN 'assistant' THEN 'closed' ELSE 'new' END AS status, lower(role) AS via_channel,
     CASE conv_id % 3 WHEN 0 THEN 'agent_a' WHEN 1 THEN '1000000000003' END AS assignee_id,
@@ -263,8 +263,8 @@ def _clean_tickets(spark: SparkSession, sf: str) -> DataFrame:
 
 @_register("clean_ticket_export", """
 SELECT DISTINCT conv_id::VARCHAR AS id, CASE WHEN conv_id % 2 = 0 THEN 'agent_b' ELSE '77' END AS assignee_id, CASE WHEN conv_id % 3 = 0 THEN 'group_y' ELSE '20000000000021' END AS group_id,
-  to_timestamp(1704067200 + conv_id * 60)::TIMESTAMP AS created_at, to_timestamp(1704067200 + conv_id * 60)::TIMESTAMP AS updated_at, NULL::TIMESTAMP AS assigned_at, NULL::TIMESTAMP AS initially_assigned_at,
-  NULL::TIMESTAMP AS requester_updated_at, to_timestamp(1704067200 + conv_id * 60)::TIMESTAMP AS solved_at FROM conversations""")
+  make_timestamp((1704067200 + conv_id * 60) * 1000000) AS created_at, make_timestamp((1704067200 + conv_id * 60) * 1000000) AS updated_at, NULL::TIMESTAMP AS assigned_at, NULL::TIMESTAMP AS initially_assigned_at,
+  NULL::TIMESTAMP AS requester_updated_at, make_timestamp((1704067200 + conv_id * 60) * 1000000) AS solved_at FROM conversations""")
 def _clean_ticket_export(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_ticket_export(A.raw_export(spark, sf), A.agents(spark), A.groups(spark))
 
