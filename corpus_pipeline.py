@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and digests of the ids and of the text decoded from them."""
     path = tokenizer_file("word_bpe_49k.json")
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    return bpe.decode(ids, path).select(
+    done = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded="decoded")
+    return done.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

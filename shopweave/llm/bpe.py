@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -25,14 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Remembered
+from .shared import Remembered, held
 
 #: White space of the normalizer; Python's own str.split also splits on \x1c-\x1f.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _ODD = regex.compile("[\x1c-\x1f]")
 _SPLIT = regex.compile(f"[{_SPACE}]+")
 #: Words and pairs that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 #: Rows handled at a time, so that no step holds more than a few MB beyond its batch.
 SLICE = 128
 
@@ -187,9 +186,8 @@ class WordBpe:
         return got[keep], stops - np.concatenate([[0], np.cumsum(full)])
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
-    return WordBpe(path)
+    return held(("bpe", path), lambda: WordBpe(path))
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,19 +201,33 @@ def _with(batch: pa.RecordBatch, name: str, array: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*cols.values(), array], names=[*cols, name])
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """df and the ids of each whole text as array<int> in out; null counts as empty, which gives no ids. A column named out is replaced."""
+def _ends(sizes: list[int] | np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _decoded(bpe: WordBpe, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    data, offsets = bpe.decode_batch(ids, ends)
+    return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+
+
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """df and the ids of each whole text as array<int> in out; null counts as empty, which gives no ids.
+
+    decoded names one more column for the text that the ids decode to, made in the same
+    pass. Columns of df with these names are replaced.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in _sliced(batches):
             got = [bpe.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
+            ends = _ends([len(g) // 4 for g in got])
             ids = np.frombuffer(b"".join(got), dtype=np.int32)
-            yield _with(batch, out, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+            result = _with(batch, out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
+            yield _with(result, decoded, _decoded(bpe, ids, ends)) if decoded else result
 
-    fields = [f for f in df.schema.fields if f.name != out]
-    return df.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+    new = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema.fields if f.name not in (out, decoded)), *new]))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -225,11 +237,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
         bpe = load(path)
         for batch in _sliced(batches):
             col = batch.column(ids)
-            ends = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            flat = pa.compute.list_flatten(col).to_numpy(zero_copy_only=False)
-            data, offsets = bpe.decode_batch(flat, ends)
-            texts = pa.LargeStringArray.from_buffers(len(col), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
-            yield _with(batch, out, texts.cast(pa.string()))
+            ends = _ends(pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False))
+            yield _with(batch, out, _decoded(bpe, pa.compute.list_flatten(col).to_numpy(zero_copy_only=False), ends))
 
     fields = [f for f in df.schema.fields if f.name != out]
     return df.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))

@@ -54,8 +54,8 @@ def tokenizer_file(name: str) -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded to ids and decoded again."""
     path = tokenizer_file("word_bpe_49k.json")
-    ids = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(ids, path).select(
+    done = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="decoded")
+    return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
