@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .shared import Remembered, held, stored
+from .shared import Remembered, held, most_frequent, stored
 
 #: Words that a worker remembers the hashes of.
 REMEMBERED = 300_000
@@ -32,6 +32,8 @@ REGION = 2_000_000
 PIVOTS, DEPTH = 16, 3
 #: Sizes grow by this from one size class to the next.
 GROWTH = 1.5
+#: Most shingles that are called common, and how many a task counts at a time.
+COMMON, WINDOW = 200_000, 4_000_000
 #: Stands for a null doc_id inside the join.
 NO_ID = -(1 << 63)
 #: Bits of the table of candidate documents that is sent to all tasks (512 KB).
@@ -94,14 +96,17 @@ class Reach:
     def linked(self, both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * both >= self.t * (a + b - both)
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
+    def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
         """One key for each part of the set s to be compared.
 
         Of the parts, as many as are spare are left out, those with the fewest shingles
-        first. Linked sets agree in one more part than that, so their largest common
-        part has that many below it in both and is left out by neither.
+        that are not common first. Linked sets agree in one more part than that, so the
+        last of these in this order has that many below it in both and is left out by
+        neither. Which shingles are called common changes the work, not the result.
         """
         found = []
+        at = np.searchsorted(common, s)
+        rare = np.concatenate([[0], np.cumsum(common[np.minimum(at, len(common) - 1)] != s if len(common) else np.ones(len(s), dtype=bool))])
         for c, parts, compared in self.classes(len(s)):
             if compared == 1:
                 continue  # only equal sets are linked here, and those are one class already
@@ -110,7 +115,8 @@ class Reach:
             sizes = np.diff(starts)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(s * _M1), dtype=np.uint64)])
             content = sums[starts[1:]] - sums[starts[:-1]]
-            take = np.argpartition(sizes * parts + np.arange(parts), parts - compared)[parts - compared :]
+            order = ((rare[starts[1:]] - rare[starts[:-1]]) * (len(s) + 1) + sizes) * parts + np.arange(parts)
+            take = np.argpartition(order, parts - compared)[parts - compared :]
             found.append(_mix(content[take] + _mix(take.astype(np.uint64) * _M1 + np.uint64(c + 1))))
         return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
 
@@ -123,8 +129,42 @@ def _doc_id(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc_id")
 
 
-def fingerprints(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def common_shingles(docs: DataFrame, words: int, most: int = COMMON) -> np.ndarray:
+    """At most `most` of the shingles that many texts share, sorted: passages, phrases, licence lines.
+
+    All texts are read; a task counts in windows of WINDOW shingles and reports those that it
+    meets in three different sets, so what it holds and what is collected is bounded.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, seen = held(("jaccard", words), lambda: Shingler(words)), Remembered(lambda fp: False, REMEMBERED)
+        window: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(window), return_counts=True) if window else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            window.clear()
+            return pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2].astype(np.int64))], names=["h", "whole"])
+
+        held_now = 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                s = shingles(text)
+                if len(s) and not seen[fp := fingerprint(s)]:
+                    seen[fp] = True
+                    window.append(s)
+                    held_now += len(s)
+                    if held_now >= WINDOW:
+                        held_now = 0
+                        yield out()
+        yield out()
+
+    counts = stored(docs.select("text").mapInArrow(run, "h bigint, whole bigint").groupBy("h").agg(F.sum("whole").alias("whole")), "jac-common")
+    return np.sort(most_frequent(counts, most).select("h").toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def fingerprints(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, fp (of the whole set; null if empty), keys (of each set once in a task)."""
+    known = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, reach = held(("jaccard", words), lambda: Shingler(words)), Reach(percent)
@@ -141,7 +181,7 @@ def fingerprints(docs: DataFrame, words: int, percent: int) -> DataFrame:
                         sent[fp] = True
                     sizes.append(len(s))
                     fps.append(fp)
-                    keys.append(reach.keys(s) if new else np.empty(0, dtype=np.int64))
+                    keys.append(reach.keys(s, known.value) if new else np.empty(0, dtype=np.int64))
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(fps, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))],
@@ -376,7 +416,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, large
     an empty table gives no rows. Sets are told apart by 64-bit hashes, at a billion
     different sets with a chance of 3 % that any two are taken for one.
     """
-    marked = stored(fingerprints(docs, words, percent), "jac-marked")
+    marked = stored(fingerprints(docs, words, percent, common_shingles(docs, words)), "jac-marked")
     known = marked.filter("fp IS NOT NULL")
     classes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id")), "jac-classes")
     met = stored(shared_parts(known.filter(F.size("keys") > 0)).distinct(), "jac-met")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Remembered, held, stored
+from .shared import Remembered, hashed_share, held, stored
 
 #: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
@@ -46,11 +46,11 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 
 def sample_labels(labels: DataFrame, per_class: int) -> DataFrame:
-    """At most per_class training rows of each class, by hash: doc_id, toxic. Where labels of a document differ, toxic wins."""
+    """Training rows of each class, by hash at most about per_class: doc_id, toxic. Where labels of a document differ, toxic wins."""
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    parts = [known.filter(F.col("toxic") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
+    known = stored(known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")), "tox-known")
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    parts = [hashed_share(known.filter(F.col("toxic") == c), "doc_id", sizes.get(c, 0), per_class) for c in (0, 1)]
     return parts[0].unionByName(parts[1])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopweave.llm import components, jaccard, licenses, lm, mixing, queries, topk, toxicity
+from shopweave.llm.shared import hashed_share, most_frequent
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -95,7 +96,8 @@ def test_linked_sets_share_a_key():
                 b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, rng.integers(0, 3), dtype=np.uint64)]))
                 both = len(np.intersect1d(a, b))
                 if a.tobytes() != b.tobytes() and 100 * both >= percent * (len(a) + len(b) - both):
-                    assert set(reach.keys(a)) & set(reach.keys(b))
+                    common = np.sort(rng.choice(a, len(a) // 2, replace=False))
+                    assert set(reach.keys(a, common)) & set(reach.keys(b, common)) and set(reach.keys(a, a[:0])) & set(reach.keys(b, a[:0]))
 
 
 def test_components_of_chains_stars_and_loops(spark):
@@ -254,6 +256,20 @@ def test_spelling_is_a_distribution():
     assert 0 < sum(s) <= 1 + 1e-9
 
 
+def test_most_frequent_words_are_cut_at_a_count(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([1] * 50 + [2] * 20 + [5] * 10 + [40] * 5 + [1000])], "h int, whole bigint")
+    for most, want in ((0, 0), (1, 1), (5, 1), (6, 6), (20, 16), (86, 86), (10**6, 86)):
+        got = [r["whole"] for r in most_frequent(df, most).collect()]
+        assert len(got) == want and (not got or min(got) > max([0, *(r["whole"] for r in df.collect() if r["whole"] not in got)]))
+
+
+def test_hashed_share(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"))
+    some = sorted(r["k"] for r in hashed_share(df, "k", 5000, 1000).collect())
+    assert 850 < len(some) <= 1000 and some == sorted(r["k"] for r in hashed_share(df.repartition(7), "k", 5000, 1000).collect())
+    assert hashed_share(df, "k", 5000, 5000).count() == 5000
+
+
 def test_log_rising(spark):
     got = spark.range(1).select(*[lm._log10_rising(a, F.lit(n)).alias(f"x{k}") for k, (a, n) in enumerate([(1e3, 1), (1e3, 500), (1e7, 20_000), (0.5, 3)])]).first()
     want = [(math.lgamma(a + n) - math.lgamma(a)) / math.log(10) for a, n in [(1e3, 1), (1e3, 500), (1e7, 20_000), (0.5, 3)]]
