@@ -1,8 +1,8 @@
 """Language-model scoring by online logistic context mixing.
 
 Word forms are spelled bit by bit: several predictors, each with counts under a hashed
-context, are mixed in the logistic domain by weights that a gate selects, trained
-online, and an adaptive map corrects the mix. Counted words are interpolated with that
+context, are mixed in the logistic domain by weights that a gate selects,
+and a map corrects the mix; both are learnt from all training words in a few passes. Counted words are interpolated with that
 spelling, once for each class of documents (such as languages), and a document's score is
 that of a mix over classes, which settles on its own as the text goes on, and over how
 strongly the text repeats its own words. All counts are those of the whole training text, gathered by Spark; only the
@@ -21,12 +21,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hashed_share, most_frequent, stored
+from .shared import most_frequent, stored
 
 #: Bytes of context of each predictor, slots of its table (power of two), and the count added to both outcomes.
 ORDERS, TABLE_BITS, PRIOR = (1, 2, 3, 4, 6), 18, 0.4
-#: Words of the sample from which the mixer learns, and the bits learnt from at a time.
-SAMPLE, STEP = 20_000, 2048
+#: Passes over all training words in which the mixer learns, the pull of its weights to their start, and that of its map, in bits.
+PASSES, PULL, MAP_PULL = 3, 1.0, 50.0
 #: What is taken off each word's count for words as yet unseen.
 DISCOUNT = 0.75
 #: Words of training text that a document's own words are weighed against.
@@ -104,43 +104,92 @@ class Spelling:
                 self.slots.append(((h >> np.uint64(40)) & _MASK).astype(np.int64))
 
 
+def pieces(words: list[bytes], most: int = 2000, most_bytes: int = 1 << 16) -> Iterator[list[bytes]]:
+    """The words in turn, at most `most` and about most_bytes at a time; a longer word is alone."""
+    piece, size = [], 0
+    for w in words:
+        if piece and (len(piece) == most or size + len(w) > most_bytes):
+            yield piece
+            piece, size = [], 0
+        piece.append(w)
+        size += len(w)
+    if piece:
+        yield piece
+
+
 class Mixer:
     """Tables of counts (predictor, slot, outcome), weights per gate, and the map that corrects the mix."""
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts
-        self.weights = np.full((GATES, len(ORDERS)), 1.5 / len(ORDERS))
-        centres = np.linspace(-8, 8, BUCKETS)
-        self.map = np.tile(1 / (1 + np.exp(-centres)), (GATES, 1))
+        self.start = np.full((GATES, len(ORDERS)), 1.5 / len(ORDERS))
+        self.even = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS))), (GATES, 1))
+        self.weights, self.map = self.start, self.even
+        self.best = (np.full(GATES, np.inf), self.weights, self.map)
+        self._logs: dict[bool, np.ndarray] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_logs": {}}
 
     def _inputs(self, s: Spelling, left_out: bool = False) -> np.ndarray:
         """Logistic predictions of every bit; left_out takes the word's own mark off each count."""
-        cols = []
+        if left_out not in self._logs:
+            n0, n1 = (self.counts[..., k].astype(np.float32) for k in (0, 1))
+            ratio = lambda zeros, ones: np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+            self._logs[left_out] = np.stack([ratio(np.maximum(n0 - 1, 0), n1), ratio(n0, np.maximum(n1 - 1, 0))], axis=-1).reshape(len(ORDERS), -1) if left_out else ratio(n0, n1)
+        out = np.empty((len(s.outcome), len(ORDERS)))
         for k, slots in enumerate(s.slots):
-            n0, n1 = self.counts[k, slots, 0], self.counts[k, slots, 1]
-            if left_out:
-                n0, n1 = np.maximum(n0 - ~s.outcome, 0), np.maximum(n1 - s.outcome, 0)
-            cols.append(np.log((n1 + PRIOR) / (n0 + PRIOR)))
-        return np.stack(cols, axis=1) if cols else np.empty((0, len(ORDERS)))
-
-    def learn(self, words: list[bytes], rate: float = 0.02, map_rate: float = 0.02) -> None:
-        """One pass over the words, bit by bit in small steps."""
-        for at in range(0, len(words), 2000):
-            s = Spelling(words[at : at + 2000])
-            x = self._inputs(s, left_out=True)
-            for i in range(0, len(x), STEP):
-                xs, g, y = x[i : i + STEP], s.gate[i : i + STEP], s.outcome[i : i + STEP].astype(float)
-                mixed = np.clip((xs * self.weights[g]).sum(axis=1), -8, 8)
-                error = y - 1 / (1 + np.exp(-mixed))
-                step, n = np.zeros_like(self.weights), np.bincount(g, minlength=GATES)[:, None]
-                np.add.at(step, g, error[:, None] * xs)
-                self.weights += rate * step / np.sqrt(np.maximum(n, 1))
-                bucket = np.rint((mixed + 8) * (BUCKETS - 1) / 16).astype(int)
-                hits, ones = np.zeros_like(self.map), np.zeros_like(self.map)
-                np.add.at(hits, (g, bucket), 1)
-                np.add.at(ones, (g, bucket), y)
-                share = 1 - (1 - map_rate) ** hits
-                self.map += share * (ones / np.maximum(hits, 1) - self.map)
+            out[:, k] = self._logs[left_out][k, slots * 2 + s.outcome if left_out else slots]
+        return out
+
+    def sums(self, words: list[bytes]) -> np.ndarray:
+        """Per gate over all bits of the words: loss, gradient and curvature of the weights, and per place on the map bits and ones."""
+        n = len(ORDERS)
+        total = np.zeros((GATES, 1 + n + n * n + 2 * BUCKETS))
+        for piece in pieces(words):
+            s = Spelling(piece)
+            x, y = self._inputs(s, left_out=True), s.outcome.astype(float)
+            mixed = np.clip((x * self.weights[s.gate]).sum(axis=1), -8, 8)
+            p = 1 / (1 + np.exp(-mixed))
+            of_gate = lambda v: np.bincount(s.gate, v, minlength=GATES)
+            total[:, 0] += of_gate(-np.log(np.where(s.outcome, p, 1 - p)))
+            error, spread = y - p, p * (1 - p)
+            for i in range(n):
+                total[:, 1 + i] += of_gate(error * x[:, i])
+                slope = spread * x[:, i]
+                for j in range(i + 1):
+                    h = of_gate(slope * x[:, j])
+                    total[:, 1 + n + i * n + j] += h
+                    if i != j:
+                        total[:, 1 + n + j * n + i] += h
+            place = s.gate * BUCKETS + np.rint((mixed + 8) * (BUCKETS - 1) / 16).astype(int)
+            for k, v in ((2, None), (1, y)):
+                total[:, total.shape[1] - k * BUCKETS : total.shape[1] - (k - 1) * BUCKETS] += np.bincount(place, v, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
+        return total
+
+    def step(self, total: np.ndarray) -> None:
+        """Keep each gate's weights and map if they are its best so far, and try those of the next Newton step, or, if they are not, those halfway back."""
+        n = len(ORDERS)
+        off = self.weights - self.start
+        loss = total[:, 0] + PULL / 2 * (off**2).sum(axis=1)
+        hits, ones = total[:, -2 * BUCKETS : -BUCKETS], total[:, -BUCKETS:]
+        mapped = (ones + MAP_PULL * self.even) / (hits + MAP_PULL)
+        better = loss < self.best[0]
+        kept = np.where(better[:, None], self.weights, self.best[1])
+        self.best = (np.where(better, loss, self.best[0]), kept, np.where(better[:, None], mapped, self.best[2]))
+        curve = total[:, 1 + n : 1 + n + n * n].reshape(GATES, n, n) + PULL * np.eye(n)
+        newton = self.weights + np.linalg.solve(curve, (total[:, 1 : 1 + n] - PULL * off)[..., None])[..., 0]
+        # rounded, so that the order in which tasks are summed does not show
+        self.weights = np.round(np.where(better[:, None], newton, (self.weights + kept) / 2), 6)
+
+    def settle(self) -> None:
+        _, self.weights, self.map = self.best
+
+    def learn(self, words: list[bytes], passes: int = PASSES) -> None:
+        """Weights and map from all the words."""
+        for _ in range(passes):
+            self.step(self.sums(words))
+        self.settle()
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         """log10 of the probability of each word form, its closing blank included."""
@@ -181,6 +230,25 @@ def context_counts(vocabulary: DataFrame) -> np.ndarray:
     return counts.reshape(len(ORDERS), 1 << TABLE_BITS, 2)
 
 
+def learn_all(vocabulary: DataFrame, mixer: Mixer, passes: int = PASSES) -> None:
+    """Mixer.learn from all training words, each distinct word once: tasks sum over their words, Spark over the tasks."""
+    taught = vocabulary.filter("exists(c, x -> x > 0)").select("word")
+    for _ in range(passes):
+        sent = vocabulary.sparkSession.sparkContext.broadcast(mixer)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            total = sum(sent.value.sums(batch.column("word").to_pylist()) for batch in batches)
+            flat = np.ravel(total)
+            used = np.nonzero(flat)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used].astype(float))], names=["place", "v"])
+
+        got = taught.mapInArrow(run, "place bigint, v double").groupBy("place").agg(F.sum("v").alias("v")).toArrow()
+        total = np.zeros((GATES, 1 + len(ORDERS) + len(ORDERS) ** 2 + 2 * BUCKETS))
+        total.ravel()[got.column("place").to_numpy()] = got.column("v").to_numpy()
+        mixer.step(total)
+    mixer.settle()
+
+
 def spell(vocabulary: DataFrame, mixer: Mixer) -> DataFrame:
     """h (64-bit hash of the word), word, c and spelled, the log10 probability of each word form."""
     sent = vocabulary.sparkSession.sparkContext.broadcast(mixer)
@@ -237,9 +305,7 @@ def score_texts(docs: DataFrame, classes: str | None = "lang", head: int = HEAD)
     base_of = lambda c: np.log10((c + 0.1) / below)
 
     mixer = Mixer(context_counts(words))
-    short = words.filter(F.expr("exists(c, x -> x > 0)") & (F.octet_length("word") <= LONGEST)).select("word")
-    sample = [r["word"] for r in hashed_share(short, "word", totals["types"], SAMPLE).collect()]
-    mixer.learn(sorted(sample, key=xxhash.xxh3_64_intdigest))
+    learn_all(words, mixer)
     spelled = stored(spell(words, mixer), "lm-spelled")
 
     # each word leaves its discount to words that its class has not seen, which are spelled; those and the end have one token more than counted

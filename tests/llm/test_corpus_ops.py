@@ -256,6 +256,20 @@ def test_spelling_is_a_distribution():
     assert 0 < sum(s) <= 1 + 1e-9
 
 
+def test_mixer_learns_from_all_words(spark):
+    rng = random.Random(8)
+    names = sorted({"".join(rng.choice("abcdefgh") for _ in range(6)).encode() for _ in range(25_000)} | {b"z" * 100})
+    rows = spark.createDataFrame([(w, [1, 0]) for w in names] + [(b"never taught", [0, 0])], "word binary, c array<bigint>").repartition(5)
+    counts = lm.context_counts(rows)
+    here, there = lm.Mixer(counts), lm.Mixer(counts)
+    here.learn(names)
+    lm.learn_all(rows, there)
+    assert np.allclose(here.weights, there.weights, atol=1e-5) and np.allclose(here.map, there.map, atol=1e-3)
+    # every bit of every word is counted, those of words over 64 bytes too
+    assert there.sums(names)[:, -2 * lm.BUCKETS : -lm.BUCKETS].sum() == 8 * sum(len(w) + 1 for w in names)
+    assert there.sums(names)[:, 0].sum() < lm.Mixer(counts).sums(names)[:, 0].sum()
+
+
 def test_most_frequent_words_are_cut_at_a_count(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate([1] * 50 + [2] * 20 + [5] * 10 + [40] * 5 + [1000])], "h int, whole bigint")
     for most, want in ((0, 0), (1, 1), (5, 1), (6, 6), (20, 16), (86, 86), (10**6, 86)):
