@@ -2,19 +2,22 @@
 
 Terms are the words and word beginnings that labelled training texts tie to the
 toxic class; document frequencies are those of all documents. A text's nearest
-examples vote by distance, and are its evidence.
+examples vote by distance, and are its evidence. Copies and near copies of examples
+are found by the cosine over all words, with or without such terms, and vote first.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +30,13 @@ BEGINNINGS = (4, 5, 6)
 #: Weight of a component that every vector has, in units of one term of idf 1: it keeps a
 #: text with one weak term apart from one with many, which the angle alone would not.
 BACKGROUND = 12.0
+#: Least cosine over all words at which an example counts as a near copy.
+NEAR = 0.9
 #: Words that a worker remembers.
 REMEMBERED = 300_000
-OUT = "held_out boolean, score double, predicted int, evidence array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
+EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
+OUT = f"held_out boolean, score double, predicted int, evidence {EVIDENCE}"
+ITEM = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
 
 def words(text: str | None) -> list[str]:
@@ -88,20 +95,116 @@ def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, leas
     return [r["term"] for r in kept.orderBy(F.desc("lr"), "term").limit(most).collect()]
 
 
-def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, text_hash, and numbers and counts of the terms in each whole text; empty arrays where there are none."""
+def word_hash(word: str) -> int:
+    h = xxhash.xxh3_64_intdigest(word)
+    return h - (1 << 64) if h >> 63 else h
+
+
+class CopyIndex:
+    """Unit TF-IDF vectors of examples over all their words, for the examples within a cosine of NEAR.
+
+    Words are 64-bit hashes; document frequencies are those of the examples, so words of
+    no example weigh most. Of each example only its rarest words are posted, as many as
+    leave less than NEAR to the others: a text that shares none of them is not near.
+    """
+
+    def __init__(self, about: list[tuple[int, int, int]], sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray, kinds: list[tuple[int, ...]] | None = None):
+        self.about, self.kinds, n = about, kinds, len(about)
+        self.vocabulary, ids, df = np.unique(hashes, return_inverse=True, return_counts=True)
+        self.idf = np.append(np.log((1 + n) / (1 + df)), math.log(1 + n)) + 1
+        entry = np.repeat(np.arange(n), sizes)
+        order = np.lexsort((ids, df[ids], entry))
+        self.ids, w = ids[order], ((1 + np.log(counts)) * self.idf[ids])[order]
+        w /= np.sqrt(np.bincount(entry, w * w, minlength=n))[entry]
+        self.weights, self.edges = w, np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+        # what is left of an example's squared length from each word on
+        before = np.cumsum(w * w) - w * w
+        left = 1 - (before - before[self.edges[:-1]][entry]) if n else w
+        posted = np.sqrt(np.maximum(left, 0)) >= NEAR - 1e-6
+        self.rest = np.sqrt(np.maximum(1 - np.bincount(entry[posted], (w * w)[posted], minlength=n), 0))
+        at = np.nonzero(posted)[0][np.argsort(self.ids[posted], kind="stable")]
+        self.posted, self.posted_weight = entry[at], w[at]
+        self.starts = np.searchsorted(self.ids[at], np.arange(len(self.vocabulary) + 2))
+        self.dense = np.zeros(len(self.vocabulary) + 1)
+
+    def number(self, word: str) -> int:
+        h = word_hash(word)
+        i = int(np.searchsorted(self.vocabulary, h))
+        return i if i < len(self.vocabulary) and self.vocabulary[i] == h else len(self.vocabulary)
+
+    def near(self, numbers: list[int], counts: list[int], k: int, kind: tuple[int, ...] | None = None) -> list[tuple[float, int]]:
+        """The k examples of highest cosine, of those from NEAR on and of the kind if one is given, exactly; ties to the smaller number."""
+        ids = np.array(numbers, dtype=int)
+        lengths = self.starts[ids + 1] - self.starts[ids]
+        if not lengths.any():
+            return []
+        q = (1 + np.log(counts)) * self.idf[ids]
+        q /= math.sqrt(q @ q)
+        at = np.repeat(self.starts[ids] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        met, which = np.unique(self.posted[at], return_inverse=True)
+        some = np.bincount(which, self.posted_weight[at] * np.repeat(q, lengths))
+        known = ids < len(self.vocabulary)
+        self.dense[ids[known]] = q[known]
+        found = []
+        for e in met[some + self.rest[met] >= NEAR - 1e-6]:
+            if kind is not None and self.kinds[e] != kind:
+                continue
+            span = slice(self.edges[e], self.edges[e + 1])
+            if (cosine := float(self.weights[span] @ self.dense[self.ids[span]])) >= NEAR:
+                found.append((-round(min(cosine, 1.0), 12), int(e)))
+        self.dense[ids[known]] = 0
+        return [(-c, e) for c, e in sorted(found)[:k]]
+
+
+def copy_index_rows(examples: DataFrame, terms: list[str]) -> tuple:
+    """What CopyIndex is made of, from examples(doc_id, text, toxic); equal texts are one entry that counts for all of them. Its kind is which terms it has."""
     number = {t: i for i, t in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = held(("toxicity", *terms), lambda: Remembered(lambda word: tuple(number[t] for t in terms_of(word) if t in number), REMEMBERED))
         for batch in batches:
-            got = [Counter(chain.from_iterable(filter(None, map(known.__getitem__, words(t))))) for t in batch.column("text").to_pylist()]
+            got = [Counter(words(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array([sorted(g) for g in got], pa.list_(pa.int32())), pa.array([[g[t] for t in sorted(g)] for g in got], pa.list_(pa.int32()))],
-                names=["doc_id", "text_hash", "terms", "counts"])
+                [*(batch.column(c) for c in ("doc_id", "toxic", "clean")), pa.array([[word_hash(w) for w in g] for g in got], pa.list_(pa.int64())), pa.array([list(g.values()) for g in got], pa.list_(pa.int32())),
+                 pa.array([sorted({number[t] for w in g for t in terms_of(w) if t in number}) for g in got], pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "clean", "hashes", "counts", "kind"])
+
+    once = examples.filter("text IS NOT NULL").groupBy(F.xxhash64("text"), F.length("text")).agg(
+        F.min("doc_id").cast("long").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("text").alias("text"))
+    got = once.select("doc_id", "toxic", "clean", "text").mapInArrow(run, "doc_id bigint, toxic bigint, clean bigint, hashes array<bigint>, counts array<int>, kind array<int>").filter(F.size("hashes") > 0).toArrow().combine_chunks().sort_by("doc_id")
+    about = list(zip(*(got.column(c).to_pylist() for c in ("doc_id", "toxic", "clean")), strict=True))
+    flat = lambda c: got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return about, np.array([len(x) for x in got.column("hashes")], dtype=int), flat("hashes"), flat("counts"), [tuple(x) for x in got.column("kind").to_pylist()]
+
+
+def term_vectors(docs: DataFrame, terms: list[str], copies: tuple, k: int) -> DataFrame:
+    """doc_id, text_hash, numbers and counts of the terms in each whole text, and its k nearest near copies; empty arrays where there are none."""
+    number = {t: i for i, t in enumerate(terms)}
+    sent, mark = docs.sparkSession.sparkContext.broadcast(copies), uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def make() -> tuple[CopyIndex, Remembered]:
+            index = CopyIndex(*sent.value)
+            return index, Remembered(lambda word: (index.number(word), [number[t] for t in terms_of(word) if t in number]), REMEMBERED)
+
+        index, known = held(("toxicity", mark, *terms), make)
+        for batch in batches:
+            got, near = [], []
+            for text in batch.column("text").to_pylist():
+                said = Counter(words(text))
+                found = [known[w] for w in said]
+                g: Counter = Counter()
+                for (_, ts), c in zip(found, said.values(), strict=True):
+                    for t in ts:
+                        g[t] += c
+                got.append(g)
+                close = index.near([i for i, _ in found], list(said.values()), k, tuple(sorted(g))) if said and index.about else []
+                near.append([dict(zip(("doc_id", "toxic", "clean"), index.about[e], strict=True)) | {"similarity": c} for c, e in close])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array([sorted(g) for g in got], pa.list_(pa.int32())), pa.array([[g[t] for t in sorted(g)] for g in got], pa.list_(pa.int32())), pa.array(near, pa.list_(ITEM))],
+                names=["doc_id", "text_hash", "terms", "counts", "near"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, terms array<int>, counts array<int>")
+    return rows.mapInArrow(run, f"doc_id bigint, text_hash bigint, terms array<int>, counts array<int>, near {EVIDENCE}")
 
 
 class BlockMaxIndex:
@@ -152,13 +255,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     is broadcast); document frequencies count all of docs. score is the vote of the k
     nearest distinct examples, each weighted by 1 / (distance + 0.05), with one weak vote
     for the class share. A text without any term (also null or empty text) scores the
-    share of toxic examples among those without terms. Without labels every score is 0.
+    share of toxic examples among those without terms. Where examples are near copies by the
+    cosine over all words (at least NEAR, the k nearest) and have the same terms, they vote with the same weights,
+    and the score by terms is one weak vote besides; they come first in evidence. Without labels every score is 0.
     Repeated rows score alike.
     """
     sample = stored(sample_labels(labels, per_class), "tox-sample")
     examples = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     terms = choose_terms(examples, max_terms)
-    vectors = stored(term_vectors(docs, terms), "tox-vectors")
+    vectors = stored(term_vectors(docs, terms, copy_index_rows(examples, terms), k), "tox-vectors")
     df = {r["t"]: r["n"] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
     n_docs = vectors.count()
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))])
@@ -191,15 +296,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
 
         votes = Remembered(vote, REMEMBERED // 20)
 
-        item = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int64()), ("clean", pa.int64())])
+        def with_copies(by_terms: tuple[float, list[dict]], near: list[dict]) -> tuple[float, list[dict]]:
+            score, evidence = by_terms
+            weights = [1 / (1 - x["similarity"] + 0.05) for x in near]
+            said = sum(w * x["toxic"] / (x["toxic"] + x["clean"]) for w, x in zip(weights, near, strict=True))
+            ids = {x["doc_id"] for x in near}
+            return (score + said) / (1 + sum(weights)), [*near, *(x for x in evidence if x["doc_id"] not in ids)]
+
         for batch in batches:
-            got = [votes[tuple(t), tuple(c)] for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            got = [with_copies(votes[tuple(t), tuple(c)], x) for t, c, x in zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "near")), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array([g[0] for g in got], pa.float64()), pa.array([int(g[0] >= 0.5) for g in got], pa.int32()),
-                 pa.array([g[1] for g in got], pa.list_(item))],
+                 pa.array([g[1] for g in got], pa.list_(ITEM))],
                 names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
-    return vectors.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "terms", "counts").mapInArrow(run, f"doc_id bigint, text_hash bigint, {OUT}")
+    return vectors.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "terms", "counts", "near").mapInArrow(run, f"doc_id bigint, text_hash bigint, {OUT}")
 
 
 def reject_toxic(docs: DataFrame, scored: DataFrame) -> DataFrame:

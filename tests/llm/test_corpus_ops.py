@@ -340,6 +340,42 @@ def test_toxic_texts_are_found(spark):
     assert kept.columns == df.columns and kept.count() == len(rows) - 52
 
 
+def test_copies_of_toxic_examples_are_found_without_terms(spark):
+    rng = random.Random(4)
+    text = lambda: [f"w{rng.randrange(3000)}" for _ in range(60)]
+    taught = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    texts = {i: text() for i in taught}
+    bad, good = taught[7], taught[8]
+    new = [(1001, texts[bad]), (1002, texts[bad][::-1]), (1003, [*texts[bad][:-2], "other", "words"]), (1004, texts[good]), (1005, text())]
+    df = docs(spark, [(i, " ".join(t), "s") for i, t in [*texts.items(), *new]])
+    labels = spark.createDataFrame([(i, int(i == bad)) for i in taught], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(df, labels).collect()}
+    assert [got[i]["predicted"] for i in (bad, 1001, 1002, 1003, 1004, 1005)] == [1, 1, 1, 1, 0, 0]
+    assert [(x["doc_id"], round(x["similarity"], 6)) for x in got[1002]["evidence"]] == [(bad, 1.0)] and not got[1005]["evidence"]
+
+
+def test_near_copies_equal_brute_force():
+    rng = np.random.default_rng(2)
+    bags = [collections.Counter(rng.integers(0, 40, 60).tolist()) for _ in range(150)]
+    arrays = np.array([len(b) for b in bags]), np.array([toxicity.word_hash(str(w)) for b in bags for w in b]), np.array([c for b in bags for c in b.values()])
+    index = toxicity.CopyIndex([(i, 1, 0) for i in range(150)], *arrays)
+    df = collections.Counter(w for b in bags for w in b)
+
+    def unit(b):
+        v = {w: (1 + math.log(c)) * (math.log(151 / (1 + df[w])) + 1) for w, c in b.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    units, some = [unit(b) for b in bags], 0
+    for q in (bags[k] + collections.Counter(rng.integers(0, 45, 6).tolist()) for k in range(30)):
+        u = unit(q)
+        want = sorted((-c, i) for i, v in enumerate(units) if (c := sum(x * v.get(w, 0) for w, x in u.items())) >= toxicity.NEAR)
+        got = index.near([index.number(str(w)) for w in q], list(q.values()), 150)
+        assert [i for _, i in want] == [i for _, i in got] and np.allclose([-c for c, _ in want], [c for c, _ in got])
+        some += len(got)
+    assert some >= 10
+
+
 def test_toxicity_without_labels_or_texts(spark):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     got = toxicity.score_toxicity(docs(spark, [(1, "a", "s")]), labels).first()
