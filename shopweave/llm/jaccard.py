@@ -440,3 +440,16 @@ def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of docs(doc_id, text), all columns, of each component: that of the smallest doc_id, null last.
+
+    Rows are compared, not ids: rows that repeat a doc_id or have none are copies if their
+    texts are, and rows that share a doc_id with other texts stay. Rows without shingles stay.
+    """
+    rows = stored(docs.withColumn("jac_row", F.monotonically_increasing_id()), "jac-rows")
+    found = jaccard_components(rows.select(F.col("jac_row").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("jac_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "jac_row")
+    kept = rows.join(found, "jac_row").groupBy("component_id").agg(F.min_by("jac_row", order).alias("jac_row")).select("jac_row")
+    return rows.join(kept, "jac_row", "left_semi").select(*docs.columns)

@@ -85,6 +85,13 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in jaccard.keep_one(df, jaccard.jaccard_components(df)).collect() if r["doc_id"]) == [2, 7, 9]
 
 
+def test_one_row_of_each_group_stays(spark):
+    same = "a b c d e f"
+    df = docs(spark, [(5, same, "x"), (2, same, "x"), (2, same, "x"), (2, "quite another text that nobody has", "x"), (None, same, "x"), (None, "no id", "x"), (None, "no id", "x"), (7, None, "x"), (5, "only here", "x")])
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect())
+    assert got == collections.Counter([(2, same), (2, "quite another text that nobody has"), (None, "no id"), (7, None), (5, "only here")])
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(5)
     for percent in (80, 90):
