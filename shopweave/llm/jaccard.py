@@ -1,14 +1,16 @@
 """N-gram Jaccard join: exact links and components of documents by their sets of word shingles.
 
-Jaccard distance is a metric, so pivots and the triangle inequality can bound where a
+Jaccard distance is a metric, so pivots and the triangle inequality bound where a
 document's partners lie. Shingle sets of unrelated texts are all at distance 1 from each
-other, though, and there every window holds everything. So the first level cuts
-space in another exact way: two sets within reach differ in at most D shingles, so when
-shingle space is cut into more than D parts by hash, some part holds the same shingles of both.
-Sets that share such a part are joined into a region; no link leaves a region.
-Inside a region the distances differ, and regions that are too large for a task are
-split: documents go to the Voronoi cell of their nearest pivot and, if they may have a
-partner beyond the border, to the neighbour's cell too, again and again.
+other, though, and windows around a distance of 1 hold everything. So the first level
+gathers sets by keys that any two linked sets have in common: one of the rarest shingles
+of short sets, one of many hashed parts of longer ones. Sets that share a key are one
+region; no link leaves a region.
+Inside a region every set gets a pivot within reach: the first set without one becomes a
+pivot, is measured against all sets, and is linked to those in reach, which are its Voronoi
+cell. Near copies so cost one distance each. A set at the border of a cell of another
+component visits that cell, and there meets the sets that the distances to all pivots allow.
+Regions that are too large for a task do the same in chunks, with some pivots at a time.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
@@ -26,11 +28,13 @@ from .shared import Remembered, held, most_frequent, stored
 
 #: Words that a worker remembers the hashes of.
 REMEMBERED = 300_000
-#: Shingles of all members above which a region is split; bounds the memory of a task.
-REGION = 2_000_000
-#: Pivots of a split, and how often cells are split again before they are cut into blocks.
-PIVOTS, DEPTH = 16, 3
-#: Sizes grow by this from one size class to the next.
+#: Shingles and sets above which a region is joined in chunks; bounds the memory and rows of a task.
+REGION, CROWD = 2_000_000, 128
+#: Pivots that a large region gets at a time, and how often it gets more.
+PIVOTS, ROUNDS = 16, 4
+#: Sets of fewer shingles are gathered by their rarest shingles, others by hashed parts.
+SHORT = 64
+#: Sizes of longer sets grow by this from one size class to the next.
 GROWTH = 1.5
 #: Most shingles that are called common, and how many a task counts at a time.
 COMMON, WINDOW = 200_000, 4_000_000
@@ -80,8 +84,8 @@ class Reach:
         return (100 - self.t) * total // (100 + self.t)
 
     def classes(self, n: int) -> list[tuple[int, int, int]]:
-        """The size classes in which a set of n members looks for partners: number, parts, parts to be compared."""
-        hi, c = 8, 0
+        """The size classes in which a set of n members, SHORT at least, looks for partners: number, parts, parts to be compared."""
+        hi, c = int(np.ceil(SHORT * GROWTH)), 0
         while n >= hi:
             hi, c = int(np.ceil(hi * GROWTH)), c + 1
         out = [self._parts(c, hi)]
@@ -91,34 +95,39 @@ class Reach:
 
     def _parts(self, c: int, hi: int) -> tuple[int, int, int]:
         most = self.differing(2 * (hi - 1))
-        return c, most + 1 + -(-most // 4), most + 1
+        return c, most + 9 + most // 4, most + 1
 
     def linked(self, both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * both >= self.t * (a + b - both)
 
     def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """One key for each part of the set s to be compared.
+        """Keys of the set s, of which it shares one with every other set that it is linked to.
 
-        Of the parts, as many as are spare are left out, those with the fewest shingles
-        that are not common first. Linked sets agree in one more part than that, so the
-        last of these in this order has that many below it in both and is left out by
+        Of a pair with a short set, each has as many of its rarest shingles as may differ
+        and one more. Longer ones have a key for each part to be compared. Of the parts, as many as are spare are left
+        out, those with the fewest shingles that are not common first, which spares empty parts. Linked sets agree in
+        one more part than that, so the last of these in this order has that many below it in both and is left out by
         neither. Which shingles are called common changes the work, not the result.
         """
+        n = len(s)
+        if not n or not self.differing(n + 100 * n // self.t):
+            return np.empty(0, dtype=np.int64)  # linked to equal sets only, and those are one class already
+        frequent = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(n, dtype=bool)
         found = []
-        at = np.searchsorted(common, s)
-        rare = np.concatenate([[0], np.cumsum(common[np.minimum(at, len(common) - 1)] != s if len(common) else np.ones(len(s), dtype=bool))])
-        for c, parts, compared in self.classes(len(s)):
-            if compared == 1:
-                continue  # only equal sets are linked here, and those are one class already
+        least = -(-self.t * n // 100)
+        if least < SHORT:
+            found.append(_mix(s[np.lexsort((s, frequent))[: n - least + 1]] * _M1))
+        rare = np.concatenate([[0], np.cumsum(~frequent)])
+        for c, parts, compared in self.classes(n) if n >= SHORT else ():
             part = ((s >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             starts = np.searchsorted(part, np.arange(parts + 1))
             sizes = np.diff(starts)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(s * _M1), dtype=np.uint64)])
             content = sums[starts[1:]] - sums[starts[:-1]]
-            order = ((rare[starts[1:]] - rare[starts[:-1]]) * (len(s) + 1) + sizes) * parts + np.arange(parts)
+            order = ((rare[starts[1:]] - rare[starts[:-1]]) * (n + 1) + sizes) * parts + np.arange(parts)
             take = np.argpartition(order, parts - compared)[parts - compared :]
             found.append(_mix(content[take] + _mix(take.astype(np.uint64) * _M1 + np.uint64(c + 1))))
-        return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
+        return np.concatenate(found).view(np.int64)
 
 
 def fingerprint(s: np.ndarray) -> int | None:
@@ -220,63 +229,67 @@ def shared_parts(marked: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-class Region:
-    """Sets that one task joins with each other."""
+class Sets:
+    """Sets of shingles, for distances from one of them or from another set to many."""
 
     def __init__(self, sets: list[np.ndarray], reach: Reach):
-        self.reach, self.forest = reach, Forest()
+        self.reach = reach
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        flat = np.concatenate(sets)
-        # shingles renumbered from the rarest to the commonest in this region
-        _, number, count = np.unique(flat, return_inverse=True, return_counts=True)
-        rank = np.empty(len(count), dtype=np.int64)
-        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
-        ends = np.cumsum(self.sizes)[:-1]
-        self.sets = [np.sort(x) for x in np.split(rank[number.ravel()], ends)]
-
-    def overlap(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Size of what set i shares with each of the others."""
-        own = self.sets[i]
-        flat = np.concatenate([self.sets[j] for j in others])
-        at = np.searchsorted(own, flat)
-        hit = own[np.minimum(at, len(own) - 1)] == flat
-        return np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(self.sizes[others])[:-1]]))
-
-    def compare(self, i: int, others: np.ndarray) -> None:
-        """Link i to those of the others within reach that are not yet in its component."""
-        root = self.forest.root(i)
-        others = np.array([j for j in others if self.forest.root(j) != root], dtype=np.int64)
-        a, b = self.sizes[i], self.sizes[others]
-        others = others[(100 * np.minimum(a, b) >= self.reach.t * np.maximum(a, b))]
-        if len(others):
-            for j in others[self.reach.linked(self.overlap(i, others), a, self.sizes[others])]:
-                self.forest.join(i, int(j))
-
-    def all_pairs(self, members: np.ndarray) -> None:
-        """Linked sets share one of their rarest shingles, as many as may differ and one more."""
-        lists: dict[int, list[int]] = {}
-        for i in members[np.argsort(self.sizes[members], kind="stable")].tolist():
-            n = int(self.sizes[i])
-            prefix = self.sets[i][: n - -(-self.reach.t * n // 100) + 1].tolist()
-            near = {j for x in prefix for j in lists.get(x, ())}
-            if near:
-                self.compare(i, np.fromiter(near, dtype=np.int64))
-            for x in prefix:
-                lists.setdefault(x, []).append(i)
-
-    def join(self, members: np.ndarray, depth: int = 0) -> None:
-        """Split by pivots until cells are small, then compare."""
-        if len(members) <= 64 or depth == DEPTH:
-            return self.all_pairs(members)
-        pivots = members[np.linspace(0, len(members) - 1, PIVOTS).astype(np.int64)]
-        both = np.stack([self.overlap(int(p), members) for p in pivots], axis=1)
-        away = 1 - both / (self.sizes[members][:, None] + self.sizes[pivots][None, :] - both)
-        cells = voronoi(away, self.reach.radius)
-        if cells.sum() > 2 * len(members):  # the windows hold too much for a split to pay
-            return self.all_pairs(members)
-        for c in range(len(pivots)):
-            if cells[:, c].any():
-                self.join(members[cells[:, c]], depth + 1)
+        self.known, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.ends = np.cumsum(self.sizes)
+        self.mark = np.zeros(len(self.known), dtype=np.uint8)
+
+    def own(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def shared(self, numbers: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
+        """Size of what the shingles of these numbers share with each set, or each of the others."""
+        self.mark[numbers] = 1
+        if others is None:
+            hit, sizes = self.mark[self.flat], self.sizes
+        else:
+            hit, sizes = self.mark[np.concatenate([self.own(j) for j in others])], self.sizes[others]
+        self.mark[numbers] = 0
+        return np.add.reduceat(hit, np.cumsum(sizes) - sizes, dtype=np.int64)
+
+    def numbers(self, s: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
+        return at[self.known[at] == s]
+
+    def away(self, size: int, both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of all sets to one of the given size, and whether they are in reach."""
+        return 1 - both / (self.sizes + size - both), self.reach.linked(both, self.sizes, size)
+
+
+class Region(Sets):
+    """Sets that one task joins with each other; visits counts how often a set looked into another cell."""
+
+    def __init__(self, sets: list[np.ndarray], reach: Reach):
+        super().__init__(sets, reach)
+        self.forest, self.visits, self.pivots = Forest(), 0, []
+
+    def join(self) -> None:
+        n = len(self.sizes)
+        free, rows = np.ones(n, dtype=bool), []
+        for p in range(n):
+            if free[p]:
+                away, near = self.away(self.sizes[p], self.shared(self.own(p)))
+                for j in np.nonzero(near)[0].tolist():
+                    self.forest.join(p, j)
+                free &= ~near
+                self.pivots.append(p)
+                rows.append(away)
+        away = np.array(rows)
+        cells, own = voronoi(away.T, self.reach.radius), away.argmin(axis=0)
+        for c, p in enumerate(self.pivots):
+            visitors = np.nonzero(cells[:, c] & (own != c))[0]
+            inside = np.nonzero(own == c)[0] if len(visitors) else ()
+            for i in visitors.tolist():
+                if self.forest.root(i) != self.forest.root(p):  # all inside are linked to p
+                    self.visits += 1
+                    fit = inside[allowed(away[:, inside], away[:, [i]], self.reach.radius)]
+                    if len(fit) and self.reach.linked(self.shared(self.own(i), fit), self.sizes[fit], self.sizes[i]).any():
+                        self.forest.join(i, p)
 
 
 def voronoi(away: np.ndarray, radius: float) -> np.ndarray:
@@ -289,85 +302,112 @@ def voronoi(away: np.ndarray, radius: float) -> np.ndarray:
     return away <= away.min(axis=1, keepdims=True) + 2 * radius + 1e-9
 
 
-def _join_sets(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Each linked set and the one that stands for its component."""
-    fps, seen, sets = [], set(), []
-    for fp, blob in zip(table.column("fp").to_pylist(), table.column("hashes").to_pylist(), strict=True):
-        if fp not in seen:
-            seen.add(fp)
-            fps.append(fp)
-            sets.append(np.frombuffer(blob, dtype=np.uint64))
-    if len(fps) < 2:
-        return []
-    region = Region(sets, Reach(percent))
-    region.join(np.arange(len(fps)))
-    return [(fps[i], fps[r]) for i in range(len(fps)) if (r := region.forest.root(i)) != i]
+def allowed(a: np.ndarray, b: np.ndarray, radius: float) -> np.ndarray:
+    """Which of the columns, distances to the same pivots, differ nowhere by more than the radius: others are out of reach by the triangle inequality."""
+    return (np.abs(a - b) <= radius + 1e-9).all(axis=0)
+
+
+def _sets(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(h, dtype=np.uint64) for h in table.column("hashes").to_pylist()]
+
+
+_EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def join_regions(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: edges that connect what links connect among sets(region, fp, hashes), region by region, in one task each."""
-    edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        links = _join_sets(table, percent)
-        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=edge)
+        fps, region = table.column("fp").to_pylist(), Region(_sets(table), Reach(percent))
+        region.join()
+        links = [(fps[i], fps[r]) for i in range(len(fps)) if (r := region.forest.root(i)) != i]
+        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=_EDGE)
 
     return sets.groupBy("region").applyInArrow(run, "a bigint, b bigint")
 
 
-def split_regions(sets: DataFrame, percent: int, largest: int = REGION) -> DataFrame:
-    """sets(region, fp, n, hashes) with regions whose sets have more than largest shingles split, so that every linked pair still meets.
+def join_large(crowd: DataFrame, percent: int) -> DataFrame:
+    """a, b: the same for large regions of crowd(region, chunk, chunks, fp, n, hashes), in chunks.
 
-    A split sends each document to its Voronoi cell and the windows it lies in; both
-    are computed in chunks, to which only the pivots are copied. Where the windows hold
-    so much that a split doubles a region, and after DEPTH splits, a region is cut into blocks
-    by hash instead, of which every two meet.
+    In each of ROUNDS, PIVOTS sets without a pivot in reach become pivots and are measured
+    against all sets of their region, chunk by chunk. Then the sets outside of their region's largest
+    component, few if the region is a crowd of near copies, meet those sets of other
+    components that the distances to all pivots allow.
     """
     reach = Reach(percent)
-    done: list[DataFrame] = []
-    for depth in range(DEPTH + 1):
-        weights = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
-        large = stored(weights.filter(F.col("weight") > largest).withColumn("chunks", F.ceil(F.col("weight") / max(1, largest // 2)).cast("int")), "jac-large")
-        if large.isEmpty():
+    rounds: list[DataFrame] = []
+    for k in range(ROUNDS):
+        free = crowd
+        if rounds:
+            free = crowd.join(rounds[-1].filter("free").select("fp"), "fp", "left_semi")
+        number = F.pmod(F.xxhash64("fp", F.lit(k)), F.lit(PIVOTS)).cast("int")
+        pivots = free.groupBy("region", number.alias("pivot")).agg(F.min("fp").alias("fp")).select("fp", "pivot")
+        pivots = stored(crowd.join(pivots, "fp").select("region", "chunks", "fp", "hashes", "pivot"), "jac-pivots")
+        if pivots.isEmpty():
             break
-        done.append(sets.join(large.select("region"), "region", "left_anti"))
-        crowd = sets.join(large.select("region", "chunks"), "region").withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(depth)), F.col("chunks")).cast("int"))
-        cells = stored(_cells(crowd, reach, depth), "jac-cells")
-        sent = cells.groupBy("region").agg(F.count("*").alias("sent"))
-        split = large.join(sent, "region").filter(F.lit(depth < DEPTH) & (F.col("sent") <= 2 * F.col("members"))).select("region")
-        pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least("chunk", o).alias("i"), F.greatest("chunk", o).alias("j")))
-        cut = crowd.join(split, "region", "left_anti").withColumn("p", F.explode(pairs))
-        done.append(cut.select(F.xxhash64("region", "p.i", "p.j", F.lit(depth)).alias("region"), "fp", "n", "hashes"))
-        own = crowd.join(split, "region", "left_semi").drop("chunk", "chunks").join(cells, ["region", "fp"])
-        sets = stored(own.select(F.xxhash64("region", "cell", F.lit(depth)).alias("region"), "fp", "n", "hashes"), "jac-split")
-    for part in done:
-        sets = sets.unionByName(part)
-    return sets
-
-
-def _cells(crowd: DataFrame, reach: Reach, depth: int) -> DataFrame:
-    """region, fp, cell: the cells of PIVOTS members of each region that each of crowd(region, chunk, chunks, fp, hashes) belongs into."""
-    order = Window.partitionBy("region").orderBy(F.xxhash64("fp", F.lit(depth + 1)), "fp")
-    pivots = crowd.select("region", "chunks", "fp", "hashes").withColumn("pivot", F.row_number().over(order)).filter(F.col("pivot") <= PIVOTS)
-    pivots = stored(pivots.drop("fp"), "jac-pivots")
-    copies = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("region", "chunk", "pivot", "hashes")
-
-    def place(docs: pa.Table, around: pa.Table) -> pa.Table:
-        nos = around.column("pivot").to_pylist()
-        centres = [np.frombuffer(h, dtype=np.uint64) for h in around.column("hashes").to_pylist()]
-        sizes = np.array([len(c) for c in centres])
-        rows, cells = [], []
-        for k, h in enumerate(docs.column("hashes").to_pylist()):
-            s = np.frombuffer(h, dtype=np.uint64)
-            both = np.array([len(np.intersect1d(s, c, assume_unique=True)) for c in centres])
-            for c in np.nonzero(voronoi((1 - both / (len(s) + sizes - both))[None, :], reach.radius)[0])[0]:
-                rows.append(k)
-                cells.append(nos[c])
-        got = docs.select(["region", "fp"]).take(pa.array(rows, pa.int64()))
-        return got.append_column("cell", pa.array(cells, pa.int32()))
-
-    return (crowd.select("region", "chunk", "fp", "hashes").groupBy("region", "chunk").cogroup(copies.groupBy("region", "chunk"))
-            .applyInArrow(place, "region bigint, fp bigint, cell int"))
+        copies = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("region", "chunk", "pivot", F.col("fp").alias("pivot_fp"), "hashes")
+        both = crowd if not rounds else crowd.join(rounds[-1].select("fp", "free"), "fp")
+        rows = both.select("region", "chunk", "fp", "hashes", (F.col("free") if rounds else F.lit(True)).alias("free"))
+
+        def measure(docs: pa.Table, around: pa.Table) -> pa.Table:
+            if not docs.num_rows:
+                return pa.table([pa.array([], t) for t in _MEASURED.types], schema=_MEASURED)
+            around = around.sort_by("pivot")
+            sets, names = Sets(_sets(docs), reach), np.array(around.column("pivot_fp").to_pylist(), dtype=np.int64)
+            got = [sets.away(len(p), sets.shared(sets.numbers(p))) for p in _sets(around)]
+            away = np.array([a for a, _ in got]).reshape(len(got), docs.num_rows).T
+            near = np.array([x for _, x in got], dtype=bool).reshape(len(got), docs.num_rows).T
+            free = docs.column("free").to_numpy(zero_copy_only=False) & ~near.any(axis=1)
+            return pa.table([docs.column("region"), docs.column("fp"), pa.array(free), pa.array([names[x].tolist() for x in near], pa.list_(pa.int64())), pa.array(away.tolist(), pa.list_(pa.float64()))], schema=_MEASURED)
+
+        rounds.append(stored(rows.groupBy("region", "chunk").cogroup(copies.groupBy("region", "chunk")).applyInArrow(measure, "region bigint, fp bigint, free boolean, near array<bigint>, away array<double>"), "jac-measured"))
+    links = rounds[0].select("fp", "near")
+    away = rounds[0].select("fp", "away")
+    for more in rounds[1:]:
+        links = links.unionByName(more.select("fp", "near"))
+        away = away.join(more.select("fp", F.col("away").alias("more")), "fp").select("fp", F.concat("away", "more").alias("away"))
+    links = stored(links.select(F.col("fp").alias("a"), F.explode("near").alias("b")).filter("a <> b"), "jac-near")
+    roots = components(links)
+    who = crowd.select("region", "chunk", "chunks", "fp", "n").join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+    who = stored(who.join(away, "fp"), "jac-who")
+    sizes = who.groupBy("region", "root").agg(F.count("*").alias("members")).groupBy("region").agg(F.max_by("root", F.struct("members", "root")).alias("main"))
+    rest = who.join(sizes, "region").filter("root <> main").drop("main", "chunk")
+    slices = rest.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / CROWD), F.ceil(F.sum("n") / REGION)).cast("int").alias("slices"))
+    rest = rest.join(slices, "region").withColumn("slice", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("slices")).cast("int"))
+    rest = stored(rest.join(crowd.select("fp", "hashes"), "fp"), "jac-rest").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    there = who.join(slices, "region").join(crowd.select("fp", "hashes"), "fp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+
+    def meet(docs: pa.Table, others: pa.Table) -> pa.Table:
+        if not docs.num_rows or not others.num_rows:
+            return pa.table([pa.array([], t) for t in _EDGE.types], schema=_EDGE)
+        sets, found = Sets(_sets(others), reach), []
+        fps, roots_ = others.column("fp").to_numpy(), others.column("root").to_numpy()
+        far = np.array(others.column("away").to_pylist()).T
+        for fp, root, own, s in zip(docs.column("fp").to_pylist(), docs.column("root").to_pylist(), docs.column("away").to_pylist(), _sets(docs), strict=True):
+            fit = np.nonzero(allowed(far, np.array(own)[:, None], reach.radius) & (roots_ != root))[0]
+            if len(fit):
+                near = fit[reach.linked(sets.shared(sets.numbers(s), fit), sets.sizes[fit], len(s))]
+                found += [(fp, int(fps[j])) for j in near]
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=_EDGE)
+
+    keys, columns = ("region", "chunk", "slice"), ("fp", "root", "away", "hashes")
+    left, right = rest.select(*keys, *columns), there.select(*keys, *columns)
+    return links.unionByName(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "a bigint, b bigint"))
+
+
+_MEASURED = pa.schema([("region", pa.int64()), ("fp", pa.int64()), ("free", pa.bool_()), ("near", pa.list_(pa.int64())), ("away", pa.list_(pa.float64()))])
+
+
+def join_all(sets: DataFrame, percent: int, largest: int = REGION) -> DataFrame:
+    """a, b: edges that connect what links connect among sets(region, fp, n, hashes); large regions are those of more than largest shingles or CROWD sets."""
+    weights = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members")).filter((F.col("weight") > largest) | (F.col("members") > CROWD))
+    chunks = F.greatest(F.ceil(2 * F.col("weight") / largest), F.ceil(F.col("members") / CROWD)).cast("int")
+    large = stored(weights.select("region", chunks.alias("chunks")), "jac-large")
+    if large.isEmpty():
+        return join_regions(sets, percent)
+    small = sets.join(large.select("region"), "region", "left_anti")
+    crowd = sets.join(large, "region").dropDuplicates(["fp"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    return join_regions(small, percent).unionByName(join_large(stored(crowd, "jac-crowd"), percent))
 
 
 def _slot(doc_id: Column) -> Column:
@@ -391,14 +431,18 @@ def candidate_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, shingles = np.unpackbits(sent.value).astype(bool), held(("jaccard", words), lambda: Shingler(words))
+        given = Remembered(lambda row: False, REMEMBERED)
         for batch in batches:
             hit = np.nonzero(table[batch.column("slot").to_numpy()])[0]
             for at in range(0, len(hit), 512):
                 part = batch.take(pa.array(hit[at : at + 512]))
-                sets = [shingles(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["doc_id", "fp", "n", "hashes"])
+                rows = []
+                for i, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    s = shingles(t)
+                    if not given[row := (i, fingerprint(s))]:
+                        given[row] = True
+                        rows.append((*row, len(s), s.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "fp", "n", "hashes"])
 
     sets = rows.mapInArrow(run, "doc_id bigint, fp bigint, n bigint, hashes binary")
     return sets.join(members, ["doc_id", "fp"]).select("region", "fp", "n", "hashes")
@@ -423,8 +467,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, large
     regions = components(met).select(F.col("node").alias("fp"), F.col("root").alias("region"))
     members = stored(regions.join(classes, "fp").select("doc_id", "fp", "region"), "jac-members")
     one_each = candidate_sets(docs, members, words)
-    sets = split_regions(stored(one_each, "jac-sets"), percent, largest)
-    links = stored(join_regions(sets, percent), "jac-links")
+    links = stored(join_all(stored(one_each, "jac-sets"), percent, largest), "jac-links")
     tied = components(links).select(F.col("node").alias("fp"), "root").join(classes.select("fp", "least"), "fp")
     lowest = tied.groupBy("root").agg(F.min("least").alias("lowest"))
     named = classes.select("fp", "least").join(tied.select("fp", "root"), "fp", "left").join(lowest, "root", "left")
@@ -433,15 +476,6 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, large
             .select("doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of docs, all columns, whose document is the smallest of its component.
-
-    Rows that repeat a doc_id go or stay together; those with a null doc_id stay.
-    """
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
 def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of docs(doc_id, text), all columns, of each component: that of the smallest doc_id, null last.
 

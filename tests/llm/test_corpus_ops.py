@@ -80,11 +80,6 @@ def test_join_of_nothing_and_long_text(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3}
 
 
-def test_one_of_each_group_stays(spark):
-    df = docs(spark, [(5, "a b c d e f", "x"), (2, "a b c d e f", "x"), (9, "else", "x"), (None, "a b c d e f", "x"), (7, None, "x")])
-    assert sorted(r["doc_id"] for r in jaccard.keep_one(df, jaccard.jaccard_components(df)).collect() if r["doc_id"]) == [2, 7, 9]
-
-
 def test_one_row_of_each_group_stays(spark):
     same = "a b c d e f"
     df = docs(spark, [(5, same, "x"), (2, same, "x"), (2, same, "x"), (2, "quite another text that nobody has", "x"), (None, same, "x"), (None, "no id", "x"), (None, "no id", "x"), (7, None, "x"), (5, "only here", "x")])
@@ -96,7 +91,7 @@ def test_linked_sets_share_a_key():
     rng = np.random.default_rng(5)
     for percent in (80, 90):
         reach = jaccard.Reach(percent)
-        for n in (8, 11, 20, 27, 60, 200):
+        for n in (4, 5, 8, 11, 20, 27, 55, 60, 63, 64, 70, 96, 200):
             for _ in range(30):
                 a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
                 gone = rng.integers(0, max(1, n * (100 - percent) // 100) + 1)
@@ -107,6 +102,52 @@ def test_linked_sets_share_a_key():
                     assert set(reach.keys(a, common)) & set(reach.keys(b, common)) and set(reach.keys(a, a[:0])) & set(reach.keys(b, a[:0]))
 
 
+def test_unrelated_short_sets_share_no_region():
+    rng = np.random.default_rng(6)
+    for percent in (80, 90):
+        reach = jaccard.Reach(percent)
+        for n in (*range(1, 8), 9, 18, 63, 64, 100):
+            keys = np.concatenate([reach.keys(np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)), np.empty(0, np.uint64)) for _ in range(20_000 if n < 8 else 3_000)])
+            assert len(keys) == 0 or np.unique(keys, return_counts=True)[1].max() <= 3
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_cells_and_windows_link_what_brute_force_links(percent):
+    rng, reach = np.random.default_rng(percent), jaccard.Reach(percent)
+    visits = pivots = 0
+    for _ in range(30):
+        base = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(3)]
+        sets = [np.unique(np.concatenate([rng.permutation(base[rng.integers(3)])[rng.integers(0, 9) :], rng.integers(0, 1 << 63, rng.integers(0, 9), dtype=np.uint64)])) for _ in range(50)]
+        region, plain = jaccard.Region(sets, reach), components.Forest()
+        region.join()
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                if 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                    plain.join(i, j)
+        assert [region.forest.root(i) for i in range(50)] == [plain.root(i) for i in range(50)]
+        visits, pivots = visits + region.visits, pivots + len(region.pivots)
+    assert visits > 100 and 30 < pivots < 30 * 50  # windows are used, and most sets are no pivots
+
+
+def test_near_copies_cost_one_distance_each():
+    base = np.arange(300, dtype=np.uint64) << np.uint64(40)
+    region = jaccard.Region([np.delete(base, [k]) for k in range(200)], jaccard.Reach(90))
+    region.join()
+    assert (len(region.pivots), region.visits) == (1, 0) and len({region.forest.root(i) for i in range(200)}) == 1
+
+
+def test_a_crowd_of_near_copies_is_joined_in_chunks(spark):
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(80)]
+    rows = [(i, " ".join([*base[: (p := rng.randrange(80))], *(f"x{rng.randrange(10**6)}" for _ in range(rng.choice([1, 1, 2, 3]))), *base[p:]])) for i in range(420)]
+    rows += [(1000 + i, " ".join([*base[:40], *(f"y{i}z{k}" for k in range(40))])) for i in range(30)] + [(None, rows[3][1])] * 5
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for words, percent in ((3, 90), (5, 80)):
+        got = [tuple(r) for r in jaccard.jaccard_components(df, words, percent).collect()]
+        assert sorted(got, key=str) == brute(rows, words, percent)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 5000), (2, 1), (-7, 7000)]
     random.Random(1).shuffle(edges)
