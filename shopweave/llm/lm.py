@@ -1,45 +1,63 @@
-"""Language-model scoring by online logistic context mixing.
-
-Word forms are spelled bit by bit: several predictors, each with counts under a hashed
-context, are mixed in the logistic domain by weights that a gate selects,
-and a map corrects the mix; both are learnt from all training words in a few passes. Counted words are interpolated with that
-spelling, once for each class of documents (such as languages), and a document's score is
-that of a mix over classes, which settles on its own as the text goes on, and over how
-strongly the text repeats its own words. All counts are those of the whole training text, gathered by Spark; only the
-frequent words and the hashed tables, both of fixed size, are sent to the tasks.
+"""Language-model scoring by online logistic context mixing over running text.
+
+A text is coded bit by bit. Frequent words have a binary code by their counts; each of its bits is
+predicted under hashed contexts: none, the last very frequent word (which tells the language), the
+word before, the two words before. Other words are an escape, then their bytes, whose bits
+are predicted under hashed contexts of 1 to 6 bytes and of that frequent word. The predictions
+are mixed in the logistic domain by weights that a gate selects, and a map, learnt like
+the weights, refines the mix. The counts under all contexts and the weights come from all training text.
+
+Two memories of the whole corpus, joined by Spark, stand beside the mix: counts of rare
+words, and counts of phrases (runs of words between places that the words themselves set).
+Each is interpolated by the share of what training text had already seen. A training text is scored
+by what all others teach, as a text that is held out is: its own counts are taken off.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import heapq
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import most_frequent, stored
-
-#: Bytes of context of each predictor, slots of its table (power of two), and the count added to both outcomes.
-ORDERS, TABLE_BITS, PRIOR = (1, 2, 3, 4, 6), 18, 0.4
-#: Passes over all training words in which the mixer learns, the pull of its weights to their start, and that of its map, in bits.
-PASSES, PULL, MAP_PULL = 3, 1.0, 50.0
-#: What is taken off each word's count for words as yet unseen.
-DISCOUNT = 0.75
-#: Words of training text that a document's own words are weighed against.
-STRENGTHS = (1e3, 1e7)
-#: Classes of documents with counts of their own; the rest share one more.
-CLASSES = 7
-#: Frequent words that are sent to all tasks, and the most bytes of one; longer ones are looked up in the join.
+from .shared import held, most_frequent, stored
+
+#: Bits of the size of each predictor's table: under words (none, last frequent word, word before, two before) and under bytes (contexts of ORDERS, frequent word with 2 bytes).
+TABLES = ((18, 19, 19, 18), (17, 17, 17, 18, 18, 18))
+ORDERS = (1, 2, 3, 4, 6)
+#: Sets of weights of either kind, places on the map, and counts added to both outcomes.
+GATES, BUCKETS, PRIOR = 32, 33, 0.4
+#: Steps in which weights and map are learnt, each from an equal share of the training texts; the pull of weights to their start, and of the map, in bits.
+STEPS, PULL, MAP_PULL = 3, 1.0, 50.0
+#: Words with codes, and the most bytes of one; others are spelled.
 HEAD, LONGEST = 200_000, 64
+#: Very frequent words, the last of which is a context.
+LATEST = 256
+#: A phrase starts where the hash of the REACH words before is divisible by PHRASE, and has at most LIMIT words.
+REACH, PHRASE, LIMIT = 3, 16, 64
 #: Distinct words that a task counts before it hands them on.
 HELD = 200_000
+#: Bytes of text that are worked on at once, and slots of tables that are handed on together.
+SLICE, BLOCK = 1 << 18, 1024
+
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _M2
+    return h ^ (h >> np.uint64(29))
+
 
-_MASK, _MUL = np.uint64((1 << TABLE_BITS) - 1), np.uint64(0x9E3779B97F4A7C15)
-GATES, BUCKETS = 32, 33
+def _slot(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def held_out(doc_id: Column, folds: int = 10) -> Column:
@@ -51,351 +69,466 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def count_words(docs: DataFrame, n_classes: int) -> DataFrame:
-    """word, c (per class, rows that are not held out) for all words of docs(text, held_out, class); the row of the null word counts documents."""
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of batch(text, ...) in turn, about SLICE bytes of text at a time."""
+    ends = np.cumsum([len(t or "") + 64 for t in batch.column("text").to_pylist()]) // SLICE
+    at = 0
+    for to in [*np.nonzero(ends[1:] != ends[:-1])[0] + 1, batch.num_rows] if batch.num_rows else ():
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """word, c (in rows that are not held out) for all words of docs(text, held_out); the row of the null word counts documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, Counter] = defaultdict(Counter)
-        documents: Counter = Counter()
+        seen: Counter = Counter()
+        documents = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for k, words in seen.items():
-                yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array([k] * len(words), pa.int32()), pa.array(list(words.values()), pa.int64())], names=["word", "class", "c"])
+        def out() -> pa.RecordBatch:
+            got = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
             seen.clear()
+            return got
 
         for batch in batches:
-            for text, held, k in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist(), batch.column("class").to_pylist(), strict=True):
-                if held:  # the words are listed, but count nothing
-                    seen[0].update(dict.fromkeys(tokens(text), 0))
+            for text, away in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist(), strict=True):
+                if away:  # the words are listed, but count nothing
+                    seen.update(dict.fromkeys(tokens(text), 0))
                 else:
-                    seen[k].update(tokens(text))
-                    documents[k] += 1
-                if sum(map(len, seen.values())) >= HELD:
-                    yield from out()
-        yield from out()
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(documents), pa.binary()), pa.array(list(documents), pa.int32()), pa.array(list(documents.values()), pa.int64())], names=["word", "class", "c"])
-
-    rows = docs.mapInArrow(run, "word binary, class int, c bigint")
-    return rows.groupBy("word").agg(F.array(*[F.sum(F.when(F.col("class") == k, F.col("c")).otherwise(0)) for k in range(n_classes)]).alias("c"))
-
-
-class Spelling:
-    """Bits of a list of words, each followed by one blank: slots per predictor, outcome, gate and word of each bit."""
-
-    def __init__(self, words: list[bytes]):
-        flat = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8).astype(np.uint64) if words else np.empty(0, np.uint64)
-        lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
-        self.word = np.repeat(np.repeat(np.arange(len(words)), lengths), 8)
-        at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        bit = np.arange(8, dtype=np.uint64)
-        node = ((np.uint64(1) << bit) | (flat[:, None] >> (np.uint64(8) - bit))).ravel()
-        self.outcome = ((flat[:, None] >> (np.uint64(7) - bit)) & np.uint64(1)).astype(bool).ravel()
-        self.gate = (np.minimum(at, 3)[:, None] * 8 + np.arange(8)).ravel()
-        self.slots = []
-        context = np.zeros(len(flat), dtype=np.uint64)
+                    seen.update(tokens(text))
+                    documents += 1
+                if len(seen) >= HELD:
+                    yield out()
+        yield out()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([documents])], names=["word", "c"])
+
+    return docs.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+class Code:
+    """Binary codes, by counts, of words, of the end (the last but one) and of the escape (the last).
+
+    Symbols go by falling count. Of symbol i, bit d is bits[starts[i] + d], taken at node nodes[starts[i] + d].
+    """
+
+    def __init__(self, words: list[bytes], counts: list[int], ends: int, escapes: int):
+        self.mark = uuid.uuid4().hex
+        order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
+        self.words = [words[i] for i in order]
+        self.counts = np.array([counts[i] for i in order], dtype=np.int64)
+        self.end, self.escape = len(words), len(words) + 1
+        weights = [*(int(c) for c in self.counts), ends, escapes]
+        heap = [(w, i) for i, w in enumerate(weights)]
+        heapq.heapify(heap)
+        n = len(weights)
+        parent, side = np.zeros(2 * n - 1, dtype=np.int64), np.zeros(2 * n - 1, dtype=bool)
+        for inner in range(n, 2 * n - 1):
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[[i, j]], side[j] = inner, True
+            heapq.heappush(heap, (a + b, inner))
+        # from the root down, each node's depth, then all symbols' paths at once from the leaves up
+        depth = np.zeros(2 * n - 1, dtype=np.int64)
+        for i in range(2 * n - 3, -1, -1):
+            depth[i] = depth[parent[i]] + 1
+        self.lengths = depth[:n]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.nodes, self.bits = np.zeros(self.lengths.sum(), dtype=np.int32), np.zeros(self.lengths.sum(), dtype=bool)
+        at, symbol = np.arange(n), np.arange(n)
+        while len(at):
+            place = self.starts[symbol] + depth[at] - 1
+            self.nodes[place], self.bits[place] = parent[at] - n, side[at]
+            at = parent[at]
+            up = depth[at] > 0
+            at, symbol = at[up], symbol[up]
+
+
+class Reader:
+    """What reading texts with a Code needs besides: numbers and hashes of words."""
+
+    def __init__(self, code: Code):
+        self.code = code
+        self.number = {w: i for i, w in enumerate(code.words)}
+        self.hashes = np.array([*map(word_hash, code.words), 1, 2], dtype=np.uint64)
+        node = np.arange(len(code.words) + 2, dtype=np.uint64)
+        self.node_hash = _slot(_mix(node * _M1 + np.uint64(5)), 18)
+
+
+_BYTE = np.arange(256)
+#: Per bit and byte: the bit, and a hash of the bits before it.
+_OUTCOME = np.array([(_BYTE >> (7 - j)) & 1 for j in range(8)], dtype=bool)
+_PREFIX = np.array([_slot(_mix(((1 << j) | (_BYTE >> (8 - j))).astype(np.uint64) * _M1), 17) for j in range(8)])
+
+
+class Stream:
+    """Texts as symbols, each text with an end before it (which is not coded) and after it."""
+
+    def __init__(self, lists: list[list[bytes]], reader: Reader):
+        code, self.reader = reader.code, reader
+        self.sizes = np.array([len(x) for x in lists], dtype=np.int64)
+        first = np.cumsum(self.sizes + 2) - self.sizes - 2
+        ids = np.full(int((self.sizes + 2).sum()), code.end, dtype=np.int64)
+        self.doc = np.repeat(np.arange(len(lists)), self.sizes + 2)
+        coded = np.ones(len(ids), dtype=bool)
+        coded[first] = False
+        inner = coded.copy()
+        inner[first + self.sizes + 1] = False
+        ids[inner] = np.fromiter((i for x in lists for i in map(reader.number.get, x, repeat(code.escape))), dtype=np.int64, count=int(self.sizes.sum()))
+        self.ids, self.coded, self.first, self.inner = ids, coded, first, inner
+        self.rare = np.nonzero(ids == code.escape)[0]  # places of words that are spelled
+        place = np.full(len(ids), -1)
+        place[inner] = np.arange(int(self.sizes.sum()))
+        flat = [w for x in lists for w in x]
+        self.spelled = [flat[i] for i in place[self.rare]]
+        # the last very frequent word before each place
+        start = ~coded
+        seen = np.maximum.accumulate(np.where((ids < LATEST) | start, np.arange(len(ids)), 0))
+        latest = np.where(start, LATEST, ids)[seen]
+        self.latest = np.concatenate([[LATEST], latest[:-1]])
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hashes of the words at all places."""
+        h = self.reader.hashes[self.ids]
+        h[self.rare] = np.fromiter(map(word_hash, self.spelled), dtype=np.uint64, count=len(self.spelled))
+        return h
+
+    def events(self) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray], np.ndarray]]:
+        """Bits by kind (0: of codes, 1: of bytes) and gate: kind, gate, outcomes, slots per predictor, and places of their words."""
+        code = self.reader.code
+        at = np.nonzero(self.coded)[0]
+        one, two = np.roll(self.ids, 1).astype(np.uint64), np.roll(self.ids, 2).astype(np.uint64)
+        hashed = [_slot(_mix(x * _M1 + np.uint64(k)), bits) for k, (bits, x) in enumerate(zip(TABLES[0][1:], (self.latest.astype(np.uint64), one, one + (two << np.uint64(32))), strict=True))]
+        d = 0
+        while len(at := at[code.lengths[self.ids[at]] > d]):
+            for part in np.array_split(at, -(-len(at) // (1 << 15))):
+                path = code.starts[self.ids[part]] + d
+                node = code.nodes[path].astype(np.int64)
+                mixed = self.reader.node_hash[node]
+                yield 0, min(d, GATES - 1), code.bits[path], [node, *(h[part] ^ mixed for h in hashed)], part
+            d += 1
+        if not self.spelled:
+            return
+        flat = np.frombuffer(b" ".join(self.spelled) + b" ", dtype=np.uint8)
+        lengths = np.fromiter(map(len, self.spelled), dtype=np.int64, count=len(self.spelled)) + 1
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        before, contexts = np.zeros(len(flat), dtype=np.uint64), []
         for back in range(1, max(ORDERS) + 1):
-            before = np.zeros(len(flat), dtype=np.uint64)
-            before[back:] = flat[:-back]
-            before[at < back] = 0
-            context = (context + before + np.uint64(1)) * _MUL
-            context ^= context >> np.uint64(29)
+            before[back:] |= np.where(inside[back:] >= back, flat[:-back], 0).astype(np.uint64) << np.uint64(8 * back - 8)
             if back in ORDERS:
-                h = (np.repeat(context, 8) + node) * _MUL
-                self.slots.append(((h >> np.uint64(40)) & _MASK).astype(np.int64))
+                contexts.append(_slot(_mix((before + np.uint64(back)) * _M1), TABLES[1][len(contexts)]))
+            if back == 2:
+                spoken = _slot(_mix((before + (self.latest[self.rare][word].astype(np.uint64) << np.uint64(20))) * _M1 + np.uint64(9)), TABLES[1][-1])
+        contexts.append(spoken)
+        for k in range(4):
+            for part in np.array_split(own := np.nonzero(np.minimum(inside, 3) == k)[0], max(1, len(own) >> 15)):
+                these, byte = [c[part] for c in contexts], flat[part]
+                for j in range(8):
+                    prefix = _PREFIX[j][byte]
+                    yield 1, k * 8 + j, _OUTCOME[j][byte], [c ^ prefix for c in these], self.rare[word[part]]
+
 
+_EDGES = [np.cumsum([0, *(1 << b for b in bits)]) for bits in TABLES]
+#: Slots of all tables.
+SLOTS = int(_EDGES[0][-1] + _EDGES[1][-1])
 
-def pieces(words: list[bytes], most: int = 2000, most_bytes: int = 1 << 16) -> Iterator[list[bytes]]:
-    """The words in turn, at most `most` and about most_bytes at a time; a longer word is alone."""
-    piece, size = [], 0
-    for w in words:
-        if piece and (len(piece) == most or size + len(w) > most_bytes):
-            yield piece
-            piece, size = [], 0
-        piece.append(w)
-        size += len(w)
-    if piece:
-        yield piece
+
+def _tables(flat: np.ndarray, width: int = 1) -> list[list[np.ndarray]]:
+    """Each kind's tables as parts of one array, in which each slot has `width` numbers."""
+    base = (0, int(_EDGES[0][-1]))
+    return [[flat[width * (base[k] + a) : width * (base[k] + b)] for a, b in zip(e[:-1], e[1:], strict=True)] for k, e in enumerate(_EDGES)]
 
 
 class Mixer:
-    """Tables of counts (predictor, slot, outcome), weights per gate, and the map that corrects the mix."""
-
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts
-        self.start = np.full((GATES, len(ORDERS)), 1.5 / len(ORDERS))
-        self.even = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS))), (GATES, 1))
-        self.weights, self.map = self.start, self.even
-        self.best = (np.full(GATES, np.inf), self.weights, self.map)
-        self._logs: dict[bool, np.ndarray] = {}
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_logs": {}}
-
-    def _inputs(self, s: Spelling, left_out: bool = False) -> np.ndarray:
-        """Logistic predictions of every bit; left_out takes the word's own mark off each count."""
-        if left_out not in self._logs:
-            n0, n1 = (self.counts[..., k].astype(np.float32) for k in (0, 1))
-            ratio = lambda zeros, ones: np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
-            self._logs[left_out] = np.stack([ratio(np.maximum(n0 - 1, 0), n1), ratio(n0, np.maximum(n1 - 1, 0))], axis=-1).reshape(len(ORDERS), -1) if left_out else ratio(n0, n1)
-        out = np.empty((len(s.outcome), len(ORDERS)))
-        for k, slots in enumerate(s.slots):
-            out[:, k] = self._logs[left_out][k, slots * 2 + s.outcome if left_out else slots]
-        return out
-
-    def sums(self, words: list[bytes]) -> np.ndarray:
-        """Per gate over all bits of the words: loss, gradient and curvature of the weights, and per place on the map bits and ones."""
-        n = len(ORDERS)
-        total = np.zeros((GATES, 1 + n + n * n + 2 * BUCKETS))
-        for piece in pieces(words):
-            s = Spelling(piece)
-            x, y = self._inputs(s, left_out=True), s.outcome.astype(float)
-            mixed = np.clip((x * self.weights[s.gate]).sum(axis=1), -8, 8)
+    """Weights per kind and gate, and the map that refines the mix."""
+
+    def __init__(self) -> None:
+        self.start = [np.full((GATES, len(bits)), 1.5 / len(bits)) for bits in TABLES]
+        self.weights = [w.copy() for w in self.start]
+        self.map = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS))), (2, GATES, 1))
+
+    @staticmethod
+    def stretched(counts: np.ndarray, left_out: bool = False) -> np.ndarray:
+        """Logistic predictions of counts(slot, outcome); left_out gives two per slot, with one mark of outcome 0 or 1 taken off."""
+        n0, n1 = counts[:, 0].astype(np.float32), counts[:, 1].astype(np.float32)
+        ratio = lambda zeros, ones: np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+        return np.stack([ratio(np.maximum(n0 - 1, 0), n1), ratio(n0, np.maximum(n1 - 1, 0))], axis=1).ravel() if left_out else ratio(n0, n1)
+
+    def _mixed(self, kind: int, gate: int, x: np.ndarray) -> np.ndarray:
+        return np.clip(self.weights[kind][gate].astype(np.float32) @ x, -8, 8)
+
+    def sums(self, stream: Stream, tables: list[list[np.ndarray]], total: list[np.ndarray]) -> None:
+        """Add to total, per kind and gate: loss, gradient and curvature of the weights, and per place on the map bits and ones."""
+        for kind, gate, y, slots, _ in stream.events():
+            x = np.stack([t.take(s * 2 + y) for t, s in zip(tables[kind], slots, strict=True)])
+            mixed, n = self._mixed(kind, gate, x), len(x)
             p = 1 / (1 + np.exp(-mixed))
-            of_gate = lambda v: np.bincount(s.gate, v, minlength=GATES)
-            total[:, 0] += of_gate(-np.log(np.where(s.outcome, p, 1 - p)))
-            error, spread = y - p, p * (1 - p)
-            for i in range(n):
-                total[:, 1 + i] += of_gate(error * x[:, i])
-                slope = spread * x[:, i]
-                for j in range(i + 1):
-                    h = of_gate(slope * x[:, j])
-                    total[:, 1 + n + i * n + j] += h
-                    if i != j:
-                        total[:, 1 + n + j * n + i] += h
-            place = s.gate * BUCKETS + np.rint((mixed + 8) * (BUCKETS - 1) / 16).astype(int)
-            for k, v in ((2, None), (1, y)):
-                total[:, total.shape[1] - k * BUCKETS : total.shape[1] - (k - 1) * BUCKETS] += np.bincount(place, v, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
-        return total
-
-    def step(self, total: np.ndarray) -> None:
-        """Keep each gate's weights and map if they are its best so far, and try those of the next Newton step, or, if they are not, those halfway back."""
-        n = len(ORDERS)
-        off = self.weights - self.start
-        loss = total[:, 0] + PULL / 2 * (off**2).sum(axis=1)
-        hits, ones = total[:, -2 * BUCKETS : -BUCKETS], total[:, -BUCKETS:]
-        mapped = (ones + MAP_PULL * self.even) / (hits + MAP_PULL)
-        better = loss < self.best[0]
-        kept = np.where(better[:, None], self.weights, self.best[1])
-        self.best = (np.where(better, loss, self.best[0]), kept, np.where(better[:, None], mapped, self.best[2]))
-        curve = total[:, 1 + n : 1 + n + n * n].reshape(GATES, n, n) + PULL * np.eye(n)
-        newton = self.weights + np.linalg.solve(curve, (total[:, 1 : 1 + n] - PULL * off)[..., None])[..., 0]
-        # rounded, so that the order in which tasks are summed does not show
-        self.weights = np.round(np.where(better[:, None], newton, (self.weights + kept) / 2), 6)
-
-    def settle(self) -> None:
-        _, self.weights, self.map = self.best
-
-    def learn(self, words: list[bytes], passes: int = PASSES) -> None:
-        """Weights and map from all the words."""
-        for _ in range(passes):
-            self.step(self.sums(words))
-        self.settle()
-
-    def log10(self, words: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each word form, its closing blank included."""
-        out = np.zeros(len(words))
-        for at in range(0, len(words), 2000):
-            s = Spelling(words[at : at + 2000])
-            mixed = np.clip((self._inputs(s) * self.weights[s.gate]).sum(axis=1), -8, 8)
-            place = (mixed + 8) * (BUCKETS - 1) / 16
-            low = np.minimum(place.astype(int), BUCKETS - 2)
-            mapped = self.map[s.gate, low] * (low + 1 - place) + self.map[s.gate, low + 1] * (place - low)
-            p1 = np.clip((1 / (1 + np.exp(-mixed)) + mapped) / 2, 1e-6, 1 - 1e-6)
-            out[at : at + 2000] = np.bincount(s.word, np.log10(np.where(s.outcome, p1, 1 - p1)), minlength=len(words[at : at + 2000]))
-        return out
-
-
-def context_counts(vocabulary: DataFrame) -> np.ndarray:
-    """Outcomes under each hashed context over all training words, each distinct word once."""
-    size = len(ORDERS) << TABLE_BITS
+            row = total[kind][gate]
+            row[0] -= np.log(np.where(y, p, 1 - p)).sum(dtype=float)
+            row[1 : 1 + n] += x @ (y - p)
+            row[1 + n : 1 + n + n * n] += ((x * (p * (1 - p))) @ x.T).ravel()
+            place = np.rint((mixed + 8) * 2).astype(np.int64)
+            row[-2 * BUCKETS : -BUCKETS] += np.bincount(place, minlength=BUCKETS)
+            row[-BUCKETS:] += np.bincount(place, y, minlength=BUCKETS)
+
+    @staticmethod
+    def nothing() -> list[np.ndarray]:
+        return [np.zeros((GATES, 1 + len(bits) + len(bits) ** 2 + 2 * BUCKETS)) for bits in TABLES]
+
+    def step(self, total: list[np.ndarray], last: bool) -> None:
+        """A Newton step of the weights; in the last step the map, under weights that stay."""
+        for kind, bits in enumerate(TABLES):
+            n, t = len(bits), total[kind]
+            if last:
+                hits, ones = t[:, -2 * BUCKETS : -BUCKETS], t[:, -BUCKETS:]
+                self.map[kind] = np.round((ones + MAP_PULL * self.map[kind]) / (hits + MAP_PULL), 6)
+                continue
+            curve = t[:, 1 + n : 1 + n + n * n].reshape(GATES, n, n) + PULL * np.eye(n)
+            off = self.weights[kind] - self.start[kind]
+            change = np.linalg.solve(curve, (t[:, 1 : 1 + n] - PULL * off)[..., None])[..., 0]
+            # rounded, so that the order in which tasks are summed does not show
+            self.weights[kind] = np.round(self.weights[kind] + np.clip(change, -1, 1), 4)
+
+    def log10(self, stream: Stream, tables: list[list[np.ndarray]], left_out: bool) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each place's symbol, and of each spelled word's bytes; left_out: each bit without its own mark."""
+        out = np.zeros((2, len(stream.ids)))
+        for kind, gate, y, slots, at in stream.events():
+            mixed = self._mixed(kind, gate, np.stack([t.take(s * 2 + y if left_out else s) for t, s in zip(tables[kind], slots, strict=True)]))
+            place = np.rint((mixed + 8) * 2).astype(np.int64)
+            p1 = np.clip((1 / (1 + np.exp(-mixed)) + self.map[kind][gate].astype(np.float32)[place]) / 2, 1e-6, 1 - 1e-6)
+            cost = np.log(np.where(y, p1, 1 - p1))
+            if kind == 0:
+                out[0][at] += cost  # each place once in an event
+            else:
+                out[1] += np.bincount(at, cost, minlength=len(out[1]))
+        out /= np.log(10)
+        return out[0], out[1][stream.rare]
+
+
+def _reader(sent: object) -> Reader:
+    """Kept in the worker from task to task."""
+    return held(("lm", sent.value.mark), lambda: Reader(sent.value))
+
+
+def context_counts(docs: DataFrame, sent: object) -> np.ndarray:
+    """Outcomes under each hashed context over all texts of docs(text): (slot, outcome). Tasks hand on their tables in blocks, which are summed as they come."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, total = _reader(sent), np.zeros(SLOTS * 2, dtype=np.int32)
+        parts = _tables(total, 2)
+        waiting: list[list[list[np.ndarray]]] = [[[] for _ in bits] for bits in TABLES]
+        held_now = 0
+
+        def add() -> None:
+            for kind, tables in enumerate(parts):
+                for k, table in enumerate(tables):
+                    if waiting[kind][k]:
+                        table += np.bincount(np.concatenate(waiting[kind][k]), minlength=len(table)).astype(np.int32)
+                        waiting[kind][k].clear()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, 2), dtype=np.int64)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            for at in range(0, len(words), 2000):
-                s = Spelling(words[at : at + 2000])
-                for k, slots in enumerate(s.slots):
-                    base = k << TABLE_BITS
-                    total[base : base + (1 << TABLE_BITS)] += np.bincount(slots * 2 + s.outcome, minlength=2 << TABLE_BITS).reshape(-1, 2)
-        used = np.nonzero(total.any(axis=1))[0]
-        for at in range(0, len(used), 50_000):
-            part = used[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part, 0]), pa.array(total[part, 1])], names=["slot", "n0", "n1"])
-
-    sums = vocabulary.filter("exists(c, x -> x > 0)").select("word").mapInArrow(run, "slot bigint, n0 bigint, n1 bigint").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    got = sums.toArrow()
-    counts = np.zeros((size, 2), dtype=np.float32)
-    counts[got.column("slot").to_numpy()] = np.stack([got.column("n0").to_numpy(), got.column("n1").to_numpy()], axis=1)
-    return counts.reshape(len(ORDERS), 1 << TABLE_BITS, 2)
-
-
-def learn_all(vocabulary: DataFrame, mixer: Mixer, passes: int = PASSES) -> None:
-    """Mixer.learn from all training words, each distinct word once: tasks sum over their words, Spark over the tasks."""
-    taught = vocabulary.filter("exists(c, x -> x > 0)").select("word")
-    for _ in range(passes):
-        sent = vocabulary.sparkSession.sparkContext.broadcast(mixer)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            total = sum(sent.value.sums(batch.column("word").to_pylist()) for batch in batches)
-            flat = np.ravel(total)
+            for part in slices(batch):
+                for kind, _, y, slots, _ in Stream([tokens(t) for t in part.column("text").to_pylist()], reader).events():
+                    for k, s in enumerate(slots):
+                        waiting[kind][k].append((s * 2 + y).astype(np.int32))
+                    held_now += len(y)
+                    if held_now > 1 << 21:
+                        add()
+                        held_now = 0
+        add()
+        blocks = total.reshape(-1, BLOCK * 2)
+        used = np.nonzero(blocks.any(axis=1))[0]
+        for at in range(0, len(used), 256):
+            some = used[at : at + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([b.tobytes() for b in blocks[some]], pa.binary())], names=["block", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                c = np.frombuffer(c, dtype=np.int32)
+                total[k] = total[k] + c if k in total else c.astype(np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([c.astype(np.float32).tobytes() for c in total.values()], pa.binary())], names=["block", "counts"])
+
+    schema = "block bigint, counts binary"
+    got = docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add_up, schema).toArrow()
+    counts = np.zeros((SLOTS // BLOCK, BLOCK * 2), dtype=np.float32)
+    for k, c in zip(got.column("block").to_pylist(), got.column("counts").to_pylist(), strict=True):
+        counts[k] = np.frombuffer(c, dtype=np.float32)
+    return counts.reshape(-1, 2)
+
+
+def learn(docs: DataFrame, sent: object, counts: np.ndarray, steps: int = STEPS) -> Mixer:
+    """Weights and map from all texts of docs(text), each in one of the steps, by the hash of the text: tasks sum over their bits, Spark over the tasks."""
+    mixer, spark = Mixer(), docs.sparkSession
+    tables = spark.sparkContext.broadcast(Mixer.stretched(counts, left_out=True))
+    for k in range(steps):
+
+        def run(batches: Iterator[pa.RecordBatch], mixer: Mixer = mixer) -> Iterator[pa.RecordBatch]:
+            reader, total, parts = _reader(sent), Mixer.nothing(), _tables(tables.value, 2)
+            for batch in batches:
+                for part in slices(batch):
+                    mixer.sums(Stream([tokens(t) for t in part.column("text").to_pylist()], reader), parts, total)
+            flat = np.concatenate([t.ravel() for t in total])
             used = np.nonzero(flat)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used].astype(float))], names=["place", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], names=["place", "v"])
 
-        got = taught.mapInArrow(run, "place bigint, v double").groupBy("place").agg(F.sum("v").alias("v")).toArrow()
-        total = np.zeros((GATES, 1 + len(ORDERS) + len(ORDERS) ** 2 + 2 * BUCKETS))
-        total.ravel()[got.column("place").to_numpy()] = got.column("v").to_numpy()
-        mixer.step(total)
-    mixer.settle()
+        own = docs.filter(F.pmod(F.xxhash64("text"), F.lit(steps)) == k).select("text")
+        got = own.mapInArrow(run, "place bigint, v double").groupBy("place").agg(F.sum("v").alias("v")).toArrow()
+        total = Mixer.nothing()
+        flat = np.zeros(sum(t.size for t in total))
+        flat[got.column("place").to_numpy()] = got.column("v").to_numpy()
+        mixer.step([x.reshape(t.shape) for x, t in zip(np.split(flat, [total[0].size]), total, strict=True)], last=k == steps - 1)
+    tables.unpersist()
+    return mixer
 
 
-def spell(vocabulary: DataFrame, mixer: Mixer) -> DataFrame:
-    """h (64-bit hash of the word), word, c and spelled, the log10 probability of each word form."""
-    sent = vocabulary.sparkSession.sparkContext.broadcast(mixer)
+def phrases(stream: Stream) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases that all words and ends of the texts are cut into: number per place (-1 before a text), and a hash each.
+
+    Where a phrase starts depends on the words before it in its text and on nothing else, and it
+    ends where the next starts, so that no phrase is the beginning of another.
+    """
+    h = stream.hashes()
+    n = np.arange(len(h))
+    since = n - np.repeat(stream.first, stream.sizes + 2)
+    before = np.zeros(len(h), dtype=np.uint64)
+    for back in range(1, REACH + 1):
+        before[back:] = _mix(before[back:] + h[:-back] * _M1 * np.uint64(2 * back + 1))
+    starts = (since == 1) | stream.coded & (since > REACH) & (before % np.uint64(PHRASE) == 0)
+    last = np.maximum.accumulate(np.where(starts, n, 0))
+    starts |= stream.coded & ((n - last) % LIMIT == 0)
+    last = np.maximum.accumulate(np.where(starts, n, 0))
+    number = np.where(stream.coded, np.cumsum(starts) - 1, -1)
+    place = _mix(h + (n - last).astype(np.uint64) * _M1)
+    heads = np.nonzero(starts)[0]
+    # what precedes a text is no part of its last phrase
+    sums = np.add.reduceat(np.where(stream.coded, place, np.uint64(0)), heads) if len(heads) else np.empty(0, np.uint64)
+    return number, _mix(sums + np.uint64(11))
+
+
+def _earlier(doc: np.ndarray, key: np.ndarray, taught: bool) -> np.ndarray:
+    """How often each key came before in its document, less how often it is there at all if the documents taught."""
+    order = np.lexsort((key, doc))
+    d, k = doc[order], key[order]
+    first = np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])])[: len(d)]
+    at = np.arange(len(d))
+    run = np.cumsum(first) - 1
+    starts = at[first]
+    sizes = np.diff(np.concatenate([starts, [len(d)]]))
+    out = np.empty(len(d), dtype=np.int64)
+    out[order] = at - starts[run] - (sizes[run] if taught else 0) if len(d) else 0
+    return out
+
+
+def read_texts(docs: DataFrame, sent: object, counts: np.ndarray, mixer: Mixer, below: float) -> DataFrame:
+    """Per row of docs(doc_id, text, held_out), what its words with codes say, and rare words and phrases to be looked up.
+
+    row, doc_id, held_out, n_tokens, n_bytes, known, base; rare: (phrase, h, said, spelled); phrases: (phrase, h, said, p).
+    """
+    send = docs.sparkSession.sparkContext.broadcast
+    tables, others = send(Mixer.stretched(counts)), send(Mixer.stretched(counts, left_out=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            h = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), batch.column("word"), batch.column("c"), pa.array(sent.value.log10(words))], names=["h", "word", "c", "spelled"])
+        from pyspark import TaskContext
 
-    return vocabulary.mapInArrow(run, "h bigint, word binary, c array<bigint>, spelled double")
+        reader, parts = _reader(sent), {False: _tables(tables.value), True: _tables(others.value, 2)}
+        code = reader.code
+        base = np.log10((np.concatenate([code.counts, [0, 0]]) + 0.1) / below)
+        row = TaskContext.get().partitionId() << 36
 
+        def nested(doc: np.ndarray, n: int, **fields: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32()), pa.StructArray.from_arrays(list(fields.values()), names=list(fields)))
 
-def _classes(docs: DataFrame, column: str | None) -> list[str | None]:
-    """The values of column with the most training rows of docs, at most CLASSES; null stands for all else and comes last, if there is any."""
-    if column is None:
-        return [None]
-    sizes = docs.filter(~F.col("held_out")).groupBy(F.col(column).cast("string").alias("v")).agg(F.count("*").alias("n")).orderBy(F.col("v").isNull(), F.desc("n"), "v").limit(CLASSES + 1).collect()
-    named = [r["v"] for r in sizes if r["v"] is not None][:CLASSES]
-    return named if len(named) == len(sizes) and named else [*named, None]
+        for batch in batches:
+            for part, teaches in ((some, t) for part in slices(batch) for t in (True, False) if (some := part.filter(pc.equal(part.column("held_out"), not t))).num_rows):
+                lists = [tokens(t) for t in part.column("text").to_pylist()]
+                s, n = Stream(lists, reader), len(lists)
+                p, spelled = mixer.log10(s, parts[teaches], teaches)
+                number, keys = phrases(s)
+                firsts = number[s.first + 1]
+                sums = np.bincount(number[s.coded], p[s.coded], minlength=len(keys))
+                of = np.repeat(np.arange(n), np.diff(np.concatenate([firsts, [len(keys)]])))
+                coded = s.inner & (s.ids < code.end)
+                count = lambda v=None: np.bincount(s.doc[coded], v, minlength=n)  # noqa: E731, B023
+                rare_keys = s.hashes()[s.rare]
+                said = _earlier(s.doc[s.rare], rare_keys, teaches), _earlier(of, keys, teaches)
+                phrase = lambda k, d: pa.array((k - firsts[d]).astype(np.int32))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(n)), part.column("doc_id"), part.column("held_out"), pa.array(s.sizes + 1), pa.array(np.array([sum(map(len, x)) + len(x) for x in lists], dtype=np.int64)),
+                     pa.array(count().astype(np.int64)), pa.array(count(base[s.ids[coded]]).astype(float)),
+                     nested(s.doc[s.rare], n, phrase=phrase(number[s.rare], s.doc[s.rare]), h=pa.array(rare_keys.view(np.int64)), said=pa.array(said[0]), p=pa.array(spelled)),
+                     nested(of, n, phrase=phrase(np.arange(len(keys)), of), h=pa.array(keys.view(np.int64)), said=pa.array(said[1]), p=pa.array(sums))],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_bytes", "known", "base", "rare", "phrases"])
+                row += n
 
+    item = "array<struct<phrase:int,h:bigint,said:bigint,p:double>>"
+    return docs.select("doc_id", "text", "held_out").mapInArrow(run, f"row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, known bigint, base double, rare {item}, phrases {item}")
 
-def score_texts(docs: DataFrame, classes: str | None = "lang", head: int = HEAD) -> DataFrame:
+
+def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for every row of docs(doc_id, text).
 
     Rows with crc32(doc_id as text) mod 10 = 0 are held out, all others teach (also
-    those with a null doc_id). classes names a column by whose values the training rows
-    are counted apart; no row is scored by its own value. A text's tokens are its words and
+    those with a null doc_id). A text's tokens are its words, ASCII letters lower-cased, and
     one end; null or empty text is the end alone. base_score sums log10((c + 0.1) / (N + 0.1
     (V + 1))) over the tokens. score is the model's log10 probability of the token
-    sequence: the probabilities of all sequences sum to at most 1. bits_per_byte is the
-    same per byte of text, null for empty text. Repeated rows are scored each for itself;
-    an empty table gives no rows. Words are told apart by 64-bit hashes where they are joined.
+    sequence, in this order: the probabilities of all sequences sum to at most 1. A text that
+    taught is scored by what the others taught: its rare words and phrases are taken off their counts, and each bit's own mark off its contexts. bits_per_byte is the
+    same per byte of what is coded, the lower-cased words with one blank or end after each; null for a text without words. Repeated rows are scored each for itself;
+    an empty table gives no rows. Other columns are ignored. Rare words and phrases are told apart by 64-bit hashes.
     """
-    if classes not in docs.columns:
-        classes = None
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"), *([classes] if classes else []))
-    named = _classes(marked, classes)
-    number = F.lit(len(named) - 1)
-    for k, v in enumerate(named):
-        number = F.when(F.col(classes).cast("string") == v, k).otherwise(number) if v is not None else number
-    counted = stored(count_words(marked.select("text", "held_out", number.alias("class")), len(named)), "lm-words")
+    spark = docs.sparkSession
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
+    counted = stored(count_words(marked.select("text", "held_out")), "lm-words")
     words = counted.filter("word IS NOT NULL")
-    each = range(len(named))
-    totals = counted.agg(
-        F.count(F.when(F.col("word").isNotNull() & F.expr("exists(c, x -> x > 0)"), 1)).alias("types"),
-        *[F.sum(F.col("c")[k]).alias(f"n{k}") for k in each], *[F.sum(F.when(F.col("word").isNull(), F.col("c")[k])).alias(f"e{k}") for k in each],
-        *[F.count(F.when(F.col("word").isNotNull() & (F.col("c")[k] > 0), 1)).alias(f"t{k}") for k in each]).first()
-    n = np.array([totals[f"n{k}"] or 0 for k in each], dtype=float)
-    ends = np.array([totals[f"e{k}"] or 0 for k in each], dtype=float)
-    types = np.array([totals[f"t{k}"] for k in each], dtype=float)
-    everything, all_ends = n.sum(), ends.sum()
-    below = float(everything + 0.1 * (totals["types"] + (all_ends > 0) + 1))
-    base_of = lambda c: np.log10((c + 0.1) / below)
-
-    mixer = Mixer(context_counts(words))
-    learn_all(words, mixer)
-    spelled = stored(spell(words, mixer), "lm-spelled")
-
-    # each word leaves its discount to words that its class has not seen, which are spelled; those and the end have one token more than counted
-    counts = n + 2
-    unseen = np.log10((DISCOUNT * types + 1) / counts)
-    p_end = (ends + 1) / counts
-    shares = (ends + 1) / (all_ends + len(named))
-    experts = [(k, a) for k in each for a in STRENGTHS]
-    whole = F.aggregate("c", F.lit(0).cast("long"), lambda acc, x: acc + x)
-    best = most_frequent(spelled.withColumn("whole", whole).filter((F.col("whole") > 0) & (F.octet_length("word") <= LONGEST)), head).select("word", "c", "whole", "spelled").toArrow()
-    c = np.array(best.column("c").to_pylist(), dtype=float).reshape(-1, len(named))
-    form = unseen + best.column("spelled").to_numpy()[:, None]
-    p = np.where(c > 0, np.log10(np.maximum(c - DISCOUNT, 0.1) / counts + 10**form), form)
-    sent = docs.sparkSession.sparkContext.broadcast((best.column("word").to_pylist(), base_of(best.column("whole").to_numpy()), p))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        names, base, prob = sent.value
-        number = {w: i for i, w in enumerate(names)}
-        row, most = TaskContext.get().partitionId() << 36, len(names) + 1
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                lists = [tokens(t) for t in part.column("text").to_pylist()]
-                size = np.array([len(x) for x in lists], dtype=np.int64)
-                doc = np.repeat(np.arange(len(lists)), size)
-                ids = np.concatenate([np.fromiter(map(number.get, x, repeat(-1)), dtype=np.int64, count=len(x)) for x in lists])
-                known = ids >= 0
-                # sorted by document and word, a token's place in its run is how often the document has said the word before
-                key = np.sort(doc[known] * most + ids[known])
-                place = np.arange(len(key))
-                first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
-                said = place - np.maximum.accumulate(np.where(first, place, 0))
-                d, w = key // most, key % most
-                again = [np.where(said > 0, np.log10(a * 10 ** prob[w, k] + np.maximum(said, 1)), np.log10(a) + prob[w, k]) for k, a in experts]
-                sums = np.stack([np.bincount(d, v, minlength=len(lists)).astype(float) for v in again], axis=1)
-                rest = [Counter(x[i] for i in np.nonzero(~k)[0]) for x, k in zip(lists, np.split(known, np.cumsum(size)[:-1]), strict=True)]
-                hashes = np.array([xxhash.xxh3_64_intdigest(x) for r in rest for x in r], dtype=np.uint64).view(np.int64)
-                often = np.array([v for r in rest for v in r.values()], dtype=np.int64)
-                edges = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rest])]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(len(lists))), part.column("doc_id"), part.column("held_out"), pa.array(size + 1), part.column("n_bytes"),
-                     pa.array(np.bincount(d, minlength=len(lists)).astype(np.int64)), pa.array(np.bincount(d, base[w], minlength=len(lists)).astype(float)),
-                     pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), len(experts)).cast(pa.list_(pa.float64())),
-                     pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays([pa.array(hashes), pa.array(often)], names=["h", "tf"]))],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_bytes", "n_known", "base", "sums", "tail"])
-                row += len(lists)
-
-    schema = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, n_known bigint, base double, sums array<double>, tail array<struct<h:bigint,tf:bigint>>"
-    texts = marked.select("doc_id", "text", "held_out", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    heads = stored(texts.mapInArrow(run, schema), "lm-docs")
-
-    # the other words meet their counts in a join; what a row needs of them is dealt out by row before it grows to a sum per expert
-    rare = heads.select("row", F.inline("tail")).join(spelled.select("h", "c", "spelled"), "h").select("row", "tf", "c", "spelled").repartition("row")
-    rare = rare.withColumn("whole", whole)
-
-    def grown(k: int, a: float) -> Column:
-        spelled_ = F.col("spelled") + float(unseen[k])
-        p = F.when(F.col("c")[k] > 0, F.log10((F.col("c")[k] - DISCOUNT) / float(counts[k]) + F.pow(F.lit(10.0), spelled_))).otherwise(spelled_)
-        more = F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("tf") - 1), F.lit(0.0), lambda acc, j: acc + F.log10(a * F.pow(F.lit(10.0), p) + j))
-        return float(np.log10(a)) + p + F.when(F.col("tf") > 1, more).otherwise(0.0)
-
-    rare = rare.select(
-        "row", F.when(F.col("whole") > 0, F.col("tf")).otherwise(0).alias("n_known"), (F.log10((F.col("whole") + 0.1) / below) * F.col("tf")).alias("base"),
-        *[grown(k, a).alias(f"s{i}") for i, (k, a) in enumerate(experts)])
-    rare = rare.groupBy("row").agg(F.sum("n_known").alias("r_known"), F.sum("base").alias("r_base"), *[F.sum(f"s{i}").alias(f"r{i}") for i in range(len(experts))])
-
-    or_zero = lambda name: F.coalesce(F.col(name), F.lit(0.0))
-    prior = lambda k: float(np.log10(shares[k] / len(STRENGTHS)))
-    # of each expert: its share, the words, the end, less the sum of log10(a + t) over all tokens
-    parts = F.array(*[prior(k) + F.col("sums")[i] + or_zero(f"r{i}") + float(np.log10(a * p_end[k])) - _log10_rising(a, F.col("n_tokens")) for i, (k, a) in enumerate(experts)])
-    out = heads.drop("tail").join(rare, "row", "left").withColumn("parts", parts).withColumn("top", F.array_max("parts"))
-    score = F.col("top") + F.log10(F.aggregate("parts", F.lit(0.0), lambda acc, x: acc + F.pow(F.lit(10.0), x - F.col("top"))))
-    return out.withColumn("score", score).select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("r_known", F.lit(0)) + int(all_ends > 0)).cast("long").alias("n_known"),
-        F.lit(int(everything)).cast("long").alias("train_tokens"), (F.col("base") + or_zero("r_base") + float(base_of(all_ends))).alias("base_score"), "score",
-        F.when(F.col("n_bytes") > 0, -F.col("score") / float(np.log10(2)) / F.col("n_bytes")).alias("bits_per_byte"))
-
-
-def _log10_rising(a: float, n: Column) -> Column:
-    """log10 of a (a + 1) .. (a + n - 1), by Stirling's series above 16."""
-    def log_gamma(x: Column) -> Column:
-        # shift the argument by 16, where three terms of the series are exact to double precision
-        y = x + 16
-        series = (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * F.pow(y, F.lit(5.0)))
-        product = F.lit(0.0)
-        for k in range(16):
-            product = product + F.log(x + k)
-        return series - product
-
-    x = F.lit(a)
-    return (log_gamma(x + n.cast("double")) - log_gamma(x)) / float(np.log(10))
+    totals = counted.agg(F.sum("c").alias("n"), F.sum(F.when(F.col("word").isNull(), F.col("c"))).alias("ends"), F.count(F.when(F.col("word").isNotNull() & (F.col("c") > 0), 1)).alias("types"),
+                         F.count(F.when(F.col("word").isNotNull() & (F.col("c") == 1), 1)).alias("single")).first()
+    n, ends = totals["n"] or 0, totals["ends"] or 0
+    below = float(n + 0.1 * (totals["types"] + (ends > 0) + 1))
+    # words that occur once are always spelled, so that the escape is as likely as words that are new
+    best = most_frequent(words.withColumnRenamed("c", "whole").filter((F.col("whole") > 1) & (F.octet_length("word") <= LONGEST)), head).toArrow()
+    rare = n - ends - int(np.sum(best.column("whole").to_numpy()))
+    code = Code(best.column("word").to_pylist(), best.column("whole").to_pylist(), ends, rare)
+    sent = spark.sparkContext.broadcast(code)
+    taught = marked.filter(~F.col("held_out"))
+    counts = context_counts(taught, sent)
+    mixer = learn(taught, sent, counts)
+    read = stored(read_texts(marked, sent, counts, mixer, below), "lm-read")
+
+    hashed = words.select(F.col("word"), "c").mapInArrow(_hashed, "h bigint, c bigint")
+    phrase_counts = read.filter(~F.col("held_out")).select(F.explode("phrases.h").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
+    phrase_counts = stored(phrase_counts, "lm-phrases")
+    of_phrases = phrase_counts.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") == 1, 1)).alias("single")).first()
+    share = lambda single, of: min(0.999, max(0.001, 1 - (single + 1) / (of + 2)))
+    known = [(rare, share(totals["single"], rare)), (of_phrases["n"] or 0, share(of_phrases["single"], of_phrases["n"] or 0))]
+
+    # rare words and phrases look up their counts in one join; phrases that occur once are not worth a look
+    there = hashed.withColumn("kind", F.lit(0)).unionByName(phrase_counts.withColumn("kind", F.lit(1)))
+    asked = [read.select("row", "held_out", F.lit(kind).alias("kind"), F.inline(column)) for kind, column in enumerate(("rare", "phrases"))]
+    found = asked[0].unionByName(asked[1]).join(there, ["h", "kind"], "left").select("row", "kind", "phrase", "p", "c", F.greatest(F.coalesce("c", F.lit(0)) + F.col("said"), F.lit(0)).cast("double").alias("seen"))
+
+    def mixed(p: Column, kind: int) -> Column:
+        of, lam = known[kind]
+        return F.log10((1 - lam) * F.pow(F.lit(10.0), p) + lam * F.col("seen") / float(max(of, 1)))
+
+    new = lambda kind: float(np.log10(1 - known[kind][1])) + F.col("p")
+    found = found.withColumn("p", F.when((F.col("kind") == 0) & (F.col("seen") > 0), mixed(F.col("p"), 0)).when(F.col("kind") == 0, new(0)).otherwise(F.col("p")))
+    parts = found.repartition("row").groupBy("row", "phrase").agg(
+        F.sum("p").alias("p"), F.max(F.when(F.col("kind") == 1, F.col("seen"))).alias("seen"), F.count(F.when((F.col("kind") == 0) & (F.col("c") > 0), 1)).alias("known"),
+        F.sum(F.when(F.col("kind") == 0, F.log10((F.coalesce("c", F.lit(0)) + 0.1) / below))).alias("base"))
+    parts = parts.groupBy("row").agg(F.sum(F.when(F.col("seen") > 0, mixed(F.col("p"), 1)).otherwise(new(1))).alias("score"), F.sum("known").alias("r_known"), F.sum("base").alias("r_base"))
+    end = float(np.log10((ends + 0.1) / below))
+    return read.drop("rare", "phrases").join(parts, "row").select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.col("r_known") + int(ends > 0)).cast("long").alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("r_base", F.lit(0.0)) + end).alias("base_score"), "score", F.when(F.col("n_bytes") > 0, -F.col("score") / float(np.log10(2)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h = np.fromiter(map(word_hash, batch.column("word").to_pylist()), dtype=np.uint64, count=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column("c")], names=["h", "c"])

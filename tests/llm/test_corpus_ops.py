@@ -268,7 +268,117 @@ def test_mixing_is_native(spark, sf_dir):
 # ---- language model
 
 
-def test_scores(spark, sf_dir):
+def plain_scores(spark, rows):
+    """score of each row by plain Python: the same code, contexts, steps and memories, one bit at a time."""
+    M, words = (1 << 64) - 1, lambda t: (t or "").encode().lower().split()
+
+    def mix(h):
+        h = ((h & M) ^ (h & M) >> 31) * 0xBF58476D1CE4E5B9 & M
+        return h ^ h >> 29
+
+    slot = lambda h, bits: h >> 64 - bits
+    m1 = 0x9E3779B97F4A7C15
+    taught = [not (i is not None and zlib.crc32(str(i).encode()) % 10 == 0) for i, _ in rows]
+    c = collections.Counter(w for t, (_, x) in zip(taught, rows, strict=True) if t for w in words(x))
+    head = {w: n for w, n in c.items() if n > 1 and len(w) <= lm.LONGEST}
+    rare = sum(c.values()) - sum(head.values())
+    code = lm.Code(list(head), list(head.values()), sum(taught), rare)
+    number = {w: i for i, w in enumerate(code.words)}
+
+    def bits(text):
+        """kind, gate, slots, outcome, place of the word."""
+        ids = [code.end, *(number.get(w, code.escape) for w in words(text)), code.end]
+        latest = lm.LATEST
+        for i in range(1, len(ids)):
+            s, one, two = ids[i], ids[i - 1], ids[i - 2] if i > 1 else code.end
+            for d in range(code.lengths[s]):
+                node = int(code.nodes[code.starts[s] + d])
+                h = slot(mix(node * m1 + 5), 18)
+                yield 0, min(d, lm.GATES - 1), [node, slot(mix(latest * m1), 19) ^ h, slot(mix(one * m1 + 1), 19) ^ h, slot(mix((one + (two << 32)) * m1 + 2), 18) ^ h], bool(code.bits[code.starts[s] + d]), i
+            if s == code.escape:
+                w = words(text)[i - 1] + b" "
+                for t, byte in enumerate(w):
+                    before = lambda k, w=w, t=t: sum(w[t - b] << 8 * b - 8 for b in range(1, min(k, t) + 1))
+                    own = [slot(mix((before(k) + k) * m1), size) for k, size in zip(lm.ORDERS, lm.TABLES[1], strict=False)] + [slot(mix((before(2) + (latest << 20)) * m1 + 9), lm.TABLES[1][-1])]
+                    for j in range(8):
+                        prefix = slot(mix((1 << j | byte >> 8 - j) * m1), 17)
+                        yield 1, min(t, 3) * 8 + j, [x ^ prefix for x in own], bool(byte >> 7 - j & 1), i
+            latest = s if s < lm.LATEST else latest
+
+    counts = collections.Counter((kind, k, s, y) for t, (_, x) in zip(taught, rows, strict=True) if t for kind, _, ss, y, _ in bits(x) for k, s in enumerate(ss))
+
+    def inputs(kind, slots, y, left_out):
+        n = [[counts[kind, k, s, v] - (left_out and v == y) for v in (0, 1)] for k, s in enumerate(slots)]
+        return [math.log((b + lm.PRIOR) / (a + lm.PRIOR)) for a, b in n]
+
+    mixer = lm.Mixer()
+    fold = [r["k"] for r in spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "n int, text string").select("n", F.pmod(F.xxhash64("text"), F.lit(lm.STEPS)).alias("k")).orderBy("n").collect()]
+    for step in range(lm.STEPS):
+        total = mixer.nothing()
+        for t, f, (_, text) in zip(taught, fold, rows, strict=True):
+            for kind, gate, slots, y, _ in bits(text) if t and f == step else ():
+                x, row = np.array(inputs(kind, slots, y, True)), total[kind][gate]
+                n, z = len(x), float(np.clip(mixer.weights[kind][gate] @ x, -8, 8))
+                p = 1 / (1 + math.exp(-z))
+                row[1 : 1 + n] += (y - p) * x
+                row[1 + n : 1 + n + n * n] += p * (1 - p) * np.outer(x, x).ravel()
+                row[-2 * lm.BUCKETS + round((z + 8) * 2)] += 1
+                row[-lm.BUCKETS + round((z + 8) * 2)] += y
+        mixer.step(total, last=step == lm.STEPS - 1)
+
+    h64 = lambda w: mix_word[w] if w in mix_word else mix_word.setdefault(w, lm.word_hash(w))
+    mix_word = {None: 1}
+
+    def cut(text):
+        """Phrases as lists of places."""
+        w = [*words(text), None]
+        h, out = [h64(x) for x in w], []
+        for i in range(len(w)):
+            before = 0
+            for back in range(1, lm.REACH + 1):
+                before = mix(before + (h[i - back] if i >= back else 0) * m1 * (2 * back + 1))
+            if i == 0 or i >= lm.REACH and before % lm.PHRASE == 0 or len(out[-1]) == lm.LIMIT:
+                out.append([])
+            out[-1].append(i)
+        return [(tuple(w[i] for i in part), part) for part in out]
+
+    phrases = collections.Counter(p for t, (_, x) in zip(taught, rows, strict=True) if t for p, _ in cut(x))
+    single = sum(n == 1 for n in c.values()), sum(n == 1 for n in phrases.values())
+    share = [min(0.999, max(0.001, 1 - (a + 1) / (b + 2))) for a, b in ((single[0], rare), (single[1], sum(phrases.values())))]
+    out = []
+    for t, (_, text) in zip(taught, rows, strict=True):
+        said = [collections.Counter(), collections.Counter()]
+        whole = collections.Counter(words(text)), collections.Counter(p for p, _ in cut(text))
+        p_code, p_bytes = collections.Counter(), collections.Counter()
+        for kind, gate, slots, y, i in bits(text):
+            z = float(np.clip(mixer.weights[kind][gate] @ np.array(inputs(kind, slots, y, t)), -8, 8))
+            p1 = min(1 - 1e-6, max(1e-6, (1 / (1 + math.exp(-z)) + mixer.map[kind][gate][round((z + 8) * 2)]) / 2))
+            (p_code, p_bytes)[kind][i - 1] += math.log10(p1 if y else 1 - p1)
+        score = 0.0
+        for phrase, places in cut(text):
+            p = 0.0
+            for i, w in zip(places, phrase, strict=True):
+                p += p_code[i]
+                if w is not None and w not in number:
+                    seen = max(0, c[w] + said[0][w] - (whole[0][w] if t else 0))
+                    p += math.log10((1 - share[0]) * 10 ** p_bytes[i] + share[0] * seen / max(rare, 1)) if seen else math.log10(1 - share[0]) + p_bytes[i]
+                    said[0][w] += 1
+            seen = max(0, phrases[phrase] + said[1][phrase] - (whole[1][phrase] if t else 0))
+            score += math.log10((1 - share[1]) * 10**p + share[1] * seen / sum(phrases.values())) if seen else math.log10(1 - share[1]) + p
+            said[1][phrase] += 1
+        out.append(score)
+    return out
+
+
+def test_scores_equal_a_plain_version(spark, sf_dir):
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").filter("length(text) < 900").collect())[:45]
+    rows += [(r[0] + 5000, r[1]) for r in rows[:6]] + [(10_001, None), (10_002, "new words of no other text"), (10_003, "the the the " * 90), (10_004, "q" * 300)]
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    for (i, _), want in zip(rows, plain_scores(spark, rows), strict=True):
+        assert math.isclose(got[i], want, rel_tol=2e-3, abs_tol=2e-3), i
+
+
+def test_counts_and_base(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows += [(10_001, None), (10_002, ""), (10_003, "q" * 30_000), (10_004, "the " * 30_000), (10_001, None), (None, "ein wort")]
     df = spark.createDataFrame([(i, t, "en", 0.5) for i, t in rows], "doc_id bigint, text string, lang string, score double")
@@ -285,37 +395,52 @@ def test_scores(spark, sf_dir):
     got = lm.score_texts(df, head=50).collect()
     assert collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in got) == want
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
-    by = lm.score_texts(df).collect()  # a longer head changes where words are looked up, not what they count
-    key = lambda r: (str(r["doc_id"]), r["n_tokens"], round(r["score"], 4))
-    assert sorted(map(key, got)) == sorted(map(key, by))
-
 
-def test_held_out_texts_score_better_than_by_counts(spark, sf_dir):
-    got = [r for r in queries.op9_lm_scoring(spark, sf_dir.replace("sf0.001", "sf0.01")).collect() if r["held_out"]]
-    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
-
-def test_spelling_is_a_distribution():
-    rng = np.random.default_rng(1)
-    mixer = lm.Mixer(rng.integers(0, 50, (len(lm.ORDERS), 1 << lm.TABLE_BITS, 2)).astype(np.float32))
-    mixer.learn([b"the", b"then", b"thin"] * 50)
-    # all first bytes, each with all that may follow, make up one: P(byte) = P(word of it) + P(more)
-    s = [10 ** mixer.log10([bytes([b])])[0] for b in range(256)]
-    assert 0 < sum(s) <= 1 + 1e-9
-
-
-def test_mixer_learns_from_all_words(spark):
-    rng = random.Random(8)
-    names = sorted({"".join(rng.choice("abcdefgh") for _ in range(6)).encode() for _ in range(25_000)} | {b"z" * 100})
-    rows = spark.createDataFrame([(w, [1, 0]) for w in names] + [(b"never taught", [0, 0])], "word binary, c array<bigint>").repartition(5)
-    counts = lm.context_counts(rows)
-    here, there = lm.Mixer(counts), lm.Mixer(counts)
-    here.learn(names)
-    lm.learn_all(rows, there)
-    assert np.allclose(here.weights, there.weights, atol=1e-5) and np.allclose(here.map, there.map, atol=1e-3)
-    # every bit of every word is counted, those of words over 64 bytes too
-    assert there.sums(names)[:, -2 * lm.BUCKETS : -lm.BUCKETS].sum() == 8 * sum(len(w) + 1 for w in names)
-    assert there.sums(names)[:, 0].sum() < lm.Mixer(counts).sums(names)[:, 0].sum()
+def test_scores_tell_order_copies_and_new_texts_apart(spark, sf_dir):
+    rng = random.Random(3)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").filter("length(text) > 600").collect()]
+    once = {t: n for t, n in collections.Counter(t for _, t in rows).items() if n == 1}
+    rows = [r for r in rows if r[1] in once]
+    shuffled = lambda t: " ".join(rng.sample(t.split(), len(t.split())))
+    held = [i for i in range(10**6, 10**6 + 600) if zlib.crc32(str(i).encode()) % 10 == 0][:40]
+    teachers = [t for i, t in rows if zlib.crc32(str(i).encode()) % 10][:40]
+    copies = [(h, t) for h, t in zip(held[:20], teachers[:20], strict=True)]
+    mixed = [(h, shuffled(t)) for h, t in zip(held[20:], teachers[:20], strict=True)]
+    df = spark.createDataFrame([*rows, *copies, *mixed], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in lm.score_texts(df).collect()}
+    assert all(got[a]["score"] > got[b]["score"] for (a, _), (b, _) in zip(copies, mixed, strict=True))
+    twice = {t for _, t in copies}
+    low = max(got[i]["bits_per_byte"] for i, _ in copies)
+    others = sorted(got[i]["bits_per_byte"] for i, t in rows if t not in twice)
+    assert others[len(others) // 10] > low
+    by_held = [r for r in got.values() if r["held_out"]]
+    assert sum(r["score"] for r in by_held) > sum(r["base_score"] for r in by_held)
+
+
+def test_words_codes_are_a_distribution():
+    code = lm.Code([b"w%d" % k for k in range(300)], [1 + k * k for k in range(300)], 7, 90)
+    assert sum(2.0 ** -int(n) for n in code.lengths) == 1.0 and code.words[0] == b"w299"
+    for s in (0, 5, code.end, code.escape):  # the path leads from the root to the symbol
+        path = slice(code.starts[s], code.starts[s] + code.lengths[s])
+        assert code.nodes[path][0] == len(code.words) and np.all(np.diff(code.nodes[path]) < 0)
+    paths = {tuple(zip(code.nodes[a : a + n].tolist(), code.bits[a : a + n].tolist(), strict=True)) for a, n in zip(code.starts, code.lengths, strict=True)}
+    assert len(paths) == 302
+
+
+def test_all_training_texts_teach(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").repartition(4)
+    lists = [lm.tokens(r["text"]) for r in df.collect()]
+    counts = collections.Counter(w for x in lists for w in x)
+    head = {w: n for w, n in counts.items() if n > 1}
+    code = lm.Code(list(head), list(head.values()), len(lists), sum(n == 1 for n in counts.values()))
+    got = lm.context_counts(df, spark.sparkContext.broadcast(code))
+    stream = lm.Stream(lists, lm.Reader(code))
+    want = np.zeros((lm.SLOTS, 2))
+    for kind, _, y, slots, _ in stream.events():
+        for table, s in zip(lm._tables(want.ravel(), 2)[kind], slots, strict=True):
+            np.add.at(table, s * 2 + y, 1)
+    assert np.array_equal(got, want) and want[: 1 << 18].sum() == code.lengths[stream.ids[stream.coded]].sum()
 
 
 def test_most_frequent_words_are_cut_at_a_count(spark):
@@ -332,12 +457,6 @@ def test_hashed_share(spark):
     assert hashed_share(df, "k", 5000, 5000).count() == 5000
 
 
-def test_log_rising(spark):
-    got = spark.range(1).select(*[lm._log10_rising(a, F.lit(n)).alias(f"x{k}") for k, (a, n) in enumerate([(1e3, 1), (1e3, 500), (1e7, 20_000), (0.5, 3)])]).first()
-    want = [(math.lgamma(a + n) - math.lgamma(a)) / math.log(10) for a, n in [(1e3, 1), (1e3, 500), (1e7, 20_000), (0.5, 3)]]
-    assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6) for x, y in zip(got, want, strict=True))
-
-
 def test_scores_of_nothing_and_without_training(spark):
     empty = docs(spark, [])
     assert lm.score_texts(empty).count() == 0
