@@ -370,12 +370,15 @@ def join_large(crowd: DataFrame, percent: int) -> DataFrame:
     roots = components(links)
     who = crowd.select("region", "chunk", "chunks", "fp", "n").join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
     who = stored(who.join(away, "fp"), "jac-who")
-    sizes = who.groupBy("region", "root").agg(F.count("*").alias("members")).groupBy("region").agg(F.max_by("root", F.struct("members", "root")).alias("main"))
-    rest = who.join(sizes, "region").filter("root <> main").drop("main", "chunk")
-    slices = rest.groupBy("region").agg(F.greatest(F.ceil(F.count("*") / CROWD), F.ceil(F.sum("n") / REGION)).cast("int").alias("slices"))
-    rest = rest.join(slices, "region").withColumn("slice", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("slices")).cast("int"))
-    rest = stored(rest.join(crowd.select("fp", "hashes"), "fp"), "jac-rest").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    there = who.join(slices, "region").join(crowd.select("fp", "hashes"), "fp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    # what is known of a region is dealt to its chunks, so that no join has the region alone as its key
+    spread = lambda df: df.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    sizes = who.groupBy("region", "chunks", "root").agg(F.count("*").alias("members")).groupBy("region", "chunks").agg(F.max_by("root", F.struct("members", "root")).alias("main"))
+    rest = stored(who.join(spread(sizes), ["region", "chunk"]).filter("root <> main").drop("main"), "jac-rest")
+    slices = rest.groupBy("region", "chunks").agg(F.greatest(F.ceil(F.count("*") / CROWD), F.ceil(F.sum("n") / REGION)).cast("int").alias("slices"))
+    slices = stored(spread(slices), "jac-slices")
+    sliced = rest.join(slices, ["region", "chunk"]).withColumn("slice", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("slices")).cast("int"))
+    rest = spread(stored(sliced.drop("chunk").join(crowd.select("fp", "hashes"), "fp"), "jac-sliced"))
+    there = who.join(slices, ["region", "chunk"]).join(crowd.select("fp", "hashes"), "fp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
     def meet(docs: pa.Table, others: pa.Table) -> pa.Table:
         if not docs.num_rows or not others.num_rows:
