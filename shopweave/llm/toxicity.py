@@ -1,9 +1,11 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are the words and word beginnings that labelled training texts tie to the
-toxic class; document frequencies are those of all documents. A text's nearest
-examples vote by distance, and are its evidence. Copies and near copies of examples
-are found by the cosine over all words, with or without such terms, and vote first.
+Vectors are made of all words of a text, and of those word beginnings that the labelled examples tie
+to the toxic class. Document frequencies are those of all documents. Words and
+beginnings that the examples tie to the class weigh more, by how much more often toxic
+texts have them; no word is left out. A text's nearest examples vote by distance, and
+are its evidence. The vote becomes a probability by a map fitted to the votes that the
+examples get from each other.
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -27,11 +29,14 @@ from .shared import Remembered, hashed_share, held, stored
 _WORD = re.compile(r"[^\W_]+")
 #: Lengths of word beginnings that are terms of their own, for inflected and compound words.
 BEGINNINGS = (4, 5, 6)
-#: Weight of a component that every vector has, in units of one term of idf 1: it keeps a
-#: text with one weak term apart from one with many, which the angle alone would not.
-BACKGROUND = 12.0
-#: Least cosine over all words at which an example counts as a near copy.
-NEAR = 0.9
+#: Added to a distance, and the power of what that gives, in the weight of a vote.
+CLOSE, POWER = 0.05, 2
+#: Pull of the map from votes to scores to leaving them as they are.
+PULL = 1.0
+#: Examples in a block, blocks that are looked at first, and the share of examples from which on a term is frequent.
+BLOCK, FIRST, FREQUENT = 128, 4, 1 / 16
+#: Places in a table of counts that are handed on together.
+HANDED = 1024
 #: Words that a worker remembers.
 REMEMBERED = 300_000
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
@@ -61,8 +66,8 @@ def sample_labels(labels: DataFrame, per_class: int) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, least_ratio: float = 5.0) -> list[str]:
-    """At most `most` terms that examples(text, toxic) tie to the toxic class, strongest first.
+def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, least_ratio: float = 5.0) -> dict[str, float]:
+    """At most `most` terms that examples(text, toxic) tie to the toxic class, strongest first, each with its weight of 1 + the square of its log ratio.
 
     A term must occur in 3 toxic texts and in least_share of them, least_ratio times as
     often as in clean ones, and pass a likelihood-ratio test at a level that allows for
@@ -83,7 +88,7 @@ def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, leas
     counts = stored(once.select("text", "toxic").mapInArrow(count, schema).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "tox-terms")
     totals = counts.filter("term = ''").collect()
     if not totals or not totals[0]["toxic"]:
-        return []
+        return {}
     n1, n0 = totals[0]["toxic"], totals[0]["clean"]
     often = counts.filter((F.col("term") != "") & (F.col("toxic") >= max(3, least_share * n1)))
     tried = max(2, often.count())
@@ -92,7 +97,7 @@ def choose_terms(examples: DataFrame, most: int, least_share: float = 0.01, leas
     scored = often.withColumn("ratio", (a + 0.5) / (n1 + 1.0) / ((b + 0.5) / (n0 + 1.0))).withColumn("lr", 2 * (part(a, share) + (part(b, 1 - share) if n0 else F.lit(0.0))))
     bar = 2 * math.log(tried) + 4 if n0 else 0.0
     kept = scored.filter((F.col("ratio") >= (least_ratio if n0 else 0.0)) & (F.col("lr") >= bar))
-    return [r["term"] for r in kept.orderBy(F.desc("lr"), "term").limit(most).collect()]
+    return {r["term"]: 1 + max(0.0, math.log(r["ratio"])) ** 2 for r in kept.orderBy(F.desc("lr"), "term").limit(most).collect()}
 
 
 def word_hash(word: str) -> int:
@@ -100,217 +105,278 @@ def word_hash(word: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-class CopyIndex:
-    """Unit TF-IDF vectors of examples over all their words, for the examples within a cosine of NEAR.
+def vocabulary(examples: DataFrame) -> np.ndarray:
+    """Sorted 64-bit hashes of all words of the examples, which are at most two classes of per_class texts."""
 
-    Words are 64-bit hashes; document frequencies are those of the examples, so words of
-    no example weigh most. Of each example only its rarest words are posted, as many as
-    leave less than NEAR to the others: a text that shares none of them is not near.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = {w for t in batch.column("text").to_pylist() for w in words(t)}
+            yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in seen], pa.int64())], names=["h"])
+
+    return np.sort(examples.select("text").mapInArrow(run, "h bigint").distinct().toArrow().column("h").to_numpy())
+
+
+class Numbers:
+    """Numbers of words in the vocabulary, and of the tied beginnings, which come after them."""
 
-    def __init__(self, about: list[tuple[int, int, int]], sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray, kinds: list[tuple[int, ...]] | None = None):
-        self.about, self.kinds, n = about, kinds, len(about)
-        self.vocabulary, ids, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        self.idf = np.append(np.log((1 + n) / (1 + df)), math.log(1 + n)) + 1
-        entry = np.repeat(np.arange(n), sizes)
-        order = np.lexsort((ids, df[ids], entry))
-        self.ids, w = ids[order], ((1 + np.log(counts)) * self.idf[ids])[order]
-        w /= np.sqrt(np.bincount(entry, w * w, minlength=n))[entry]
-        self.weights, self.edges = w, np.concatenate([[0], np.cumsum(sizes)]).astype(int)
-        # what is left of an example's squared length from each word on
-        before = np.cumsum(w * w) - w * w
-        left = 1 - (before - before[self.edges[:-1]][entry]) if n else w
-        posted = np.sqrt(np.maximum(left, 0)) >= NEAR - 1e-6
-        self.rest = np.sqrt(np.maximum(1 - np.bincount(entry[posted], (w * w)[posted], minlength=n), 0))
-        at = np.nonzero(posted)[0][np.argsort(self.ids[posted], kind="stable")]
-        self.posted, self.posted_weight = entry[at], w[at]
-        self.starts = np.searchsorted(self.ids[at], np.arange(len(self.vocabulary) + 2))
-        self.dense = np.zeros(len(self.vocabulary) + 1)
-
-    def number(self, word: str) -> int:
+    def __init__(self, known: np.ndarray, tied: list[str]):
+        self.known, self.size = known, len(known) + len(tied)
+        self.tied = {t: len(known) + i for i, t in enumerate(tied)}
+        self.of = Remembered(self.find, REMEMBERED)
+
+    def find(self, word: str) -> tuple[int, list[int]]:
         h = word_hash(word)
-        i = int(np.searchsorted(self.vocabulary, h))
-        return i if i < len(self.vocabulary) and self.vocabulary[i] == h else len(self.vocabulary)
-
-    def near(self, numbers: list[int], counts: list[int], k: int, kind: tuple[int, ...] | None = None) -> list[tuple[float, int]]:
-        """The k examples of highest cosine, of those from NEAR on and of the kind if one is given, exactly; ties to the smaller number."""
-        ids = np.array(numbers, dtype=int)
-        lengths = self.starts[ids + 1] - self.starts[ids]
-        if not lengths.any():
-            return []
-        q = (1 + np.log(counts)) * self.idf[ids]
-        q /= math.sqrt(q @ q)
-        at = np.repeat(self.starts[ids] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        met, which = np.unique(self.posted[at], return_inverse=True)
-        some = np.bincount(which, self.posted_weight[at] * np.repeat(q, lengths))
-        known = ids < len(self.vocabulary)
-        self.dense[ids[known]] = q[known]
-        found = []
-        for e in met[some + self.rest[met] >= NEAR - 1e-6]:
-            if kind is not None and self.kinds[e] != kind:
-                continue
-            span = slice(self.edges[e], self.edges[e + 1])
-            if (cosine := float(self.weights[span] @ self.dense[self.ids[span]])) >= NEAR:
-                found.append((-round(min(cosine, 1.0), 12), int(e)))
-        self.dense[ids[known]] = 0
-        return [(-c, e) for c, e in sorted(found)[:k]]
-
-
-def copy_index_rows(examples: DataFrame, terms: list[str]) -> tuple:
-    """What CopyIndex is made of, from examples(doc_id, text, toxic); equal texts are one entry that counts for all of them. Its kind is which terms it has."""
-    number = {t: i for i, t in enumerate(terms)}
+        i = int(np.searchsorted(self.known, h))
+        own = [self.tied[t] for t in terms_of(word)[1:] if t in self.tied]
+        return (i if i < len(self.known) and self.known[i] == h else -1), own
+
+
+def vectors(docs: DataFrame, numbers: tuple[np.ndarray, list[str]]) -> DataFrame:
+    """doc_id, text_hash, ids and counts of the terms in each whole text, rest: what words of no example add to its squared length, in units of theirs."""
+    sent, mark = docs.sparkSession.sparkContext.broadcast(numbers), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held(("toxicity", mark), lambda: Numbers(*sent.value)).of
         for batch in batches:
-            got = [Counter(words(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "toxic", "clean")), pa.array([[word_hash(w) for w in g] for g in got], pa.list_(pa.int64())), pa.array([list(g.values()) for g in got], pa.list_(pa.int32())),
-                 pa.array([sorted({number[t] for w in g for t in terms_of(w) if t in number}) for g in got], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "clean", "hashes", "counts", "kind"])
-
-    once = examples.filter("text IS NOT NULL").groupBy(F.xxhash64("text"), F.length("text")).agg(
-        F.min("doc_id").cast("long").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("text").alias("text"))
-    got = once.select("doc_id", "toxic", "clean", "text").mapInArrow(run, "doc_id bigint, toxic bigint, clean bigint, hashes array<bigint>, counts array<int>, kind array<int>").filter(F.size("hashes") > 0).toArrow().combine_chunks().sort_by("doc_id")
-    about = list(zip(*(got.column(c).to_pylist() for c in ("doc_id", "toxic", "clean")), strict=True))
-    flat = lambda c: got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return about, np.array([len(x) for x in got.column("hashes")], dtype=int), flat("hashes"), flat("counts"), [tuple(x) for x in got.column("kind").to_pylist()]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids, counts, rest, sizes = [], [], [], []
+                for text in part.column("text").to_pylist():
+                    got: dict[int, int] = {}
+                    other = 0.0
+                    for w, c in Counter(words(text)).items():
+                        i, tied = known[w]
+                        if i < 0:
+                            other += (1 + math.log(c)) ** 2
+                        else:
+                            got[i] = c
+                        for t in tied:
+                            got[t] = got.get(t, 0) + c
+                    ids += got.keys()
+                    counts += got.values()
+                    rest.append(other)
+                    sizes.append(len(got))
+                edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_hash"), pa.ListArray.from_arrays(edges, pa.array(ids, pa.int32())), pa.ListArray.from_arrays(edges, pa.array(counts, pa.int32())), pa.array(rest, pa.float64())],
+                    names=["doc_id", "text_hash", "ids", "counts", "rest"])
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, ids array<int>, counts array<int>, rest double")
 
-def term_vectors(docs: DataFrame, terms: list[str], copies: tuple, k: int) -> DataFrame:
-    """doc_id, text_hash, numbers and counts of the terms in each whole text, and its k nearest near copies; empty arrays where there are none."""
-    number = {t: i for i, t in enumerate(terms)}
-    sent, mark = docs.sparkSession.sparkContext.broadcast(copies), uuid.uuid4().hex
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> tuple[CopyIndex, Remembered]:
-            index = CopyIndex(*sent.value)
-            return index, Remembered(lambda word: (index.number(word), [number[t] for t in terms_of(word) if t in number]), REMEMBERED)
+def document_frequencies(found: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many rows of found(ids) each of size terms is, and the number of rows. Tasks hand on their counts in blocks, which are summed as they come."""
+    blocks = -(-size // HANDED)
 
-        index, known = held(("toxicity", mark, *terms), make)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(blocks * HANDED, dtype=np.int32), 0
         for batch in batches:
-            got, near = [], []
-            for text in batch.column("text").to_pylist():
-                said = Counter(words(text))
-                found = [known[w] for w in said]
-                g: Counter = Counter()
-                for (_, ts), c in zip(found, said.values(), strict=True):
-                    for t in ts:
-                        g[t] += c
-                got.append(g)
-                close = index.near([i for i, _ in found], list(said.values()), k, tuple(sorted(g))) if said and index.about else []
-                near.append([dict(zip(("doc_id", "toxic", "clean"), index.about[e], strict=True)) | {"similarity": c} for c, e in close])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array([sorted(g) for g in got], pa.list_(pa.int32())), pa.array([[g[t] for t in sorted(g)] for g in got], pa.list_(pa.int32())), pa.array(near, pa.list_(ITEM))],
-                names=["doc_id", "text_hash", "terms", "counts", "near"])
+            total += np.bincount(batch.column("ids").flatten().to_numpy(), minlength=len(total)).astype(np.int32)
+            rows += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([np.array([rows], dtype=np.int32).tobytes()], pa.binary())], names=["block", "counts"])
+        used = np.nonzero(total.reshape(-1, HANDED).any(axis=1))[0]
+        for at in range(0, len(used), 256):
+            some = used[at : at + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([b.tobytes() for b in total.reshape(-1, HANDED)[some]], pa.binary())], names=["block", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(c, dtype=np.int32).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([c.tobytes() for c in total.values()], pa.binary())], names=["block", "counts"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, f"doc_id bigint, text_hash bigint, terms array<int>, counts array<int>, near {EVIDENCE}")
+    schema = "block bigint, counts binary"
+    got = found.select("ids").mapInArrow(count, schema).repartition("block").mapInArrow(add_up, schema).toArrow()
+    df, rows = np.zeros(blocks * HANDED, dtype=np.int64), 0
+    for k, c in zip(got.column("block").to_pylist(), got.column("counts").to_pylist(), strict=True):
+        if k < 0:
+            rows = int(np.frombuffer(c, dtype=np.int64)[0])
+        else:
+            df[k * HANDED : (k + 1) * HANDED] = np.frombuffer(c, dtype=np.int64)
+    return df[:size], rows
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples as postings, in blocks of examples with the largest weight of each term.
+    """Examples as postings (entry, term, weight), in blocks of entries with the largest weight of each term.
 
     Neighbours in the given order share a block; bounds are tight where they are alike.
+    Terms of very many entries are kept as rows of a matrix, whose product is exact and
+    sharpens the bounds of the others.
     """
 
-    def __init__(self, vectors: list[list[tuple[int, float]]], n_terms: int, block: int = 64):
-        self.block = block
-        blocks = max(1, -(-len(vectors) // block))
-        self.most = np.zeros((n_terms, blocks))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
-        for i, v in enumerate(vectors):
-            for t, w in v:
-                self.most[t, i // block] = max(self.most[t, i // block], w)
-                lists[t, i // block].append((i % block, w))
-        self.postings = {k: (np.array([i for i, _ in v]), np.array([w for _, w in v])) for k, v in lists.items()}
-
-    def nearest(self, query: list[tuple[int, float]], k: int) -> list[tuple[float, int]]:
-        """The k examples of highest positive cosine, exactly; ties to the smaller number. Blocks whose bound is below the k-th best are skipped."""
-        terms = [t for t, _ in query]
-        bound = np.array([w for _, w in query]) @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(self.block)
-            for t, w in query:
-                if (p := self.postings.get((t, int(b)))) is not None:
-                    scores[p[0]] += w * p[1]
-            hits = np.nonzero(scores)[0]
-            best = sorted([*best, *((-float(scores[i]), int(b) * self.block + int(i)) for i in hits)])[:k]
-        return [(-s, i) for s, i in best]
-
-
-def unit_vector(terms: Sequence[int], counts: Sequence[int], idf: np.ndarray) -> list[tuple[int, float]]:
-    weights = [(1 + math.log(c)) * idf[t] for t, c in zip(terms, counts, strict=True)]
-    norm = math.sqrt(sum(w * w for w in weights) + BACKGROUND**2)
-    return [*((t, float(w / norm)) for t, w in zip(terms, weights, strict=True)), (len(idf), BACKGROUND / norm)]
+    def __init__(self, entry: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, n_entries: int, block: int = BLOCK):
+        self.block, self.n, self.blocks = block, n_entries, max(1, -(-n_entries // block))
+        often = np.nonzero(np.bincount(term, minlength=n_terms) > max(8, FREQUENT * n_entries))[0]
+        self.row = np.full(n_terms, -1, dtype=np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), self.blocks * block), dtype=np.float32)
+        dense = self.row[term] >= 0
+        self.rows[self.row[term[dense]], entry[dense]] = weight[dense]
+        entry, term, weight = entry[~dense], term[~dense], weight[~dense]
+        order = np.lexsort((entry, term))
+        self.entry, term, self.weight = entry[order].astype(np.int32), term[order], weight[order].astype(np.float32)
+        of = self.entry // block
+        heads = np.nonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (of[1:] != of[:-1])])[: len(term)])[0]
+        self.run_start, self.run_length, self.run_block = heads.astype(np.int32), np.diff(np.append(heads, len(term))).astype(np.int32), of[heads]
+        self.run_most = np.maximum.reduceat(self.weight, heads) if len(heads) else self.weight
+        self.term_runs = np.searchsorted(term[heads], np.arange(n_terms + 1)).astype(np.int32)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The k entries of highest positive cosine and their cosines, exactly, but not the entry `without`; ties to the smaller number. Blocks whose bound is below the k-th best are skipped."""
+        row = self.row[terms]
+        scores = (weights[row >= 0].astype(np.float32) @ self.rows[row[row >= 0]]).astype(float)
+        terms, weights = terms[row < 0], weights[row < 0]
+        lo = self.term_runs[terms]
+        n = self.term_runs[terms + 1] - lo
+        runs = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        q, of = np.repeat(weights, n), self.run_block[runs]
+        bound = scores.reshape(-1, self.block).max(axis=1) + np.bincount(of, q * self.run_most[runs], minlength=self.blocks)
+        done = np.zeros(self.blocks, dtype=bool)
+
+        def look(at: np.ndarray) -> None:
+            take = np.zeros(self.blocks, dtype=bool)
+            take[at] = True
+            done[at] = True
+            mine = take[of]
+            r = runs[mine]
+            size = self.run_length[r].astype(np.int64)
+            place = np.repeat(self.run_start[r] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            np.add(scores, np.bincount(self.entry[place], np.repeat(q[mine], size) * self.weight[place], minlength=len(scores)), out=scores)
+
+        def best() -> np.ndarray:
+            live = np.nonzero(np.repeat(done, self.block) & (scores > 0))[0]
+            live = live[live != without]
+            if len(live) > k:
+                live = live[scores[live] >= np.partition(scores[live], len(live) - k)[len(live) - k] - 1e-9]
+            return live[np.lexsort((live, -np.round(scores[live], 9)))][:k]
+
+        look(np.argsort(-bound, kind="stable")[:FIRST])
+        found = best()
+        least = scores[found[-1]] if len(found) == k else 0.0
+        more = np.nonzero(~done & (bound > 0) & (bound >= least - 1e-6))[0]
+        if len(more):
+            look(more)
+            found = best()
+        return found, np.minimum(scores[found], 1.0)
+
+
+class Examples:
+    """The index of the examples, and how the nearest of them vote.
+
+    about: (doc_id, toxic, clean) of each entry; entries are equal texts. ids, counts, edges: their terms.
+    """
+
+    def __init__(self, about: list[tuple[int, int, int]], ids: np.ndarray, counts: np.ndarray, edges: np.ndarray, df: np.ndarray, n_docs: int, boost: np.ndarray, k: int):
+        self.k, self.toxic = k, np.array([t / (t + c) for _, t, c in about])
+        self.new = math.log(1 + n_docs) + 1
+        self.weight = (np.log((1 + n_docs) / (1 + df)) + 1) * boost
+        entry = np.repeat(np.arange(len(about)), np.diff(edges))
+        w = (1 + np.log(counts)) * self.weight[ids]
+        norm = np.sqrt(np.bincount(entry, w * w, minlength=len(about)))
+        # those with the same strongest term, or else the same most frequent word, are neighbours
+        first = edges[:-1]
+        strongest = ids[self._largest(np.where(boost[ids] > 1, w, 0), entry, first)] if len(ids) else ids
+        common = ids[self._largest(counts.astype(float), entry, first)] if len(ids) else ids
+        tied = np.bincount(entry, boost[ids] > 1, minlength=len(about)) > 0
+        order = np.lexsort((np.arange(len(about)), common, np.where(tied, strongest, -1))) if len(ids) else np.arange(len(about))
+        place = np.empty(len(about), dtype=np.int64)
+        place[order] = np.arange(len(about))
+        self.place = {about[i][0]: int(p) for i, p in enumerate(place)}
+        self.about, self.toxic = [about[i] for i in order], self.toxic[order]
+        self.index = BlockMaxIndex(place[entry], ids, w / norm[entry], len(df), len(about))
+
+    @staticmethod
+    def _largest(v: np.ndarray, entry: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where each entry's largest value stands first."""
+        order = np.lexsort((np.arange(len(v)), -v, entry))
+        return order[first]
+
+    def vote(self, ids: np.ndarray, counts: np.ndarray, rest: float, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        """Share of toxic votes, one weak vote of the class share among them, and the voters and their cosines."""
+        prior = float(self.toxic.mean())
+        if not len(ids):
+            return prior, np.empty(0, dtype=int), np.empty(0)
+        w = (1 + np.log(counts)) * self.weight[ids]
+        found, cosine = self.index.nearest(ids, w / math.sqrt(w @ w + rest * self.new**2), self.k, without)
+        votes = 1 / (1 - cosine + CLOSE) ** POWER
+        return float((prior + votes @ self.toxic[found]) / (1 + votes.sum())), found, cosine
+
+
+def calibration(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """a, b of 1 / (1 + exp(-a * logit(vote) - b)) that fit the labels best; a stays positive, so that order is kept."""
+    x = np.stack([np.log(votes / (1 - votes)), np.ones(len(votes))])
+    at = np.array([1.0, 0.0])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(at @ x, -30, 30)))
+        slope = x @ (weight * (toxic - p)) - PULL * (at - [1.0, 0.0])
+        at = at + np.clip(np.linalg.solve((x * (weight * p * (1 - p))) @ x.T + PULL * np.eye(2), slope), -1, 1)
+        at[0] = max(at[0], 0.05)
+    return round(float(at[0]), 6), round(float(at[1]), 6)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: int = 10_000, max_terms: int = 2_000) -> DataFrame:
     """doc_id, text_hash, held_out, score, predicted, evidence for every row of docs(doc_id, text).
 
     labels(doc_id, toxic) teach only through rows with crc32(doc_id as text) mod 5 not 0, of
-    which at most per_class of each class are examples (which, with max_terms, bounds what
-    is broadcast); document frequencies count all of docs. score is the vote of the k
-    nearest distinct examples, each weighted by 1 / (distance + 0.05), with one weak vote
-    for the class share. A text without any term (also null or empty text) scores the
-    share of toxic examples among those without terms. Where examples are near copies by the
-    cosine over all words (at least NEAR, the k nearest) and have the same terms, they vote with the same weights,
-    and the score by terms is one weak vote besides; they come first in evidence. Without labels every score is 0.
-    Repeated rows score alike.
+    which at most per_class of each class are examples, which bounds what is broadcast; at most
+    max_terms terms weigh more than others, none is left out. Document frequencies count all of docs;
+    words of no example weigh as if no document had them. The k nearest distinct examples vote, each
+    weighted by 1 / (distance + CLOSE) ** POWER, with one weak vote for the class share. score is
+    that vote after a logistic map, fitted to the votes that examples get from all others. An example that is
+    scored as a document meets itself. Null or empty text, or text without any word of an example, has the class share for its vote. Without toxic labels every
+    score is 0. Repeated rows score alike. Other columns are ignored.
     """
     sample = stored(sample_labels(labels, per_class), "tox-sample")
     examples = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    terms = choose_terms(examples, max_terms)
-    vectors = stored(term_vectors(docs, terms, copy_index_rows(examples, terms), k), "tox-vectors")
-    df = {r["t"]: r["n"] for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
-    n_docs = vectors.count()
-    idf = np.array([math.log((1 + n_docs) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))])
-    # examples with equal vectors are one entry that counts for all of them
-    grouped = (vectors.join(F.broadcast(sample), "doc_id").groupBy("terms", "counts")
-               .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).orderBy("doc_id").collect())
-    plain = next((r for r in grouped if not r["terms"]), None)
-    entries = [r for r in grouped if r["terms"]]
-    toxic, clean = sum(r["toxic"] for r in grouped), sum(r["clean"] for r in grouped)
-    prior = toxic / (toxic + clean) if toxic + clean else 0.0
-    base = plain["toxic"] / (plain["toxic"] + plain["clean"]) if plain else prior if not terms else 0.0
-    units = [(unit_vector(r["terms"], r["counts"], idf), (r["doc_id"], r["toxic"], r["clean"])) for r in entries]
-    units.sort(key=lambda u: (max(u[0][:-1], key=lambda x: x[1])[0], u[0][-1][1], u[1]))
-    index_rows = docs.sparkSession.sparkContext.broadcast(([v for v, _ in units], [a for _, a in units]))
+    boosted = choose_terms(examples, max_terms)
+    tied = [t for t in boosted if t.endswith("*")]
+    known = vocabulary(examples)
+    found = stored(vectors(docs, (known, tied)), "tox-vectors")
+    numbers = Numbers(known, tied)
+    df, n_docs = document_frequencies(found, numbers.size)
+    boost = np.ones(numbers.size)
+    for t, g in boosted.items():
+        boost[numbers.tied[t] if t in numbers.tied else numbers.find(t)[0]] = g
+    # examples with equal texts are one entry that counts for all of them; those without words are none
+    entries = (found.join(F.broadcast(sample), "doc_id").filter(F.size("ids") > 0).groupBy("text_hash")
+               .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("ids").alias("ids"), F.first("counts").alias("counts"))).toArrow().combine_chunks().sort_by("doc_id")
+    schema = f"doc_id bigint, text_hash bigint, {OUT}"
+    rows = found.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "ids", "counts", "rest")
+    about = list(zip(*(entries.column(c).to_pylist() for c in ("doc_id", "toxic", "clean")), strict=True))
+    if not sum(t for _, t, _ in about):
+        nothing = F.array().cast(EVIDENCE)
+        return rows.select("doc_id", "text_hash", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), nothing.alias("evidence"))
+    flat = lambda c: entries.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in entries.column("ids")])])
+    sent, mark = docs.sparkSession.sparkContext.broadcast((about, flat("ids"), flat("counts"), edges, df, n_docs, boost, k)), uuid.uuid4().hex
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
+        for batch in batches:
+            votes = [all_.vote(np.array(i), np.array(c), 0.0, all_.place[d])[0] for d, i, c in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "counts")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], names=["doc_id", "vote"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors_, about = index_rows.value
-        index = BlockMaxIndex(vectors_, len(idf) + 1)
-
-        def vote(key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[float, list[dict]]:
-            if not key[0]:
-                return base, []
-            near = index.nearest(unit_vector(*key, idf), k)
-            yes, total = prior, 1.0
-            for s, i in near:
-                _, t, c = about[i]
-                w = 1 / (max(0.0, 1 - s) + 0.05)
-                yes, total = yes + w * t / (t + c), total + w
-            return yes / total, [{"doc_id": about[i][0], "similarity": s, "toxic": about[i][1], "clean": about[i][2]} for s, i in near]
-
-        votes = Remembered(vote, REMEMBERED // 20)
-
-        def with_copies(by_terms: tuple[float, list[dict]], near: list[dict]) -> tuple[float, list[dict]]:
-            score, evidence = by_terms
-            weights = [1 / (1 - x["similarity"] + 0.05) for x in near]
-            said = sum(w * x["toxic"] / (x["toxic"] + x["clean"]) for w, x in zip(weights, near, strict=True))
-            ids = {x["doc_id"] for x in near}
-            return (score + said) / (1 + sum(weights)), [*near, *(x for x in evidence if x["doc_id"] not in ids)]
+    firsts = docs.sparkSession.createDataFrame([(d,) for d, _, _ in about], "doc_id bigint")
+    got = found.join(F.broadcast(firsts), "doc_id").filter(F.size("ids") > 0).dropDuplicates(["doc_id"]).select("doc_id", "ids", "counts").mapInArrow(own, "doc_id bigint, vote double").toArrow()
+    label = {d: t / (t + c) for d, t, c in about}
+    a, b = calibration(got.column("vote").to_numpy(), np.array([label[d] for d in got.column("doc_id").to_pylist()]), np.ones(got.num_rows))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
         for batch in batches:
-            got = [with_copies(votes[tuple(t), tuple(c)], x) for t, c, x in zip(*(batch.column(c).to_pylist() for c in ("terms", "counts", "near")), strict=True)]
+            ids, counts = batch.column("ids"), batch.column("counts")
+            scores, evidence = [], []
+            for i, rest in enumerate(batch.column("rest").to_pylist()):
+                v, near, cosine = all_.vote(ids[i].values.to_numpy(), counts[i].values.to_numpy(), rest)
+                scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))))
+                evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e], strict=True)) | {"similarity": float(c)} for e, c in zip(near, cosine, strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array([g[0] for g in got], pa.float64()), pa.array([int(g[0] >= 0.5) for g in got], pa.int32()),
-                 pa.array([g[1] for g in got], pa.list_(ITEM))],
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
                 names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
-    return vectors.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "terms", "counts", "near").mapInArrow(run, f"doc_id bigint, text_hash bigint, {OUT}")
+    return rows.mapInArrow(run, schema)
 
 
 def reject_toxic(docs: DataFrame, scored: DataFrame) -> DataFrame:
