@@ -33,7 +33,7 @@ def unescape(text: Column) -> Column:
 
 
 def _visit(part: Column) -> Column:
-    """One part as (rendered, kind, ref, tokens): known attachment kinds become placeholders, all else escaped text."""
+    """One part as (text, mark, kind, ref, tokens): known attachment kinds have a placeholder for a mark, all else has text."""
     kind = F.lower(F.coalesce(part["type"], F.lit("text")))
     size = lambda n: F.ceil(F.greatest(F.coalesce(n, F.lit(PATCH)), F.lit(1)) / F.lit(PATCH))
     tokens = (
@@ -41,10 +41,23 @@ def _visit(part: Column) -> Column:
         .when(kind == "audio", F.ceil(F.greatest(F.coalesce(part["seconds"], F.lit(0.0)), F.lit(0.0)) * FRAMES))
         .when(kind == "document", F.greatest(F.coalesce(part["pages"], F.lit(1)), F.lit(0)) * PAGE)
     )
-    rendered = escape(F.coalesce(part["text"], F.lit("")))
-    for name, mark in PLACEHOLDERS.items():
-        rendered = F.when(kind == name, F.lit(mark)).otherwise(rendered)
-    return F.struct(rendered.alias("rendered"), kind.alias("kind"), part["ref"].alias("ref"), tokens.cast("long").alias("tokens"))
+    mark = F.lit(None).cast("string")
+    for name, placeholder in PLACEHOLDERS.items():
+        mark = F.when(kind == name, F.lit(placeholder)).otherwise(mark)
+    return F.struct(F.coalesce(part["text"], F.lit("")).alias("text"), mark.alias("mark"), kind.alias("kind"), part["ref"].alias("ref"), tokens.cast("long").alias("tokens"))
+
+
+def _render(parts: Column) -> Column:
+    """The visited parts as one string. Neighbouring texts are joined before they are escaped, so that no control string forms where they meet."""
+    nothing = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+
+    def add(acc: Column, p: Column) -> Column:
+        plain = p["mark"].isNull()
+        return F.struct(
+            F.when(plain, acc["done"]).otherwise(F.concat(acc["done"], escape(acc["open"]), p["mark"])).alias("done"),
+            F.when(plain, F.concat(acc["open"], p["text"])).otherwise(F.lit("")).alias("open"))
+
+    return F.aggregate(parts, nothing, add, lambda acc: F.concat(acc["done"], escape(acc["open"])))
 
 
 def text_part(text: Column) -> Column:
@@ -82,7 +95,7 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     rows = rows.select(
         "conv", "turn", "role", "parts",
         F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY)).alias("head"),
-        F.array_join(F.transform("parts", lambda p: p["rendered"]), "").alias("body"),
+        _render(F.col("parts")).alias("body"),
     )
     order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "body", F.to_json("parts"))
     whole = F.length("head") + F.length("body") + len(END)
@@ -111,13 +124,15 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     )
 
 
-def parse_chat(formatted: Column) -> Column:
-    """The turns of a formatted string as (role, text), unescaped; placeholders stay in the text."""
+def parse_chat(formatted: Column, placeholders: bool = True) -> Column:
+    """The turns of a formatted string as (role, text), unescaped; placeholders stay in the text, or are left out."""
+    marks = "|".join(p.replace("|", r"\|") for p in PLACEHOLDERS.values())
+    read = unescape if placeholders else lambda body: F.array_join(F.transform(F.split(body, marks, -1), unescape), "")
     quoted = lambda s: s.replace("|", r"\|")
     parts = F.filter(F.split(formatted, quoted(END), -1), lambda s: s.startswith(TURN))
     return F.transform(parts, lambda s: F.struct(
         unescape(F.substring_index(F.substr(s, F.lit(len(TURN) + 1)), BODY, 1)).alias("role"),
-        unescape(F.substr(s, F.locate(BODY, s) + len(BODY))).alias("text"),
+        read(F.substr(s, F.locate(BODY, s) + len(BODY))).alias("text"),
     ))
 
 
