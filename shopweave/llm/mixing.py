@@ -49,14 +49,17 @@ def source_targets(units: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     )
 
 
+_KEY = ("size", "doc_id", "key", "no")
+
+
 def _pivot(units: Column, seed: int) -> Column:
-    """Fold an ordered array of (size, doc_id, p): (carried unit, decided array of (size, doc_id, pick)).
+    """Fold an ordered array of (size, doc_id, key, no, p): (carried unit, decided array of (size, doc_id, key, no, pick)).
 
     At each step the carried unit and the next one meet; at random, with both
     expectations kept, one gives all it can to the other, so one becomes 0 or 1.
     """
-    decided = "array<struct<size:bigint,doc_id:bigint,pick:int>>"
-    unit = lambda x, p: F.struct(x["size"].alias("size"), x["doc_id"].alias("doc_id"), p.alias("p"))
+    decided = "array<struct<size:bigint,doc_id:bigint,key:bigint,no:bigint,pick:int>>"
+    of = lambda x: [x[n].alias(n) for n in _KEY]
 
     def meet(state: Column, x: Column) -> Column:
         a = state["unit"]
@@ -64,33 +67,41 @@ def _pivot(units: Column, seed: int) -> Column:
         low = total < 1
         # the chance that a is decided now: to 0 if the two together are below 1, else to 1
         chance = F.when(low, F.when(total > 0, x["p"] / total).otherwise(1.0)).otherwise((1 - x["p"]) / (2 - total))
-        stops = uniform(a["doc_id"], a["size"], x["doc_id"], x["size"], seed=seed) < chance
-        pick = F.when(low, 0).otherwise(1)
-        rest = F.when(low, total).otherwise(total - 1)
-        out = F.when(stops, F.struct(a["size"].alias("size"), a["doc_id"].alias("doc_id"), pick.alias("pick"))).otherwise(
-            F.struct(x["size"].alias("size"), x["doc_id"].alias("doc_id"), pick.alias("pick")))
-        return F.struct(F.when(stops, unit(x, rest)).otherwise(unit(a, rest)).alias("unit"), F.concat(state["decided"], F.array(out)).alias("decided"))
-
-    start = F.struct(unit(units[0], units[0]["p"]).alias("unit"), F.array().cast(decided).alias("decided"))
+        stops = uniform(*of(a), *of(x), seed=seed) < chance
+        pick = F.when(low, 0).otherwise(1).alias("pick")
+        rest = F.when(low, total).otherwise(total - 1).alias("p")
+        out = F.when(stops, F.struct(*of(a), pick)).otherwise(F.struct(*of(x), pick))
+        return F.struct(F.when(stops, F.struct(*of(x), rest)).otherwise(F.struct(*of(a), rest)).alias("unit"), F.concat(state["decided"], F.array(out)).alias("decided"))
+
+    start = F.struct(F.struct(*of(units[0]), units[0]["p"].alias("p")).alias("unit"), F.array().cast(decided).alias("decided"))
     return F.aggregate(F.slice(units, 2, F.greatest(F.size(units) - 1, F.lit(0))), start, meet)
 
 
+def _numbered(counted: DataFrame, n: str, step: int = 10_000) -> DataFrame:
+    """Each row of counted as often as its column n says, with no from 0 up in its place; many numbers of one row are dealt to many tasks."""
+    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / step)))).filter(F.col(n) > 0)
+    parts = parts.repartition(F.xxhash64(*[c for c in counted.columns], "part"))
+    first = F.col("part") * step
+    return parts.withColumn("no", F.explode(F.sequence(first, F.least(first + step, F.col(n)) - 1))).drop("part", n)
+
+
 def pivotal_round(units: DataFrame, seed: int = 0, fan_in: int = 64) -> DataFrame:
-    """Round units(source, doc_id, size, p) to picks 0 or 1: source, doc_id, size, pick.
+    """Round units(source, doc_id, size, p) to picks 0 or 1: source, doc_id, size, key, no, pick.
 
     A reduction tree: units of a source and size class meet in hashed groups of about
     fan_in, each group leaves one unit undecided, and those meet again in ever wider
     groups, at last one a source. Like sizes meet first, so what a pick shifts in
     words stays small. Each level is written to the shared folder; the levels'
-    tables shrink by fan_in. Rows that share source, size and doc_id share a group.
+    tables shrink by fan_in. Columns key and no tell units apart that share all else; without them such units share a group.
     """
+    units = units.withColumns({c: F.lit(0).cast("long") for c in ("key", "no") if c not in units.columns})
     total = units.count()
     bits = max(0, math.ceil(math.log2(max(total, 1) / fan_in)))
     step = max(1, int(math.log2(fan_in)))
-    unit = F.struct("size", "doc_id", "p")
+    unit = F.struct(*_KEY, "p")
     left = units.select(
         "source", F.floor(F.log(F.col("size") + F.lit(1.0)) * 8).cast("int").alias("size_class"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "size"), 64 - bits).alias("block") if bits else F.lit(0).cast("long").alias("block"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), *_KEY), 64 - bits).alias("block") if bits else F.lit(0).cast("long").alias("block"),
         unit.alias("unit"),
     )
     levels = [(0, bits)] + [(0, b) for b in range(bits - step, 0, -step)] + ([(0, 0)] if bits else []) + [(3, 0), (6, 0), (31, 0)]
@@ -102,39 +113,48 @@ def pivotal_round(units: DataFrame, seed: int = 0, fan_in: int = 64) -> DataFram
         ).agg(F.sort_array(F.collect_list("unit")).alias("units"), F.min("block").alias("block"))
         got = grouped.select("source", "size_class", "block", _pivot(F.col("units"), seed + n + 1).alias("got"))
         got = stored(got, f"mix-level{n}")
-        done.append(got.select("source", F.explode("got.decided").alias("x")).select("source", "x.doc_id", "x.size", "x.pick"))
+        done.append(got.select("source", F.explode("got.decided").alias("x")).select("source", *[f"x.{c}" for c in _KEY], "x.pick"))
         left = got.select("source", "size_class", "block", F.col("got.unit").alias("unit"))
     p = F.col("unit.p")
-    pick = F.when(p <= TINY, 0).when(p >= 1 - TINY, 1).otherwise((uniform(F.col("unit.doc_id"), F.col("unit.size"), seed=seed) < p).cast("int"))
-    out = left.select("source", "unit.doc_id", "unit.size", pick.alias("pick"))
+    pick = F.when(p <= TINY, 0).when(p >= 1 - TINY, 1).otherwise((uniform(*[F.col(f"unit.{c}") for c in _KEY], seed=seed) < p).cast("int"))
+    out = left.select("source", *[f"unit.{c}" for c in _KEY], pick.alias("pick"))
     for x in done:
         out = out.unionByName(x)
     return out
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0, fan_in: int = 64) -> DataFrame:
-    """Copies per document: source, doc_id, size, source_size, target, copies, taken = copies * size.
+    """Copies per row: source, doc_id, size, key, source_size, target, copies, taken = copies * size.
 
     docs needs doc_id, text and source. Null text has size 0, null source is a source
-    of its own. Each row is rounded for itself, so repeated rows may differ by one
+    of its own. key is a hash of all columns of the row; rows that are equal in all of them are numbered and each is rounded for itself, so they may differ by one
     copy. No document gets more than ceil(most) copies; an empty table gives none.
     """
-    units = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-units")
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _row_key(docs).alias("key"))
+    units = stored(rows.groupBy("doc_id", "source", "size", "key").agg(F.count("*").alias("rows")), "mix-counted")
+    units = stored(_numbered(units, "rows"), "mix-units")
     targets = stored(source_targets(units, weights, share, most), "mix-targets")
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    rated = units.join(targets, same(units, targets)).select(units["source"], "doc_id", "size", (F.col("rate") - F.floor("rate")).alias("p"))
+    rated = units.join(targets, same(units, targets)).select(units["source"], *_KEY, (F.col("rate") - F.floor("rate")).alias("p"))
     picks = pivotal_round(rated, seed, fan_in)
     out = picks.join(targets, same(picks, targets)).select(
-        picks["source"], "doc_id", "size", "source_size", "target", (F.floor("rate") + F.col("pick")).alias("copies"))
+        picks["source"], "doc_id", "size", "key", "source_size", "target", (F.floor("rate") + F.col("pick")).alias("copies"))
     return out.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)])
+
+
 def repeat_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Every row of docs as often as its document is taken: all columns of docs, rows of 0 copies gone.
+    """Every row of docs as often as mixed = mix_sources(docs) takes it: all columns of docs, rows of 0 copies gone.
 
-    Where a (source, doc_id) repeats, its rows share the largest count given to any of them.
+    Rows are told apart by the hash of all their columns. Rows that are equal share what is taken of them
+    evenly; one of them has the remainder.
     """
-    copies = mixed.groupBy("source", "doc_id").agg(F.max("copies").cast("int").alias("copies")).filter("copies > 0")
-    on = docs["doc_id"].eqNullSafe(copies["doc_id"]) & docs["source"].eqNullSafe(copies["source"])
-    row = F.struct(*[docs[c] for c in docs.columns])
-    return docs.join(copies, on).select(F.explode(F.array_repeat(row, copies["copies"])).alias("r")).select("r.*")
+    taken = mixed.groupBy("key").agg(F.sum("copies").cast("long").alias("__taken"), F.count("*").alias("__rows")).filter("__taken > 0").withColumnRenamed("key", "__key")
+    keyed = docs.withColumn("__key", _row_key(docs)).join(taken, "__key")
+    each = keyed.withColumn("__n", F.floor(F.col("__taken") / F.col("__rows"))).filter("__n > 0")
+    each = each.withColumn("__no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+    left = keyed.filter("__rows > 1 AND __taken % __rows > 0").dropDuplicates(["__key"]).withColumn("__n", F.col("__taken") % F.col("__rows"))
+    return each.select(*docs.columns).unionByName(_numbered(left.select(*docs.columns, "__n"), "__n").select(*docs.columns))
