@@ -122,13 +122,22 @@ class Numbers:
     def __init__(self, known: np.ndarray, tied: list[str]):
         self.known, self.size = known, len(known) + len(tied)
         self.tied = {t: len(known) + i for i, t in enumerate(tied)}
-        self.of = Remembered(self.find, REMEMBERED)
+        self.several: list[tuple[int, list[int]]] = []
+        self.of = Remembered(self.code, REMEMBERED)
 
-    def find(self, word: str) -> tuple[int, list[int]]:
+    def find(self, word: str) -> int:
+        """The word's number, -1 if no example has it."""
         h = word_hash(word)
         i = int(np.searchsorted(self.known, h))
+        return i if i < len(self.known) and self.known[i] == h else -1
+
+    def code(self, word: str) -> int:
+        """The word's number, or, if it has tied beginnings, -2 less the place in several of all its numbers."""
         own = [self.tied[t] for t in terms_of(word)[1:] if t in self.tied]
-        return (i if i < len(self.known) and self.known[i] == h else -1), own
+        if not own:
+            return self.find(word)
+        self.several.append((self.find(word), own))
+        return -1 - len(self.several)
 
 
 def vectors(docs: DataFrame, numbers: tuple[np.ndarray, list[str]]) -> DataFrame:
@@ -136,30 +145,33 @@ def vectors(docs: DataFrame, numbers: tuple[np.ndarray, list[str]]) -> DataFrame
     sent, mark = docs.sparkSession.sparkContext.broadcast(numbers), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = held(("toxicity", mark), lambda: Numbers(*sent.value)).of
+        numbers_ = held(("toxicity", mark), lambda: Numbers(*sent.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, counts, rest, sizes = [], [], [], []
-                for text in part.column("text").to_pylist():
-                    got: dict[int, int] = {}
-                    other = 0.0
-                    for w, c in Counter(words(text)).items():
-                        i, tied = known[w]
-                        if i < 0:
-                            other += (1 + math.log(c)) ** 2
-                        else:
-                            got[i] = c
-                        for t in tied:
-                            got[t] = got.get(t, 0) + c
-                    ids += got.keys()
-                    counts += got.values()
-                    rest.append(other)
-                    sizes.append(len(got))
-                edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), pa.ListArray.from_arrays(edges, pa.array(ids, pa.int32())), pa.ListArray.from_arrays(edges, pa.array(counts, pa.int32())), pa.array(rest, pa.float64())],
-                    names=["doc_id", "text_hash", "ids", "counts", "rest"])
+                bags = [Counter(words(t)) for t in part.column("text").to_pylist()]
+                sizes = np.array([len(g) for g in bags])
+                total = int(sizes.sum())
+                ids = np.fromiter(map(numbers_.of.__getitem__, chain.from_iterable(bags)), dtype=np.int64, count=total)
+                counts = np.fromiter(chain.from_iterable(g.values() for g in bags), dtype=np.int64, count=total)
+                doc = np.repeat(np.arange(len(bags)), sizes)
+                more: list[tuple[int, int, int]] = []
+                for i in np.nonzero(ids < -1)[0].tolist():
+                    ids[i], own = numbers_.several[-2 - ids[i]]
+                    more += ((int(doc[i]), t, int(counts[i])) for t in own)
+                unknown = ids < 0
+                rest = np.bincount(doc[unknown], (1 + np.log(counts[unknown])) ** 2, minlength=len(bags)).astype(float)
+                doc, ids, counts = doc[~unknown], ids[~unknown], counts[~unknown]
+                if more:
+                    once: Counter = Counter()
+                    for d, t, c in more:
+                        once[d, t] += c
+                    doc, ids, counts = (np.concatenate([x, y]) for x, y in zip((doc, ids, counts), ([d for d, _ in once], [t for _, t in once], list(once.values())), strict=True))
+                    order = np.argsort(doc, kind="stable")
+                    doc, ids, counts = doc[order], ids[order], counts[order]
+                edges = pa.array(np.searchsorted(doc, np.arange(len(bags) + 1)), pa.int32())
+                lists = (pa.ListArray.from_arrays(edges, pa.array(x.astype(np.int32))) for x in (ids, counts))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), *lists, pa.array(rest)], names=["doc_id", "text_hash", "ids", "counts", "rest"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, ids array<int>, counts array<int>, rest double")
@@ -199,34 +211,48 @@ def document_frequencies(found: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
 
 class BlockMaxIndex:
-    """Examples as postings (entry, term, weight), in blocks of entries with the largest weight of each term.
+    """Examples as postings, in blocks of entries with the largest weight of each term.
 
-    Neighbours in the given order share a block; bounds are tight where they are alike.
+    Given are each entry's terms and weights, one entry after the other. Neighbours share a block; bounds are tight where they are alike.
     Terms of very many entries are kept as rows of a matrix, whose product is exact and
     sharpens the bounds of the others.
     """
 
-    def __init__(self, entry: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, n_entries: int, block: int = BLOCK):
-        self.block, self.n, self.blocks = block, n_entries, max(1, -(-n_entries // block))
-        often = np.nonzero(np.bincount(term, minlength=n_terms) > max(8, FREQUENT * n_entries))[0]
+    def __init__(self, sizes: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK):
+        self.block, self.blocks = block, max(1, -(-len(sizes) // block))
+        entry = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        often = np.nonzero(np.bincount(term, minlength=n_terms) > max(8, FREQUENT * len(sizes)))[0]
         self.row = np.full(n_terms, -1, dtype=np.int32)
         self.row[often] = np.arange(len(often))
         self.rows = np.zeros((len(often), self.blocks * block), dtype=np.float32)
         dense = self.row[term] >= 0
         self.rows[self.row[term[dense]], entry[dense]] = weight[dense]
-        entry, term, weight = entry[~dense], term[~dense], weight[~dense]
-        order = np.lexsort((entry, term))
-        self.entry, term, self.weight = entry[order].astype(np.int32), term[order], weight[order].astype(np.float32)
-        of = self.entry // block
+        sparse = np.nonzero(~dense)[0].astype(np.int32)
+        sparse = sparse[np.argsort(term[sparse], kind="stable")]
+        self.entry, term, self.weight = entry[sparse], term[sparse], weight[sparse].astype(np.float32)
+        del entry, dense, sparse
+        of = (self.entry // block).astype(np.int32)
         heads = np.nonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (of[1:] != of[:-1])])[: len(term)])[0]
-        self.run_start, self.run_length, self.run_block = heads.astype(np.int32), np.diff(np.append(heads, len(term))).astype(np.int32), of[heads]
+        self.run_start, self.run_block = heads.astype(np.int32), of[heads]
+        self.run_length = np.diff(np.append(heads, len(term))).astype(np.int16)
         self.run_most = np.maximum.reduceat(self.weight, heads) if len(heads) else self.weight
         self.term_runs = np.searchsorted(term[heads], np.arange(n_terms + 1)).astype(np.int32)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of highest positive cosine and their cosines, exactly, but not the entry `without`; ties to the smaller number. Blocks whose bound is below the k-th best are skipped."""
+    def frequent(self, terms: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+        """What the frequent terms add to the cosines of queries (rows) to all entries."""
+        q = np.zeros((len(terms), len(self.rows)), dtype=np.float32)
+        for i, (t, w) in enumerate(zip(terms, weights, strict=True)):
+            row = self.row[t]
+            q[i, row[row >= 0]] = w[row >= 0]
+        return q @ self.rows
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k entries of highest positive cosine and their cosines, exactly, but not the entry `without`; ties to the smaller number.
+
+        Blocks whose bound is below the k-th best are skipped. frequent: the query's row of that, if it is known.
+        """
         row = self.row[terms]
-        scores = (weights[row >= 0].astype(np.float32) @ self.rows[row[row >= 0]]).astype(float)
+        scores = (self.frequent([terms], [weights])[0] if frequent is None else frequent).astype(float)
         terms, weights = terms[row < 0], weights[row < 0]
         lo = self.term_runs[terms]
         n = self.term_runs[terms + 1] - lo
@@ -262,46 +288,43 @@ class BlockMaxIndex:
         return found, np.minimum(scores[found], 1.0)
 
 
+def arranged(about: list[tuple[int, int, int]], ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, weight: np.ndarray, boosted: np.ndarray) -> tuple:
+    """about, sizes, ids and unit weights of the entries, ordered so that those with the same strongest tied term, or else the same most frequent word, are neighbours."""
+    first = np.cumsum(sizes) - sizes
+    w = ((1 + np.log(counts)) * weight[ids]).astype(np.float32)
+    w /= np.repeat(np.sqrt(np.add.reduceat(w * w, first)) if len(ids) else w, sizes)
+    lead = np.array([(-1, x[c.argmax()]) if not b.any() else (x[(v * b).argmax()], -1) for x, c, v, b in zip(*(np.split(a, first[1:]) for a in (ids, counts, w, boosted[ids])), strict=True)]).reshape(-1, 2)
+    order = np.lexsort((np.arange(len(about)), lead[:, 1], lead[:, 0]))
+    at = np.repeat(first[order] - np.cumsum(sizes[order]) + sizes[order], sizes[order]) + np.arange(len(ids))
+    return [about[i] for i in order], sizes[order], ids[at].astype(np.int32), w[at]
+
+
 class Examples:
-    """The index of the examples, and how the nearest of them vote.
+    """The index of the examples as arranged, and how the nearest of them vote."""
 
-    about: (doc_id, toxic, clean) of each entry; entries are equal texts. ids, counts, edges: their terms.
-    """
+    def __init__(self, entries: tuple, weight: np.ndarray, new: float, k: int):
+        self.about, sizes, ids, unit = entries
+        self.k, self.weight, self.new = k, weight, new
+        self.toxic = np.array([t / (t + c) for _, t, c in self.about])
+        self.place = {d: i for i, (d, _, _) in enumerate(self.about)}
+        self.index = BlockMaxIndex(sizes, ids, unit, len(weight))
 
-    def __init__(self, about: list[tuple[int, int, int]], ids: np.ndarray, counts: np.ndarray, edges: np.ndarray, df: np.ndarray, n_docs: int, boost: np.ndarray, k: int):
-        self.k, self.toxic = k, np.array([t / (t + c) for _, t, c in about])
-        self.new = math.log(1 + n_docs) + 1
-        self.weight = (np.log((1 + n_docs) / (1 + df)) + 1) * boost
-        entry = np.repeat(np.arange(len(about)), np.diff(edges))
-        w = (1 + np.log(counts)) * self.weight[ids]
-        norm = np.sqrt(np.bincount(entry, w * w, minlength=len(about)))
-        # those with the same strongest term, or else the same most frequent word, are neighbours
-        first = edges[:-1]
-        strongest = ids[self._largest(np.where(boost[ids] > 1, w, 0), entry, first)] if len(ids) else ids
-        common = ids[self._largest(counts.astype(float), entry, first)] if len(ids) else ids
-        tied = np.bincount(entry, boost[ids] > 1, minlength=len(about)) > 0
-        order = np.lexsort((np.arange(len(about)), common, np.where(tied, strongest, -1))) if len(ids) else np.arange(len(about))
-        place = np.empty(len(about), dtype=np.int64)
-        place[order] = np.arange(len(about))
-        self.place = {about[i][0]: int(p) for i, p in enumerate(place)}
-        self.about, self.toxic = [about[i] for i in order], self.toxic[order]
-        self.index = BlockMaxIndex(place[entry], ids, w / norm[entry], len(df), len(about))
-
-    @staticmethod
-    def _largest(v: np.ndarray, entry: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Where each entry's largest value stands first."""
-        order = np.lexsort((np.arange(len(v)), -v, entry))
-        return order[first]
-
-    def vote(self, ids: np.ndarray, counts: np.ndarray, rest: float, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """Share of toxic votes, one weak vote of the class share among them, and the voters and their cosines."""
+    def votes(self, ids: list[np.ndarray], counts: list[np.ndarray], rest: list[float], without: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text the share of toxic votes, one weak vote of the class share among them, and the voters and their cosines."""
         prior = float(self.toxic.mean())
-        if not len(ids):
-            return prior, np.empty(0, dtype=int), np.empty(0)
-        w = (1 + np.log(counts)) * self.weight[ids]
-        found, cosine = self.index.nearest(ids, w / math.sqrt(w @ w + rest * self.new**2), self.k, without)
-        votes = 1 / (1 - cosine + CLOSE) ** POWER
-        return float((prior + votes @ self.toxic[found]) / (1 + votes.sum())), found, cosine
+        queries = []
+        for i, c, r in zip(ids, counts, rest, strict=True):
+            w = (1 + np.log(c)) * self.weight[i]
+            queries.append(w / math.sqrt(w @ w + r * self.new**2) if len(i) else w)
+        frequent, out = self.index.frequent(ids, queries), []
+        for n, (i, w) in enumerate(zip(ids, queries, strict=True)):
+            if not len(i):
+                out.append((prior, np.empty(0, dtype=int), np.empty(0)))
+                continue
+            found, cosine = self.index.nearest(i, w, self.k, -1 if without is None else without[n], frequent[n])
+            votes = 1 / (1 - cosine + CLOSE) ** POWER
+            out.append((float((prior + votes @ self.toxic[found]) / (1 + votes.sum())), found, cosine))
+        return out
 
 
 def calibration(votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -338,7 +361,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     df, n_docs = document_frequencies(found, numbers.size)
     boost = np.ones(numbers.size)
     for t, g in boosted.items():
-        boost[numbers.tied[t] if t in numbers.tied else numbers.find(t)[0]] = g
+        boost[numbers.tied[t] if t in numbers.tied else numbers.find(t)] = g
     # examples with equal texts are one entry that counts for all of them; those without words are none
     entries = (found.join(F.broadcast(sample), "doc_id").filter(F.size("ids") > 0).groupBy("text_hash")
                .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("ids").alias("ids"), F.first("counts").alias("counts"))).toArrow().combine_chunks().sort_by("doc_id")
@@ -349,14 +372,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
         nothing = F.array().cast(EVIDENCE)
         return rows.select("doc_id", "text_hash", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), nothing.alias("evidence"))
     flat = lambda c: entries.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    edges = np.concatenate([[0], np.cumsum([len(x) for x in entries.column("ids")])])
-    sent, mark = docs.sparkSession.sparkContext.broadcast((about, flat("ids"), flat("counts"), edges, df, n_docs, boost, k)), uuid.uuid4().hex
+    sizes = np.array([len(x) for x in entries.column("ids")])
+    weight = (np.log((1 + n_docs) / (1 + df)) + 1) * boost
+    order = arranged(about, flat("ids"), flat("counts"), sizes, weight, boost > 1)
+    del entries
+    sent, mark = docs.sparkSession.sparkContext.broadcast((order, weight, math.log(1 + n_docs) + 1, k)), uuid.uuid4().hex
+    lists = lambda part, c: [x.values.to_numpy() for x in part.column(c)]
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
         for batch in batches:
-            votes = [all_.vote(np.array(i), np.array(c), 0.0, all_.place[d])[0] for d, i, c in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "counts")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], names=["doc_id", "vote"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                got = all_.votes(lists(part, "ids"), lists(part, "counts"), [0.0] * part.num_rows, [all_.place[d] for d in part.column("doc_id").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([v for v, _, _ in got], pa.float64())], names=["doc_id", "vote"])
 
     firsts = docs.sparkSession.createDataFrame([(d,) for d, _, _ in about], "doc_id bigint")
     got = found.join(F.broadcast(firsts), "doc_id").filter(F.size("ids") > 0).dropDuplicates(["doc_id"]).select("doc_id", "ids", "counts").mapInArrow(own, "doc_id bigint, vote double").toArrow()
@@ -366,15 +395,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
         for batch in batches:
-            ids, counts = batch.column("ids"), batch.column("counts")
-            scores, evidence = [], []
-            for i, rest in enumerate(batch.column("rest").to_pylist()):
-                v, near, cosine = all_.vote(ids[i].values.to_numpy(), counts[i].values.to_numpy(), rest)
-                scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))))
-                evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e], strict=True)) | {"similarity": float(c)} for e, c in zip(near, cosine, strict=True)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
-                names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                scores, evidence = [], []
+                for v, near, cosine in all_.votes(lists(part, "ids"), lists(part, "counts"), part.column("rest").to_pylist()):
+                    scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))))
+                    evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e], strict=True)) | {"similarity": c} for e, c in zip(near.tolist(), cosine.tolist(), strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_hash"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
+                    names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     return rows.mapInArrow(run, schema)
 
