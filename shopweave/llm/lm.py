@@ -19,7 +19,7 @@ import heapq
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ TABLES = ((18, 19, 19, 18), (17, 17, 17, 18, 18, 18))
 ORDERS = (1, 2, 3, 4, 6)
 #: Sets of weights of either kind, places on the map, and counts added to both outcomes.
 GATES, BUCKETS, PRIOR = 32, 33, 0.4
+#: Logistic predictions are kept as multiples of this, in one byte each, so that tables stay in a processor's cache.
+STEP = 1 / 12
 #: Steps in which weights and map are learnt, each from an equal share of the training texts; the pull of weights to their start, and of the map, in bits.
 STEPS, PULL, MAP_PULL = 3, 1.0, 50.0
 #: Words with codes, and the most bytes of one; others are spelled.
@@ -154,13 +156,13 @@ class Reader:
         self.number = {w: i for i, w in enumerate(code.words)}
         self.hashes = np.array([*map(word_hash, code.words), 1, 2], dtype=np.uint64)
         node = np.arange(len(code.words) + 2, dtype=np.uint64)
-        self.node_hash = _slot(_mix(node * _M1 + np.uint64(5)), 18)
+        self.node_hash = _slot(_mix(node * _M1 + np.uint64(5)), 18) * 2
 
 
 _BYTE = np.arange(256)
-#: Per bit and byte: the bit, and a hash of the bits before it.
+#: Per bit and byte: the bit, and a hash of the bits before it, doubled, and the bit.
 _OUTCOME = np.array([(_BYTE >> (7 - j)) & 1 for j in range(8)], dtype=bool)
-_PREFIX = np.array([_slot(_mix(((1 << j) | (_BYTE >> (8 - j))).astype(np.uint64) * _M1), 17) for j in range(8)])
+_PREFIX = np.array([_slot(_mix(((1 << j) | (_BYTE >> (8 - j))).astype(np.uint64) * _M1), 17) * 2 + _OUTCOME[j] for j in range(8)])
 
 
 class Stream:
@@ -176,12 +178,12 @@ class Stream:
         coded[first] = False
         inner = coded.copy()
         inner[first + self.sizes + 1] = False
-        ids[inner] = np.fromiter((i for x in lists for i in map(reader.number.get, x, repeat(code.escape))), dtype=np.int64, count=int(self.sizes.sum()))
+        ids[inner] = np.fromiter(map(reader.number.get, chain.from_iterable(lists), repeat(code.escape)), dtype=np.int64, count=int(self.sizes.sum()))
         self.ids, self.coded, self.first, self.inner = ids, coded, first, inner
         self.rare = np.nonzero(ids == code.escape)[0]  # places of words that are spelled
         place = np.full(len(ids), -1)
         place[inner] = np.arange(int(self.sizes.sum()))
-        flat = [w for x in lists for w in x]
+        flat = list(chain.from_iterable(lists))
         self.spelled = [flat[i] for i in place[self.rare]]
         # the last very frequent word before each place
         start = ~coded
@@ -196,18 +198,19 @@ class Stream:
         return h
 
     def events(self) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray], np.ndarray]]:
-        """Bits by kind (0: of codes, 1: of bytes) and gate: kind, gate, outcomes, slots per predictor, and places of their words."""
+        """Bits by kind (0: of codes, 1: of bytes) and gate: kind, gate, outcomes, twice the slot plus the outcome for each predictor, and places of their words."""
         code = self.reader.code
         at = np.nonzero(self.coded)[0]
         one, two = np.roll(self.ids, 1).astype(np.uint64), np.roll(self.ids, 2).astype(np.uint64)
-        hashed = [_slot(_mix(x * _M1 + np.uint64(k)), bits) for k, (bits, x) in enumerate(zip(TABLES[0][1:], (self.latest.astype(np.uint64), one, one + (two << np.uint64(32))), strict=True))]
+        hashed = [_slot(_mix(x * _M1 + np.uint64(k)), bits) * 2 for k, (bits, x) in enumerate(zip(TABLES[0][1:], (self.latest.astype(np.uint64), one, one + (two << np.uint64(32))), strict=True))]
         d = 0
         while len(at := at[code.lengths[self.ids[at]] > d]):
             for part in np.array_split(at, -(-len(at) // (1 << 15))):
                 path = code.starts[self.ids[part]] + d
                 node = code.nodes[path].astype(np.int64)
-                mixed = self.reader.node_hash[node]
-                yield 0, min(d, GATES - 1), code.bits[path], [node, *(h[part] ^ mixed for h in hashed)], part
+                y = code.bits[path]
+                mixed = self.reader.node_hash[node] + y
+                yield 0, min(d, GATES - 1), y, [node * 2 + y, *(h[part] ^ mixed for h in hashed)], part
             d += 1
         if not self.spelled:
             return
@@ -219,9 +222,9 @@ class Stream:
         for back in range(1, max(ORDERS) + 1):
             before[back:] |= np.where(inside[back:] >= back, flat[:-back], 0).astype(np.uint64) << np.uint64(8 * back - 8)
             if back in ORDERS:
-                contexts.append(_slot(_mix((before + np.uint64(back)) * _M1), TABLES[1][len(contexts)]))
+                contexts.append(_slot(_mix((before + np.uint64(back)) * _M1), TABLES[1][len(contexts)]) * 2)
             if back == 2:
-                spoken = _slot(_mix((before + (self.latest[self.rare][word].astype(np.uint64) << np.uint64(20))) * _M1 + np.uint64(9)), TABLES[1][-1])
+                spoken = _slot(_mix((before + (self.latest[self.rare][word].astype(np.uint64) << np.uint64(20))) * _M1 + np.uint64(9)), TABLES[1][-1]) * 2
         contexts.append(spoken)
         for k in range(4):
             for part in np.array_split(own := np.nonzero(np.minimum(inside, 3) == k)[0], max(1, len(own) >> 15)):
@@ -236,10 +239,10 @@ _EDGES = [np.cumsum([0, *(1 << b for b in bits)]) for bits in TABLES]
 SLOTS = int(_EDGES[0][-1] + _EDGES[1][-1])
 
 
-def _tables(flat: np.ndarray, width: int = 1) -> list[list[np.ndarray]]:
-    """Each kind's tables as parts of one array, in which each slot has `width` numbers."""
+def _tables(flat: np.ndarray) -> list[list[np.ndarray]]:
+    """Each kind's tables as parts of one array, in which each slot has a number for each outcome."""
     base = (0, int(_EDGES[0][-1]))
-    return [[flat[width * (base[k] + a) : width * (base[k] + b)] for a, b in zip(e[:-1], e[1:], strict=True)] for k, e in enumerate(_EDGES)]
+    return [[flat[2 * (base[k] + a) : 2 * (base[k] + b)] for a, b in zip(e[:-1], e[1:], strict=True)] for k, e in enumerate(_EDGES)]
 
 
 class Mixer:
@@ -252,31 +255,40 @@ class Mixer:
 
     @staticmethod
     def stretched(counts: np.ndarray, left_out: bool = False) -> np.ndarray:
-        """Logistic predictions of counts(slot, outcome); left_out gives two per slot, with one mark of outcome 0 or 1 taken off."""
+        """Logistic predictions of counts(slot, outcome), two per slot; left_out: with one mark of outcome 0 or 1 taken off."""
         n0, n1 = counts[:, 0].astype(np.float32), counts[:, 1].astype(np.float32)
-        ratio = lambda zeros, ones: np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
-        return np.stack([ratio(np.maximum(n0 - 1, 0), n1), ratio(n0, np.maximum(n1 - 1, 0))], axis=1).ravel() if left_out else ratio(n0, n1)
+        ratio = lambda zeros, ones: np.clip(np.rint(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))) / np.float32(STEP)), -127, 127).astype(np.int8)
+        off = int(left_out)
+        return np.stack([ratio(np.maximum(n0 - off, 0), n1), ratio(n0, np.maximum(n1 - off, 0))], axis=1).ravel()
+
+    @staticmethod
+    def _inputs(tables: list[np.ndarray], slots: list[np.ndarray]) -> np.ndarray:
+        x = np.empty((len(slots), len(slots[0])), dtype=np.float32)
+        for row, table, s in zip(x, tables, slots, strict=True):
+            np.multiply(table.take(s), np.float32(STEP), out=row)
+        return x
 
     def _mixed(self, kind: int, gate: int, x: np.ndarray) -> np.ndarray:
         return np.clip(self.weights[kind][gate].astype(np.float32) @ x, -8, 8)
 
-    def sums(self, stream: Stream, tables: list[list[np.ndarray]], total: list[np.ndarray]) -> None:
-        """Add to total, per kind and gate: loss, gradient and curvature of the weights, and per place on the map bits and ones."""
+    def sums(self, stream: Stream, tables: list[list[np.ndarray]], total: list[np.ndarray], last: bool) -> None:
+        """Add to total, per kind and gate: gradient and curvature of the weights, or, in the last step, per place on the map bits and ones."""
         for kind, gate, y, slots, _ in stream.events():
-            x = np.stack([t.take(s * 2 + y) for t, s in zip(tables[kind], slots, strict=True)])
+            x = self._inputs(tables[kind], slots)
             mixed, n = self._mixed(kind, gate, x), len(x)
-            p = 1 / (1 + np.exp(-mixed))
             row = total[kind][gate]
-            row[0] -= np.log(np.where(y, p, 1 - p)).sum(dtype=float)
-            row[1 : 1 + n] += x @ (y - p)
-            row[1 + n : 1 + n + n * n] += ((x * (p * (1 - p))) @ x.T).ravel()
-            place = np.rint((mixed + 8) * 2).astype(np.int64)
-            row[-2 * BUCKETS : -BUCKETS] += np.bincount(place, minlength=BUCKETS)
-            row[-BUCKETS:] += np.bincount(place, y, minlength=BUCKETS)
+            if last:
+                place = np.rint((mixed + 8) * 2).astype(np.int64)
+                row[-2 * BUCKETS : -BUCKETS] += np.bincount(place, minlength=BUCKETS)
+                row[-BUCKETS:] += np.bincount(place[y], minlength=BUCKETS)
+            else:
+                p = 1 / (1 + np.exp(-mixed))
+                row[:n] += x @ (y - p)
+                row[n : n + n * n] += ((x * (p * (1 - p))) @ x.T).ravel()
 
     @staticmethod
     def nothing() -> list[np.ndarray]:
-        return [np.zeros((GATES, 1 + len(bits) + len(bits) ** 2 + 2 * BUCKETS)) for bits in TABLES]
+        return [np.zeros((GATES, len(bits) + len(bits) ** 2 + 2 * BUCKETS)) for bits in TABLES]
 
     def step(self, total: list[np.ndarray], last: bool) -> None:
         """A Newton step of the weights; in the last step the map, under weights that stay."""
@@ -286,17 +298,17 @@ class Mixer:
                 hits, ones = t[:, -2 * BUCKETS : -BUCKETS], t[:, -BUCKETS:]
                 self.map[kind] = np.round((ones + MAP_PULL * self.map[kind]) / (hits + MAP_PULL), 6)
                 continue
-            curve = t[:, 1 + n : 1 + n + n * n].reshape(GATES, n, n) + PULL * np.eye(n)
+            curve = t[:, n : n + n * n].reshape(GATES, n, n) + PULL * np.eye(n)
             off = self.weights[kind] - self.start[kind]
-            change = np.linalg.solve(curve, (t[:, 1 : 1 + n] - PULL * off)[..., None])[..., 0]
+            change = np.linalg.solve(curve, (t[:, :n] - PULL * off)[..., None])[..., 0]
             # rounded, so that the order in which tasks are summed does not show
             self.weights[kind] = np.round(self.weights[kind] + np.clip(change, -1, 1), 4)
 
-    def log10(self, stream: Stream, tables: list[list[np.ndarray]], left_out: bool) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the probability of each place's symbol, and of each spelled word's bytes; left_out: each bit without its own mark."""
+    def log10(self, stream: Stream, tables: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each place's symbol, and of each spelled word's bytes."""
         out = np.zeros((2, len(stream.ids)))
         for kind, gate, y, slots, at in stream.events():
-            mixed = self._mixed(kind, gate, np.stack([t.take(s * 2 + y if left_out else s) for t, s in zip(tables[kind], slots, strict=True)]))
+            mixed = self._mixed(kind, gate, self._inputs(tables[kind], slots))
             place = np.rint((mixed + 8) * 2).astype(np.int64)
             p1 = np.clip((1 / (1 + np.exp(-mixed)) + self.map[kind][gate].astype(np.float32)[place]) / 2, 1e-6, 1 - 1e-6)
             cost = np.log(np.where(y, p1, 1 - p1))
@@ -318,7 +330,7 @@ def context_counts(docs: DataFrame, sent: object) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, total = _reader(sent), np.zeros(SLOTS * 2, dtype=np.int32)
-        parts = _tables(total, 2)
+        parts = _tables(total)
         waiting: list[list[list[np.ndarray]]] = [[[] for _ in bits] for bits in TABLES]
         held_now = 0
 
@@ -326,16 +338,16 @@ def context_counts(docs: DataFrame, sent: object) -> np.ndarray:
             for kind, tables in enumerate(parts):
                 for k, table in enumerate(tables):
                     if waiting[kind][k]:
-                        table += np.bincount(np.concatenate(waiting[kind][k]), minlength=len(table)).astype(np.int32)
+                        np.add(table, np.bincount(np.concatenate(waiting[kind][k]), minlength=len(table)), out=table, casting="unsafe")
                         waiting[kind][k].clear()
 
         for batch in batches:
             for part in slices(batch):
                 for kind, _, y, slots, _ in Stream([tokens(t) for t in part.column("text").to_pylist()], reader).events():
                     for k, s in enumerate(slots):
-                        waiting[kind][k].append((s * 2 + y).astype(np.int32))
+                        waiting[kind][k].append(s.astype(np.int32))
                     held_now += len(y)
-                    if held_now > 1 << 21:
+                    if held_now > 1 << 22:
                         add()
                         held_now = 0
         add()
@@ -368,11 +380,11 @@ def learn(docs: DataFrame, sent: object, counts: np.ndarray, steps: int = STEPS)
     tables = spark.sparkContext.broadcast(Mixer.stretched(counts, left_out=True))
     for k in range(steps):
 
-        def run(batches: Iterator[pa.RecordBatch], mixer: Mixer = mixer) -> Iterator[pa.RecordBatch]:
-            reader, total, parts = _reader(sent), Mixer.nothing(), _tables(tables.value, 2)
+        def run(batches: Iterator[pa.RecordBatch], mixer: Mixer = mixer, last: bool = k == steps - 1) -> Iterator[pa.RecordBatch]:
+            reader, total, parts = _reader(sent), Mixer.nothing(), _tables(tables.value)
             for batch in batches:
                 for part in slices(batch):
-                    mixer.sums(Stream([tokens(t) for t in part.column("text").to_pylist()], reader), parts, total)
+                    mixer.sums(Stream([tokens(t) for t in part.column("text").to_pylist()], reader), parts, total, last)
             flat = np.concatenate([t.ravel() for t in total])
             used = np.nonzero(flat)[0]
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], names=["place", "v"])
@@ -436,7 +448,7 @@ def read_texts(docs: DataFrame, sent: object, counts: np.ndarray, mixer: Mixer,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        reader, parts = _reader(sent), {False: _tables(tables.value), True: _tables(others.value, 2)}
+        reader, parts = _reader(sent), {False: _tables(tables.value), True: _tables(others.value)}
         code = reader.code
         base = np.log10((np.concatenate([code.counts, [0, 0]]) + 0.1) / below)
         row = TaskContext.get().partitionId() << 36
@@ -448,7 +460,7 @@ def read_texts(docs: DataFrame, sent: object, counts: np.ndarray, mixer: Mixer,
             for part, teaches in ((some, t) for part in slices(batch) for t in (True, False) if (some := part.filter(pc.equal(part.column("held_out"), not t))).num_rows):
                 lists = [tokens(t) for t in part.column("text").to_pylist()]
                 s, n = Stream(lists, reader), len(lists)
-                p, spelled = mixer.log10(s, parts[teaches], teaches)
+                p, spelled = mixer.log10(s, parts[teaches])
                 number, keys = phrases(s)
                 firsts = number[s.first + 1]
                 sums = np.bincount(number[s.coded], p[s.coded], minlength=len(keys))

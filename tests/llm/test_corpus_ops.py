@@ -175,6 +175,26 @@ def test_topk_edges(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_repeated_ids_and_overflow(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 9.0]), (2, [0.5, 0.0]), (3, [0.25, 0.0]), (4, [1e18, 0.0]), (5, [1e30, 1.0]), (6, [-1e17, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for shard in (2, 100):
+        got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df.repartition(3), F.col("vec_id") % 4 == 0, k=3, shard=shard).collect()]
+        assert sorted(got) == [(0, 1, 1, 65536), (0, 2, 2, 32768), (0, 3, 3, 16384)]
+
+
+def test_merge_tree_and_grid(spark):
+    rng = random.Random(5)
+    whole = [(i, [rng.randrange(-4, 5) / 4 for _ in range(4)]) for i in range(700)]
+    df = spark.createDataFrame(whole, "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in topk.top_k(df, F.col("vec_id") % 3 == 0, k=5, block=3, shard=8, fan_in=3).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q, v in whole[::3]:
+        best = sorted((-int(sum(256 * a * 256 * b for a, b in zip(v, w, strict=True))), i) for i, w in whole if i != q)[:5]
+        assert got[q] == [(i, -s) for s, i in best]
+
+
 def test_large_values_are_summed_as_integers(spark):
     df = spark.createDataFrame([(0, [3e6, 1.0]), (1, [3e6, 1 / 256]), (2, [3e6, 2 / 256])], "vec_id bigint, embedding array<double>")
     got = [(r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") == 0).collect()]
@@ -260,6 +280,33 @@ def test_mixing_of_odd_tables(spark):
         mixing.source_targets(mixed, share=3.0)
 
 
+def test_rows_without_ids_and_equal_rows(spark):
+    rows = [(None, f"w{k} " * 10, "a") for k in range(400)] + [(7, "same words here", "a")] * 400 + [(7, f"other {k}", "a") for k in range(200)] + [(k, "x " * 8, "b") for k in range(300)]
+    df = docs(spark, rows)
+    mixed = mixing.mix_sources(df)
+    got = mixed.collect()
+    assert len(got) == len(rows)
+    size = {"a": 400 * 10 + 1200 + 400, "b": 2400}
+    target = reshared(size, {"a": 5, "b": 2}, 1.5, 2.0)
+    out = mixing.repeat_documents(df, mixed).collect()
+    for s in size:
+        words = sum(len(r["text"].split()) for r in out if r["source"] == s)
+        assert words == sum(r["taken"] for r in got if r["source"] == s) and abs(words - target[s]) <= 30
+    often = collections.Counter((r["doc_id"], r["text"]) for r in out)
+    rate = target["a"] / size["a"]
+    assert all(math.floor(rate) * n <= often[i, t] <= math.ceil(rate) * n for (i, t), n in collections.Counter((i, t) for i, t, s in rows if s == "a").items())
+
+
+def test_very_many_equal_rows_are_rounded_quickly(spark):
+    import time
+
+    df = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.when(F.col("id") < 0, "").otherwise("a b c").alias("text"))
+    df = df.unionByName(spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("t").alias("source"), F.lit("d e").alias("text")))
+    start = time.time()
+    got = {r["source"]: (r["n"], r["taken"], r["target"]) for r in mixing.mix_sources(df).groupBy("source").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert time.time() - start < 60 and got["s"][0] == 100_000 and abs(got["s"][1] - got["s"][2]) <= 3
+
+
 def test_mixing_is_native(spark, sf_dir):
     plan = queries.op8_mixing(spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
@@ -309,7 +356,7 @@ def plain_scores(spark, rows):
 
     def inputs(kind, slots, y, left_out):
         n = [[counts[kind, k, s, v] - (left_out and v == y) for v in (0, 1)] for k, s in enumerate(slots)]
-        return [math.log((b + lm.PRIOR) / (a + lm.PRIOR)) for a, b in n]
+        return [max(-127, min(127, round(math.log((b + lm.PRIOR) / (a + lm.PRIOR)) / lm.STEP))) * lm.STEP for a, b in n]
 
     mixer = lm.Mixer()
     fold = [r["k"] for r in spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "n int, text string").select("n", F.pmod(F.xxhash64("text"), F.lit(lm.STEPS)).alias("k")).orderBy("n").collect()]
@@ -320,8 +367,8 @@ def plain_scores(spark, rows):
                 x, row = np.array(inputs(kind, slots, y, True)), total[kind][gate]
                 n, z = len(x), float(np.clip(mixer.weights[kind][gate] @ x, -8, 8))
                 p = 1 / (1 + math.exp(-z))
-                row[1 : 1 + n] += (y - p) * x
-                row[1 + n : 1 + n + n * n] += p * (1 - p) * np.outer(x, x).ravel()
+                row[:n] += (y - p) * x
+                row[n : n + n * n] += p * (1 - p) * np.outer(x, x).ravel()
                 row[-2 * lm.BUCKETS + round((z + 8) * 2)] += 1
                 row[-lm.BUCKETS + round((z + 8) * 2)] += y
         mixer.step(total, last=step == lm.STEPS - 1)
@@ -438,8 +485,9 @@ def test_all_training_texts_teach(spark, sf_dir):
     stream = lm.Stream(lists, lm.Reader(code))
     want = np.zeros((lm.SLOTS, 2))
     for kind, _, y, slots, _ in stream.events():
-        for table, s in zip(lm._tables(want.ravel(), 2)[kind], slots, strict=True):
-            np.add.at(table, s * 2 + y, 1)
+        for table, s in zip(lm._tables(want.ravel())[kind], slots, strict=True):
+            assert np.array_equal(s % 2, y)
+            np.add.at(table, s, 1)
     assert np.array_equal(got, want) and want[: 1 << 18].sum() == code.lengths[stream.ids[stream.coded]].sum()
 
 
@@ -476,7 +524,7 @@ def test_block_max_finds_the_nearest():
     weight = weight / np.sqrt(np.bincount(entry, weight**2))[entry]
     whole = np.zeros((500, 404))
     whole[entry, term] = weight
-    index = toxicity.BlockMaxIndex(entry, term, weight, 404, 500, block=16)
+    index = toxicity.BlockMaxIndex(np.bincount(entry, minlength=500), term, weight, 404, block=16)
     assert len(index.rows) == 4 and index.blocks == 32
     for q in range(0, 500, 25):
         terms = np.nonzero(whole[q])[0]
