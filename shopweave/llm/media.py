@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,7 +28,32 @@ def wav_of(payload: bytes) -> bytes:
     return struct.pack("<4sI", b"RIFF", len(body)) + body
 
 
-def _wav(data: bytes, start: int) -> tuple[int, int, int] | None:
+class Marks:
+    """Where magic numbers and end marks stand in a value, from one Aho-Corasick pass."""
+
+    def __init__(self, data: bytes):
+        self.signs: list[tuple[int, int]] = []
+        self.ends: dict[bytes, list[int]] = {m: [] for m in ENDS}
+        # what has been walked already: where chains of blocks end, and where no image goes on
+        self.chains: dict[int, int] = {}
+        self.dead: set[int] = set()
+        # sizes of archives by where they start, from their end records
+        self.archives: dict[int, int] | None = None
+        # latin-1 text has one character per byte
+        for end, (n, sign) in _magic.iter(data.decode("latin-1")):
+            if n < 0:
+                self.ends[sign].append(end - len(sign) + 1)
+            else:
+                self.signs.append((end - len(sign) + 1, n))
+
+    def after(self, mark: bytes, at: int) -> int:
+        """Where mark stands first from at on, -1 if nowhere."""
+        found = self.ends[mark]
+        i = bisect_left(found, at)
+        return found[i] if i < len(found) else -1
+
+
+def _wav(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Size, and where the samples start and end, if a whole WAVE file begins at start."""
     if start + 12 > len(data) or data[start + 8 : start + 12] != b"WAVE":
         return None
@@ -35,7 +61,9 @@ def _wav(data: bytes, start: int) -> tuple[int, int, int] | None:
     if start + size > len(data):
         return None
     at, seen = 12, False
-    while at + 8 <= size:
+    for _ in range(CHUNKS):
+        if at + 8 > size:
+            return None
         kind, n = struct.unpack_from("<4sI", data, start + at)
         if at + 8 + n > size:
             return None
@@ -47,12 +75,12 @@ def _wav(data: bytes, start: int) -> tuple[int, int, int] | None:
     return None
 
 
-def _png(data: bytes, start: int) -> tuple[int, int, int] | None:
+def _png(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Every chunk must lie within data and match its checksum; the first is IHDR, the last IEND."""
     view, at, first = memoryview(data), start + 8, True
     while at + 12 <= len(data):
         n, kind = struct.unpack_from(">I4s", data, at)
-        if at + 12 + n > len(data) or first and kind != b"IHDR" or zlib.crc32(view[at + 4 : at + 8 + n]) != struct.unpack_from(">I", data, at + 8 + n)[0]:
+        if at + 12 + n > len(data) or first and (kind != b"IHDR" or n != 13) or zlib.crc32(view[at + 4 : at + 8 + n]) != struct.unpack_from(">I", data, at + 8 + n)[0]:
             return None
         at, first = at + 12 + n, False
         if kind == b"IEND":
@@ -60,19 +88,24 @@ def _png(data: bytes, start: int) -> tuple[int, int, int] | None:
     return None
 
 
-def _gif(data: bytes, start: int) -> tuple[int, int, int] | None:
+def _gif(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Screen descriptor, colour tables, then extension and image blocks up to the trailer."""
     if start + 13 > len(data):
         return None
     table = lambda flags: 3 << (flags & 7) + 1 if flags & 128 else 0
 
     def blocks(at: int) -> int:
-        while at < len(data) and data[at]:
+        path = []
+        while at < len(data) and data[at] and at not in marks.chains:
+            path.append(at)
             at += 1 + data[at]
-        return at + 1
+        end = marks.chains.get(at, at + 1)
+        marks.chains.update(dict.fromkeys(path, end))
+        return end
 
-    at = start + 13 + table(data[start + 10])
-    while at < len(data):
+    at, seen = start + 13 + table(data[start + 10]), []
+    while at < len(data) and at not in marks.dead:
+        seen.append(at)
         if data[at] == 0x3B:
             return at + 1 - start, 0, at + 1 - start
         if data[at] == 0x21:
@@ -80,44 +113,49 @@ def _gif(data: bytes, start: int) -> tuple[int, int, int] | None:
         elif data[at] == 0x2C and at + 10 <= len(data):
             at = blocks(at + 11 + table(data[at + 9]))
         else:
-            return None
+            break
+    marks.dead.update(seen)
     return None
 
 
-def _jpeg(data: bytes, start: int) -> tuple[int, int, int] | None:
+def _jpeg(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Segments by their lengths up to the scan, then the end marker."""
     at = start + 2
-    while at + 4 <= len(data) and data[at] == 0xFF:
+    for _ in range(SEGMENTS):
+        if at + 4 > len(data) or data[at] != 0xFF:
+            return None
         kind, n = data[at + 1], struct.unpack_from(">H", data, at + 2)[0]
         if n < 2 or at + 2 + n > len(data):
             return None
         at += 2 + n
         if kind == 0xDA:
-            end = data.find(b"\xff\xd9", at)
+            end = marks.after(b"\xff\xd9", at)
             return (end + 2 - start, 0, end + 2 - start) if end >= 0 else None
     return None
 
 
-def _pdf(data: bytes, start: int) -> tuple[int, int, int] | None:
+def _pdf(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """A version number, and a cross-reference pointer before the end mark that follows it."""
-    if not data[start + 5 : start + 8].replace(b".", b"").isdigit() or (ref := data.find(b"startxref", start)) < 0:
+    if not data[start + 5 : start + 8].replace(b".", b"").isdigit() or (ref := marks.after(b"startxref", start)) < 0:
         return None
-    end = data.find(b"%%EOF", ref)
+    end = marks.after(b"%%EOF", ref)
     return (end + 5 - start, 0, end + 5 - start) if end >= 0 else None
 
 
-def _zip(data: bytes, start: int) -> tuple[int, int, int] | None:
-    """The end record must say that the directory ends where it begins."""
-    end = data.find(b"PK\x05\x06", start)
-    while 0 <= end <= len(data) - 22:
-        size, offset, note = struct.unpack_from("<IIH", data, end + 12)
-        if offset + size == end - start and end + 22 + note <= len(data):
-            return end + 22 + note - start, 0, end + 22 + note - start
-        end = data.find(b"PK\x05\x06", end + 1)
-    return None
+def _zip(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
+    """An end record must say that the directory that it ends lies behind this start."""
+    if marks.archives is None:
+        marks.archives = {}
+        for end in marks.ends[b"PK\x05\x06"]:
+            if end <= len(data) - 22:
+                size, offset, note = struct.unpack_from("<IIH", data, end + 12)
+                if end + 22 + note <= len(data):
+                    marks.archives.setdefault(end - size - offset, end + 22 + note - (end - size - offset))
+    size = marks.archives.get(start)
+    return (size, 0, size) if size else None
 
 
-#: The magic number that opens each format, its media type, its validator.
+#: The magic number that opens each format, its media type, its validator, and the marks that end some of them.
 FORMATS = [
     (b"RIFF", "audio/wav", _wav),
     (b"\x89PNG\r\n\x1a\n", "image/png", _png),
@@ -127,34 +165,47 @@ FORMATS = [
     (b"%PDF-", "application/pdf", _pdf),
     (b"PK\x03\x04", "application/zip", _zip),
 ]
+ENDS = (b"\xff\xd9", b"startxref", b"%%EOF", b"PK\x05\x06")
 UNKNOWN = "application/octet-stream"
+#: Chunks of a WAVE file and segments of a JPEG file before the data: so that hostile values take linear time.
+CHUNKS, SEGMENTS = 100, 1000
 
 _magic = ahocorasick.Automaton()
 for _n, (_sign, _kind, _check) in enumerate(FORMATS):
-    _magic.add_word(_sign.decode("latin-1"), _n)
+    _magic.add_word(_sign.decode("latin-1"), (_n, _sign))
+for _sign in ENDS:
+    _magic.add_word(_sign.decode("latin-1"), (-1, _sign))
 _magic.make_automaton()
 
 
 def sniff(data: bytes) -> list[tuple[int, int, str, int, int]]:
-    """Confirmed media in data, outermost first: start, size, type, and where its payload starts and ends (from start).
+    """Confirmed media in data in order: start, size, type, and where its payload starts and ends (from start).
 
-    What lies in an already confirmed file's own structure is found too; a magic number
-    whose structure does not hold is not reported.
+    A WAVE file's samples are looked into, since they may hold anything; what lies in another confirmed
+    file belongs to that file. A magic number whose structure does not hold is not reported.
     """
-    found = []
-    for end, n in _magic.iter(data.decode("latin-1")):
-        sign, kind, check = FORMATS[n]
-        start = end - len(sign) + 1
-        if (got := check(data, start)) is not None:
+    found, marks, closed = [], Marks(data), 0
+    for start, n in marks.signs:
+        if start < closed:
+            continue
+        _, kind, check = FORMATS[n]
+        if (got := check(data, start, marks)) is not None:
             found.append((start, got[0], kind, got[1], got[2]))
-    return sorted(found, key=lambda f: (f[0], -f[1]))
+            if check is not _wav:
+                closed = start + got[0]
+    return found
+
+
+#: Types that a careless crawler declares.
+DECLARED = (UNKNOWN, "audio/wav", "image/png", "text/plain")
 
 
 def store_payload(df: DataFrame, text: str = "text", unit: int = 64) -> DataFrame:
     """df without its text, and n_bytes (UTF-8 size of the whole text; null: 0), media, declared_type.
 
     media is a WAVE file of the bytes, zeros added up to a positive multiple of unit.
-    declared_type is what a careless crawler would say of any such value.
+    declared_type is what a careless crawler would say of the value: one of DECLARED by a checksum of it, mostly wrong.
+    Other columns stay, those named like the new ones are replaced; an empty table gives none.
     """
     kept = [f for f in df.schema.fields if f.name not in (text, "n_bytes", "media", "declared_type")]
 
@@ -162,7 +213,7 @@ def store_payload(df: DataFrame, text: str = "text", unit: int = 64) -> DataFram
         for batch in batches:
             raw = [(t or "").encode() for t in batch.column(len(kept)).to_pylist()]
             media = [wav_of(b + b"\0" * (-len(b) % unit or (0 if b else unit))) for b in raw]
-            new = [pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary()), pa.array([UNKNOWN] * len(raw), pa.string())]
+            new = [pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary()), pa.array([DECLARED[zlib.crc32(b) % len(DECLARED)] for b in raw], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*(f.name for f in kept), "n_bytes", "media", "declared_type"])
 
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_bytes bigint, media binary, declared_type string"])
@@ -175,7 +226,8 @@ def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> Dat
     true_type is the confirmed type at 0, else application/octet-stream; payload is
     that file's content (samples of a WAVE file, else the whole file), the value itself
     where nothing is confirmed. embedded lists (start, size, type, bytes) of confirmed
-    media that starts later; bytes only if carve. Null counts as empty.
+    media that starts later; bytes only if carve. Null counts as empty. Other columns stay, those named like
+    the new ones are replaced; an empty table gives none.
     """
     kept = [f for f in df.schema.fields if f.name not in ("true_type", "payload", "embedded")]
     item = pa.struct([("start", pa.int64()), ("size", pa.int64()), ("type", pa.string()), ("bytes", pa.binary())])
