@@ -97,14 +97,15 @@ FROM s QUALIFY rank <= 5
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole text stored as 8-bit samples, declared wrongly, sniffed and read back."""
+    """Every whole text stored as 8-bit samples, declared by chance, sniffed, read back, and what it embeds carved out."""
     held = media.store_payload(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    got = media.sniff_media(held)
+    got = media.sniff_media(held, carve=True)
     return got.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
-        F.concat_ws(";", "true_type", F.when(F.col("true_type") != F.col("declared_type"), F.lit("corrected")), F.concat(F.lit("embedded="), F.size("embedded").cast("string"))).alias("feature"),
+        F.concat_ws(";", "true_type", F.when(F.col("true_type") != F.col("declared_type"), F.concat(F.lit("corrected="), "declared_type")), F.concat(F.lit("embedded="), F.size("embedded").cast("string")),
+                    F.concat(F.lit("carved="), F.sha2(F.concat(F.lit(b""), F.array_join(F.transform("embedded", lambda e: F.hex(e["bytes"])), "").cast("binary")), 256))).alias("feature"),
     )
 
 
@@ -114,8 +115,8 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents").select(F.concat_ws("/", *parts).alias("path"), "text"))
 
 
-_TEMPLATE_ROWS = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(licenses.TEMPLATES))
-_TERMS = r"list_filter(list_transform(string_split_regex(lower({}), '[^a-z0-9.-]+'), lambda w: regexp_replace(w, '^[.-]+|[.-]+$', '', 'g')), lambda w: w <> '')"
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{n}', '{t.replace(chr(39), chr(39) * 2)}')" for i, (n, t) in enumerate(licenses.TEMPLATES))
+_TERMS = r"regexp_extract_all(lower({}), '[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?')"
 
 OP7_SQL = rf"""
 WITH t AS (SELECT template, license, {_TERMS.format("text")} AS words FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, license, text)),
@@ -126,7 +127,8 @@ spread AS (SELECT term, count(*) AS df FROM has JOIN voc USING (term) GROUP BY t
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM f))::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM voc LEFT JOIN spread USING (term)),
 tw AS (SELECT template, license, term, count(*) * any_value(idf) AS w FROM (SELECT template, license, unnest(words) AS term FROM t) JOIN idf USING (term) GROUP BY ALL),
 pattern AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS p FROM tw),
-lines AS (SELECT path, text, list_distinct(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(lower(s), '{licenses.MARKS}'))) AS ls FROM f),
+split AS (SELECT path, text, string_split(text, chr(10)) AS al FROM f),
+lines AS (SELECT path, text, list_distinct(flatten(list_transform(list_filter(generate_series(1, len(al)), lambda i: regexp_matches(lower(al[i]), '{licenses.MARKS}')), lambda i: [al[i], array_to_string(al[i:i + {licenses.WRAP - 1}], ' ')]))) AS ls FROM split),
 passages AS (SELECT path, generate_subscripts(ls, 1) AS no, unnest(ls) AS part FROM lines WHERE len(ls) > 0 UNION ALL SELECT path, 0, text FROM lines WHERE len(ls) > 0),
 pw AS (SELECT path, no, term, count(*) * coalesce(any_value(idf), ln((1 + (SELECT count(*) FROM f))::DOUBLE) + 1) AS w FROM (SELECT path, no, unnest({_TERMS.format("part")}) AS term FROM passages) LEFT JOIN idf USING (term) GROUP BY path, no, term),
 norms AS (SELECT path, no, sqrt(sum(w * w)) AS norm FROM pw GROUP BY ALL),

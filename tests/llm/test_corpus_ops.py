@@ -215,6 +215,28 @@ def test_licences(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_rows_without_paths_and_repeated_paths(spark):
+    mit = "Released under the MIT License."
+    rows = [(None, mit), (None, "nothing here at all"), (None, None), ("p/x", mit), ("p/x", "code only"), ("p/y", "code only")]
+    got = [tuple(r) for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).select("path", "license", "how", "source").collect()]
+    assert sorted(got, key=str) == sorted([(None, "MIT", "own", None), (None, None, "none", None), (None, None, "none", None), ("p/x", "MIT", "own", None), ("p/x", "MIT", "inherited", "p"), ("p/y", "MIT", "inherited", "p")], key=str)
+
+
+def test_whole_licence_texts_and_wrapped_headers(spark):
+    import textwrap
+
+    bodies = {n: t for n, t in licenses.TEMPLATES if len(t) > 400}
+    rows = [(f"{n}/LICENSE", "\n".join(textwrap.wrap(t.replace("year", "2021").replace("holder", "Jane Doe and others"), 60))) for n, t in bodies.items()]
+    rows += [(f"{n}/src/a.py", "value = 1\n") for n in bodies]
+    notice = next(t for n, t in licenses.TEMPLATES if n == "LGPL-2.1")
+    rows += [("z/wrapped.c", "int main;\n" * 40 + "\n".join("// " + x for x in textwrap.wrap(notice, 80)) + "\nint more;\n" * 40)]
+    got = {r["path"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    for n in bodies:
+        assert (got[f"{n}/LICENSE"]["license"], got[f"{n}/LICENSE"]["how"]) == (n, "own")
+        assert (got[f"{n}/src/a.py"]["license"], got[f"{n}/src/a.py"]["source"]) == (n, n)
+    assert (got["z/wrapped.c"]["license"], got["z/wrapped.c"]["how"]) == ("LGPL-2.1", "own")
+
+
 def test_licences_are_native(spark, sf_dir):
     plan = queries.op7_licenses(spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

@@ -226,6 +226,26 @@ def test_sniffing_confirms_structure_and_carves():
     assert media.sniff(b"RIFF PK\x03\x04 %PDF-") == []
 
 
+def test_hostile_values_take_linear_time():
+    import time
+
+    for text in (b"PK\x03\x04" * 250_000, b"PK\x03\x04PK\x05\x06" * 125_000, b"%PDF-1.4 startxref" * 60_000, b"GIF89a" * 180_000, b"GIF89a\0\0\0\0\0\0\0!\1\1" * 60_000, b"RIFF\0\0\1\0WAVE" * 80_000, b"RIFF" * 250_000):
+        start = time.time()
+        media.sniff(text)
+        assert time.time() - start < 5  # quadratic time would be minutes
+
+
+def test_what_lies_in_a_confirmed_file_is_its_own():
+    gif = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0, 0, 0) + b"!\xfe\x06GIF89a\0" + b";"
+    assert [f[:3] for f in media.sniff(gif + gif)] == [(0, len(gif), "image/gif"), (len(gif), len(gif), "image/gif")]
+    assert [f[2] for f in media.sniff(media.wav_of(gif))] == ["audio/wav", "image/gif"]
+
+
+def test_media_of_nothing(spark):
+    df = media.sniff_media(media.store_payload(spark.createDataFrame([], "doc_id bigint, text string, payload int")))
+    assert df.count() == 0 and df.columns == ["doc_id", "n_bytes", "media", "declared_type", "true_type", "payload", "embedded"]
+
+
 def test_declared_types_are_corrected(spark):
     df = spark.createDataFrame([(bytearray(b"xx" + png()),), (bytearray(png()),), (None,), (bytearray(b""),)], "media binary")
     got = media.sniff_media(df, carve=True).collect()
