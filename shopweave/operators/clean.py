@@ -40,6 +40,16 @@ EXPORT_DROPS = (
     "outbound_sharing_agreement", "type", "priority", "brand", "form", "custom_status_id", "external_id",
 )
 EXPORT_TIMES = ("created_at", "updated_at", "assigned_at", "initially_assigned_at", "requester_updated_at", "solved_at")
+# Of each source, the columns that tell who a person is or how to reach them, by name and by prefix.
+PERSONAL = {
+    "returns": (("full_name", "phone", "email", "shopify_order_path", "shopify_new_order_path", "tracking_number", "address"), ()),
+    "orders": (("identity", "email", "phone", "browser_ip", "contact_email"), ("shipping_address_", "billing_address_", "customer_default_", "client_details_")),
+    "checkouts": (("identity", "email", "phone", "browser_ip"), ("shipping_address_", "billing_address_", "customer_default_")),
+    "customers": (("first_name", "last_name", "email", "phone", "addresses", "note"), ("default_",)),
+    "reviews": (("consumer_display_name", "consumer_id", "reference_id"), ("consumer_links",)),
+    "tickets": (("requester_id", "submitter_id", "collaborator_id", "recipient"), ("follower_ids", "via_source_from")),
+    "payments": (("payer_email", "account_id", "postal_code"), ("payer_", "shipping_")),
+}
 AD_COLUMNS = ("account_id", "campaign_id", "campaign_name", "adset_id", "adset_name", "ad_id", "ad_name")
 
 
@@ -83,6 +93,14 @@ def prune_columns(df: DataFrame, strict: tuple[str, ...] = (), optional: tuple[s
     return df.drop(*gone)
 
 
+def drop_personal(df: DataFrame, source: str) -> DataFrame:
+    """df without the columns that PERSONAL lists for the source, for readers who must not see them; columns that are not there are no error, an unknown source is."""
+    if source not in PERSONAL:
+        raise ValueError(f"unknown source: {source}")
+    names, prefixes = PERSONAL[source]
+    return prune_columns(df, optional=names, prefixes=prefixes)
+
+
 def _parse_all(df: DataFrame) -> DataFrame:
     """Every text column whose name ends in _at as a timestamp."""
     return df.withColumns({f.name: X.parse_utc(F.col(f.name)) for f in df.schema.fields if f.name.endswith("_at") and isinstance(f.dataType, T.StringType)})

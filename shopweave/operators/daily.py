@@ -45,8 +45,15 @@ def new_customer_flag(items: DataFrame, exclude_cancelled: bool = False) -> Data
         "order_id", "customer_id", "created_at", _place().eqNullSafe(F.col("first")).alias("is_nc"))
 
 
+def order_date_violations(items: DataFrame) -> DataFrame:
+    """Orders whose items do not agree on created_at, which all daily tables rely on: order_id, first, last, dates (how many differ; a missing one counts). Counts are aggregated before they are shuffled."""
+    require(items, "order_id", "created_at")
+    per = items.groupBy("order_id", "created_at").agg(F.count("*").alias("items"))
+    return per.groupBy("order_id").agg(F.min("created_at").alias("first"), F.max("created_at").alias("last"), F.count("*").alias("dates")).filter("dates > 1")
+
+
 def flagged_items(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
-    """items with their day and is_nc. An order_id must have one created_at; with two it would be an order of each day."""
+    """items with their day and is_nc. An order_id must have one created_at (see order_date_violations); with two it would be an order of each day."""
     counted = _counted(items, exclude_cancelled)
     joined = counted.join(_first_orders(counted), F.col("customer_id").eqNullSafe(F.col("c")))
     return joined.withColumns({"date": F.to_date("created_at"), "is_nc": _place().eqNullSafe(F.col("first"))}).drop("c", "first")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,15 +28,28 @@ def duration_box_stats(tickets: DataFrame, value: str = "ticket_duration_min") -
     """Per agent and status: n, lower whisker, quartiles, upper whisker, outliers of the durations of tickets that are assigned or not new.
 
     Quartiles are interpolated; whiskers end at the last value within 1.5 times the
-    box; collaborator and follower columns are left out and equal rows count once.
+    box; collaborator and follower columns are left out and equal rows count once. Values are counted
+    before they meet, and quartiles are read off running counts, so no task holds the values of an agent.
     """
     kept = [c for c in tickets.columns if c != "collaborator_id" and not c.startswith("follower_ids")]
     once = tickets.filter(F.col("assignee_id").isNotNull() | (F.col("status") != "new")).select(*kept).distinct()
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    boxes = once.groupBy(F.col("assignee_id").alias("a"), F.col("status").alias("s")).agg(q.alias("q"))
-    x, low, high = F.col(value), F.col("q")[0], F.col("q")[2]
+    counts = once.groupBy("assignee_id", "status", F.col(value).alias("x")).agg(F.count("*").alias("c"))
+    known = F.when(F.col("x").isNotNull(), F.col("c")).otherwise(0)
+    key = Window.partitionBy("assignee_id", "status")
+    counts = counts.withColumns({"upto": F.sum(known).over(key.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum(known).over(key)})
+
+    def quartile(p: float) -> Column:
+        at = (F.max("n") - 1) * p
+        # the values at the places below and above, of those whose running count passes the place
+        low, high = (F.min(F.when(F.col("x").isNotNull() & (F.col("upto") > r((F.col("n") - 1) * p)), F.col("x"))) for r in (F.floor, F.ceil))
+        return low + (at - F.floor(at)) * (high - low)
+
+    names = ("q1", "median", "q3")
+    boxes = counts.groupBy("assignee_id", "status").agg(*[quartile(p).alias(q) for q, p in zip(names, (0.25, 0.5, 0.75), strict=True)])
+    boxes = boxes.select(F.col("assignee_id").alias("a"), F.col("status").alias("s"), *names)
+    x, low, high = F.col("x"), F.col("q1"), F.col("q3")
     inside = (x >= low - 1.5 * (high - low)) & (x <= high + 1.5 * (high - low))
-    both = once.join(boxes, F.col("assignee_id").eqNullSafe(F.col("a")) & F.col("status").eqNullSafe(F.col("s")))
+    both = counts.join(boxes, F.col("assignee_id").eqNullSafe(F.col("a")) & F.col("status").eqNullSafe(F.col("s")))
     return both.groupBy("assignee_id", "status").agg(
-        F.count(value).alias("n"), F.min(F.when(inside, x)).alias("whisker_low"), F.first(low).alias("q1"), F.first(F.col("q")[1]).alias("median"), F.first(high).alias("q3"),
-        F.max(F.when(inside, x)).alias("whisker_high"), F.count(F.when(~inside, 1)).alias("outliers"))
+        F.sum(known).alias("n"), F.min(F.when(inside, x)).alias("whisker_low"), *[F.first(q).alias(q) for q in names], F.max(F.when(inside, x)).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0)).alias("outliers"))

@@ -22,7 +22,7 @@ def next_window(master: DataFrame, date_col: str, today: dt.date, overlap: int =
 
 
 def upsert_latest(new: DataFrame, old: DataFrame, keys: list[str], updated: str | None = None, sequence: str | None = None) -> DataFrame:
-    """New rows over old: one row per key, new before old, then latest `updated`, lowest `sequence`, least of all columns.
+    """New rows over old: one row per key, new before old, then latest `updated`, lowest `sequence`, least hash of all columns.
 
     Old keys that are not in new stay. Without keys (or where a key column is missing)
     exact duplicates go. Columns that one side lacks are null. Each key keeps one
@@ -39,7 +39,7 @@ def upsert_latest(new: DataFrame, old: DataFrame, keys: list[str], updated: str
         order.append(F.coalesce(-at, F.lit((1 << 63) - 1)))
     if sequence:
         order.append(F.coalesce(F.col(sequence).cast("long"), F.lit((1 << 63) - 1)))
-    order.append(F.to_json(whole))
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
     kept = both.groupBy(*[F.col(f"`{k}`").alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.min_by(whole, F.struct(*order)).alias("r"))
     return kept.select("r.*")
 
@@ -56,14 +56,26 @@ def append_newer(new: DataFrame, old: DataFrame, ts: str, key: str | None = None
 
 
 def replace_window(master: DataFrame, new: DataFrame, date_col: str, start: dt.date, end: dt.date | None = None) -> DataFrame:
-    """Stored rows from start on (up to end, if given) make way for new; distinct rows, sorted by day, hour and ad where there are such columns.
+    """Stored rows from start on (up to end, if given) make way for new; distinct rows.
 
-    Where new is empty, the master stays as it is.
+    Where new is empty, the master stays as it is. Rows come in no order; in_order sorts them as reports want them.
     """
     if new.isEmpty():
         return master
     day = F.col(date_col)
     kept = master.filter(day.isNull() | (day < F.lit(start)) | ((day > F.lit(end)) if end else F.lit(False)))
-    out = stack_by_name(kept, new).distinct()
-    order = [F.col(date_col), *[F.col(c).cast("int") for c in ("hour",) if c in out.columns], *[F.col(c) for c in ("ad_id",) if c in out.columns]]
-    return out.orderBy(*order)
+    return stack_by_name(kept, new).distinct()
+
+
+def in_order(df: DataFrame, date_col: str) -> DataFrame:
+    """df by day, and by hour and ad where there are such columns."""
+    return df.orderBy(F.col(date_col), *[F.col(c).cast("int") for c in ("hour",) if c in df.columns], *[F.col(c) for c in ("ad_id",) if c in df.columns])
+
+
+def touched_days(new: DataFrame, old: DataFrame, keys: list[str], by: str) -> list[str]:
+    """The days, as text, in which an upsert of new changes a master stored by the day of column by: those of new rows and those that hold their keys now."""
+    day = F.coalesce(F.col(by).cast("date").cast("string"), F.lit("none")).alias("day")
+    found = new.select(day)
+    if keys:
+        found = found.unionByName(old.select(*keys, by).join(new.select(*keys).distinct(), keys, "left_semi").select(day))
+    return [r["day"] for r in found.distinct().collect()]

@@ -14,6 +14,7 @@ from shopweave.plans import adapters as A
 from shopweave.plans.refresh import refresh_source
 from shopweave.session import new_path
 from shopweave.sources import landed
+from shopweave.streaming.upserts import stream_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,9 +103,9 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
 
 @_register("read_landed_pages", f"SELECT o_orderkey::VARCHAR AS id, o_totalprice::{_M}::VARCHAR AS amount_value, 'EUR' AS amount_currency_code, o_orderstatus AS status FROM orders")
 def _read_landed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders landed as JSON pages of one customer each and read again."""
+    """Orders landed as JSON pages, a customer's dealt to several as an API pages them, and read again."""
     one = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.struct(F.col("o_totalprice").cast(_M).cast("string").alias("value"), F.lit("EUR").alias("currency_code")).alias("amount"), F.col("o_orderstatus").alias("status"))
-    pages = A.table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_list(one).alias("data")).select(F.to_json(F.struct(F.struct("data").alias("data"), F.lit(1).alias("total_pages"))).alias("value"))
+    pages = A.table(spark, sf, "orders").groupBy("o_custkey", F.floor(F.col("o_orderkey") / 1000)).agg(F.collect_list(one).alias("data")).select(F.to_json(F.struct(F.struct("data").alias("data"), F.lit(1).alias("total_pages"))).alias("value"))
     pages.write.text(path := new_path(spark, "pages"))
     schema = "data struct<data: array<struct<id string, amount struct<value string, currency_code string>, status string>>>, total_pages int"
     return landed.read_landed_pages(spark, path, "data.data", schema, multi_line=False)
@@ -138,11 +139,11 @@ def _write_master(spark: SparkSession, sf: str) -> DataFrame:
     return landed.read_master(spark, path)
 
 
-@_register("publish_table", "SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation")
+@_register("publish_table", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders")
 def _publish_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Nations loaded by truncate, then appended once more."""
-    target = new_path(spark, "nation").rsplit("/", 1)[-1].replace("-", "_")
-    df = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    """Orders loaded by truncate, then appended once more."""
+    target = new_path(spark, "orders").rsplit("/", 1)[-1].replace("-", "_")
+    df = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     landed.publish_table(df, target, "truncate")
     landed.publish_table(df, target, "append")
     return spark.table(target)
@@ -277,6 +278,20 @@ def _clean_ad_insights(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_ad_insights(A.raw_ads(spark, sf), "hourly")
 
 
+@_register("clean_ad_insights_daily", f"""
+SELECT DISTINCT ts::DATE AS date_start, 'acc' AS account_id, user_id::VARCHAR AS campaign_id, 'Camp' AS campaign_name, user_id::VARCHAR AS adset_id, 'Set' AS adset_name, user_id::VARCHAR AS ad_id,
+  ['Summer Video', 'STATIC bild', 'Karussell', 'plain', NULL][event_id % 5 + 1] AS ad_name,
+  CASE WHEN event_id % 11 = 0 THEN 0 ELSE coalesce(value::{_M}::DOUBLE, 0) END AS spend, 1 AS impressions, (event_type = 'click')::INT AS clicks, strftime(ts, '%Y-%m-%d') AS date_stop FROM events""")
+def _clean_ad_insights_daily(spark: SparkSession, sf: str) -> DataFrame:
+    return clean.clean_ad_insights(A.raw_ads(spark, sf), "daily")
+
+
+@_register("drop_personal", "SELECT c_custkey AS id, c_acctbal AS total_spent FROM customer")
+def _drop_personal(spark: SparkSession, sf: str) -> DataFrame:
+    c = A.table(spark, sf, "customer")
+    return clean.drop_personal(c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("first_name"), F.col("c_mktsegment").alias("default_address_city"), F.col("c_acctbal").alias("total_spent")), "customers")
+
+
 # ---- features
 
 
@@ -373,9 +388,54 @@ def _refresh_source(spark: SparkSession, sf: str) -> DataFrame:
     return landed.read_master(spark, path).select("id", "state", "updated_at")
 
 
+_STATE = f"""SELECT o_orderkey AS id, CASE WHEN o_orderdate {{}} (SELECT {{}} FROM orders WHERE o_orderdate < {_NEW}) THEN 'new' ELSE 'old' END AS state, o_orderdate AS updated_at FROM orders"""
+
+
+def _refreshed(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    """A master of orders before June 2001, stored by day, brought up to date from a landed dump of all orders."""
+    o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
+    path = new_path(spark, "refresh")
+    landed.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path, "updated_at")
+    refresh_source(spark, path, o, lambda df: df.withColumn("state", F.lit("new")), how, "updated_at", dt.date(2001, 12, 31), ["id"], "updated_at", by="updated_at")
+    return landed.read_master(spark, path).select("id", "state", "updated_at")
+
+
+@_register("refresh_by_day", _STATE.format(">=", "max(o_orderdate)::DATE - 2") + " WHERE o_orderdate < TIMESTAMP '2002-01-01'")
+def _refresh_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, "upsert")
+
+
+@_register("refresh_append", _STATE.format(">", "max(o_orderdate)") + " WHERE o_orderdate < TIMESTAMP '2002-01-01'")
+def _refresh_append(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, "append")
+
+
+@_register("refresh_replace", _STATE.format(">=", "max(o_orderdate)::DATE - 2") + " WHERE o_orderdate < TIMESTAMP '2002-01-01'")
+def _refresh_replace(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed(spark, sf, "replace")
+
+
+@_register("stream_upserts", f"SELECT o_orderkey AS id, CASE WHEN o_orderdate >= {_NEW} THEN 'new' ELSE 'old' END AS state, o_orderdate AS updated_at FROM orders")
+def _stream_upserts(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as a master stored by day, and those from June 2001 on landed as files that a stream merges into it."""
+    o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
+    path, inbox = new_path(spark, "streamed"), new_path(spark, "inbox")
+    landed.write_master(o.withColumn("state", F.lit("old")), path, "updated_at")
+    new = o.filter("updated_at >= timestamp_ntz'2001-06-01'").withColumn("state", F.lit("new"))
+    new.write.parquet(inbox)
+    stream_upserts(spark, inbox, new.schema, path, new_path(spark, "progress"), ["id"], updated="updated_at", by="updated_at").awaitTermination()
+    return landed.read_master(spark, path).select("id", "state", "updated_at")
+
+
 # ---- analytics
 
 
+@_register("order_date_violations", "SELECT l_orderkey AS order_id, min(l_shipdate) AS first, max(l_shipdate) AS last, count(DISTINCT l_shipdate) AS dates FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL HAVING count(DISTINCT l_shipdate) > 1")
+def _order_date_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Items that take their shipping date for the order's, which the check must find."""
+    return daily.order_date_violations(_items(spark, sf).withColumn("created_at", F.col("shipped_at")))
+
+
 @_register("new_customer_flag", f"WITH {ITEMS}, {FLAGS} SELECT * FROM flags")
 def _new_customer_flag(spark: SparkSession, sf: str) -> DataFrame:
     return daily.new_customer_flag(_items(spark, sf))
@@ -396,6 +456,11 @@ def _daily_refunds(spark: SparkSession, sf: str) -> DataFrame:
     return daily.daily_refunds(A.returns_clean(spark, sf))
 
 
+@_register("daily_refunds_by_conversion", f"WITH {RETURNS} SELECT shopify_created_at::DATE AS date, sum(refund_amount)::DOUBLE AS refunds FROM returns WHERE status = 'refunded' AND type IN ('return', 'mix') GROUP BY ALL")
+def _daily_refunds_by_conversion(spark: SparkSession, sf: str) -> DataFrame:
+    return daily.daily_refunds(A.returns_clean(spark, sf), "conversion_date")
+
+
 @_register("daily_spend", f"WITH {ADS}, {D_SPEND} SELECT * FROM d_spend")
 def _daily_spend(spark: SparkSession, sf: str) -> DataFrame:
     return daily.daily_spend(A.ads_daily(spark, sf))

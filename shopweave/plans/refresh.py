@@ -8,18 +8,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shopweave.operators.upsert import append_newer, next_window, replace_window, upsert_latest
+from shopweave.operators.upsert import append_newer, next_window, replace_window, touched_days, upsert_latest
 from shopweave.session import new_path
 from shopweave.sources.landed import read_master, write_master
 
+WAYS = ("upsert", "append", "replace")
+
+
+def merge_by_day(spark: SparkSession, master: str, new: DataFrame, by: str, keys: list[str], updated: str | None = None) -> DataFrame:
+    """Upsert new, a stored table, into a master stored by day: only days that hold a row or a key of new are read and written. What was written."""
+    days = touched_days(new, read_master(spark, master), keys, by)
+    merged = upsert_latest(new, read_master(spark, master, days), keys, updated)
+    write_master(merged, master, by, days)
+    return merged
+
 
 def refresh_source(spark: SparkSession, master: str, landed: DataFrame, clean: Callable[[DataFrame], DataFrame], how: str, date_col: str,
-                   today: dt.date, keys: list[str] | None = None, updated: str | None = None, overlap: int = 2) -> dict[str, int]:
+                   today: dt.date, keys: list[str] | None = None, updated: str | None = None, overlap: int = 2, by: str | None = None) -> dict[str, int]:
     """Bring the master at path up to date with landed rows of the due window; {'new': rows merged in, 'total': rows stored}.
 
     how: 'upsert' (by keys), 'append' (rows later than the last), 'replace' (the whole
-    window). Counts are observed while the snapshot is written, not by jobs of their own.
+    window). by names the column by whose day the master is stored; then only days that change are
+    read and written anew. Without it the whole master is. Counts of a whole master are observed while it is written.
     """
+    if how not in WAYS:
+        raise ValueError(f"unknown way to refresh: {how}")
     old = read_master(spark, master)
     window = next_window(old, date_col, today, overlap).first()
     if not window["due"]:
@@ -29,13 +42,22 @@ def refresh_source(spark: SparkSession, master: str, landed: DataFrame, clean: C
     due = clean(landed).filter((day >= F.lit(window["start_date"])) & (day <= F.lit(window["end_date"]))).observe(seen, F.count("*").alias("n"))
     due.write.parquet(staged := new_path(spark, "due"))
     new = spark.read.schema(due.schema).parquet(staged)
+    if by is not None:
+        if how == "append":
+            latest = old.agg(F.max(date_col).alias("at")).first()["at"]
+            new = new if latest is None else new.filter(F.col(date_col) > F.lit(latest))
+        if how == "replace":
+            if not new.isEmpty():
+                gone = [str(window["start_date"] + dt.timedelta(k)) for k in range((window["end_date"] - window["start_date"]).days + 1)]
+                write_master(new.distinct(), master, by, gone)
+        elif how == "upsert" or not new.isEmpty():
+            merge_by_day(spark, master, new, by, keys or [], updated or (date_col if how == "append" else None))
+        return {"new": seen.get["n"], "total": read_master(spark, master).count()}
     if how == "upsert":
         merged = upsert_latest(new, old, keys or [], updated)
     elif how == "append":
         merged = append_newer(new, old, date_col, (keys or [None])[0])
-    elif how == "replace":
-        merged = replace_window(old, new, date_col, window["start_date"])
     else:
-        raise ValueError(f"unknown way to refresh: {how}")
+        merged = replace_window(old, new, date_col, window["start_date"])
     write_master(merged.observe(stored, F.count("*").alias("n")), master)
     return {"new": seen.get["n"], "total": stored.get["n"]}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,9 +25,11 @@ def get_spark(master: str | None = None, app: str = "shopweave", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset (tests), one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset and all runs on one machine (tests), one of our own; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-shopweave-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

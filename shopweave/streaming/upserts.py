@@ -9,20 +9,27 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopweave.operators.upsert import upsert_latest
+from shopweave.plans.refresh import merge_by_day
+from shopweave.session import new_path
 from shopweave.sources.landed import read_master, write_master
 
 
 def stream_upserts(spark: SparkSession, landed: str, schema: T.StructType | str, master: str, checkpoint: str, keys: list[str],
-                   clean: Callable[[DataFrame], DataFrame] = lambda df: df, updated: str | None = None) -> StreamingQuery:
+                   clean: Callable[[DataFrame], DataFrame] = lambda df: df, updated: str | None = None, by: str | None = None) -> StreamingQuery:
     """Merge the Parquet files that are landed so far into the master and stop; the next call goes on with later ones.
 
+    by names the column by whose day the master is stored; then a batch reads and writes only the days that it changes.
     A batch that is run again after a failure changes nothing, because an upsert of the same
     rows gives the same master.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         new = clean(batch)
-        write_master(upsert_latest(new, read_master(spark, master), keys, updated), master)
+        if by is None:
+            write_master(upsert_latest(new, read_master(spark, master), keys, updated), master)
+        else:
+            new.write.parquet(staged := new_path(spark, "batch"))
+            merge_by_day(spark, master, spark.read.schema(new.schema).parquet(staged), by, keys, updated)
 
     stream = spark.readStream.schema(schema).parquet(landed)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

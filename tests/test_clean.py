@@ -96,6 +96,13 @@ def test_products_are_lower_cased_in_variants(spark, sf_dir):
     assert not {"published_scope", "image_src", "tags", "variants_weight_unit"} & set(got.columns)
 
 
+def test_personal_columns_go(spark):
+    df = spark.createDataFrame([(1, "a", "b", "c")], "id int, email string, default_address_zip string, total_spent string")
+    assert clean.drop_personal(df, "customers").columns == ["id", "total_spent"]
+    with pytest.raises(ValueError, match="unknown source"):
+        clean.drop_personal(df, "others")
+
+
 def test_prune(spark):
     df = spark.range(1).select(F.lit(1).alias("a"), F.lit(1).alias("b"), F.lit(1).alias("ba"))
     assert clean.prune_columns(df, prefixes=("b",)).columns == ["a"]
