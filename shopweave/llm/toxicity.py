@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Remembered, hashed_share, held, stored
+from .shared import hashed_share, held, stored
 
 #: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
@@ -34,7 +34,7 @@ CLOSE, POWER = 0.05, 2
 #: Pull of the map from votes to scores to leaving them as they are.
 PULL = 1.0
 #: Examples in a block, blocks that are looked at first, and the share of examples from which on a term is frequent.
-BLOCK, FIRST, FREQUENT = 128, 4, 1 / 16
+BLOCK, FIRST, FREQUENT = 512, 2, 1 / 16
 #: Places in a table of counts that are handed on together.
 HANDED = 1024
 #: Words that a worker remembers.
@@ -123,21 +123,36 @@ class Numbers:
         self.known, self.size = known, len(known) + len(tied)
         self.tied = {t: len(known) + i for i, t in enumerate(tied)}
         self.several: list[tuple[int, list[int]]] = []
-        self.of = Remembered(self.code, REMEMBERED)
-
-    def find(self, word: str) -> int:
-        """The word's number, -1 if no example has it."""
-        h = word_hash(word)
-        i = int(np.searchsorted(self.known, h))
-        return i if i < len(self.known) and self.known[i] == h else -1
-
-    def code(self, word: str) -> int:
-        """The word's number, or, if it has tied beginnings, -2 less the place in several of all its numbers."""
-        own = [self.tied[t] for t in terms_of(word)[1:] if t in self.tied]
-        if not own:
-            return self.find(word)
-        self.several.append((self.find(word), own))
-        return -1 - len(self.several)
+        # two generations, so that frequent words stay
+        self.new: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+
+    def find(self, some: list[str]) -> np.ndarray:
+        """The words' numbers, -1 if no example has them."""
+        h = np.fromiter(map(word_hash, some), dtype=np.int64, count=len(some))
+        if not len(self.known):
+            return np.full(len(some), -1)
+        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+        return np.where(self.known[at] == h, at, -1)
+
+    def codes(self, flat: list[str]) -> np.ndarray:
+        """For each word its number, or, if it has tied beginnings, -2 less the place in several of all its numbers."""
+        if len(self.new) > REMEMBERED:
+            self.new, self.old = {}, self.new
+        unknown = [w for w in dict.fromkeys(flat) if w not in self.new]
+        fresh = []
+        for w in unknown:
+            if w in self.old:
+                self.new[w] = self.old[w]
+            else:
+                fresh.append(w)
+        for w, i in zip(fresh, self.find(fresh).tolist(), strict=True):
+            own = [self.tied[t] for n in BEGINNINGS if len(w) > n and (t := w[:n] + "*") in self.tied] if self.tied else []
+            if own:
+                self.several.append((i, own))
+                i = -1 - len(self.several)
+            self.new[w] = i
+        return np.fromiter(map(self.new.__getitem__, flat), dtype=np.int64, count=len(flat))
 
 
 def vectors(docs: DataFrame, numbers: tuple[np.ndarray, list[str]]) -> DataFrame:
@@ -151,9 +166,8 @@ def vectors(docs: DataFrame, numbers: tuple[np.ndarray, list[str]]) -> DataFrame
                 part = batch.slice(at, 256)
                 bags = [Counter(words(t)) for t in part.column("text").to_pylist()]
                 sizes = np.array([len(g) for g in bags])
-                total = int(sizes.sum())
-                ids = np.fromiter(map(numbers_.of.__getitem__, chain.from_iterable(bags)), dtype=np.int64, count=total)
-                counts = np.fromiter(chain.from_iterable(g.values() for g in bags), dtype=np.int64, count=total)
+                ids = numbers_.codes(list(chain.from_iterable(bags)))
+                counts = np.fromiter(chain.from_iterable(g.values() for g in bags), dtype=np.int64, count=len(ids))
                 doc = np.repeat(np.arange(len(bags)), sizes)
                 more: list[tuple[int, int, int]] = []
                 for i in np.nonzero(ids < -1)[0].tolist():
@@ -253,29 +267,32 @@ class BlockMaxIndex:
         """
         row = self.row[terms]
         scores = (self.frequent([terms], [weights])[0] if frequent is None else frequent).astype(float)
-        terms, weights = terms[row < 0], weights[row < 0]
+        terms, weights = terms[row < 0], weights[row < 0].astype(np.float32)
         lo = self.term_runs[terms]
         n = self.term_runs[terms + 1] - lo
-        runs = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        runs = np.repeat(lo - np.cumsum(n, dtype=np.int32) + n, n) + np.arange(n.sum(), dtype=np.int32)
         q, of = np.repeat(weights, n), self.run_block[runs]
-        bound = scores.reshape(-1, self.block).max(axis=1) + np.bincount(of, q * self.run_most[runs], minlength=self.blocks)
+        by_block = scores.reshape(self.blocks, self.block)
+        bound = by_block.max(axis=1) + np.bincount(of, q * self.run_most[runs], minlength=self.blocks)
         done = np.zeros(self.blocks, dtype=bool)
 
         def look(at: np.ndarray) -> None:
             take = np.zeros(self.blocks, dtype=bool)
-            take[at] = True
-            done[at] = True
-            mine = take[of]
+            take[at] = done[at] = True
+            mine = np.nonzero(take[of])[0]
             r = runs[mine]
-            size = self.run_length[r].astype(np.int64)
-            place = np.repeat(self.run_start[r] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            np.add(scores, np.bincount(self.entry[place], np.repeat(q[mine], size) * self.weight[place], minlength=len(scores)), out=scores)
+            size = self.run_length[r].astype(np.int32)
+            place = np.repeat(self.run_start[r] - np.cumsum(size, dtype=np.int32) + size, size) + np.arange(size.sum(), dtype=np.int32)
+            scores[:] += np.bincount(self.entry[place], np.repeat(q[mine], size) * self.weight[place], minlength=len(scores))
 
         def best() -> np.ndarray:
-            live = np.nonzero(np.repeat(done, self.block) & (scores > 0))[0]
-            live = live[live != without]
-            if len(live) > k:
-                live = live[scores[live] >= np.partition(scores[live], len(live) - k)[len(live) - k] - 1e-9]
+            rows = np.nonzero(done)[0]
+            got = by_block[rows].ravel()
+            if without >= 0 and done[without // self.block]:
+                got[np.searchsorted(rows, without // self.block) * self.block + without % self.block] = 0
+            least = np.partition(got, len(got) - k)[len(got) - k] if len(got) > k else 0.0
+            live = np.nonzero((got > 0) & (got >= least - 1e-9))[0]
+            live = rows[live // self.block] * self.block + live % self.block
             return live[np.lexsort((live, -np.round(scores[live], 9)))][:k]
 
         look(np.argsort(-bound, kind="stable")[:FIRST])
@@ -361,7 +378,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     df, n_docs = document_frequencies(found, numbers.size)
     boost = np.ones(numbers.size)
     for t, g in boosted.items():
-        boost[numbers.tied[t] if t in numbers.tied else numbers.find(t)] = g
+        boost[numbers.tied[t] if t in numbers.tied else numbers.find([t])[0]] = g
     # examples with equal texts are one entry that counts for all of them; those without words are none
     entries = (found.join(F.broadcast(sample), "doc_id").filter(F.size("ids") > 0).groupBy("text_hash")
                .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("ids").alias("ids"), F.first("counts").alias("counts"))).toArrow().combine_chunks().sort_by("doc_id")
