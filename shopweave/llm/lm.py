@@ -124,6 +124,7 @@ class Code:
         self.counts = np.array([counts[i] for i in order], dtype=np.int64)
         self.end, self.escape = len(words), len(words) + 1
         weights = [*(int(c) for c in self.counts), ends, escapes]
+        self.weights = np.array(weights, dtype=np.int64)
         heap = [(w, i) for i, w in enumerate(weights)]
         heapq.heapify(heap)
         n = len(weights)
@@ -155,8 +156,9 @@ class Reader:
         self.code = code
         self.number = {w: i for i, w in enumerate(code.words)}
         self.hashes = np.array([*map(word_hash, code.words), 1, 2], dtype=np.uint64)
-        node = np.arange(len(code.words) + 2, dtype=np.uint64)
-        self.node_hash = _slot(_mix(node * _M1 + np.uint64(5)), 18) * 2
+        # along all paths: twice the node plus the bit, and twice a hash of the node plus the bit
+        self.plain = code.nodes * 2 + code.bits
+        self.mixed = (_slot(_mix(code.nodes.astype(np.uint64) * _M1 + np.uint64(5)), 18) * 2 + code.bits).astype(np.int32)
 
 
 _BYTE = np.arange(256)
@@ -199,19 +201,22 @@ class Stream:
 
     def events(self) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray], np.ndarray]]:
         """Bits by kind (0: of codes, 1: of bytes) and gate: kind, gate, outcomes, twice the slot plus the outcome for each predictor, and places of their words."""
-        code = self.reader.code
+        code, reader = self.reader.code, self.reader
         at = np.nonzero(self.coded)[0]
+        lengths = code.lengths[self.ids[at]]
+        # the longest codes first, so that those that have a bit d are a beginning of all
+        order = np.argsort(-lengths, kind="stable")
+        at = at[order]
         one, two = np.roll(self.ids, 1).astype(np.uint64), np.roll(self.ids, 2).astype(np.uint64)
-        hashed = [_slot(_mix(x * _M1 + np.uint64(k)), bits) * 2 for k, (bits, x) in enumerate(zip(TABLES[0][1:], (self.latest.astype(np.uint64), one, one + (two << np.uint64(32))), strict=True))]
-        d = 0
-        while len(at := at[code.lengths[self.ids[at]] > d]):
-            for part in np.array_split(at, -(-len(at) // (1 << 15))):
-                path = code.starts[self.ids[part]] + d
-                node = code.nodes[path].astype(np.int64)
-                y = code.bits[path]
-                mixed = self.reader.node_hash[node] + y
-                yield 0, min(d, GATES - 1), y, [node * 2 + y, *(h[part] ^ mixed for h in hashed)], part
-            d += 1
+        contexts = (self.latest[at].astype(np.uint64), one[at], one[at] + (two[at] << np.uint64(32)))
+        hashed = [_slot(_mix(x * _M1 + np.uint64(k)), bits) * 2 for k, (bits, x) in enumerate(zip(TABLES[0][1:], contexts, strict=True))]
+        starts, left = code.starts[self.ids[at]], np.searchsorted(-lengths[order], -np.arange(lengths.max()))
+        for d, n in enumerate(left.tolist()):
+            for a in range(0, n, 1 << 15):
+                these = slice(a, min(n, a + (1 << 15)))
+                path = starts[these] + d
+                plain, mixed = reader.plain[path], reader.mixed[path]
+                yield 0, min(d, GATES - 1), (plain & 1).astype(bool), [plain, *(h[these] ^ mixed for h in hashed)], at[these]
         if not self.spelled:
             return
         flat = np.frombuffer(b" ".join(self.spelled) + b" ", dtype=np.uint8)
@@ -306,18 +311,17 @@ class Mixer:
 
     def log10(self, stream: Stream, tables: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability of each place's symbol, and of each spelled word's bytes."""
-        out = np.zeros((2, len(stream.ids)))
+        out = np.ones((2, len(stream.ids)))
         for kind, gate, y, slots, at in stream.events():
             mixed = self._mixed(kind, gate, self._inputs(tables[kind], slots))
             place = np.rint((mixed + 8) * 2).astype(np.int64)
             p1 = np.clip((1 / (1 + np.exp(-mixed)) + self.map[kind][gate].astype(np.float32)[place]) / 2, 1e-6, 1 - 1e-6)
-            cost = np.log(np.where(y, p1, 1 - p1))
+            p = np.where(y, p1, 1 - p1)
             if kind == 0:
-                out[0][at] += cost  # each place once in an event
+                out[0][at] *= p  # each place once in an event, at most some 40 times
             else:
-                out[1] += np.bincount(at, cost, minlength=len(out[1]))
-        out /= np.log(10)
-        return out[0], out[1][stream.rare]
+                out[1] += np.bincount(at, np.log10(p), minlength=len(out[1]))
+        return np.log10(out[0]), out[1][stream.rare] - 1
 
 
 def _reader(sent: object) -> Reader:
@@ -345,7 +349,8 @@ def context_counts(docs: DataFrame, sent: object) -> np.ndarray:
             for part in slices(batch):
                 for kind, _, y, slots, _ in Stream([tokens(t) for t in part.column("text").to_pylist()], reader).events():
                     for k, s in enumerate(slots):
-                        waiting[kind][k].append(s.astype(np.int32))
+                        if kind or k:  # what the codes have without context follows from the counts of words
+                            waiting[kind][k].append(s.astype(np.int32))
                     held_now += len(y)
                     if held_now > 1 << 22:
                         add()
@@ -371,6 +376,8 @@ def context_counts(docs: DataFrame, sent: object) -> np.ndarray:
     counts = np.zeros((SLOTS // BLOCK, BLOCK * 2), dtype=np.float32)
     for k, c in zip(got.column("block").to_pylist(), got.column("counts").to_pylist(), strict=True):
         counts[k] = np.frombuffer(c, dtype=np.float32)
+    code = sent.value
+    counts.ravel()[: 2 << TABLES[0][0]] = np.bincount(code.nodes * 2 + code.bits, np.repeat(code.weights, code.lengths), minlength=2 << TABLES[0][0])
     return counts.reshape(-1, 2)
 
 
