@@ -686,3 +686,31 @@ def test_pipeline_follows_its_stages(spark, sf_dir):
     last = corpus_pipeline.run(spark, sf_dir).collect()
     assert collections.Counter(r["doc_id"] for r in last) == copies
     assert all(r["n_tokens"] == len(r["ids"]) for r in last)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    same, near = " ".join(f"a{k}" for k in range(60)), " ".join([*(f"a{k}" for k in range(59)), "other"])
+    rows = [(5, same, "x"), (2, same, "x"), (2, same, "x"), (None, same, None), (8, near, "x"), (2, "quite another text that nobody else has", "x"), (None, "no id and no copies of it", None), (None, None, "x"), (9, "", "y"), (9, "vile words", "y"), (None, None, "x")]
+    rows += [(100 + k, f"plain text number {k} about vile things" if k % 5 == 0 else f"plain text number {k} about nice things", "z") for k in range(60)]
+    df = docs(spark, rows).withColumn("toxic", F.lit("mine")).withColumn("fp", F.lit("own")).withColumn("copies", F.lit("c"))
+    df.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    labels = spark.createDataFrame([(100 + k, int(k % 5 == 0)) for k in range(60)] + [(None, 1), (3, None)], "doc_id bigint, toxic int")
+    labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
+    table = df
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        table = stage(spark, table, f"{tmp_path}/odd")
+        assert table.columns == df.columns and {r["toxic"] for r in table.select("toxic").distinct().collect()} == {"mine"}
+    out = collections.Counter((r["doc_id"], r["lang"], r["n_tokens"]) for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").collect())
+    by_id = collections.Counter()
+    for (i, _, _), n in out.items():
+        by_id[i] += n
+    # all of the group of near copies goes but one row of the smallest id; texts under a toxic label go
+    assert not {5, 8} & set(by_id) and not {100 + k for k in range(0, 60, 5)} & set(by_id)
+    # mixing takes each row that is left as often as its source's rate says, 2 at most
+    kept = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_toxic(spark, df, f"{tmp_path}/odd"), "")
+    left = collections.Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert left[2, same] == 1 and left[2, "quite another text that nobody else has"] == 1 and left[None, "no id and no copies of it"] == 1 and left[None, None] == 2 and left[9, ""] == 1
+    assert sum(by_id.values()) <= 2 * sum(left.values())
+    docs(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
