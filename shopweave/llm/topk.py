@@ -116,7 +116,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     queries = stored(_packed(asks.repartition(blocks, F.xxhash64("id")), "q_block", block), "topk-queries")
     deal = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    shards = _packed(rows.select("id", "vector").repartition(groups, F.xxhash64("id")), "shard", shard).withColumn("group", deal("shard", groups)).withColumn("side", every(sides))
+    shards = _packed(rows.select("id", "vector"), "shard", shard).withColumn("group", deal("shard", groups)).withColumn("side", every(sides))
     q = queries.select("q_block", "dim", F.col("top").alias("q_top"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")).withColumn("side", deal("q_block", sides)).withColumn("group", every(groups))
     pairs = shards.join(q.hint("shuffle_merge"), ["dim", "group", "side"])
 
