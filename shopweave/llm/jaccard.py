@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .shared import Remembered, held, most_frequent, stored
+from .shared import Remembered, discard, held, most_frequent, stored
 
 #: Words that a worker remembers the hashes of.
 REMEMBERED = 300_000
@@ -377,7 +377,8 @@ def join_large(crowd: DataFrame, percent: int) -> DataFrame:
     slices = rest.groupBy("region", "chunks").agg(F.greatest(F.ceil(F.count("*") / CROWD), F.ceil(F.sum("n") / REGION)).cast("int").alias("slices"))
     slices = stored(spread(slices), "jac-slices")
     sliced = rest.join(slices, ["region", "chunk"]).withColumn("slice", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("slices")).cast("int"))
-    rest = spread(stored(sliced.drop("chunk").join(crowd.select("fp", "hashes"), "fp"), "jac-sliced"))
+    sliced = stored(sliced.drop("chunk").join(crowd.select("fp", "hashes"), "fp"), "jac-sliced")
+    rest = spread(sliced)
     there = who.join(slices, ["region", "chunk"]).join(crowd.select("fp", "hashes"), "fp").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
     def meet(docs: pa.Table, others: pa.Table) -> pa.Table:
@@ -395,7 +396,9 @@ def join_large(crowd: DataFrame, percent: int) -> DataFrame:
 
     keys, columns = ("region", "chunk", "slice"), ("fp", "root", "away", "hashes")
     left, right = rest.select(*keys, *columns), there.select(*keys, *columns)
-    return links.unionByName(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "a bigint, b bigint"))
+    found = stored(links.unionByName(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "a bigint, b bigint")), "jac-large-links")
+    discard(*rounds, links, who, sliced)
+    return found
 
 
 _MEASURED = pa.schema([("region", pa.int64()), ("fp", pa.int64()), ("free", pa.bool_()), ("near", pa.list_(pa.int64())), ("away", pa.list_(pa.float64()))])
@@ -410,7 +413,10 @@ def join_all(sets: DataFrame, percent: int, largest: int = REGION) -> DataFrame:
         return join_regions(sets, percent)
     small = sets.join(large.select("region"), "region", "left_anti")
     crowd = sets.join(large, "region").dropDuplicates(["fp"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    return join_regions(small, percent).unionByName(join_large(stored(crowd, "jac-crowd"), percent))
+    crowd = stored(crowd, "jac-crowd")
+    found = join_large(crowd, percent)
+    discard(crowd)
+    return join_regions(small, percent).unionByName(found)
 
 
 def _slot(doc_id: Column) -> Column:
@@ -463,18 +469,31 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, large
     an empty table gives no rows. Sets are told apart by 64-bit hashes, at a billion
     different sets with a chance of 3 % that any two are taken for one.
     """
-    marked = stored(fingerprints(docs, words, percent, common_shingles(docs, words)), "jac-marked")
-    known = marked.filter("fp IS NOT NULL")
+    return _named(*_found(docs, words, percent, largest))
+
+
+def _found(docs: DataFrame, words: int, percent: int, largest: int) -> tuple[DataFrame, DataFrame]:
+    """marked(doc_id, n_shingles, fp) for every row and named(fp, component_id), both stored; all else that was stored is gone."""
+    known_at = stored(fingerprints(docs, words, percent, common_shingles(docs, words)), "jac-keyed")
+    marked = stored(known_at.drop("keys"), "jac-marked")
+    known = known_at.filter("fp IS NOT NULL")
     classes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id")), "jac-classes")
     met = stored(shared_parts(known.filter(F.size("keys") > 0)).distinct(), "jac-met")
+    discard(known_at)
     regions = components(met).select(F.col("node").alias("fp"), F.col("root").alias("region"))
     members = stored(regions.join(classes, "fp").select("doc_id", "fp", "region"), "jac-members")
-    one_each = candidate_sets(docs, members, words)
-    links = stored(join_all(stored(one_each, "jac-sets"), percent, largest), "jac-links")
+    one_each = stored(candidate_sets(docs, members, words), "jac-sets")
+    links = stored(join_all(one_each, percent, largest), "jac-links")
+    discard(met, members, one_each)
     tied = components(links).select(F.col("node").alias("fp"), "root").join(classes.select("fp", "least"), "fp")
     lowest = tied.groupBy("root").agg(F.min("least").alias("lowest"))
     named = classes.select("fp", "least").join(tied.select("fp", "root"), "fp", "left").join(lowest, "root", "left")
     named = stored(named.select("fp", F.coalesce("lowest", "least").alias("component_id")), "jac-named")
+    discard(classes, links)
+    return marked, named
+
+
+def _named(marked: DataFrame, named: DataFrame) -> DataFrame:
     return (marked.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
             .select("doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
@@ -485,8 +504,16 @@ def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     Rows are compared, not ids: rows that repeat a doc_id or have none are copies if their
     texts are, and rows that share a doc_id with other texts stay. Rows without shingles stay.
     """
-    rows = stored(docs.withColumn("jac_row", F.monotonically_increasing_id()), "jac-rows")
-    found = jaccard_components(rows.select(F.col("jac_row").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("jac_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "jac_row")
-    kept = rows.join(found, "jac_row").groupBy("component_id").agg(F.min_by("jac_row", order).alias("jac_row")).select("jac_row")
-    return rows.join(kept, "jac_row", "left_semi").select(*docs.columns)
+    key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"].isNull(), docs["text"])
+    marked, named = _found(docs.select(key.alias("doc_id"), "text"), words, percent, REGION)
+    # rows are told apart by their id and text, and only these keys are compared; which of equal rows stays is all the same
+    ids = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id")).groupBy("key").agg(F.first("id").alias("id"), F.count("*").alias("rows"))
+    found = _named(marked, named).filter("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id").distinct().join(ids, "key")
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    kept = found.groupBy("component_id").agg(F.min_by(F.struct("key", "rows"), order).alias("k")).select("k.key", "k.rows")
+    blank = marked.filter("n_shingles = 0").select(F.col("doc_id").alias("key"), F.lit(1).cast("long").alias("rows")).distinct()
+    kept = stored(kept.unionByName(blank).select(F.col("key").alias("__jac_key"), F.col("rows").alias("__jac_rows")), "jac-kept")
+    discard(marked, named)
+    left = docs.withColumn("__jac_key", key).join(kept, "__jac_key")
+    once = left.filter("__jac_rows > 1").dropDuplicates(["__jac_key"])
+    return left.filter("__jac_rows = 1").unionByName(once).select(*docs.columns)

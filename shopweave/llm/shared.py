@@ -16,7 +16,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts lineage, and a lost executor costs only a reread."""
     spark = df.sparkSession
     df.write.parquet(path := new_path(spark, tag))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again, because all that was made of them is stored itself."""
+    for table in tables:
+        session = table.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def uniform(*cols: Column, seed: int = 0) -> Column:

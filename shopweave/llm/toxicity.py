@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hashed_share, held, stored
+from .shared import discard, hashed_share, held, stored
 
 #: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
@@ -368,6 +368,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     scored as a document meets itself. Null or empty text, or text without any word of an example, has the class share for its vote. Without toxic labels every
     score is 0. Repeated rows score alike. Other columns are ignored.
     """
+    return _scored(docs, labels, k, per_class, max_terms)[0]
+
+
+def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_terms: int) -> tuple[DataFrame, DataFrame]:
+    """The scores, and the stored table of vectors that they are made from."""
     sample = stored(sample_labels(labels, per_class), "tox-sample")
     examples = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     boosted = choose_terms(examples, max_terms)
@@ -387,7 +392,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     about = list(zip(*(entries.column(c).to_pylist() for c in ("doc_id", "toxic", "clean")), strict=True))
     if not sum(t for _, t, _ in about):
         nothing = F.array().cast(EVIDENCE)
-        return rows.select("doc_id", "text_hash", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), nothing.alias("evidence"))
+        return rows.select("doc_id", "text_hash", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), nothing.alias("evidence")), found
     flat = lambda c: entries.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     sizes = np.array([len(x) for x in entries.column("ids")])
     weight = (np.log((1 + n_docs) / (1 + df)) + 1) * boost
@@ -422,10 +427,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
                     [part.column("doc_id"), part.column("text_hash"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
                     names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema), found
 
 
-def reject_toxic(docs: DataFrame, scored: DataFrame) -> DataFrame:
-    """Rows of docs, all columns, whose doc_id and text are not predicted toxic."""
-    gone = scored.filter("predicted = 1").select("doc_id", "text_hash").distinct()
+def reject_toxic(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: int = 10_000, max_terms: int = 2_000) -> DataFrame:
+    """Rows of docs, all columns, whose doc_id and text are not predicted toxic by score_toxicity."""
+    scored, vectors_ = _scored(docs, labels, k, per_class, max_terms)
+    gone = stored(scored.filter("predicted = 1").select("doc_id", "text_hash").distinct(), "tox-gone")
+    discard(vectors_)
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["text_hash"]), "left_anti")

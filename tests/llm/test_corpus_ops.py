@@ -639,7 +639,7 @@ def test_toxic_texts_are_found(spark):
             assert r["predicted"] == int(r["doc_id"] % 8 == 0)
             assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
     assert sum(r["predicted"] for r in got if r["doc_id"] is None or r["doc_id"] >= 1000) == 2
-    kept = toxicity.reject_toxic(df, spark.createDataFrame(got, "doc_id bigint, text_hash bigint, held_out boolean, score double, predicted int, evidence array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"))
+    kept = toxicity.reject_toxic(df, spark.createDataFrame([*labels, (5, None), (None, 1)], "doc_id bigint, toxic int"))
     assert kept.columns == df.columns and kept.count() == len(rows) - 52
 
 
