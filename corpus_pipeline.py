@@ -17,7 +17,7 @@ from shopweave.llm.shared import read, stored
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that their nearest labelled examples call toxic go."""
-    return toxicity.reject_toxic(docs, toxicity.score_toxicity(docs, read(spark, sf_dir, "labels")))
+    return toxicity.reject_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
