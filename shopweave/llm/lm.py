@@ -501,6 +501,8 @@ def score_texts(docs: DataFrame, head: int = HEAD) -> DataFrame:
     same per byte of what is coded, the lower-cased words with one blank or end after each; null for a text without words. Repeated rows are scored each for itself;
     an empty table gives no rows. Other columns are ignored. Rare words and phrases are told apart by 64-bit hashes.
     """
+    if head + 2 > 1 << TABLES[0][0]:
+        raise ValueError("the table of nodes has no room for so many words")
     spark = docs.sparkSession
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
     counted = stored(count_words(marked.select("text", "held_out")), "lm-words")
