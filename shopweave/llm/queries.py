@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, licenses, lm, media, mixing, topk, toxicity, wordpiece
+from . import bpe, chat, jaccard, licenses, lm, media, merkle, mixing, resample, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -161,6 +162,88 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and what becomes of the root if a third of the texts are lower-cased."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read(spark, sf_dir, "documents").select(*fields)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    altered = F.when(third, merkle.leaf_of(*[lowered if c == "text" else F.col(c) for c in fields]))
+    out = merkle.manifest(docs, fields, "lang", "doc_id", altered=altered)
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("path"))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8 bytes, bit by bit (the polynomial 0xEDB88320 is a fixed value)."""
+    octets = f"list_transform(range(0, octet_length(encode({text})), 1), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::INT + 1, 2))::BIGINT)"
+    step = "list_reduce(range(0, 8), lambda r, _: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END, xor(c, b))"
+    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}))::VARCHAR || ':' || {c}, '-')" for c in fields) + ")"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WALK = """
+{0}_tree AS (
+  SELECT tree, 0 AS level, pos AS idx, h, n FROM {0}_leaves
+  UNION ALL SELECT tree, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value(n) FROM {0}_tree WHERE n > 8 ** level GROUP BY tree, level, idx // 8),
+{0}_sides AS (
+  SELECT tree, level, idx, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {0}_tree WHERE n > 8 ** level WINDOW w AS (PARTITION BY tree, level, idx // 8 ORDER BY idx))"""
+_CLIMB = """
+{0}_climb AS (
+  SELECT doc_id, tree, 0 AS level, pos AS idx, n, {1} AS fold, {2} AS proof FROM {3}
+  UNION ALL SELECT doc_id, c.tree, c.level + 1, c.idx // 8, n, sha256(l || fold || r), proof || l || r FROM {0}_climb c JOIN {0}_sides s ON c.tree = s.tree AND c.level = s.level AND c.idx = s.idx)"""
+
+OP11_SQL = f"""
+WITH RECURSIVE lang_leaves AS (
+  SELECT doc_id, coalesce(lang, '') || (lang IS NULL) AS tree, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, {_leaf_sql("text")} AS h,
+    CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf_sql(_LOWER.format("text"))} END AS altered, count(*) OVER (PARTITION BY lang) AS n FROM documents),
+{_WALK.format("lang")},
+subroots AS (SELECT tree, h FROM lang_tree WHERE n <= 8 ** level),
+top_leaves AS (SELECT '' AS tree, subroots.tree AS lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM subroots JOIN (SELECT DISTINCT tree, lang FROM lang_leaves) USING (tree)),
+{_WALK.format("top")},
+roots AS (SELECT h AS root FROM top_tree WHERE n <= 8 ** level),
+{_CLIMB.format("lang", "coalesce(altered, h)", "''", "lang_leaves")},
+half AS (SELECT doc_id, c.tree AS lang, fold, proof FROM lang_climb c WHERE n <= 8 ** level),
+whole AS (SELECT doc_id, t.tree, pos, n, fold AS f, proof AS p, h AS subroot FROM half JOIN top_leaves t USING (lang)),
+{_CLIMB.format("top", "f", "p", "whole")}
+SELECT doc_id, lang_leaves.h AS leaf, subroots.h AS subroot, root, sha256(c.proof) AS proof_sha256, c.fold AS folded_root, c.fold = root AS verified
+FROM top_climb c JOIN lang_leaves USING (doc_id) JOIN subroots ON subroots.tree = lang_leaves.tree, roots WHERE c.n <= 8 ** c.level
+"""
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents with 20 words, drawn by their words' shares in the benchmark's texts and in all documents."""
+    drawn = resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_RESAMPLE_WORDS = r"regexp_extract_all({}, '[^\x{{00}}-\x{{2F}}\x{{3A}}-\x{{60}}\x{{7B}}-\x{{7F}}]+')".format(_LOWER.format("coalesce(text, '')"))
+
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, {_RESAMPLE_WORDS} AS ws FROM documents),
+b AS (SELECT unnest({_RESAMPLE_WORDS}) AS w FROM benchmark),
+e AS (SELECT doc_id, unnest(ws) AS w FROM d),
+voc AS (SELECT w, {crc32_sql("w")} % 10000 AS bucket FROM (SELECT w FROM e UNION SELECT w FROM b)),
+s AS (SELECT bucket, count(*) AS s FROM e JOIN voc USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN voc USING (w) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain FROM s FULL JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM e JOIN voc USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 10 // 100 FROM drawn) THEN rank END::BIGINT AS rank FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_bpe": op2_bpe,
@@ -172,5 +255,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle": op11_merkle,
+    "op12_importance_resampling": op12_importance_resampling,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL, "op7_licenses": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL, "op7_licenses": OP7_SQL, "op11_merkle": OP11_SQL, "op12_importance_resampling": OP12_SQL}
