@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, licenses, lm, media, merkle, mixing, resample, topk, toxicity, wordpiece
+from . import bpe, chat, jaccard, licenses, lm, media, merkle, mixing, pagetext, resample, topk, toxicity, wordpiece
 from .shared import read
 
 
@@ -244,6 +244,22 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 1
 """
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    return pagetext.extract_text(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# In the given pages the article is what the one element of this name holds, so that SQL can cut it out; blocks end at its tags.
+OP13_SQL = r"""
+WITH cut AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS inner_html FROM pages),
+blocks AS (SELECT page_id, url, string_split_regex(replace(regexp_replace(inner_html, '</?b>', '', 'g'), '<br>', ' '), '</?(?:h1|p)>') AS bs FROM cut),
+decoded AS (
+  SELECT page_id, url, list_filter(list_transform(bs, lambda b: trim(regexp_replace(
+    regexp_replace(replace(replace(replace(replace(b, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '[\s\x{a0}]+', ' ', 'g'))), lambda b: b <> '') AS bs FROM blocks)
+SELECT page_id, url, array_to_string(bs, chr(10)) AS text, length(array_to_string(bs, chr(10)))::BIGINT AS n_chars FROM decoded
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_bpe": op2_bpe,
@@ -257,5 +273,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_merkle": op11_merkle,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_html_extraction": op13_html_extraction,
 }
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL, "op7_licenses": OP7_SQL, "op11_merkle": OP11_SQL, "op12_importance_resampling": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": OP1_SQL, "op5_topk_search": OP5_SQL, "op7_licenses": OP7_SQL, "op11_merkle": OP11_SQL, "op12_importance_resampling": OP12_SQL, "op13_html_extraction": OP13_SQL}

@@ -10,7 +10,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from shopweave.llm import merkle, queries, ranking, resample
+from shopweave.llm import merkle, pagetext, queries, ranking, resample
+from shopweave.llm.pagetext import main_text
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -156,3 +157,92 @@ def test_quickselect_equals_sorting(spark, monkeypatch):
     monkeypatch.setattr(resample, "FEW", 5)
     for k in (1, 2, 1_999, 3_999, 4_000):
         assert tuple(resample.kth_key(rows, ["a", "b", "at"], k)) == sorted(keys)[k - 1]
+
+
+# ---- page texts
+
+P = ["The harbour was quiet, the boats were in, and nobody spoke.", "Later, when the wind rose, they carried the nets up to the sheds; it took all night.", "In the morning the sea was flat again, and they went out as they always had.", "Short end."]
+PARAS = "".join(f"<p>{p}</p>" for p in P)
+WRAPS = {
+    "article": "<article><h1>Nets</h1>{}</article>",
+    "main with a header of its own": "<main><header><h1>Nets</h1></header>{}</main>",
+    "divs": "<div class='wrapper has-sidebar'><div id='content' class='post-body'><h1>Nets</h1>{}</div></div>",
+    "plain divs": "<div><div><h1>Nets</h1>{}</div></div>",
+    "heading before": "<div><h1>Nets</h1><div>{}</div></div>",
+    "table layout": "<table><tr><td><h1>Nets</h1>{}</td></tr></table>",
+    "form around all": "<form method=post><div><h1>Nets</h1>{}</div></form>",
+    "sections": "<article class='entry'><h1>Nets</h1><section>{}</section></article>",
+    "itemprop": "<div itemscope><div itemprop='articleBody'><h1>Nets</h1>{}</div></div>",
+}
+BEFORE = [
+    "<nav><ul><li><a href=/>Home</a></li><li><a href='/a,b'>About, us</a><li><a href=/c>Contact</ul></nav>", "<header class=site-header><div>The Daily Net, a paper for all</div></header>",
+    "<div id=cookie-banner>We use cookies, and more, to make this better. <button>Accept</button></div>", "<div class='ad'>Buy nets, ropes, hooks, and a lot more of it, today, here, now, cheap.</div>",
+    "<div class=breadcrumbs><a href=/>Home</a> &gt; <a href=/n>News</a></div>", "<div role=navigation>Skip, go, back</div>", "<ul class=x><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"]
+AFTER = [
+    "<aside><h2>More</h2><p>Other stories, of other harbours, which are longer than this, by far, and tell of nothing.</p></aside>", "<footer>&copy; 2024 The Daily Net, all rights reserved, everywhere.</footer>",
+    "<section id='comments'><h2>3 comments</h2><div class=comment><p>I was there, and it was, I must say, not like this at all, not one bit of it, sadly, as they know.</p></div></section>",
+    "<form action=/s><label>Search</label><input name=q><select><option>a<option>b</select></form>", "<div class='share-bar'><a href=t>Tweet</a> this, now</div>", "<script>if (a < b) document.write('<p>no, no, no</p>')</script>",
+    "<style>p{color:red}</style><noscript>Switch on scripts, please.</noscript><template><p>None of it.</p></template>", "<div style='display:none'>Hidden, words, here</div><div hidden>And here, too</div>", "<div class=newsletter-signup>Subscribe, it is free, and fun.</div>",
+    "<div class=related-posts><p>You may also like, we think, the following, very long, list of things.</p></div>"]
+
+
+@pytest.mark.parametrize("wrap", sorted(WRAPS))
+def test_articles_without_what_surrounds_them(wrap):
+    want = "\n".join(["Nets", *P])
+    body = WRAPS[wrap].format(PARAS)
+    for noise in [[], *[[x] for x in BEFORE + AFTER], BEFORE + AFTER]:
+        page = "<!DOCTYPE html><html><head><title>T &amp; t</title><meta name=a content='<p>x</p>'></head><body>" + "".join(x for x in noise if x in BEFORE) + body + "".join(x for x in noise if x in AFTER)
+        assert main_text(page) == want, noise
+        assert main_text(page + "</body></html>") == want, noise
+
+
+def test_noise_inside_an_article_goes():
+    noise = AFTER[-2] + AFTER[1] + AFTER[2] + BEFORE[3] + "<!-- <p>no</p> --><figure><img alt=no><figcaption>A boat.</figcaption></figure>"
+    assert main_text(f"<article><h1>Nets</h1><p>{P[0]}</p>{noise}<p>{P[1]}<span class=share>Tweet <span>it</span></span></p></article>") == "\n".join(["Nets", P[0], "A boat.", P[1]])
+
+
+@pytest.mark.parametrize(("inner", "want"), [
+    ("<p>a&nbsp;&amp;amp; b\n\t c&#x41;&eacute;&am &amp", "a &amp; b cAé&am &"), ("<p><b>One.<br><p>Two<p>Three</b>", "One.\nTwo\nThree"), ("x<br>y<div>z</div>w", "x y\nz\nw"),
+    ("<ul><li>a, b<li>c<ul><li>d</ul><li>e</ul>", "a, b\nc\nd\ne"), ("<dl><dt>k<dd>v<dt>l<dd>w</dl>", "k\nv\nl\nw"), ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"), ("<p>1 < 2 <3 </ p> end<?x y?><![CDATA[no]]>", "1 < 2 <3 end"),
+    ("<p title='a>b' data-x=\"</p>\">q</p>", "q"), ("<P CLASS=Lead>Up</P>", "Up"), ("<pre>a\n  b</pre>", "a b"), ("<p>a</p></div></p></span><p>b", "a\nb"), ("<a href=x><h2>linked</h2></a><p>then not, and on, and on", "linked\nthen not, and on, and on"),
+    ("<h2>A<h3>B</h3>c", "A\nB\nc"), ("in<wbr>one<i>word</i>", "inoneword"), ("", ""), ("<p> <p>&nbsp;", "")])
+def test_blocks_and_references(inner, want):
+    assert main_text(f"<body><nav><a href=n>n</a></nav><article>{inner}</article><footer>f</footer>") == want
+
+
+@pytest.mark.parametrize("page", ["", None, "   ", "<", "<p", "<!--", "<!-- a", "<script>x", "</", "<a b='", "<nav><a href=x>only</a></nav>", "<!-->", "<html><body></body></html>", "<title>t</title>"])
+def test_pages_without_text(page):
+    assert main_text(page) in ("", "<")
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<a ", "<a b=\"", "<a b='>' ", "<!--", "<ul><li>", "</div>", "<table><tr><td>", "<p><b>", "<div class=ad>", "&amp", "<", "<span class=ad>x</span>", "<script>", "<li><div>", ",", "<a href=x>", "<select><option>", "<h1>x"])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    def took(n):
+        start = time.process_time()
+        main_text("<body><p>text" + piece * n)
+        return time.process_time() - start
+
+    took(100)
+    assert took(40_000) < 12 * max(took(10_000), 0.02)
+
+
+def test_page_query_equals_brute_force(spark, sf_dir):
+    from html import unescape
+
+    def plain(html):
+        inner = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+        blocks = re.split(r"</?(?:h1|p)>", re.sub(r"</?b>", "", inner).replace("<br>", " "))
+        return "\n".join(x for x in (" ".join(unescape(b).split()) for b in blocks) if x)
+
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    got = {r["page_id"]: tuple(r) for r in queries.op13_html_extraction(spark, sf_dir).select("page_id", "url", "text", "n_chars").collect()}
+    assert got == {r["page_id"]: (r["page_id"], r["url"], t := plain(r["html"]), len(t)) for r in rows}
+
+
+def test_pages_of_odd_tables(spark):
+    df = spark.createDataFrame([(None, None, None, "x", 1), (1, "u", "", "x", 1), (1, "u", "<p>ä😀</p>", None, 1), (2, None, "<p>" + "word, " * 400_000, "x", 1)], "page_id bigint, url string, html string, text string, n_chars int")
+    got = sorted(tuple(r) for r in pagetext.extract_text(df).fillna({"page_id": -1, "url": ""}).collect())
+    assert got == [(-1, "", "", 0), (1, "u", "", 0), (1, "u", "ä😀", 2), (2, "", ("word, " * 400_000).strip(), 2_399_999)]
+    assert pagetext.extract_text(df.limit(0)).count() == 0
