@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopweave.session import require
@@ -44,38 +44,33 @@ def upsert_latest(new: DataFrame, old: DataFrame, keys: list[str], updated: str
     return kept.select("r.*")
 
 
-def append_newer(new: DataFrame, old: DataFrame, ts: str, key: str | None = None) -> DataFrame:
+def append_newer(new: DataFrame, old: DataFrame, ts: str, keys: str | list[str] | None = None) -> DataFrame:
     """Old rows and those of new that are strictly later than all of old in ts; edits to older rows are left out on purpose.
 
-    Duplicates go: by key if given, else whole rows. With an empty old all of new counts.
+    Duplicates go: by all keys if given, new before old, else whole rows. With an empty old all of new counts.
     """
     require(new, ts)
     latest = old.agg(F.max(ts).alias("__latest"))
     later = new.crossJoin(latest).filter(F.col("__latest").isNull() | (F.col(ts) > F.col("__latest"))).drop("__latest")
-    return upsert_latest(later, old, [key] if key else [], updated=ts)
+    return upsert_latest(later, old, [keys] if isinstance(keys, str) else keys or [], updated=ts)
+
+
+def in_window(date_col: str, start: dt.date, end: dt.date | None = None) -> Column:
+    """Whether a row's day lies from start on, up to end if given; not where it is unknown."""
+    day = F.col(date_col).cast("date")
+    return F.coalesce((day >= F.lit(start)) & ((day <= F.lit(end)) if end else F.lit(True)), F.lit(False))
 
 
 def replace_window(master: DataFrame, new: DataFrame, date_col: str, start: dt.date, end: dt.date | None = None) -> DataFrame:
-    """Stored rows from start on (up to end, if given) make way for new; distinct rows.
+    """Stored rows whose day lies from start on (up to end, if given) make way for new; distinct rows.
 
     Where new is empty, the master stays as it is. Rows come in no order; in_order sorts them as reports want them.
     """
     if new.isEmpty():
         return master
-    day = F.col(date_col)
-    kept = master.filter(day.isNull() | (day < F.lit(start)) | ((day > F.lit(end)) if end else F.lit(False)))
-    return stack_by_name(kept, new).distinct()
+    return stack_by_name(master.filter(~in_window(date_col, start, end)), new).distinct()
 
 
 def in_order(df: DataFrame, date_col: str) -> DataFrame:
     """df by day, and by hour and ad where there are such columns."""
     return df.orderBy(F.col(date_col), *[F.col(c).cast("int") for c in ("hour",) if c in df.columns], *[F.col(c) for c in ("ad_id",) if c in df.columns])
-
-
-def touched_days(new: DataFrame, old: DataFrame, keys: list[str], by: str) -> list[str]:
-    """The days, as text, in which an upsert of new changes a master stored by the day of column by: those of new rows and those that hold their keys now."""
-    day = F.coalesce(F.col(by).cast("date").cast("string"), F.lit("none")).alias("day")
-    found = new.select(day)
-    if keys:
-        found = found.unionByName(old.select(*keys, by).join(new.select(*keys).distinct(), keys, "left_semi").select(day))
-    return [r["day"] for r in found.distinct().collect()]

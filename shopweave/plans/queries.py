@@ -13,7 +13,7 @@ from shopweave.operators import clean, daily, draw, market, support, themes, ups
 from shopweave.plans import adapters as A
 from shopweave.plans.refresh import refresh_source
 from shopweave.session import new_path
-from shopweave.sources import landed
+from shopweave.sources import landed, masters
 from shopweave.streaming.upserts import stream_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,9 +134,9 @@ def _read_clean(spark: SparkSession, sf: str) -> DataFrame:
 def _write_master(spark: SparkSession, sf: str) -> DataFrame:
     """Two snapshots, the second computed from the first; the second is read."""
     path = new_path(spark, "master")
-    landed.write_master(A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
-    landed.write_master(landed.read_master(spark, path).filter("o_orderstatus <> 'P'"), path)
-    return landed.read_master(spark, path)
+    masters.write_master(A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
+    masters.write_master(masters.read_master(spark, path).filter("o_orderstatus <> 'P'"), path)
+    return masters.read_master(spark, path)
 
 
 @_register("publish_table", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders")
@@ -383,9 +383,9 @@ def _refresh_source(spark: SparkSession, sf: str) -> DataFrame:
     """A master of orders before June 2001, brought up to date from a landed dump of all orders."""
     o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
     path = new_path(spark, "refresh")
-    landed.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path)
+    masters.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path)
     refresh_source(spark, path, o, lambda df: df.withColumn("state", F.lit("new")), "upsert", "updated_at", dt.date(2100, 1, 1), ["id"], "updated_at")
-    return landed.read_master(spark, path).select("id", "state", "updated_at")
+    return masters.read_master(spark, path).select("id", "state", "updated_at")
 
 
 _STATE = f"""SELECT o_orderkey AS id, CASE WHEN o_orderdate {{}} (SELECT {{}} FROM orders WHERE o_orderdate < {_NEW}) THEN 'new' ELSE 'old' END AS state, o_orderdate AS updated_at FROM orders"""
@@ -395,9 +395,9 @@ def _refreshed(spark: SparkSession, sf: str, how: str) -> DataFrame:
     """A master of orders before June 2001, stored by day, brought up to date from a landed dump of all orders."""
     o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
     path = new_path(spark, "refresh")
-    landed.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path, "updated_at")
+    masters.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path, "updated_at", keys=[] if how == "replace" else ["id"])
     refresh_source(spark, path, o, lambda df: df.withColumn("state", F.lit("new")), how, "updated_at", dt.date(2001, 12, 31), ["id"], "updated_at", by="updated_at")
-    return landed.read_master(spark, path).select("id", "state", "updated_at")
+    return masters.read_master(spark, path).select("id", "state", "updated_at")
 
 
 @_register("refresh_by_day", _STATE.format(">=", "max(o_orderdate)::DATE - 2") + " WHERE o_orderdate < TIMESTAMP '2002-01-01'")
@@ -415,16 +415,34 @@ def _refresh_replace(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed(spark, sf, "replace")
 
 
+_LINES = "SELECT CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE l_orderkey END AS order_id, nullif(l_linenumber, 3) AS line, l_shipdate FROM lineitem"
+
+
+@_register("refresh_composite", f"""
+WITH k AS ({_LINES}), r AS (
+  SELECT 0 AS side, * FROM k WHERE l_shipdate >= (SELECT max(l_shipdate)::DATE - 2 FROM k WHERE l_shipdate < {_NEW}) AND l_shipdate < TIMESTAMP '2002-01-01'
+  UNION ALL SELECT 1, * FROM k WHERE l_shipdate < {_NEW})
+SELECT order_id, line, min(side) AS side, arg_min(l_shipdate, (side, -epoch_us(l_shipdate))) AS l_shipdate FROM r GROUP BY ALL""")
+def _refresh_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with two keys, both null at times, as a master stored by day: the first refresh makes its keys unique and its directory, the second finds the days of its keys in that."""
+    li = A.table(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 50 != 0, F.col("l_orderkey")).alias("order_id"), F.nullif("l_linenumber", F.lit(3)).alias("line"), "l_shipdate")
+    path, before = new_path(spark, "lines"), "l_shipdate < timestamp_ntz'2001-06-01'"
+    masters.write_master(li.filter(before).withColumn("side", F.lit(1)), path, "l_shipdate")
+    for last in (dt.date(2001, 5, 31), dt.date(2001, 12, 31)):
+        refresh_source(spark, path, li, lambda df: df.withColumn("side", F.lit(0)), "upsert", "l_shipdate", last, ["order_id", "line"], "l_shipdate", by="l_shipdate")
+    return masters.read_master(spark, path).select("order_id", "line", "side", "l_shipdate")
+
+
 @_register("stream_upserts", f"SELECT o_orderkey AS id, CASE WHEN o_orderdate >= {_NEW} THEN 'new' ELSE 'old' END AS state, o_orderdate AS updated_at FROM orders")
 def _stream_upserts(spark: SparkSession, sf: str) -> DataFrame:
     """All orders as a master stored by day, and those from June 2001 on landed as files that a stream merges into it."""
     o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
     path, inbox = new_path(spark, "streamed"), new_path(spark, "inbox")
-    landed.write_master(o.withColumn("state", F.lit("old")), path, "updated_at")
+    masters.write_master(o.withColumn("state", F.lit("old")), path, "updated_at", keys=["id"])
     new = o.filter("updated_at >= timestamp_ntz'2001-06-01'").withColumn("state", F.lit("new"))
     new.write.parquet(inbox)
     stream_upserts(spark, inbox, new.schema, path, new_path(spark, "progress"), ["id"], updated="updated_at", by="updated_at").awaitTermination()
-    return landed.read_master(spark, path).select("id", "state", "updated_at")
+    return masters.read_master(spark, path).select("id", "state", "updated_at")
 
 
 # ---- analytics

@@ -8,56 +8,73 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shopweave.operators.upsert import append_newer, next_window, replace_window, touched_days, upsert_latest
+from shopweave.operators.upsert import in_window, next_window, replace_window, upsert_latest
 from shopweave.session import new_path
-from shopweave.sources.landed import read_master, write_master
+from shopweave.sources.masters import day_of, held_days, manifest, read_master, touched_days, write_master
 
 WAYS = ("upsert", "append", "replace")
+#: Versions of a master that a refresh leaves behind, for readers that have begun.
+KEEP = 3
 
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
-def merge_by_day(spark: SparkSession, master: str, new: DataFrame, by: str, keys: list[str], updated: str | None = None) -> DataFrame:
-    """Upsert new, a stored table, into a master stored by day: only days that hold a row or a key of new are read and written. What was written."""
-    days = touched_days(new, read_master(spark, master), keys, by)
-    merged = upsert_latest(new, read_master(spark, master, days), keys, updated)
-    write_master(merged, master, by, days)
-    return merged
+
+def merge_into(spark: SparkSession, master: str, new: DataFrame, merge: Merge, keys: list[str], by: str | None = None, days: list[str] | None = None) -> list[str] | None:
+    """Store merge(new, old) as the next version of the master at path; new is a stored table. The days that were written, None for all.
+
+    Where the master is stored by the day of column by, and its last version was written for the same keys, old holds only the days that
+    change: days, where these are known, else those of new rows and of their keys (touched_days). The first merge by these
+    keys goes over the whole master, so that from then on it holds each key once, as a master stored whole does.
+    """
+    of = manifest(spark, master)
+    keyed = keys if all(k in {*new.columns, *(of.schema.fieldNames() if of.schema else ())} for k in keys) else []
+    known = by is not None and of.by == by and of.keys == keyed
+    if not known:
+        write_master(merge(new, read_master(spark, master)), master, by, keys=keyed, keep=KEEP)
+        return None
+    touched = sorted({*(days or []), *touched_days(spark, master, new, [] if days is not None else keyed)})
+    if touched:
+        write_master(merge(new, read_master(spark, master, touched)), master, by, touched, keyed, new if keyed else None, KEEP)
+    return touched
+
+
+def upsert_into(spark: SparkSession, master: str, new: DataFrame, keys: list[str], updated: str | None = None, by: str | None = None) -> list[str] | None:
+    """upsert_latest of new, a stored table, into the master at path; the days that were written, None for all."""
+    return merge_into(spark, master, new, lambda a, b: upsert_latest(a, b, keys, updated), keys, by)
 
 
 def refresh_source(spark: SparkSession, master: str, landed: DataFrame, clean: Callable[[DataFrame], DataFrame], how: str, date_col: str,
                    today: dt.date, keys: list[str] | None = None, updated: str | None = None, overlap: int = 2, by: str | None = None) -> dict[str, int]:
     """Bring the master at path up to date with landed rows of the due window; {'new': rows merged in, 'total': rows stored}.
 
-    how: 'upsert' (by keys), 'append' (rows later than the last), 'replace' (the whole
-    window). by names the column by whose day the master is stored; then only days that change are
-    read and written anew. Without it the whole master is. Counts of a whole master are observed while it is written.
+    how: 'upsert' (by keys), 'append' (rows later than the last; by keys, if given), 'replace' (the window from its start to today). by names the
+    column by whose day the master is stored; then only days that change are read and written anew. Either way the
+    result is the same: keys may be several and null, rows without a date or after today stay.
     """
     if how not in WAYS:
         raise ValueError(f"unknown way to refresh: {how}")
-    old = read_master(spark, master)
+    of, keys = manifest(spark, master), keys or []
+    # by the day of date_col, the last day alone tells how far the master has come
+    last = [max((d for d in of.held if d and d != "none"), default="none")] if of.by == date_col else None
+    old = read_master(spark, master, last)
     window = next_window(old, date_col, today, overlap).first()
     if not window["due"]:
-        return {"new": 0, "total": old.count()}
+        return {"new": 0, "total": of.total}
+    start, end = window["start_date"], window["end_date"]
     day = F.to_date(date_col)
-    seen, stored = Observation(), Observation()
-    due = clean(landed).filter((day >= F.lit(window["start_date"])) & (day <= F.lit(window["end_date"]))).observe(seen, F.count("*").alias("n"))
+    seen = Observation()
+    due = clean(landed).filter((day >= F.lit(start)) & (day <= F.lit(end))).observe(seen, F.count("*").alias("n"))
     due.write.parquet(staged := new_path(spark, "due"))
     new = spark.read.schema(due.schema).parquet(staged)
-    if by is not None:
-        if how == "append":
-            latest = old.agg(F.max(date_col).alias("at")).first()["at"]
-            new = new if latest is None else new.filter(F.col(date_col) > F.lit(latest))
-        if how == "replace":
-            if not new.isEmpty():
-                gone = [str(window["start_date"] + dt.timedelta(k)) for k in range((window["end_date"] - window["start_date"]).days + 1)]
-                write_master(new.distinct(), master, by, gone)
-        elif how == "upsert" or not new.isEmpty():
-            merge_by_day(spark, master, new, by, keys or [], updated or (date_col if how == "append" else None))
-        return {"new": seen.get["n"], "total": read_master(spark, master).count()}
     if how == "upsert":
-        merged = upsert_latest(new, old, keys or [], updated)
+        upsert_into(spark, master, new, keys, updated, by)
     elif how == "append":
-        merged = append_newer(new, old, date_col, (keys or [None])[0])
-    else:
-        merged = replace_window(old, new, date_col, window["start_date"])
-    write_master(merged.observe(stored, F.count("*").alias("n")), master)
-    return {"new": seen.get["n"], "total": stored.get["n"]}
+        latest = old.agg(F.max(date_col).alias("at")).first()["at"]
+        later = new if latest is None else new.filter(F.col(date_col) > F.lit(latest))
+        merge_into(spark, master, later, lambda a, b: upsert_latest(a, b, keys, date_col), keys, by)
+    elif not new.isEmpty():
+        days = None
+        if by is not None:
+            days = held_days(of, start, end) if by == date_col else [r["d"] for r in old.filter(in_window(date_col, start, end)).select(day_of(by).alias("d")).distinct().collect()]
+        merge_into(spark, master, new, lambda a, b: replace_window(b, a, date_col, start, end), [], by, days)
+    return {"new": seen.get["n"], "total": manifest(spark, master).total}

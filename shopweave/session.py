@@ -40,6 +40,23 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def _found(spark: SparkSession, path: str) -> tuple[object, object]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in any store that Spark reads; none where there is no such folder."""
+    store, at = _found(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(at)) if store.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that lies in it."""
+    store, at = _found(spark, path)
+    store.delete(at, True)
+
+
 def require(df: DataFrame, *columns: str) -> None:
     """Raise ValueError naming the columns that df lacks."""
     if missing := [c for c in columns if c not in df.columns]:

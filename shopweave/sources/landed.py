@@ -1,16 +1,14 @@
-"""Landed API pages, files in a declared format, and master tables in versions, whole or by day."""
+"""Landed API pages, files in a declared format, and warehouse tables."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopweave.operators.clean import clean_master
-from shopweave.session import new_path
 
 
 def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -51,64 +49,6 @@ def read_clean(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return clean_master(df)
 
 
-#: Columns that a stored master has besides its own: the version that wrote a row, and its day.
-_VERSION, _DAY = "__version", "__day"
-
-
-def _manifest(spark: SparkSession, path: str) -> tuple[int, dict[str | None, str]]:
-    """Number of the latest complete version of the master at path, and which version holds each day; (0, {}) if there is none yet."""
-    try:
-        known = spark.read.schema(f"{_DAY} string, held string, number int").parquet(f"{path}/_manifest")
-        rows = known.join(known.agg(F.max("number").alias("number")), "number").collect()
-    except AnalysisException:
-        return 0, {}
-    return max((r["number"] for r in rows), default=0), {r[_DAY]: r["held"] for r in rows if r["held"] is not None}
-
-
-def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None) -> int:
-    """Store df as the next version of the master at path and return its number.
-
-    With by, a date or time column, rows are stored by day, and of the version before all days stay but those
-    in replaces (as text, 'none' for unknown) and those that df has; without replaces nothing of it stays.
-    df may be computed from the current version, which is never overwritten; readers see the
-    new one only when it is complete. Versions are numbered, so clocks play no part, and two
-    writers of one number cannot both succeed.
-    """
-    spark = df.sparkSession
-    last, held = _manifest(spark, path)
-    number = last + 1
-    now = new_path(spark, f"v{number}").rsplit("/", 1)[-1]  # what a writer that failed has left is not in the way
-    target = f"{path}/data/{_VERSION}={now}"
-    if by is None:
-        df.write.parquet(target)
-        held = {None: now}
-    else:
-        day = F.coalesce(F.col(by).cast("date").cast("string"), F.lit("none"))
-        df.withColumn(_DAY, day).repartition(_DAY, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.partitionBy(_DAY).parquet(target)
-        new = [r[_DAY] for r in spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_DAY, T.StringType())])).parquet(target).select(_DAY).distinct().collect()]
-        if not new:
-            df.limit(0).write.parquet(f"{target}/{_DAY}=none")
-        gone = {*new, *(held if replaces is None else replaces)}
-        held = {d: v for d, v in held.items() if d not in gone} | dict.fromkeys(new, now)
-    rows = [(d, v, number) for d, v in held.items()] or [(None, None, number)]
-    spark.createDataFrame(rows, f"{_DAY} string, held string, number int").coalesce(1).write.parquet(f"{path}/_manifest/part={number}")
-    return number
-
-
-def read_master(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """The latest complete version of the master at path; with days only the rows of these, whose folders alone are read."""
-    _, held = _manifest(spark, path)
-    if None in held:
-        return spark.read.parquet(f"{path}/data/{_VERSION}={held[None]}")
-    by_version: dict[int, list[str]] = {}
-    for d, v in held.items():
-        if days is None or d in days:
-            by_version.setdefault(v, []).append(d)
-    wanted = [(F.col(_VERSION) == v) & F.col(_DAY).isin(d) for v, d in by_version.items()]
-    whole = spark.read.option("mergeSchema", "true").parquet(f"{path}/data").withColumn(_DAY, F.col(_DAY).cast("string"))
-    return whole.filter(reduce(lambda a, b: a | b, wanted, F.lit(False))).drop(_VERSION, _DAY)
-
-
 def publish_table(df: DataFrame, target: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Load df into a warehouse table, made if missing: 'append' adds its rows, 'truncate' puts them in place of all others."""
     if mode not in ("append", "truncate"):

@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shopweave.operators.upsert import upsert_latest
-from shopweave.plans.refresh import merge_by_day
+from shopweave.plans.refresh import upsert_into
 from shopweave.session import new_path
-from shopweave.sources.landed import read_master, write_master
 
 
 def stream_upserts(spark: SparkSession, landed: str, schema: T.StructType | str, master: str, checkpoint: str, keys: list[str],
@@ -25,11 +23,8 @@ def stream_upserts(spark: SparkSession, landed: str, schema: T.StructType | str,
 
     def merge(batch: DataFrame, _: int) -> None:
         new = clean(batch)
-        if by is None:
-            write_master(upsert_latest(new, read_master(spark, master), keys, updated), master)
-        else:
-            new.write.parquet(staged := new_path(spark, "batch"))
-            merge_by_day(spark, master, spark.read.schema(new.schema).parquet(staged), by, keys, updated)
+        new.write.parquet(staged := new_path(spark, "batch"))
+        upsert_into(spark, master, spark.read.schema(new.schema).parquet(staged), keys, updated, by)
 
     stream = spark.readStream.schema(schema).parquet(landed)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

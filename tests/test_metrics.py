@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shopweave.operators import daily, draw, market, support, themes, upsert
 from shopweave.plans import adapters as A
 from shopweave.plans.refresh import refresh_source
-from shopweave.sources import landed
+from shopweave.sources import landed, masters
 from shopweave.streaming.upserts import stream_upserts
 
 ITEM = "order_id bigint, customer_id bigint, created_at timestamp, cancellation_status boolean, item_gross_revenue double, item_net_revenue double, total_cogs double, total_shipping_cost double, total_packaging double, total_payment_fees double, quantity double"
@@ -209,11 +209,11 @@ def test_next_window(spark):
 def test_refresh_counts(spark, tmp_path, how):
     path = str(tmp_path / "m")
     old = spark.createDataFrame([(1, day(1), "o"), (2, day(8), "o")], ROW)
-    landed.write_master(old, path)
+    masters.write_master(old, path)
     new = spark.createDataFrame([(2, day(8), "n"), (3, day(9), "n"), (4, day(1), "too old")], ROW)
     got = refresh_source(spark, path, new, lambda df: df, how, "at", dt.date(2024, 1, 10), ["k"])
     assert got == {"new": 2, "total": 3}
-    stored = {r["k"]: r["v"] for r in landed.read_master(spark, path).collect()}
+    stored = {r["k"]: r["v"] for r in masters.read_master(spark, path).collect()}
     assert stored == {1: "o", 2: "o" if how == "append" else "n", 3: "n"}
 
 
@@ -221,28 +221,28 @@ def test_refresh_counts(spark, tmp_path, how):
 def test_refresh_by_day_reads_and_writes_only_days_that_change(spark, tmp_path, how):
     path = str(tmp_path / "m")
     old = spark.createDataFrame([(1, day(1), "o"), (2, day(8), "o"), (5, day(2), "moves"), (6, None, "no day")], ROW)
-    landed.write_master(old, path, "at")
+    masters.write_master(old, path, "at", keys=[] if how == "replace" else ["k"])
     new = spark.createDataFrame([(2, day(8), "n"), (3, day(9), "n"), (5, day(9), "moved"), (4, day(1), "too old")], ROW)
     got = refresh_source(spark, path, new, lambda df: df, how, "at", dt.date(2024, 1, 10), ["k"], by="at")
-    stored = sorted((r["k"], r["v"]) for r in landed.read_master(spark, path).collect())
+    stored = sorted((r["k"], r["v"]) for r in masters.read_master(spark, path).collect())
     if how == "replace":
         assert stored == [(1, "o"), (2, "n"), (3, "n"), (5, "moved"), (5, "moves"), (6, "no day")]
     else:
         assert stored == [(1, "o"), (2, "o" if how == "append" else "n"), (3, "n"), (5, "moved"), (6, "no day")]
     assert got == {"new": 3, "total": len(stored)}
-    plan = landed.read_master(spark, path, ["2024-01-09"])._jdf.queryExecution().toString()
-    assert "PartitionFilters: [" in plan and "2024-01-09" in plan and landed.read_master(spark, path, ["2024-01-09"]).count() == 2
-    number, held = landed._manifest(spark, path)
-    assert number == 2 and held["2024-01-01"].startswith("v1") and held["2024-01-09"].startswith("v2")
+    plan = masters.read_master(spark, path, ["2024-01-09"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-09" in plan and masters.read_master(spark, path, ["2024-01-09"]).count() == 2
+    of = masters.manifest(spark, path)
+    assert of.number == 2 and of.held["2024-01-01"].startswith("v1") and of.held["2024-01-09"].startswith("v2")
 
 
 def test_masters_of_nothing_and_failed_writers(spark, tmp_path):
     path, empty = str(tmp_path / "m"), spark.createDataFrame([], ROW)
-    landed.write_master(empty, path, "at")
-    assert landed.read_master(spark, path).count() == 0 and landed.read_master(spark, path).columns == empty.columns
+    masters.write_master(empty, path, "at")
+    assert masters.read_master(spark, path).count() == 0 and masters.read_master(spark, path).columns == empty.columns
     empty.write.parquet(f"{path}/data/__version=v2-left/__day=none")  # a writer that died before its manifest
-    landed.write_master(spark.createDataFrame([(1, day(1), "x")], ROW), path, "at", [])
-    assert [r["v"] for r in landed.read_master(spark, path).collect()] == ["x"]
+    masters.write_master(spark.createDataFrame([(1, day(1), "x")], ROW), path, "at", [])
+    assert [r["v"] for r in masters.read_master(spark, path).collect()] == ["x"]
     with pytest.raises(ValueError, match="unknown way"):
         refresh_source(spark, path, empty, lambda df: 1 / 0, "merge", "at", dt.date(2024, 1, 1))
 
@@ -254,11 +254,11 @@ def test_order_dates_must_agree(spark):
 
 def test_stream_merges_batches_once(spark, tmp_path):
     path, inbox = str(tmp_path / "m"), str(tmp_path / "in")
-    landed.write_master(spark.createDataFrame([(1, day(1), "o")], ROW), path)
+    masters.write_master(spark.createDataFrame([(1, day(1), "o")], ROW), path)
     for batch in ([(1, day(2), "n"), (2, day(2), "n")], [(2, day(3), "later")]):
         spark.createDataFrame(batch, ROW).write.mode("append").parquet(inbox)
         stream_upserts(spark, inbox, ROW, path, str(tmp_path / "c"), ["k"], updated="at").awaitTermination()
-    assert sorted((r["k"], r["v"]) for r in landed.read_master(spark, path).collect()) == [(1, "n"), (2, "later")]
+    assert sorted((r["k"], r["v"]) for r in masters.read_master(spark, path).collect()) == [(1, "n"), (2, "later")]
 
 
 def test_money_is_exact(spark):
