@@ -18,16 +18,18 @@ def money_sum(value: Column) -> Column:
     return F.coalesce(F.sum(value.cast(MONEY)), F.lit(0))
 
 
-def _counted(items: DataFrame, exclude_cancelled: bool) -> DataFrame:
+def counted(items: DataFrame, exclude_cancelled: bool) -> DataFrame:
+    """The items that count."""
     return items.filter(~F.coalesce("cancellation_status", F.lit(False))) if exclude_cancelled else items
 
 
 def _first_orders(items: DataFrame) -> DataFrame:
     """Per customer c, the place of the first order; repeated item rows change nothing, so they need not be made distinct."""
-    return items.groupBy(F.col("customer_id").alias("c")).agg(F.min(_place()).alias("first"))
+    return items.groupBy(F.col("customer_id").alias("c")).agg(F.min(place()).alias("first"))
 
 
-def _place() -> Column:
+def place() -> Column:
+    """What orders go by."""
     return F.struct(F.col("created_at").isNull().alias("late"), "created_at", "order_id")
 
 
@@ -39,10 +41,10 @@ def new_customer_flag(items: DataFrame, exclude_cancelled: bool = False) -> Data
     aggregate and joined back, so a customer with very many orders is no bottleneck.
     """
     require(items, "order_id", "customer_id", "created_at")
-    counted = _counted(items, exclude_cancelled)
-    orders = counted.select("order_id", "customer_id", "created_at").distinct()
-    return orders.join(_first_orders(counted), F.col("customer_id").eqNullSafe(F.col("c"))).select(
-        "order_id", "customer_id", "created_at", _place().eqNullSafe(F.col("first")).alias("is_nc"))
+    some = counted(items, exclude_cancelled)
+    orders = some.select("order_id", "customer_id", "created_at").distinct()
+    return orders.join(_first_orders(some), F.col("customer_id").eqNullSafe(F.col("c"))).select(
+        "order_id", "customer_id", "created_at", place().eqNullSafe(F.col("first")).alias("is_nc"))
 
 
 def order_date_violations(items: DataFrame) -> DataFrame:
@@ -54,18 +56,18 @@ def order_date_violations(items: DataFrame) -> DataFrame:
 
 def flagged_items(items: DataFrame, exclude_cancelled: bool = False) -> DataFrame:
     """items with their day and is_nc. An order_id must have one created_at (see order_date_violations); with two it would be an order of each day."""
-    counted = _counted(items, exclude_cancelled)
-    joined = counted.join(_first_orders(counted), F.col("customer_id").eqNullSafe(F.col("c")))
-    return joined.withColumns({"date": F.to_date("created_at"), "is_nc": _place().eqNullSafe(F.col("first"))}).drop("c", "first")
+    some = counted(items, exclude_cancelled)
+    joined = some.join(_first_orders(some), F.col("customer_id").eqNullSafe(F.col("c")))
+    return joined.withColumns({"date": F.to_date("created_at"), "is_nc": place().eqNullSafe(F.col("first"))}).drop("c", "first")
 
 
 ORDER_COSTS = ("total_shipping_cost", "total_packaging", "total_payment_fees")
 
 
-def _per_order(items: DataFrame, exclude_cancelled: bool) -> DataFrame:
-    """One row per order, day, flag and costs, with the sums of its items: what both daily tables are made of, from one pass."""
-    return flagged_items(items, exclude_cancelled).groupBy("order_id", "date", "is_nc", *ORDER_COSTS).agg(*[
-        money_sum(F.col(c)).alias(c) for c in ("item_gross_revenue", "item_net_revenue", "total_cogs", "quantity")])
+def daily_sales(flagged: DataFrame) -> DataFrame:
+    """Item and order sums per day of items with their day and flag, from one pass: first one row per order, day, flag and costs, with the sums of its items."""
+    per = flagged.groupBy("order_id", "date", "is_nc", *ORDER_COSTS).agg(*[money_sum(F.col(c)).alias(c) for c in ("item_gross_revenue", "item_net_revenue", "total_cogs", "quantity")])
+    return _doubles(per.groupBy("date").agg(*_item_sums(), *_order_sums()))
 
 
 def _item_sums() -> list[Column]:
@@ -115,19 +117,23 @@ def _doubles(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema.fields])
 
 
+SALES = ("order_id", "customer_id", "created_at", "item_gross_revenue", "item_net_revenue", "total_cogs", "quantity", *ORDER_COSTS)
+
+
 def daily_business(items: DataFrame, returns: DataFrame, ads: DataFrame, basis: str = "refund_date", exclude_cancelled: bool = False) -> DataFrame:
     """Profit per day, sorted by day: revenue less taxes and refunds, then product costs (cm1), transaction and fulfilment (cm2), and ad spend (cm3).
 
-    Item and order sums come from one pass over the items. Each part has one row a day, so
-    a union summed by day equals their full outer joins, and unknown days fall together
-    without more ado.
+    Item and order sums come from one pass over the items.
     """
+    require(items, *SALES)
+    return margins(daily_sales(flagged_items(items, exclude_cancelled)), daily_refunds(returns, basis), daily_spend(ads))
+
+
+def margins(sales: DataFrame, refunds: DataFrame, spend: DataFrame) -> DataFrame:
+    """The margin cascade over daily sales, refunds and spend. Each has one row a day, so a union summed by day equals their full outer joins, and unknown days fall together without more ado."""
     money = ("gross_revenue", "taxes", "refunds", "product_costs", "transaction_costs", "fulfillment_costs", "channel_spend", "nc_gross_revenue", "gross_quantity")
     counts = ("channel_impressions", "channel_clicks", "gross_orders", "nc_gross_orders")
-    require(items, "item_gross_revenue", "item_net_revenue", "total_cogs", "quantity", *ORDER_COSTS)
-    sales = _doubles(_per_order(items, exclude_cancelled).groupBy("date").agg(*_item_sums(), *_order_sums()))
-    parts = [sales, daily_refunds(returns, basis), daily_spend(ads)]
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [sales, refunds, spend])
     day = both.groupBy("date").agg(*[money_sum(F.col(c)).alias(c) for c in money], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
     day = day.withColumn("net_revenue", F.col("gross_revenue") - F.col("taxes") - F.col("refunds"))
     day = day.withColumn("cm1", F.col("net_revenue") - F.col("product_costs"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from shopweave.functions import features as X
 from shopweave.operators import clean, daily, draw, market, support, themes, upsert
 from shopweave.plans import adapters as A
-from shopweave.plans.refresh import refresh_source
+from shopweave.plans.daily_view import read_daily_view, refresh_daily_view
+from shopweave.plans.refresh import merge_into, refresh_source, upsert_into
 from shopweave.session import new_path
 from shopweave.sources import landed, masters
 from shopweave.streaming.upserts import stream_upserts
@@ -484,7 +485,7 @@ def _daily_spend(spark: SparkSession, sf: str) -> DataFrame:
     return daily.daily_spend(A.ads_daily(spark, sf))
 
 
-@_register("daily_business", f"""
+_BUSINESS = f"""
 WITH {ITEMS}, {RETURNS}, {ADS}, {FLAGS}, {D_ITEMS}, {D_ORDERS}, {D_REFUNDS}, {D_SPEND},
 e AS (SELECT date, coalesce(gross_revenue, 0)::{_M} AS g, coalesce(taxes, 0)::{_M} AS t, coalesce(refunds, 0)::{_M} AS r, coalesce(product_costs, 0)::{_M} AS p, coalesce(transaction_costs, 0)::{_M} AS tc,
     coalesce(fulfillment_costs, 0)::{_M} AS fc, coalesce(channel_spend, 0)::{_M} AS s, coalesce(channel_impressions, 0) AS channel_impressions, coalesce(channel_clicks, 0) AS channel_clicks,
@@ -492,11 +493,44 @@ e AS (SELECT date, coalesce(gross_revenue, 0)::{_M} AS g, coalesce(taxes, 0)::{_
   FROM d_items FULL JOIN d_orders USING (date) FULL JOIN d_refunds USING (date) FULL JOIN d_spend USING (date))
 SELECT date, g::DOUBLE AS gross_revenue, t::DOUBLE AS taxes, r::DOUBLE AS refunds, (g - t - r)::DOUBLE AS net_revenue, p::DOUBLE AS product_costs, (g - t - r - p)::DOUBLE AS cm1, tc::DOUBLE AS transaction_costs,
   fc::DOUBLE AS fulfillment_costs, (g - t - r - p - tc - fc)::DOUBLE AS cm2, s::DOUBLE AS channel_spend, (g - t - r - p - tc - fc - s)::DOUBLE AS cm3, channel_impressions, channel_clicks, gross_orders, nc_gross_orders,
-  nc_gross_revenue, gross_quantity FROM e ORDER BY date""")
+  nc_gross_revenue, gross_quantity FROM e ORDER BY date"""
+
+
+@_register("daily_business", _BUSINESS)
 def daily_business(spark: SparkSession, sf: str) -> DataFrame:
     return daily.daily_business(_items(spark, sf), A.returns_clean(spark, sf), A.ads_daily(spark, sf))
 
 
+@_register("daily_business_incremental", _BUSINESS)
+def _daily_business_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table from a view: made of items of which a seventh is late, some were sold otherwise, and some never, and of half the returns and ads; then refreshed twice as the masters come right."""
+    items, returns, ads = _items(spark, sf), A.returns_clean(spark, sf), A.ads_daily(spark, sf)
+    places = {n: new_path(spark, n) for n in ("items", "returns", "ads", "view")}
+    k, keys = F.col("order_id"), ["order_id", "item_id", "part_id", "shipped_at"]
+    recent, start = F.col("created_at") >= F.lit(dt.datetime(2001, 3, 1)), dt.date(2001, 3, 1)
+    changed = (k % 5 == 0) & (k % 3 == 0)
+    first = items.filter(k % 7 != 0).withColumn("quantity", F.when(changed, F.col("quantity") + 1).otherwise(F.col("quantity")).cast("decimal(18,4)"))
+    never = items.filter(recent & (k % 4 == 0)).withColumns({"order_id": -k, "item_gross_revenue": F.lit(1).cast("decimal(18,4)")})
+    masters.write_master(first.unionByName(never), places["items"], "created_at", keys=keys)
+    masters.write_master(returns.filter(F.col("order_completed_date") < F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date")
+    masters.write_master(ads.filter(F.crc32("ad_id") % 2 == 0), places["ads"], "date_start", keys=["ad_id"])
+
+    def refresh() -> None:
+        refresh_daily_view(spark, places["view"], places["items"], places["returns"], places["ads"])
+
+    refresh()
+    items.filter((k % 7 == 0) | changed).write.parquet(late := new_path(spark, "late"))
+    upsert_into(spark, places["items"], spark.read.parquet(late), keys, by="created_at")
+    masters.write_master(returns.filter(F.col("order_completed_date") >= F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date", [])
+    refresh()
+    items.filter(recent).write.parquet(true := new_path(spark, "true"))
+    merge_into(spark, places["items"], spark.read.parquet(true), lambda new, old: upsert.replace_window(old, new, "created_at", start), keys, "created_at", masters.held_days(masters.manifest(spark, places["items"]), start, dt.date.max))
+    ads.filter(F.crc32("ad_id") % 2 == 1).write.parquet(more := new_path(spark, "more"))
+    upsert_into(spark, places["ads"], spark.read.parquet(more), ["ad_id"], by="date_start")
+    refresh()
+    return read_daily_view(spark, places["view"])
+
+
 def _weekly(spark: SparkSession, sf: str) -> DataFrame:
     return market.weekly_ohlc(_items(spark, sf), A.returns_clean(spark, sf))
 

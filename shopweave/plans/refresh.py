@@ -75,6 +75,6 @@ def refresh_source(spark: SparkSession, master: str, landed: DataFrame, clean: C
     elif not new.isEmpty():
         days = None
         if by is not None:
-            days = held_days(of, start, end) if by == date_col else [r["d"] for r in old.filter(in_window(date_col, start, end)).select(day_of(by).alias("d")).distinct().collect()]
+            days = held_days(of, start, end) if by == date_col else [r["d"] for r in old.filter(in_window(date_col, start, end)).select(day_of(old, by).alias("d")).distinct().collect()]
         merge_into(spark, master, new, lambda a, b: replace_window(b, a, date_col, start, end), [], by, days)
     return {"new": seen.get["n"], "total": manifest(spark, master).total}

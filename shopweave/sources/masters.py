@@ -51,17 +51,18 @@ def manifest(spark: SparkSession, path: str, number: int | None = None) -> Manif
     return Manifest(number, head["by"], T.StructType.fromJson(head["schema"]), head["keys"], head["directory"], {r[_DAY]: r["held"] for r in days}, {r[_DAY]: r["n"] for r in days})
 
 
-def day_of(by: str) -> Column:
-    """The day, as text, by which a row is stored; 'none' for unknown."""
-    return F.coalesce(F.col(by).cast("date").cast("string"), F.lit("none"))
+def day_of(df: DataFrame, by: str) -> Column:
+    """The day, as text, by which a row of df is stored; 'none' for unknown. A whole number, such as a bucket, is stored like a day."""
+    at = F.col(by) if isinstance(df.schema[by].dataType, T.IntegralType) else F.col(by).cast("date")
+    return F.coalesce(at.cast("string"), F.lit("none"))
 
 
 def _dealt(df: DataFrame, by: str) -> DataFrame:
-    """df by day, a frequent day over several tasks."""
-    return df.withColumn(_DAY, day_of(by)).repartition(_DAY, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+    """df by day; adaptive execution splits a frequent day over several tasks and puts rare ones together."""
+    return df.withColumn(_DAY, day_of(df, by)).hint("rebalance", _DAY)
 
 
-def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None, keys: list[str] | None = None, added: DataFrame | None = None, keep: int | None = None) -> int:
+def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None, keys: list[str] | None = None, added: DataFrame | None = None, keep: int | None = None, base: int | None = None) -> int:
     """Store df as the next version of the master at path and return its number.
 
     With by, a date or time column, rows are stored by day, and of the version before all days stay but those
@@ -72,11 +73,11 @@ def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list
 
     keys says that df's rows (with those that stay) are unique by these. A master by day then has a directory: (hash of a
     key, day) in hash buckets, made of df, or, where replaces is given, the former one and the rows added. It may
-    name days that no longer hold a key, never lack one that does. With keep, what only versions before the last keep name is deleted.
+    name days that no longer hold a key, never lack one that does. With keep, what only versions before the last keep name is deleted. base is the version before, where that is not the latest.
     """
     spark = df.sparkSession
-    last = manifest(spark, path)
-    next_one = Manifest(last.number + 1, by, df.schema, keys)
+    last = manifest(spark, path, base)
+    next_one = Manifest(max(_numbers(spark, path), default=0) + 1, by, df.schema, keys)
     now = new_path(spark, f"v{next_one.number}").rsplit("/", 1)[-1]  # what a writer that failed has left is not in the way
     target = f"{path}/data/{_VERSION}={now}"
     if by is None:
@@ -145,7 +146,7 @@ def _bucket(h: Column) -> Column:
 
 
 def _write_keys(rows: DataFrame, path: str, keys: list[str], by: str) -> None:
-    found = rows.select(key_hash(keys).alias("h"), day_of(by).alias("day")).distinct().withColumn(_BUCKET, _bucket(F.col("h")))
+    found = rows.select(key_hash(keys).alias("h"), day_of(rows, by).alias("day")).distinct().withColumn(_BUCKET, _bucket(F.col("h")))
     found.repartition(_BUCKET).sortWithinPartitions(_BUCKET, "h").write.partitionBy(_BUCKET).parquet(path)
 
 
@@ -158,7 +159,7 @@ def directory(spark: SparkSession, path: str, of: Manifest, buckets: list[int])
 def touched_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> list[str]:
     """The days, as text, in which an upsert of new, a stored table, changes the master by day at path: those of new rows and, by the directory, those that may hold their keys now; nulls are equal. Of the master itself nothing is read."""
     of = manifest(spark, path)
-    found = {r["day"] for r in new.select(day_of(of.by).alias("day")).distinct().collect()}
+    found = {r["day"] for r in new.select(day_of(new, of.by).alias("day")).distinct().collect()}
     if keys:
         mine = new.select(key_hash(keys).alias("h")).distinct()
         buckets = [r["b"] for r in mine.select(_bucket(F.col("h")).alias("b")).distinct().collect()]
@@ -194,6 +195,13 @@ def retain(spark: SparkSession, path: str, keep: int) -> None:
                         remove(spark, f"{path}/data/{name}/{day}")
 
 
+def changed_days(before: Manifest, now: Manifest) -> list[str | None] | None:
+    """The days whose rows are not stored where they were in the version before; None, for all, if either is not stored by the same column."""
+    if before.by is None or before.by != now.by:
+        return None
+    return [d for d in {**before.held, **now.held} if before.held.get(d) != now.held.get(d)]
+
+
 def held_days(of: Manifest, start: Any, end: Any) -> list[str]:
     """Days that a master holds from start to end."""
     return [d for d in of.held if d and d != "none" and str(start) <= d <= str(end)]
