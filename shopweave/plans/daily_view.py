@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopweave.operators import daily
 from shopweave.plans.refresh import KEEP
 from shopweave.session import children, new_path, remove, require
-from shopweave.sources.masters import Manifest, _numbers, changed_days, manifest, read_master, write_master
+from shopweave.sources.masters import Manifest, _numbers, changed_days, label, manifest, read_master, write_master
 
 #: Buckets of customers in the view's table of orders.
 BUCKETS = 64
@@ -61,8 +61,8 @@ class _View:
     def read(self, part: str, days: list[str] | None = None) -> DataFrame:
         return read_master(self.spark, f"{self.path}/{part}", days, self.now[part])
 
-    def write(self, part: str, df: DataFrame, by: str, days: list[str] | None) -> None:
-        self.now[part] = write_master(df, f"{self.path}/{part}", by, days, keep=2 * KEEP, base=self.seen.get(part))
+    def write(self, part: str, df: DataFrame, by: str, days: list[str] | None, unit: str = "day") -> None:
+        self.now[part] = write_master(df, f"{self.path}/{part}", by, days, keep=2 * KEEP, base=self.seen.get(part), unit=unit)
 
     def commit(self) -> None:
         done = sorted(int(n.removeprefix("part=")) for n in children(self.spark, f"{self.path}/_seen"))
@@ -88,8 +88,8 @@ def _moved_firsts(view: _View, old: DataFrame, new: DataFrame) -> DataFrame:
     return _stored(firsts.filter(~F.col("before").eqNullSafe(F.col("after"))))
 
 
-def _day(place: str) -> Column:
-    return F.coalesce(F.col(f"{place}.created_at").cast("date").cast("string"), F.lit("none"))
+def _day(place: str, unit: str) -> Column:
+    return F.when(F.col(place).isNotNull(), F.coalesce(label(F.col(f"{place}.created_at"), unit), F.lit("none")))
 
 
 def _refresh_sales(view: _View, items: str, exclude_cancelled: bool) -> int:
@@ -108,12 +108,12 @@ def _refresh_sales(view: _View, items: str, exclude_cancelled: bool) -> int:
     require(new, *daily.SALES)
     old = counted(read_master(spark, items, days, view.seen["items"])) if days is not None else new.limit(0)
     moved = _moved_firsts(view, old, new)
-    gains = [r["d"] for r in moved.select(F.explode(F.array(F.when(F.col("before").isNotNull(), _day("before")), F.when(F.col("after").isNotNull(), _day("after")))).alias("d")).filter("d IS NOT NULL").distinct().collect()]
+    gains = [r["d"] for r in moved.select(F.explode(F.array(_day("before", of.unit), _day("after", of.unit))).alias("d")).filter("d IS NOT NULL").distinct().collect()]
     after = moved.filter("after IS NOT NULL").select("customer_id", "after.order_id", "after.created_at")
     if "firsts" in view.now:
         stay = view.read("firsts", gains)
         after = stay.join(moved.select("customer_id"), stay["customer_id"].eqNullSafe(moved["customer_id"]), "left_anti").unionByName(after)
-    view.write("firsts", after, "created_at", gains if "firsts" in view.seen else None)
+    view.write("firsts", after, "created_at", gains if "firsts" in view.seen else None, of.unit)
 
     again = None if days is None else sorted({*days, *gains})
     sold = counted(read_master(spark, items, again, of.number))
@@ -122,7 +122,7 @@ def _refresh_sales(view: _View, items: str, exclude_cancelled: bool) -> int:
     for c in _CUSTOMER:
         is_first = is_first & F.col(c).eqNullSafe(F.col(f"first_{c}"))
     flagged = sold.join(firsts.withColumn("is_nc", F.lit(True)), is_first, "left").withColumns({"is_nc": F.coalesce("is_nc", F.lit(False)), "date": F.to_date("created_at")})
-    view.write("sales", daily.daily_sales(flagged), "date", again)
+    view.write("sales", daily.daily_sales(flagged), "date", again, of.unit)
     return view_days(view, "sales") if again is None else len(again)
 
 
@@ -137,7 +137,7 @@ def _refresh_part(view: _View, name: str, master: str, part: str, by: str, compu
         return 0
     if of.by != by or part not in view.seen:
         days = None
-    view.write(part, compute(read_master(view.spark, master, days, of.number)), "date", days)
+    view.write(part, compute(read_master(view.spark, master, days, of.number)), "date", days, of.unit if of.by == by else "day")
     return view_days(view, part) if days is None else len(days)
 
 

@@ -396,7 +396,7 @@ def _refreshed(spark: SparkSession, sf: str, how: str) -> DataFrame:
     """A master of orders before June 2001, stored by day, brought up to date from a landed dump of all orders."""
     o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
     path = new_path(spark, "refresh")
-    masters.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path, "updated_at", keys=[] if how == "replace" else ["id"])
+    masters.write_master(o.filter("updated_at < timestamp_ntz'2001-06-01'").withColumn("state", F.lit("old")), path, "updated_at", keys=[] if how == "replace" else ["id"], unit="month")
     refresh_source(spark, path, o, lambda df: df.withColumn("state", F.lit("new")), how, "updated_at", dt.date(2001, 12, 31), ["id"], "updated_at", by="updated_at")
     return masters.read_master(spark, path).select("id", "state", "updated_at")
 
@@ -428,7 +428,7 @@ def _refresh_composite(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with two keys, both null at times, as a master stored by day: the first refresh makes its keys unique and its directory, the second finds the days of its keys in that."""
     li = A.table(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 50 != 0, F.col("l_orderkey")).alias("order_id"), F.nullif("l_linenumber", F.lit(3)).alias("line"), "l_shipdate")
     path, before = new_path(spark, "lines"), "l_shipdate < timestamp_ntz'2001-06-01'"
-    masters.write_master(li.filter(before).withColumn("side", F.lit(1)), path, "l_shipdate")
+    masters.write_master(li.filter(before).withColumn("side", F.lit(1)), path, "l_shipdate", unit="month")
     for last in (dt.date(2001, 5, 31), dt.date(2001, 12, 31)):
         refresh_source(spark, path, li, lambda df: df.withColumn("side", F.lit(0)), "upsert", "l_shipdate", last, ["order_id", "line"], "l_shipdate", by="l_shipdate")
     return masters.read_master(spark, path).select("order_id", "line", "side", "l_shipdate")
@@ -439,7 +439,7 @@ def _stream_upserts(spark: SparkSession, sf: str) -> DataFrame:
     """All orders as a master stored by day, and those from June 2001 on landed as files that a stream merges into it."""
     o = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("updated_at"))
     path, inbox = new_path(spark, "streamed"), new_path(spark, "inbox")
-    masters.write_master(o.withColumn("state", F.lit("old")), path, "updated_at", keys=["id"])
+    masters.write_master(o.withColumn("state", F.lit("old")), path, "updated_at", keys=["id"], unit="month")
     new = o.filter("updated_at >= timestamp_ntz'2001-06-01'").withColumn("state", F.lit("new"))
     new.write.parquet(inbox)
     stream_upserts(spark, inbox, new.schema, path, new_path(spark, "progress"), ["id"], updated="updated_at", by="updated_at").awaitTermination()
@@ -503,7 +503,7 @@ def daily_business(spark: SparkSession, sf: str) -> DataFrame:
 
 @_register("daily_business_incremental", _BUSINESS)
 def _daily_business_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """The same table from a view: made of items of which a seventh is late, some were sold otherwise, and some never, and of half the returns and ads; then refreshed twice as the masters come right."""
+    """The same table from a view: made of items of which a seventh is late, some were sold otherwise, and some never, and of half the returns and ads; then refreshed as the masters come right."""
     items, returns, ads = _items(spark, sf), A.returns_clean(spark, sf), A.ads_daily(spark, sf)
     places = {n: new_path(spark, n) for n in ("items", "returns", "ads", "view")}
     k, keys = F.col("order_id"), ["order_id", "item_id", "part_id", "shipped_at"]
@@ -511,9 +511,9 @@ def _daily_business_incremental(spark: SparkSession, sf: str) -> DataFrame:
     changed = (k % 5 == 0) & (k % 3 == 0)
     first = items.filter(k % 7 != 0).withColumn("quantity", F.when(changed, F.col("quantity") + 1).otherwise(F.col("quantity")).cast("decimal(18,4)"))
     never = items.filter(recent & (k % 4 == 0)).withColumns({"order_id": -k, "item_gross_revenue": F.lit(1).cast("decimal(18,4)")})
-    masters.write_master(first.unionByName(never), places["items"], "created_at", keys=keys)
-    masters.write_master(returns.filter(F.col("order_completed_date") < F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date")
-    masters.write_master(ads.filter(F.crc32("ad_id") % 2 == 0), places["ads"], "date_start", keys=["ad_id"])
+    masters.write_master(first.unionByName(never), places["items"], "created_at", keys=keys, unit="month")
+    masters.write_master(returns.filter(F.col("order_completed_date") < F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date", unit="month")
+    masters.write_master(ads.filter(F.crc32("ad_id") % 2 == 0), places["ads"], "date_start", keys=["ad_id"], unit="month")
 
     def refresh() -> None:
         refresh_daily_view(spark, places["view"], places["items"], places["returns"], places["ads"])
@@ -521,8 +521,7 @@ def _daily_business_incremental(spark: SparkSession, sf: str) -> DataFrame:
     refresh()
     items.filter((k % 7 == 0) | changed).write.parquet(late := new_path(spark, "late"))
     upsert_into(spark, places["items"], spark.read.parquet(late), keys, by="created_at")
-    masters.write_master(returns.filter(F.col("order_completed_date") >= F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date", [])
-    refresh()
+    masters.write_master(returns.filter(F.col("order_completed_date") >= F.lit(dt.datetime(2000, 1, 1))), places["returns"], "order_completed_date", [], unit="month")
     items.filter(recent).write.parquet(true := new_path(spark, "true"))
     merge_into(spark, places["items"], spark.read.parquet(true), lambda new, old: upsert.replace_window(old, new, "created_at", start), keys, "created_at", masters.held_days(masters.manifest(spark, places["items"]), start, dt.date.max))
     ads.filter(F.crc32("ad_id") % 2 == 1).write.parquet(more := new_path(spark, "more"))

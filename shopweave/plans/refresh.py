@@ -30,11 +30,11 @@ def merge_into(spark: SparkSession, master: str, new: DataFrame, merge: Merge, k
     keyed = keys if all(k in {*new.columns, *(of.schema.fieldNames() if of.schema else ())} for k in keys) else []
     known = by is not None and of.by == by and of.keys == keyed
     if not known:
-        write_master(merge(new, read_master(spark, master)), master, by, keys=keyed, keep=KEEP)
+        write_master(merge(new, read_master(spark, master)), master, by, keys=keyed, keep=KEEP, unit=of.unit if of.by == by else "day")
         return None
     touched = sorted({*(days or []), *touched_days(spark, master, new, [] if days is not None else keyed)})
     if touched:
-        write_master(merge(new, read_master(spark, master, touched)), master, by, touched, keyed, new if keyed else None, KEEP)
+        write_master(merge(new, read_master(spark, master, touched)), master, by, touched, keyed, new if keyed else None, KEEP, unit=of.unit)
     return touched
 
 
@@ -75,6 +75,6 @@ def refresh_source(spark: SparkSession, master: str, landed: DataFrame, clean: C
     elif not new.isEmpty():
         days = None
         if by is not None:
-            days = held_days(of, start, end) if by == date_col else [r["d"] for r in old.filter(in_window(date_col, start, end)).select(day_of(old, by).alias("d")).distinct().collect()]
+            days = held_days(of, start, end) if by == date_col else [r["d"] for r in old.filter(in_window(date_col, start, end)).select(day_of(old, by, of.unit).alias("d")).distinct().collect()]
         merge_into(spark, master, new, lambda a, b: replace_window(b, a, date_col, start, end), [], by, days)
     return {"new": seen.get["n"], "total": manifest(spark, master).total}

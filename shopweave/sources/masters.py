@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass, field
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,11 @@ BUCKETS, PARTS = 64, 16
 
 @dataclass
 class Manifest:
-    """What one version of a master is made of. held: which version's files hold each day (None: all); rows: their rows; keys: that are unique in it, None if unknown; directory: its parts."""
+    """What one version of a master is made of. unit: whether a "day" of it is a day or a month; held: which version's files hold each day (None: all); rows: their rows; keys: that are unique in it, None if unknown; directory: its parts."""
 
     number: int = 0
     by: str | None = None
+    unit: str = "day"
     schema: T.StructType | None = None
     keys: list[str] | None = None
     directory: list[str] = field(default_factory=list)
@@ -48,24 +49,32 @@ def manifest(spark: SparkSession, path: str, number: int | None = None) -> Manif
     rows = spark.read.schema(f"{_DAY} string, held string, n bigint, head string").parquet(f"{path}/_manifest/part={number}").collect()
     head = next(json.loads(r["head"]) for r in rows if r["head"])
     days = [r for r in rows if r["held"]]
-    return Manifest(number, head["by"], T.StructType.fromJson(head["schema"]), head["keys"], head["directory"], {r[_DAY]: r["held"] for r in days}, {r[_DAY]: r["n"] for r in days})
+    return Manifest(number, head["by"], head["unit"], T.StructType.fromJson(head["schema"]), head["keys"], head["directory"], {r[_DAY]: r["held"] for r in days}, {r[_DAY]: r["n"] for r in days})
 
 
-def day_of(df: DataFrame, by: str) -> Column:
-    """The day, as text, by which a row of df is stored; 'none' for unknown. A whole number, such as a bucket, is stored like a day."""
-    at = F.col(by) if isinstance(df.schema[by].dataType, T.IntegralType) else F.col(by).cast("date")
-    return F.coalesce(at.cast("string"), F.lit("none"))
+def label(at: Column, unit: str = "day") -> Column:
+    """The day, or first day of the month, of a date or time, as text."""
+    day = at.cast("date")
+    return (F.trunc(day, "month") if unit == "month" else day).cast("string")
 
 
-def _dealt(df: DataFrame, by: str) -> DataFrame:
+def day_of(df: DataFrame, by: str, unit: str = "day") -> Column:
+    """The day (or month, by unit), as text, by which a row of df is stored; 'none' for unknown. A whole number, such as a bucket, is stored like a day."""
+    whole = isinstance(df.schema[by].dataType, T.IntegralType)
+    return F.coalesce(F.col(by).cast("string") if whole else label(F.col(by), unit), F.lit("none"))
+
+
+def _dealt(df: DataFrame, by: str, unit: str) -> DataFrame:
     """df by day; adaptive execution splits a frequent day over several tasks and puts rare ones together."""
-    return df.withColumn(_DAY, day_of(df, by)).hint("rebalance", _DAY)
+    return df.withColumn(_DAY, day_of(df, by, unit)).hint("rebalance", _DAY)
 
 
-def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None, keys: list[str] | None = None, added: DataFrame | None = None, keep: int | None = None, base: int | None = None) -> int:
+def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None, keys: list[str] | None = None, added: DataFrame | None = None, keep: int | None = None, base: int | None = None,
+                 unit: str = "day") -> int:
     """Store df as the next version of the master at path and return its number.
 
-    With by, a date or time column, rows are stored by day, and of the version before all days stay but those
+    With by, a date or time column, rows are stored by day, or by month where unit says so, since days should hold enough rows to be worth a file each (what
+    is said of days holds of months then, named by their first day). Of the version before all days stay but those
     in replaces (as text, 'none' for unknown) and those that df has; without replaces nothing of it stays.
     df may be computed from the current version, which is never overwritten; readers see the
     new one only when it is complete. Versions are numbered, so clocks play no part, and two
@@ -77,14 +86,14 @@ def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list
     """
     spark = df.sparkSession
     last = manifest(spark, path, base)
-    next_one = Manifest(max(_numbers(spark, path), default=0) + 1, by, df.schema, keys)
+    next_one = Manifest(max(_numbers(spark, path), default=0) + 1, by, unit, df.schema, keys)
     now = new_path(spark, f"v{next_one.number}").rsplit("/", 1)[-1]  # what a writer that failed has left is not in the way
     target = f"{path}/data/{_VERSION}={now}"
     if by is None:
         df.write.parquet(target)
         next_one.held, next_one.rows = {None: now}, {None: spark.read.schema(df.schema).parquet(target).count()}
     else:
-        _dealt(df, by).write.partitionBy(_DAY).parquet(target)
+        _dealt(df, by, unit).write.partitionBy(_DAY).parquet(target)
         new = {r[_DAY]: r["count"] for r in spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_DAY, T.StringType())])).parquet(target).groupBy(_DAY).count().collect()}
         gone = {*new, *(last.held if replaces is None else replaces)}
         next_one.held = {d: v for d, v in last.held.items() if d not in gone} | dict.fromkeys(new, now)
@@ -94,10 +103,10 @@ def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list
         if keys:
             parts = last.directory if added is not None and replaces is not None and last.keys == keys and len(last.directory) < PARTS else []
             named = added if parts else _all_rows(spark, path, next_one, [*dict.fromkeys([*keys, by])])
-            _write_keys(named, f"{path}/_keys/{_VERSION}={now}", keys, by)
+            _write_keys(named, f"{path}/_keys/{_VERSION}={now}", keys, day_of(named, by, unit))
             next_one.directory = [*parts, now]
     rows = [(d, v, next_one.rows[d], None) for d, v in next_one.held.items()]
-    head = {"by": by, "schema": next_one.schema.jsonValue(), "keys": keys, "directory": next_one.directory}
+    head = {"by": by, "unit": unit, "schema": next_one.schema.jsonValue(), "keys": keys, "directory": next_one.directory}
     spark.createDataFrame([*rows, (None, None, None, json.dumps(head))], f"{_DAY} string, held string, n bigint, head string").coalesce(1).write.parquet(f"{path}/_manifest/part={next_one.number}")
     if keep:
         retain(spark, path, keep)
@@ -145,8 +154,8 @@ def _bucket(h: Column) -> Column:
     return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
-def _write_keys(rows: DataFrame, path: str, keys: list[str], by: str) -> None:
-    found = rows.select(key_hash(keys).alias("h"), day_of(rows, by).alias("day")).distinct().withColumn(_BUCKET, _bucket(F.col("h")))
+def _write_keys(rows: DataFrame, path: str, keys: list[str], day: Column) -> None:
+    found = rows.select(key_hash(keys).alias("h"), day.alias("day")).distinct().withColumn(_BUCKET, _bucket(F.col("h")))
     found.repartition(_BUCKET).sortWithinPartitions(_BUCKET, "h").write.partitionBy(_BUCKET).parquet(path)
 
 
@@ -159,7 +168,7 @@ def directory(spark: SparkSession, path: str, of: Manifest, buckets: list[int])
 def touched_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> list[str]:
     """The days, as text, in which an upsert of new, a stored table, changes the master by day at path: those of new rows and, by the directory, those that may hold their keys now; nulls are equal. Of the master itself nothing is read."""
     of = manifest(spark, path)
-    found = {r["day"] for r in new.select(day_of(new, of.by).alias("day")).distinct().collect()}
+    found = {r["day"] for r in new.select(day_of(new, of.by, of.unit).alias("day")).distinct().collect()}
     if keys:
         mine = new.select(key_hash(keys).alias("h")).distinct()
         buckets = [r["b"] for r in mine.select(_bucket(F.col("h")).alias("b")).distinct().collect()]
@@ -197,11 +206,12 @@ def retain(spark: SparkSession, path: str, keep: int) -> None:
 
 def changed_days(before: Manifest, now: Manifest) -> list[str | None] | None:
     """The days whose rows are not stored where they were in the version before; None, for all, if either is not stored by the same column."""
-    if before.by is None or before.by != now.by:
+    if before.by is None or (before.by, before.unit) != (now.by, now.unit):
         return None
     return [d for d in {**before.held, **now.held} if before.held.get(d) != now.held.get(d)]
 
 
-def held_days(of: Manifest, start: Any, end: Any) -> list[str]:
-    """Days that a master holds from start to end."""
-    return [d for d in of.held if d and d != "none" and str(start) <= d <= str(end)]
+def held_days(of: Manifest, start: dt.date, end: dt.date) -> list[str]:
+    """Days that a master holds, of which some lie from start to end."""
+    first = start.replace(day=1) if of.unit == "month" else start
+    return [d for d in of.held if d and d != "none" and str(first) <= d <= str(end)]
