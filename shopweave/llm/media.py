@@ -7,6 +7,7 @@ the true type, what starts later is embedded media and can be carved out.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from bisect import bisect_left
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Rate written into the header; the samples are data, not sound.
@@ -28,23 +30,75 @@ def wav_of(payload: bytes) -> bytes:
     return struct.pack("<4sI", b"RIFF", len(body)) + body
 
 
+def _times(a: int, b: int) -> int:
+    """Product of two remainders of the checksum's polynomial, highest power in the lowest bit."""
+    got = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            got ^= b
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return got
+
+
+def _powers() -> list[list[int]]:
+    """For each byte of a length, what a checksum is multiplied by for as many zero bytes."""
+    tables, one = [], 1 << 23
+    for _ in range(4):
+        row = [1 << 31]
+        for _ in range(256):
+            row.append(_times(row[-1], one))
+        one = row.pop()
+        tables.append(row)
+    return tables
+
+
+_POWERS = _powers()
+
+
+def _shifted(crc: int, zeros: int) -> int:
+    """What crc adds to the checksum of a text that goes on for as many bytes."""
+    for k in range(4):
+        if byte := zeros >> 8 * k & 255:
+            crc = _times(_POWERS[k][byte], crc)
+    return crc
+
+
 class Marks:
-    """Where magic numbers and end marks stand in a value, from one Aho-Corasick pass."""
+    """Where magic numbers and end marks stand in a value, from one Aho-Corasick pass, and what has been walked already: so hostile values take linear time."""
 
     def __init__(self, data: bytes):
+        self.data = data
         self.signs: list[tuple[int, int]] = []
         self.ends: dict[bytes, list[int]] = {m: [] for m in ENDS}
-        # what has been walked already: where chains of blocks end, and where no image goes on
+        # by where a block stands, what its chain of blocks comes to
         self.chains: dict[int, int] = {}
         self.dead: set[int] = set()
-        # sizes of archives by where they start, from their end records
+        self.samples: dict[int, tuple[int, bool | None]] = {}
+        self.images: dict[int, int] = {}
+        self.scans: dict[int, int] = {}
+        # sizes of archives and ends of documents by where they start, from their end records
         self.archives: dict[int, int] | None = None
+        self.documents: dict[int, int] | None = None
+        # checksums of the first bytes, up to every 4096th
+        self.sums: list[int] = [0]
         # latin-1 text has one character per byte
         for end, (n, sign) in _magic.iter(data.decode("latin-1")):
             if n < 0:
                 self.ends[sign].append(end - len(sign) + 1)
             else:
                 self.signs.append((end - len(sign) + 1, n))
+        self.ends[b"%PDF-"] = [at for at, n in self.signs if FORMATS[n][0] == b"%PDF-"]
+
+    def crc(self, start: int, end: int) -> int:
+        """zlib.crc32 of data[start:end]; of long stretches from the checksums of what lies before their ends, so nested stretches are not read again."""
+        view = memoryview(self.data)
+        if end - start <= 2 * STEP:
+            return zlib.crc32(view[start:end])
+        while len(self.sums) * STEP <= end:
+            at = (len(self.sums) - 1) * STEP
+            self.sums.append(zlib.crc32(view[at : at + STEP], self.sums[-1]))
+        upto = lambda at: zlib.crc32(view[at // STEP * STEP : at], self.sums[at // STEP])
+        return upto(end) ^ _shifted(upto(start), end - start)
 
     def after(self, mark: bytes, at: int) -> int:
         """Where mark stands first from at on, -1 if nowhere."""
@@ -52,40 +106,55 @@ class Marks:
         i = bisect_left(found, at)
         return found[i] if i < len(found) else -1
 
+    def before(self, mark: bytes, at: int) -> int:
+        """Where mark stands last before at, -1 if nowhere."""
+        i = bisect_left(self.ends[mark], at)
+        return self.ends[mark][i - 1] if i else -1
+
 
 def _wav(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Size, and where the samples start and end, if a whole WAVE file begins at start."""
     if start + 12 > len(data) or data[start + 8 : start + 12] != b"WAVE":
         return None
-    size = 8 + struct.unpack_from("<I", data, start + 4)[0]
-    if start + size > len(data):
+    end = start + 8 + struct.unpack_from("<I", data, start + 4)[0]
+    if end > len(data):
         return None
-    at, seen = 12, False
-    for _ in range(CHUNKS):
-        if at + 8 > size:
-            return None
-        kind, n = struct.unpack_from("<4sI", data, start + at)
-        if at + 8 + n > size:
-            return None
-        if kind == b"fmt ":
-            seen = n >= 16
+    # where the chain of chunks comes to samples, and whether the last format before them is whole; -1 if the value ends first
+    at, path, samples = start + 12, [], -1
+    while at + 8 <= len(data) and at not in marks.samples:
+        kind, n = struct.unpack_from("<4sI", data, at)
         if kind == b"data":
-            return (size, at + 8, at + 8 + n) if seen else None
+            samples = at
+            break
+        path.append((at, n >= 16 if kind == b"fmt " else None))
         at += 8 + n + n % 2
-    return None
+    samples, whole = marks.samples.get(at, (samples, None))
+    for at, own in reversed(path):
+        whole = own if whole is None else whole
+        marks.samples[at] = samples, whole
+    if samples < 0 or not whole or (last := samples + 8 + struct.unpack_from("<I", data, samples + 4)[0]) > end:
+        return None
+    return end - start, samples + 8 - start, last - start
 
 
 def _png(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
     """Every chunk must lie within data and match its checksum; the first is IHDR, the last IEND."""
-    view, at, first = memoryview(data), start + 8, True
-    while at + 12 <= len(data):
+    at, path, end = start + 8, [], -1
+    if data[at : at + 8] != b"\0\0\0\rIHDR":
+        return None
+    while at + 12 <= len(data) and at not in marks.images:
+        path.append(at)
         n, kind = struct.unpack_from(">I4s", data, at)
-        if at + 12 + n > len(data) or first and (kind != b"IHDR" or n != 13) or zlib.crc32(view[at + 4 : at + 8 + n]) != struct.unpack_from(">I", data, at + 8 + n)[0]:
-            return None
-        at, first = at + 12 + n, False
+        if at + 12 + n > len(data) or marks.crc(at + 4, at + 8 + n) != struct.unpack_from(">I", data, at + 8 + n)[0]:
+            break
+        at += 12 + n
         if kind == b"IEND":
-            return at - start, 0, at - start
-    return None
+            end = at
+            break
+    else:
+        end = marks.images.get(at, -1)
+    marks.images.update(dict.fromkeys(path, end))
+    return (end - start, 0, end - start) if end >= 0 else None
 
 
 def _gif(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
@@ -119,27 +188,64 @@ def _gif(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
 
 
 def _jpeg(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
-    """Segments by their lengths up to the scan, then the end marker."""
-    at = start + 2
-    for _ in range(SEGMENTS):
-        if at + 4 > len(data) or data[at] != 0xFF:
-            return None
-        kind, n = data[at + 1], struct.unpack_from(">H", data, at + 2)[0]
+    """Segments by their lengths, bytes that fill before a marker passed over, up to the scan, then the end marker."""
+    at, path, scan = start + 2, [], -1
+    while at + 4 <= len(data) and data[at] == 0xFF and at not in marks.scans:
+        path.append(at)
+        if data[at + 1] == 0xFF:
+            at += 1
+            continue
+        n = struct.unpack_from(">H", data, at + 2)[0]
         if n < 2 or at + 2 + n > len(data):
-            return None
+            break
+        if data[at + 1] == 0xDA:
+            scan = at + 2 + n
+            break
         at += 2 + n
-        if kind == 0xDA:
-            end = marks.after(b"\xff\xd9", at)
-            return (end + 2 - start, 0, end + 2 - start) if end >= 0 else None
-    return None
+    else:
+        scan = marks.scans.get(at, -1)
+    marks.scans.update(dict.fromkeys(path, scan))
+    end = marks.after(b"\xff\xd9", scan) if scan >= 0 else -1
+    return (end + 2 - start, 0, end + 2 - start) if end >= 0 else None
+
+
+def _documents(data: bytes, marks: Marks) -> dict[int, int]:
+    """Ends of PDF files by their starts, as their last pointers say: those count from the file's start to the table or stream of references, which is the last before the pointer."""
+    starts = set(marks.ends[b"%PDF-"])
+    tables = [at for at in marks.ends[b"xref"] if data[at - 5 : at] != b"start"]
+    streams, found = marks.ends[b" obj"], {}
+    for at in marks.ends[b"startxref"]:
+        end, value = marks.after(b"%%EOF", at), _POINTER.match(data, at + 9)
+        if end < 0 or not value:
+            continue
+        for places in (tables, streams):
+            if i := bisect_left(places, at):
+                place = places[i - 1]
+                if places is streams:  # from the name of the object
+                    name = _OBJECT.search(data[max(0, place - 20) : place])
+                    place = max(0, place - 20) + name.start() if name else -1
+                if place - int(value[1]) in starts:
+                    found[place - int(value[1])] = end + 5
+    return found
 
 
 def _pdf(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
-    """A version number, and a cross-reference pointer before the end mark that follows it."""
-    if not data[start + 5 : start + 8].replace(b".", b"").isdigit() or (ref := marks.after(b"startxref", start)) < 0:
+    """A version number, and an end: the furthest that the file's own pointers or its linearization name, else the last pointer with an end mark before the next file of the kind."""
+    if not data[start + 5 : start + 8].replace(b".", b"").isdigit():
         return None
-    end = marks.after(b"%%EOF", ref)
-    return (end + 5 - start, 0, end + 5 - start) if end >= 0 else None
+    if marks.documents is None:
+        marks.documents = _documents(data, marks)
+    end = marks.documents.get(start, -1)
+    if (line := _LINEAR.search(data, start, start + 1024)) and (mark := marks.before(b"%%EOF", start + int(line[1]))) >= start + int(line[1]) - 16:
+        end = max(end, mark + 5)
+    if end < 0:
+        following = marks.after(b"%PDF-", start + 1)
+        mark = marks.before(b"%%EOF", following if following >= 0 else len(data))
+        pointer = marks.before(b"startxref", mark) if mark > start else -1
+        end = mark + 5 if pointer > start else -1
+        if end < 0 and (pointer := marks.after(b"startxref", start)) >= 0 and (mark := marks.after(b"%%EOF", pointer)) >= 0:
+            end = mark + 5
+    return (end - start, 0, end - start) if end >= 0 else None
 
 
 def _zip(data: bytes, start: int, marks: Marks) -> tuple[int, int, int] | None:
@@ -165,10 +271,12 @@ FORMATS = [
     (b"%PDF-", "application/pdf", _pdf),
     (b"PK\x03\x04", "application/zip", _zip),
 ]
-ENDS = (b"\xff\xd9", b"startxref", b"%%EOF", b"PK\x05\x06")
+ENDS = (b"\xff\xd9", b"startxref", b"xref", b" obj", b"%%EOF", b"PK\x05\x06")
 UNKNOWN = "application/octet-stream"
-#: Chunks of a WAVE file and segments of a JPEG file before the data: so that hostile values take linear time.
-CHUNKS, SEGMENTS = 100, 1000
+#: The number after a pointer, the name of an object, and the length of a linearized file.
+_POINTER, _OBJECT, _LINEAR = re.compile(rb"\s{1,4}(\d{1,12})\s"), re.compile(rb"\d{1,8} \d{1,5}$"), re.compile(rb"/Linearized[^>]{0,200}?/L (\d{1,12})")
+#: Bytes between checksums that are kept.
+STEP = 4096
 
 _magic = ahocorasick.Automaton()
 for _n, (_sign, _kind, _check) in enumerate(FORMATS):
@@ -200,6 +308,18 @@ def sniff(data: bytes) -> list[tuple[int, int, str, int, int]]:
 DECLARED = (UNKNOWN, "audio/wav", "image/png", "text/plain")
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about so many bytes in the last column, or of one row that has more."""
+    for batch in batches:
+        size, start = 0, 0
+        for at, n in enumerate(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()):
+            if size and size + n > most:
+                yield batch.slice(start, at - start)
+                size, start = 0, at
+            size += n
+        yield batch.slice(start)
+
+
 def store_payload(df: DataFrame, text: str = "text", unit: int = 64) -> DataFrame:
     """df without its text, and n_bytes (UTF-8 size of the whole text; null: 0), media, declared_type.
 
@@ -210,7 +330,7 @@ def store_payload(df: DataFrame, text: str = "text", unit: int = 64) -> DataFram
     kept = [f for f in df.schema.fields if f.name not in (text, "n_bytes", "media", "declared_type")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             raw = [(t or "").encode() for t in batch.column(len(kept)).to_pylist()]
             media = [wav_of(b + b"\0" * (-len(b) % unit or (0 if b else unit))) for b in raw]
             new = [pa.array([len(b) for b in raw], pa.int64()), pa.array(media, pa.binary()), pa.array([DECLARED[zlib.crc32(b) % len(DECLARED)] for b in raw], pa.string())]
@@ -226,14 +346,15 @@ def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> Dat
     true_type is the confirmed type at 0, else application/octet-stream; payload is
     that file's content (samples of a WAVE file, else the whole file), the value itself
     where nothing is confirmed. embedded lists (start, size, type, bytes) of confirmed
-    media that starts later; bytes only if carve. Null counts as empty. Other columns stay, those named like
+    media that starts later; bytes only if carve, and none for what starts inside a file that is carved already,
+    whose place says where its bytes are: so no byte is copied twice. Null counts as empty. Other columns stay, those named like
     the new ones are replaced; an empty table gives none.
     """
     kept = [f for f in df.schema.fields if f.name not in ("true_type", "payload", "embedded")]
     item = pa.struct([("start", pa.int64()), ("size", pa.int64()), ("type", pa.string()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             kinds, payloads, inner = [], [], []
             for data in batch.column(len(kept)).to_pylist():
                 data = data or b""
@@ -241,7 +362,13 @@ def sniff_media(df: DataFrame, media: str = "media", carve: bool = False) -> Dat
                 whole = next((f for f in found if f[0] == 0), (0, len(data), UNKNOWN, 0, len(data)))
                 kinds.append(whole[2])
                 payloads.append(data[whole[3] : whole[4]])
-                inner.append([{"start": s, "size": n, "type": k, "bytes": data[s : s + n] if carve else None} for s, n, k, _, _ in found if s])
+                inner.append([])
+                carved = 0
+                for s, n, k, _, _ in found:
+                    if s:
+                        own = carve and s >= carved
+                        inner[-1].append({"start": s, "size": n, "type": k, "bytes": data[s : s + n] if own else None})
+                        carved = s + n if own else carved
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(kept)], pa.array(kinds, pa.string()), pa.array(payloads, pa.binary()), pa.array(inner, pa.list_(item))],
                 names=[*(f.name for f in kept), "true_type", "payload", "embedded"])
