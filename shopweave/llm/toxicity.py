@@ -37,6 +37,8 @@ PULL = 1.0
 BLOCK, FIRST, FREQUENT = 512, 2, 1 / 16
 #: Places in a table of counts that are handed on together.
 HANDED = 1024
+#: Digits of cosines that decide which is nearer: single precision has no more.
+DIGITS = 6
 #: Words that a worker remembers.
 REMEMBERED = 300_000
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
@@ -228,11 +230,12 @@ class BlockMaxIndex:
     """Examples as postings, in blocks of entries with the largest weight of each term.
 
     Given are each entry's terms and weights, one entry after the other. Neighbours share a block; bounds are tight where they are alike.
-    Terms of very many entries are kept as rows of a matrix, whose product is exact and
+    Of equal cosines that of the smaller rank (else number) counts. Terms of very many entries are kept as rows of a matrix, whose product is exact and
     sharpens the bounds of the others.
     """
 
-    def __init__(self, sizes: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK):
+    def __init__(self, sizes: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK, rank: np.ndarray | None = None):
+        self.rank = np.arange(len(sizes)) if rank is None else rank
         self.block, self.blocks = block, max(1, -(-len(sizes) // block))
         entry = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         often = np.nonzero(np.bincount(term, minlength=n_terms) > max(8, FREQUENT * len(sizes)))[0]
@@ -261,7 +264,7 @@ class BlockMaxIndex:
         return q @ self.rows
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of highest positive cosine and their cosines, exactly, but not the entry `without`; ties to the smaller number.
+        """The k entries of highest positive cosine and their cosines, exactly, but not the entry `without`; what is equal to DIGITS digits is a tie, which the smaller rank wins.
 
         Blocks whose bound is below the k-th best are skipped. frequent: the query's row of that, if it is known.
         """
@@ -291,21 +294,21 @@ class BlockMaxIndex:
             if without >= 0 and done[without // self.block]:
                 got[np.searchsorted(rows, without // self.block) * self.block + without % self.block] = 0
             least = np.partition(got, len(got) - k)[len(got) - k] if len(got) > k else 0.0
-            live = np.nonzero((got > 0) & (got >= least - 1e-9))[0]
+            live = np.nonzero((got > 0) & (got >= least - 10.0**-DIGITS))[0]
             live = rows[live // self.block] * self.block + live % self.block
-            return live[np.lexsort((live, -np.round(scores[live], 9)))][:k]
+            return live[np.lexsort((self.rank[live], -np.round(scores[live], DIGITS)))][:k]
 
         look(np.argsort(-bound, kind="stable")[:FIRST])
         found = best()
         least = scores[found[-1]] if len(found) == k else 0.0
-        more = np.nonzero(~done & (bound > 0) & (bound >= least - 1e-6))[0]
+        more = np.nonzero(~done & (bound > 0) & (bound >= least - 2 * 10.0**-DIGITS))[0]
         if len(more):
             look(more)
             found = best()
         return found, np.minimum(scores[found], 1.0)
 
 
-def arranged(about: list[tuple[int, int, int]], ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, weight: np.ndarray, boosted: np.ndarray) -> tuple:
+def arranged(about: list[tuple[int, int, int, int]], ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, weight: np.ndarray, boosted: np.ndarray) -> tuple:
     """about, sizes, ids and unit weights of the entries, ordered so that those with the same strongest tied term, or else the same most frequent word, are neighbours."""
     first = np.cumsum(sizes) - sizes
     w = ((1 + np.log(counts)) * weight[ids]).astype(np.float32)
@@ -322,9 +325,12 @@ class Examples:
     def __init__(self, entries: tuple, weight: np.ndarray, new: float, k: int):
         self.about, sizes, ids, unit = entries
         self.k, self.weight, self.new = k, weight, new
-        self.toxic = np.array([t / (t + c) for _, t, c in self.about])
-        self.place = {d: i for i, (d, _, _) in enumerate(self.about)}
-        self.index = BlockMaxIndex(sizes, ids, unit, len(weight))
+        self.toxic = np.array([t / (t + c) for _, t, c, _ in self.about])
+        self.place = {h: i for i, (_, _, _, h) in enumerate(self.about)}
+        # ties go to the smaller doc_id, however the entries are arranged
+        rank = np.empty(len(self.about), dtype=np.int32)
+        rank[sorted(range(len(rank)), key=lambda i: (self.about[i][0], self.about[i][3]))] = np.arange(len(rank))
+        self.index = BlockMaxIndex(sizes, ids, unit, len(weight), rank=rank)
 
     def votes(self, ids: list[np.ndarray], counts: list[np.ndarray], rest: list[float], without: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """For each text the share of toxic votes, one weak vote of the class share among them, and the voters and their cosines."""
@@ -366,7 +372,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: i
     weighted by 1 / (distance + CLOSE) ** POWER, with one weak vote for the class share. score is
     that vote after a logistic map, fitted to the votes that examples get from all others. An example that is
     scored as a document meets itself. Null or empty text, or text without any word of an example, has the class share for its vote. Without toxic labels every
-    score is 0. Repeated rows score alike. Other columns are ignored.
+    score is 0. Of examples equally near, that of the smaller doc_id votes; examples are told apart by their
+    texts, so rows may share a doc_id. Repeated rows score alike. Other columns are ignored.
     """
     return _scored(docs, labels, k, per_class, max_terms)[0]
 
@@ -386,11 +393,11 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
         boost[numbers.tied[t] if t in numbers.tied else numbers.find([t])[0]] = g
     # examples with equal texts are one entry that counts for all of them; those without words are none
     entries = (found.join(F.broadcast(sample), "doc_id").filter(F.size("ids") > 0).groupBy("text_hash")
-               .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("ids").alias("ids"), F.first("counts").alias("counts"))).toArrow().combine_chunks().sort_by("doc_id")
+               .agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"), F.first("ids").alias("ids"), F.first("counts").alias("counts"))).toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
     schema = f"doc_id bigint, text_hash bigint, {OUT}"
     rows = found.select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "ids", "counts", "rest")
-    about = list(zip(*(entries.column(c).to_pylist() for c in ("doc_id", "toxic", "clean")), strict=True))
-    if not sum(t for _, t, _ in about):
+    about = list(zip(*(entries.column(c).to_pylist() for c in ("doc_id", "toxic", "clean", "text_hash")), strict=True))
+    if not sum(t for _, t, _, _ in about):
         nothing = F.array().cast(EVIDENCE)
         return rows.select("doc_id", "text_hash", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), nothing.alias("evidence")), found
     flat = lambda c: entries.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -406,13 +413,15 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                got = all_.votes(lists(part, "ids"), lists(part, "counts"), [0.0] * part.num_rows, [all_.place[d] for d in part.column("doc_id").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([v for v, _, _ in got], pa.float64())], names=["doc_id", "vote"])
+                got = all_.votes(lists(part, "ids"), lists(part, "counts"), [0.0] * part.num_rows, [all_.place[h] for h in part.column("text_hash").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column("text_hash"), pa.array([v for v, _, _ in got], pa.float64())], names=["text_hash", "vote"])
 
-    firsts = docs.sparkSession.createDataFrame([(d,) for d, _, _ in about], "doc_id bigint")
-    got = found.join(F.broadcast(firsts), "doc_id").filter(F.size("ids") > 0).dropDuplicates(["doc_id"]).select("doc_id", "ids", "counts").mapInArrow(own, "doc_id bigint, vote double").toArrow()
-    label = {d: t / (t + c) for d, t, c in about}
-    a, b = calibration(got.column("vote").to_numpy(), np.array([label[d] for d in got.column("doc_id").to_pylist()]), np.ones(got.num_rows))
+    # an example is known by its text: rows may share a doc_id, and rows of equal texts have equal vectors
+    firsts = docs.sparkSession.createDataFrame([(d, h) for d, _, _, h in about], "doc_id bigint, text_hash bigint")
+    once = found.join(F.broadcast(firsts), ["doc_id", "text_hash"]).dropDuplicates(["text_hash"]).select("text_hash", "ids", "counts")
+    got = once.mapInArrow(own, "text_hash bigint, vote double").toArrow().sort_by("text_hash")
+    label = {h: t / (t + c) for _, t, c, h in about}
+    a, b = calibration(got.column("vote").to_numpy(), np.array([label[h] for h in got.column("text_hash").to_pylist()]), np.ones(got.num_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
@@ -422,7 +431,7 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
                 scores, evidence = [], []
                 for v, near, cosine in all_.votes(lists(part, "ids"), lists(part, "counts"), part.column("rest").to_pylist()):
                     scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))))
-                    evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e], strict=True)) | {"similarity": c} for e, c in zip(near.tolist(), cosine.tolist(), strict=True)])
+                    evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e][:3], strict=True)) | {"similarity": c} for e, c in zip(near.tolist(), cosine.tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
                     names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
