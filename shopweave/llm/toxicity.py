@@ -40,7 +40,7 @@ HANDED = 1024
 #: Digits of cosines that decide which is nearer: single precision has no more.
 DIGITS = 6
 #: Words that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:bigint,clean:bigint>>"
 OUT = f"held_out boolean, score double, predicted int, evidence {EVIDENCE}"
 ITEM = pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -403,13 +403,15 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
     flat = lambda c: entries.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     sizes = np.array([len(x) for x in entries.column("ids")])
     weight = (np.log((1 + n_docs) / (1 + df)) + 1) * boost
-    order = arranged(about, flat("ids"), flat("counts"), sizes, weight, boost > 1)
+    # built once and here, so that workers hold the index alone and not what it is made from
+    index = Examples(arranged(about, flat("ids"), flat("counts"), sizes, weight, boost > 1), weight, math.log(1 + n_docs) + 1, k)
     del entries
-    sent, mark = docs.sparkSession.sparkContext.broadcast((order, weight, math.log(1 + n_docs) + 1, k)), uuid.uuid4().hex
+    sent, mark = docs.sparkSession.sparkContext.broadcast(index), uuid.uuid4().hex
+    del index
     lists = lambda part, c: [x.values.to_numpy() for x in part.column(c)]
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
+        all_ = held(("toxicity", mark), lambda: sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
@@ -424,7 +426,7 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
     a, b = calibration(got.column("vote").to_numpy(), np.array([label[h] for h in got.column("text_hash").to_pylist()]), np.ones(got.num_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ = held(("toxicity", mark), lambda: Examples(*sent.value))
+        all_ = held(("toxicity", mark), lambda: sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
