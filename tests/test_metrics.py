@@ -157,6 +157,39 @@ def test_box_has_outliers(spark):
     assert [tuple(x) for x in r] == [("a", "open", 5, 1.0, 2.0, 3.0, 4.0, 4.0, 1)]
 
 
+def test_boxes_equal_brute_force_with_hot_agents_and_nulls(spark):
+    import random
+    import statistics
+
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["hot", "hot", "hot", "b", None]), rng.choice(["open", None]), rng.choice([None, 5.0, 5.0, rng.random() * 100])) for i in range(900)]
+    rows += [(2000 + i, "silent", "open", None) for i in range(3)] + [(3000, "one", "open", 7.0), (3001, None, "new", 1.0)]
+    df = spark.createDataFrame(rows, "id int, assignee_id string, status string, ticket_duration_min double").repartition(9)
+    want = {}
+    for key in {(a, s) for _, a, s, _ in rows if a is not None or s not in (None, "new")}:
+        xs = sorted(x for _, a, s, x in rows if (a, s) == key and x is not None)
+        q = statistics.quantiles(xs, n=4, method="inclusive") if len(xs) > 1 else xs * 3 or [None] * 3
+        inside = [x for x in xs if q[0] - 1.5 * (q[2] - q[0]) <= x <= q[2] + 1.5 * (q[2] - q[0])]
+        want[key] = (len(xs), min(inside, default=None), *q, max(inside, default=None), len(xs) - len(inside))
+    got = {(r[0], r[1]): tuple(r)[2:] for r in support.duration_box_stats(df).collect()}
+    near = lambda v: tuple(round(x, 9) if isinstance(x, float) else x for x in v)
+    assert {k: near(v) for k, v in got.items()} == {k: near(v) for k, v in want.items()}
+    plan = support.duration_box_stats(df)._jdf.queryExecution().optimizedPlan().toString()
+    # the one window goes over counts of partitions, never over values
+    assert "Window [sum(rows" in plan and plan.count("Window [") <= 2 and "x#" not in plan[plan.index("Window [") :].split("\n")[0]
+
+
+def test_places_deal_ties_and_groups(spark):
+    from shopweave.operators.places import placed
+
+    df = spark.range(0, 1000, 1, 7).selectExpr("CASE WHEN id < 990 THEN 'hot' END AS g", "CASE WHEN id % 3 > 0 THEN 5 ELSE id END AS x", "1 AS place")
+    got = placed(df, ["g"], "x").collect()
+    for g, n in (("hot", 990), (None, 10)):
+        mine = sorted((r["place"], r["x"]) for r in got if r["g"] == g)
+        assert [p for p, _ in mine] == list(range(n)) and [x for _, x in mine] == sorted(x for _, x in mine)
+    assert {r["n"] for r in got} == {990, 10} and placed(df.limit(0), ["g"], "x").count() == 0
+
+
 ROW = "k int, at timestamp, v string"
 
 
