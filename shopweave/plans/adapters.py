@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopweave.operators import tagger
+
 MONEY = "decimal(18,4)"
 
 
@@ -158,6 +160,24 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") % 7).cast("string").alias("consumer_number_of_reviews"), F.lit("h").alias("links_href_1"), F.lit("b").alias("business_unit_id"), F.lit("r").alias("company_reply_text"))
 
 
+# Closed classes of German words.
+CLOSED = {"DET": ("der", "die", "das", "dem", "den", "des"), "CCONJ": ("und",), "ADP": ("auf", "aus", "in", "im", "mit", "von", "zu"), "PART": ("nicht",)}
+
+
+def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of German documents as a tagged table: the tables hold no tags, so closed classes and endings give them. Lemmas of nouns are singular."""
+    words = tagger.sentences(table(spark, sf_dir, "documents").filter("lang = 'de'").select("doc_id", "text"))
+
+    def tag(word: Column) -> Column:
+        w = F.lower(word)
+        out = F.when(w.rlike("(ung|heit|keit)(en)?$"), "NOUN").when(w.rlike("(lich|isch)$"), "ADJ").otherwise("X")
+        for name, closed in CLOSED.items():
+            out = F.when(w.isin(*closed), name).otherwise(out)
+        return out
+
+    return words.withColumns({"tags": F.transform("words", tag), "lemmas": F.transform("words", lambda w: F.regexp_replace(F.lower(w), "(ung|heit|keit)en$", "$1"))})
+
+
 def agents(spark: SparkSession) -> DataFrame:
     return spark.sql("SELECT * FROM VALUES ('1000000000001', 'agent_a'), ('1000000000002', 'agent_b') AS t(id, name)")
 

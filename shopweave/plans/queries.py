@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopweave.functions import features as X
-from shopweave.operators import clean, daily, draw, market, support, themes, upsert
+from shopweave.operators import clean, daily, draw, market, support, tagger, themes, upsert
 from shopweave.plans import adapters as A
 from shopweave.plans.daily_view import read_daily_view, refresh_daily_view
 from shopweave.plans.refresh import merge_into, refresh_source, upsert_into
@@ -577,6 +577,63 @@ def _tf_idf(spark: SparkSession, sf: str) -> DataFrame:
     return themes.tf_idf(themes.theme_counts(A.raw_reviews(spark, sf)), "rating_group", "word", "n")
 
 
+_CLOSED = " ".join(f"WHEN lower(word) IN {tuple(words)}".replace(",)", ")") + f" THEN '{name}'" for name, words in A.CLOSED.items())
+_TRIES = "SELECT {0}, w, {0} || '=' || w AS key, 99 AS o FROM {1} UNION ALL SELECT {0}, w, {0} || '~' || right(w, e), e FROM {1}, range(5) AS r(e) WHERE e <= length(w)"
+_TAGGED = rf"""
+p AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?\n]+')) AS part, generate_subscripts(string_split_regex(text, '[.!?\n]+'), 1) - 1 AS sent FROM documents WHERE lang = 'de'),
+tok AS (SELECT doc_id, sent, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM (SELECT doc_id, sent, list_filter(string_split_regex(part, '[^\p{{L}}]+'), lambda x: x <> '') AS words FROM p)),
+k AS (SELECT *, lower(word) AS w, CASE WHEN pos = 0 THEN '?' WHEN regexp_matches(word, '^\p{{Lu}}') THEN '^' ELSE '_' END AS mark, regexp_replace(lower(word), '(ung|heit|keit)en$', '\1') AS lem,
+  CASE {_CLOSED} WHEN regexp_matches(lower(word), '(ung|heit|keit)(en)?$') THEN 'NOUN' WHEN regexp_matches(lower(word), '(lich|isch)$') THEN 'ADJ' ELSE 'X' END AS tag FROM tok),
+tags AS (SELECT tag, count(*) AS total, count(DISTINCT w) AS types FROM k GROUP BY ALL),
+seen AS (SELECT '?' AS mark, w, tag FROM k UNION ALL SELECT mark, w, tag FROM k WHERE mark <> '?'),
+whole AS (SELECT mark || '=' || w AS key, tag, count(*) AS n FROM seen GROUP BY ALL),
+ends AS (SELECT mark || '~' || right(w, e) AS key, tag, count(*) AS n FROM (SELECT DISTINCT * FROM seen), range(5) AS r(e) WHERE e <= length(w) GROUP BY ALL),
+kept AS (SELECT key FROM (SELECT key, sum(n) AS n FROM whole GROUP BY key ORDER BY n DESC, key LIMIT 100000) UNION ALL SELECT key FROM (SELECT key, sum(n) AS n FROM ends GROUP BY key ORDER BY n DESC, key LIMIT 50000)),
+heads AS (SELECT * FROM (FROM whole UNION ALL FROM ends) SEMI JOIN kept USING (key)),
+need AS (SELECT DISTINCT mark, w FROM k),
+found AS (SELECT mark, w, arg_max(key, o) AS key FROM ({_TRIES.format("mark", "need")}) SEMI JOIN kept USING (key) GROUP BY ALL),
+em AS (SELECT mark, w, t.tag, floor(1000 * ln((coalesce(n, 0) + 0.01::DOUBLE) / (CASE WHEN key[2] = '=' THEN total ELSE types END + 1)))::BIGINT AS s FROM found CROSS JOIN tags AS t LEFT JOIN heads USING (key, tag)),
+moved AS (SELECT a, b, count(*) AS n FROM (SELECT coalesce(lag(tag) OVER (PARTITION BY doc_id, sent ORDER BY pos), '') AS a, tag AS b FROM k) GROUP BY ALL),
+moves AS (SELECT a, b, floor(1000 * ln((coalesce(n, 0) + 1::DOUBLE) / (sum(coalesce(n, 0)) OVER (PARTITION BY a) + (SELECT count(*) FROM tags))))::BIGINT AS s
+  FROM (SELECT '' AS a UNION ALL SELECT tag FROM tags) CROSS JOIN (SELECT tag AS b FROM tags) LEFT JOIN moved USING (a, b)),
+step AS MATERIALIZED (SELECT doc_id, sent, pos, em.tag, em.s FROM k JOIN em USING (mark, w)),
+vit AS (
+  SELECT doc_id, sent, pos, tag, step.s + moves.s AS score, [tag] AS path FROM step JOIN moves ON a = '' AND b = tag WHERE pos = 0
+  UNION ALL
+  SELECT doc_id, sent, pos, tag, score, path FROM (
+    SELECT e.doc_id, e.sent, e.pos, e.tag, v.score + m.s + e.s AS score, list_append(v.path, e.tag) AS path,
+      row_number() OVER (PARTITION BY e.doc_id, e.sent, e.tag ORDER BY v.score + m.s DESC, v.tag) AS r
+    FROM vit AS v JOIN step AS e ON e.doc_id = v.doc_id AND e.sent = v.sent AND e.pos = v.pos + 1 JOIN moves AS m ON m.a = v.tag AND m.b = e.tag) WHERE r = 1),
+ended AS (SELECT doc_id, sent, path FROM vit QUALIFY row_number() OVER (PARTITION BY doc_id, sent ORDER BY pos DESC, score DESC, tag) = 1),
+upos AS (SELECT doc_id, sent, unnest(path) AS upos, generate_subscripts(path, 1) - 1 AS pos FROM ended),
+rule AS (SELECT tag, w, n, length(w) - same AS cut, substr(lem, (same + 1)::BIGINT) AS added
+  FROM (SELECT tag, w, lem, count(*) AS n, len(list_filter(range(least(length(w), length(lem)) + 1), lambda i: left(w, i) = left(lem, i))) - 1 AS same FROM k GROUP BY tag, w, lem)),
+rkeys AS (SELECT tag || '=' || w AS key, true AS known, cut, added, sum(n) AS n FROM rule GROUP BY ALL UNION ALL
+  SELECT tag || '~' || right(w, e), false, cut, added, count(*) FROM rule, range(5) AS r(e) WHERE e <= length(w) GROUP BY ALL),
+rtop AS (SELECT key, known, cut, added FROM (SELECT *, sum(n) OVER (PARTITION BY key) AS all_n, row_number() OVER (PARTITION BY key ORDER BY n DESC, cut, added) AS r FROM rkeys) WHERE r = 1
+  QUALIFY row_number() OVER (PARTITION BY known ORDER BY all_n DESC, key) <= CASE WHEN known THEN 100000 ELSE 50000 END),
+uneed AS (SELECT DISTINCT upos, w FROM k JOIN upos USING (doc_id, sent, pos)),
+lemmas AS (SELECT upos, w, CASE WHEN cut <= length(w) THEN left(w, length(w) - cut) || added ELSE w END AS lemma
+  FROM (SELECT upos, w, arg_max(key, o) AS key FROM ({_TRIES.format("upos", "uneed")}) SEMI JOIN rtop USING (key) GROUP BY ALL) JOIN rtop USING (key)),
+tagged AS (SELECT doc_id, sent, pos, word, upos, lemma FROM k JOIN upos USING (doc_id, sent, pos) JOIN lemmas USING (upos, w))"""
+
+
+@_register("tag_sentences", f"WITH RECURSIVE {_TAGGED} SELECT doc_id, sent, pos, word, upos, lemma FROM tagged")
+def _tag_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    texts = A.table(spark, sf, "documents").filter("lang = 'de'").select("doc_id", "text")
+    return tagger.tag_sentences(texts, tagger.train_tagger(A.tagged_sentences(spark, sf)))
+
+
+@_register("noun_themes_tagged", f"""WITH RECURSIVE {_TAGGED},
+c AS (SELECT CASE WHEN doc_id % 5 + 1 <= 3 THEN 'Kritisch (1-3)' ELSE 'Positiv (4-5)' END AS rating_group, lemma AS word, count(*) AS n FROM tagged
+  WHERE upos = 'NOUN' AND lemma NOT IN ('schuh', 'frist', 'juli', 'kontaktformular') GROUP BY ALL),
+t AS (SELECT *, n / sum(n) OVER (PARTITION BY rating_group) AS tf, ln((SELECT count(DISTINCT rating_group) FROM c) / count(*) OVER (PARTITION BY word)) AS idf FROM c)
+SELECT rating_group, word, n, tf, idf, tf * idf AS tf_idf FROM t QUALIFY row_number() OVER (PARTITION BY rating_group ORDER BY tf * idf DESC, n DESC, word) <= 10""")
+def _noun_themes_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    model = tagger.train_tagger(A.tagged_sentences(spark, sf))
+    return themes.noun_themes(A.raw_reviews(spark, sf), lambda texts: tagger.tag_sentences(texts, model))
+
+
 @_register("top_k_per_group", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3")
 def _top_k_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return themes.top_k_per_group(A.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", [F.desc("o_totalprice"), F.col("o_orderkey")], 3)
