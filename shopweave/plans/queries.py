@@ -14,7 +14,7 @@ from shopweave.plans import adapters as A
 from shopweave.plans.daily_view import read_daily_view, refresh_daily_view
 from shopweave.plans.refresh import merge_into, refresh_source, upsert_into
 from shopweave.session import new_path
-from shopweave.sources import landed, masters
+from shopweave.sources import landed, ledger, masters
 from shopweave.streaming.upserts import stream_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,33 @@ def _read_landed_pages(spark: SparkSession, sf: str) -> DataFrame:
     return landed.read_landed_pages(spark, path, "data.data", schema, multi_line=False)
 
 
+def _ingested(spark: SparkSession, sf: str) -> str:
+    """Orders landed twice as pages, of which every seventh is cut off, lacks its records or comes again under another name, taken in after each landing and once more."""
+    one = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.struct(F.col("o_totalprice").cast(_M).cast("string").alias("value")).alias("amount"), F.col("o_orderstatus").alias("status"))
+    page = A.table(spark, sf, "orders").groupBy(F.floor(F.col("o_orderkey") / 1000).alias("p")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(one)).alias("data"))).alias("body"))
+    flaw = F.col("p") % 7
+    pages = page.select("p", F.when(flaw == 3, F.left("body", F.length("body") - 2)).when(flaw == 5, F.format_string('{"page": %d}', "p")).otherwise(F.col("body")).alias("value"))
+    path, store = new_path(spark, "landed"), new_path(spark, "ingested")
+    for batch in (pages.filter("p % 5 <> 4"), pages.filter("p % 5 = 4 OR p % 7 = 1"), None):
+        if batch is not None:
+            batch.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)
+        ledger.ingest_pages(spark, path, store, "data", "data array<struct<id: string, amount: struct<value: string>, status: string>>")
+    return store
+
+
+@_register("ingest_pages", f"SELECT o_orderkey::VARCHAR AS id, o_totalprice::{_M}::VARCHAR AS amount_value, o_orderstatus AS status FROM orders WHERE (o_orderkey // 1000) % 7 NOT IN (3, 5)")
+def _ingest_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger.read_records(spark, _ingested(spark, sf)).drop("run")
+
+
+@_register("ingest_ledger", """
+WITH p AS (SELECT o_orderkey // 1000 AS p, count(*) AS n FROM orders GROUP BY ALL),
+f AS (SELECT CASE p % 7 WHEN 3 THEN 'malformed' WHEN 5 THEN 'no_records' ELSE 'good' END AS status, CASE WHEN p % 7 IN (3, 5) THEN 0 ELSE n END AS n FROM p UNION ALL SELECT 'repeated', 0 FROM p WHERE p % 7 = 1)
+SELECT status, count(*) AS n_files, sum(n) AS n_records FROM f GROUP BY ALL""")
+def _ingest_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger.read_ledger(spark, _ingested(spark, sf)).groupBy("status").agg(F.count("*").alias("n_files"), F.sum("n_records").alias("n_records"))
+
+
 @_register("flatten_struct", f"SELECT o_orderkey::VARCHAR AS transaction_info_transaction_id, o_totalprice::{_M}::VARCHAR AS transaction_info_transaction_amount_value FROM orders")
 def _flatten_struct(spark: SparkSession, sf: str) -> DataFrame:
     return landed.flatten_struct(A.raw_payments(spark, sf)).select("transaction_info_transaction_id", "transaction_info_transaction_amount_value")
