@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopweave.functions import features as X
-from shopweave.operators import clean, daily, draw, market, support, tagger, themes, upsert
+from shopweave.operators import clean, daily, draw, market, prefixes, support, tagger, themes, upsert
 from shopweave.plans import adapters as A
 from shopweave.plans.daily_view import read_daily_view, refresh_daily_view
 from shopweave.plans.refresh import merge_into, refresh_source, upsert_into
@@ -339,6 +339,15 @@ def _map_ids(spark: SparkSession, sf: str) -> DataFrame:
     return A.table(spark, sf, "customer").select("c_custkey", X.map_ids(F.col("c_custkey"), names, "prefix").alias("prefix"), X.map_ids(F.col("c_custkey"), names, "exact").alias("exact"))
 
 
+@_register("join_prefixes", """
+WITH t AS (SELECT o_orderkey, o_orderkey::VARCHAR AS t FROM orders), h AS (SELECT o_orderkey, arg_min(p_name, n) AS shortest, arg_max(p_name, n) AS longest FROM t, range(1, 20) AS r(n) JOIN part ON p_partkey::VARCHAR = left(t, n) WHERE n <= length(t) GROUP BY ALL)
+SELECT o_orderkey, coalesce(shortest, t) AS shortest, coalesce(longest, t) AS longest FROM t LEFT JOIN h USING (o_orderkey)""")
+def _join_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    orders, part = A.table(spark, sf, "orders").select("o_orderkey"), A.table(spark, sf, "part").select("p_partkey", "p_name")
+    short = prefixes.join_prefixes(orders, "o_orderkey", part, "shortest", "p_partkey", "p_name")
+    return prefixes.join_prefixes(short, "o_orderkey", part, "longest", "p_partkey", "p_name", longest=True)
+
+
 @_register("classify", "SELECT event_id, ['video', 'image', 'carousel', 'ungrouped', 'ungrouped'][event_id % 5 + 1] AS kind FROM events")
 def _classify(spark: SparkSession, sf: str) -> DataFrame:
     names = F.array(F.lit("Summer Video"), F.lit("STATIC bild"), F.lit("Karussell"), F.lit("plain"), F.lit(None).cast("string"))
