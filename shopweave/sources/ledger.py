@@ -17,11 +17,13 @@ def ingest_pages(spark: SparkSession, landed: str, store: str, records: str, sch
     """Take in the JSON pages (one a file) that landed holds and store has not seen.
 
     Which files were seen is kept by the file stream (store/seen), so files of earlier runs are
-    not opened again (a file that is written over keeps its first reading); a page whose bytes came before, under any name, is 'repeated' and gives
-    no records (of several in one run the smallest path counts). A page that is no JSON object
-    of the schema, is blank or has a value of another type is 'malformed', one without the
-    array named by the dotted path records is 'no_records'; both lie whole in the quarantine.
-    An empty array is good. Files of no bytes are passed over by Spark's scans and appear nowhere. Fields beyond the schema are left out, missing ones are null.
+    not opened again (a file that is written over keeps its first reading). A page whose bytes
+    came before, under any name, is 'repeated' and gives no records; of several in one run the
+    smallest path counts. A page that is no JSON object of the schema, is blank or has a value
+    of another type is 'malformed', one without the array named by the dotted path records is
+    'no_records'; both lie whole in the quarantine. An empty array is good. Files of no bytes
+    are passed over by Spark's scans and appear nowhere. Fields beyond the schema are left out,
+    missing ones are null.
 
     Each run writes folders of its own, the ledger's last; a run that broke off is written
     anew under the same number, and readers see only runs that the ledger holds.
