@@ -119,7 +119,8 @@ def _ingested(spark: SparkSession, sf: str) -> str:
     flaw = F.col("p") % 7
     pages = page.select("p", F.when(flaw == 3, F.left("body", F.length("body") - 2)).when(flaw == 5, F.format_string('{"page": %d}', "p")).otherwise(F.col("body")).alias("value"))
     path, store = new_path(spark, "landed"), new_path(spark, "ingested")
-    for batch in (pages.filter("p % 5 <> 4"), pages.filter("p % 5 = 4 OR p % 7 = 1"), None):
+    # a page of both kinds comes twice in the second landing
+    for batch in (pages.filter("p % 5 <> 4"), pages.filter("p % 5 = 4").unionByName(pages.filter("p % 7 = 1")), None):
         if batch is not None:
             batch.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)
         ledger.ingest_pages(spark, path, store, "data", "data array<struct<id: string, amount: struct<value: string>, status: string>>")

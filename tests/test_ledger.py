@@ -1,10 +1,14 @@
 import json
 import os
 
+import duckdb
 import pytest
 
+from shopweave.plans.queries import ORACLE_SQL, QUERIES
 from shopweave.sources import ledger
 
+from .oracle import rows_of
+
 SCHEMA = "data struct<rows: array<struct<id: int, at: struct<day: string>>>>"
 
 
@@ -87,3 +91,14 @@ def test_nothing_landed(shop):
     shop.ingest()
     with pytest.raises(ValueError, match="no finished run"):
         shop.status()
+
+
+def test_ledger_of_pages_that_come_twice_in_one_landing(spark, tmp_path):
+    # pages 1 (again in the second landing), 3 (malformed), 5 (no records), 29 and 64 (both copies in the second landing)
+    spark.createDataFrame([(p * 1000 + i, p, 1.0, "F") for p in (1, 3, 5, 29, 64) for i in (0, 1)], "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["ingest_ledger"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    want = con.execute(ORACLE_SQL["ingest_ledger"])
+    names = [d[0] for d in want.description]
+    assert rows_of(got.columns, got.collect()) == rows_of(names, want.fetchall())
