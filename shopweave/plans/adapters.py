@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopweave.operators import tagger
+from shopweave.session import dealt
 
 MONEY = "decimal(18,4)"
 
@@ -27,13 +28,18 @@ def _at(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def _ordered_lines(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """Lines with their orders, by order: what groups or joins them by order next stays in its tasks."""
+    o, li = dealt(table(spark, sf_dir, "orders"), "o_orderkey"), dealt(table(spark, sf_dir, "lineitem").filter(where), "l_orderkey")
+    return o.join(li, o["o_orderkey"] == li["l_orderkey"])
+
+
 def financial_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order's amounts repeated on each."""
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     ext, one = _money(F.col("l_extendedprice")), F.lit(1)
     net = _money(ext * (one - _money(F.col("l_discount"))))
     status = F.when(F.col("o_orderstatus") == "F", "paid").when(F.col("o_orderstatus") == "O", "partially_paid").otherwise("pending")
-    return o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
+    return _ordered_lines(spark, sf_dir).select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("created_at"),
         (F.col("o_orderstatus") == "P").alias("cancellation_status"), status.alias("financial_status"), F.col("l_linenumber").alias("item_id"),
         _money(net * (one + _money(F.col("l_tax")))).alias("item_gross_revenue"), net.alias("item_net_revenue"),
@@ -45,9 +51,8 @@ def financial_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def returns_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines as cleaned returns."""
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
     kind = F.element_at(F.array(F.lit("return"), F.lit("mix"), F.lit("exchange")), (F.col("l_linenumber") % 3 + 1).cast("int"))
-    return o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
+    return _ordered_lines(spark, sf_dir, "l_returnflag = 'R'").select(
         F.col("o_orderkey").alias("shopify_order_id"), F.when(F.col("l_linestatus") == "F", "refunded").otherwise("open").alias("status"), kind.alias("type"),
         F.col("l_shipdate").alias("order_completed_date"), F.col("o_orderdate").alias("shopify_created_at"),
         _money(_money(F.col("l_extendedprice")) * (F.lit(1) - _money(F.col("l_discount")))).alias("refund_amount"))

@@ -4,7 +4,9 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
+from shopweave.plans import adapters as A
 from shopweave.plans.queries import QUERIES
 
 
@@ -30,3 +32,17 @@ def test_scans_are_pruned(spark, sf_dir):
 def test_frequent_keys_are_aggregated_before_they_are_shuffled(spark, sf_dir):
     text = plan(QUERIES["upsert_latest"](spark, sf_dir))
     assert "partial_min_by" in text and "Window" not in text
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_lines_by_order_keep_the_sessions_partitions(spark, sf_dir, broadcast):
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": broadcast}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for rows in (A.financial_items(spark, sf_dir), A.returns_clean(spark, sf_dir)):
+            assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
