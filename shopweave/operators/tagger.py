@@ -6,10 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopweave.operators.places import stored
 from shopweave.session import require
 
 START = ""
@@ -22,9 +24,14 @@ def sentences(texts: DataFrame) -> DataFrame:
     return parts.select("doc_id", "sent", F.filter(F.split("part", r"[^\p{L}]+"), lambda w: w != "").alias("words")).filter(F.size("words") > 0)
 
 
+def mark(word: Column, at: Column) -> Column:
+    """? for the first word of a sentence (its capital says nothing), ^ for one with a capital, _ for one without."""
+    return F.when(at == 0, "?").when(word.rlike(r"^\p{Lu}"), "^").otherwise("_")
+
+
 def keys_of(words: Column) -> Column:
-    """Each word in lower case behind a mark: ? first of its sentence (its capital says nothing), ^ with a capital, _ without."""
-    return F.transform(words, lambda w, i: F.concat(F.when(i == 0, "?").when(w.rlike(r"^\p{Lu}"), "^").otherwise("_"), F.lower(w)))
+    """Each word in lower case behind its mark."""
+    return F.transform(words, lambda w, i: F.concat(mark(w, i), F.lower(w)))
 
 
 def _endings(word: Column, longest: int) -> Column:
@@ -47,23 +54,48 @@ class Tagger:
     rules: dict[str, tuple[int, str]]
     ending: int
 
-    def emission(self, key: str) -> np.ndarray:
-        """Scores of a word's tags: from itself where known, else from its longest known ending."""
+    def head(self, key: str) -> str | None:
+        """What tells a word's tags: itself where known, else its longest known ending."""
         mark, word = key[0], key[1:]
         tries = [f"{mark}={word}", *(f"{mark}~{word[len(word) - k:]}" for k in range(min(self.ending, len(word)), -1, -1))]
-        return next((self.heads[t] for t in tries if t in self.heads), np.zeros(len(self.tags), np.int64))
+        return next((t for t in tries if t in self.heads), None)
+
+    def emissions(self, keys: list[str]) -> np.ndarray:
+        """Scores of the words' tags, a row a word; of words without a head all are 0."""
+        heads = [self.head(k) for k in keys]
+        return np.array([np.zeros(len(self.tags), np.int64) if h is None else self.heads[h] for h in heads], np.int64).reshape(len(keys), len(self.tags))
+
+    def paths(self, emissions: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The best sequences of tags (Viterbi) of sentences of these sizes, whose words' scores stand one after the other; of equal
+        ones those with the smaller tag, from the last word back. All sentences take their i-th step together, longer ones first."""
+        firsts, longest = np.cumsum(sizes) - sizes, int(sizes.max(initial=0))
+        order = np.argsort(-sizes, kind="stable")
+        firsts, live = firsts[order], np.searchsorted(-sizes[order], -np.arange(longest), side="left")
+        score, back, out = self.moves[0] + emissions[firsts], np.zeros(emissions.shape, np.int8), np.empty(len(emissions), np.int8)
+        for i in range(1, longest):
+            n, at = live[i], firsts[: live[i]] + i
+            reach = score[:n, :, None] + self.moves[1:]
+            back[at] = best = reach.argmax(axis=1)
+            score[:n] = np.take_along_axis(reach, best[:, None, :], axis=1)[:, 0] + emissions[at]
+        tag = score.argmax(axis=1)
+        for i in range(longest - 1, -1, -1):
+            n, at = live[i], firsts[: live[i]] + i
+            out[at] = tag[:n]
+            tag[:n] = back[at, tag[:n]]
+        return out
 
     def path(self, keys: list[str]) -> list[int]:
-        """The best sequence of tags (Viterbi); of equal ones that with the smaller tag, from the last word back."""
-        score, back = self.moves[0] + self.emission(keys[0]), np.zeros((len(keys), len(self.tags)), np.int8)
-        for i, key in enumerate(keys[1:], 1):
-            reach = score[:, None] + self.moves[1:]
-            back[i] = reach.argmax(axis=0)
-            score = reach.max(axis=0) + self.emission(key)
-        at = [int(score.argmax())]
-        for i in range(len(keys) - 1, 0, -1):
-            at.append(int(back[i][at[-1]]))
-        return at[::-1]
+        """The best sequence of tags of one sentence."""
+        return self.paths(self.emissions(keys), np.array([len(keys)])).tolist()
+
+    def packed(self) -> tuple:
+        """The tables as few large values, which go to workers much faster than many small arrays."""
+        cuts, adds = zip(*self.rules.values(), strict=True) if self.rules else ((), ())
+        return self.tags, self.moves, list(self.heads), np.array(list(self.heads.values()), np.int64), list(self.rules), list(cuts), list(adds), self.ending
+
+    @staticmethod
+    def unpacked(tags: list[str], moves: np.ndarray, heads: list[str], scores: np.ndarray, rules: list[str], cuts: list[int], adds: list[str], ending: int) -> Tagger:
+        return Tagger(tags, moves, dict(zip(heads, scores, strict=True)), dict(zip(rules, zip(cuts, adds, strict=True), strict=True)), ending)
 
     def lemma(self, tag: str, word: str) -> str:
         tries = [f"{tag}={word}", *(f"{tag}~{word[len(word) - k:]}" for k in range(min(self.ending, len(word)), -1, -1))]
@@ -74,7 +106,7 @@ class Tagger:
 def train_tagger(tagged: DataFrame, words: int = 100_000, endings: int = 50_000, ending: int = 4) -> Tagger:
     """A Tagger from tagged(words, tags, lemmas): one row a sentence, three arrays of the same length.
 
-    Every row is counted, in one shuffle each for moves, words and endings; the model keeps the
+    Every row is counted, in one pass over tagged; the model keeps the
     `words` most frequent whole words and the `endings` most frequent endings (of up to `ending`
     letters, counted once a word and tag), ties to the smaller text. Other words are tagged by
     their ending. Rows with a null array, or arrays of different lengths, teach nothing; words
@@ -82,10 +114,12 @@ def train_tagger(tagged: DataFrame, words: int = 100_000, endings: int = 50_000,
     """
     require(tagged, "words", "tags", "lemmas")
     spark = tagged.sparkSession
-    rows = tagged.filter((F.size("words") == F.size("tags")) & (F.size("words") == F.size("lemmas")) & (F.size("words") > 0))
-    tokens = rows.select(F.explode(F.arrays_zip(keys_of(F.col("words")).alias("key"), F.col("words").alias("word"), F.col("tags").alias("tag"), F.col("lemmas").alias("lemma"))).alias("t")).select("t.*")
-    tokens = tokens.filter("tag IS NOT NULL AND word IS NOT NULL").select("tag", F.lower("word").alias("word"), F.lower(F.coalesce("lemma", "word")).alias("lemma"), F.left("key", F.lit(1)).alias("mark"))
-    counts = tokens.groupBy("tag", "word", "lemma", "mark").agg(F.count("*").alias("n")).persist()
+    # One value a sentence, so that arrays that are computed are computed once. The array of tags before is longer by one: its last row has no tag.
+    off = F.abs(F.size("words") - F.size("tags")) + F.abs(F.size("words") - F.size("lemmas"))
+    zipped = F.arrays_zip(F.concat(F.array(F.lit(START)), F.col("tags")).alias("before"), F.col("words").alias("word"), F.col("tags").alias("tag"), F.col("lemmas").alias("lemma"))
+    tokens = tagged.select(F.when(off == 0, zipped).alias("z")).select(F.posexplode_outer("z").alias("at", "t")).select("at", "t.*").filter("tag IS NOT NULL")
+    each = stored(tokens.groupBy("before", "tag", F.lower("word").alias("word"), F.lower(F.coalesce("lemma", "word")).alias("lemma"), mark(F.col("word"), F.col("at")).alias("mark")).agg(F.count("*").alias("n")), "tokens")
+    counts = each.filter("word IS NOT NULL").groupBy("tag", "word", "lemma", "mark").agg(F.sum("n").alias("n")).persist()
     totals = {r["tag"]: r["n"] for r in counts.groupBy("tag").agg(F.sum("n").alias("n")).limit(MAX_TAGS + 1).collect()}
     if not 0 < len(totals) <= MAX_TAGS:
         raise ValueError(f"a tagger needs 1 to {MAX_TAGS} tags, found {'none' if not totals else 'more'}")
@@ -106,8 +140,7 @@ def train_tagger(tagged: DataFrame, words: int = 100_000, endings: int = 50_000,
         kept = table.groupBy("key").agg(F.sum("n").alias("n"), scores.alias("s")).orderBy(F.desc("n"), "key").limit(keep)
         heads |= {r["key"]: np.array(r["s"], np.int64) for r in kept.collect()}
 
-    pairs = rows.select(F.explode(F.arrays_zip(F.concat(F.array(F.lit(START)), F.slice("tags", 1, F.size("tags") - 1)).alias("a"), F.col("tags").alias("b"))).alias("p")).select("p.*")
-    moved = {(r["a"], r["b"]): r["n"] for r in pairs.filter("a IS NOT NULL AND b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("n")).collect()}
+    moved = {(r["before"], r["tag"]): r["n"] for r in each.filter("before IS NOT NULL").groupBy("before", "tag").agg(F.sum("n").alias("n")).collect()}
     grid = [(a, b, moved.get((a, b), 0), sum(moved.get((a, t), 0) for t in tags)) for a in (START, *tags) for b in tags]
     scored = spark.createDataFrame(grid, "a string, b string, n bigint, total bigint").select("a", "b", _score(F.col("n"), F.col("total"), 1.0, F.lit(len(tags))).alias("s"))
     moves = np.zeros((len(tags) + 1, len(tags)), np.int64)
@@ -130,17 +163,24 @@ def train_tagger(tagged: DataFrame, words: int = 100_000, endings: int = 50_000,
 def tag_sentences(texts: DataFrame, model: Tagger) -> DataFrame:
     """doc_id, sent, pos (from 0), word, upos, lemma (lower case) of texts(doc_id, text), a row a word.
 
-    No shuffle: a sentence is a row from where its text is read. The model is broadcast once.
+    No shuffle: a sentence is a row from where its text is read. The model is broadcast once and unpacked once a task. In
+    an Arrow batch each different word is looked up once, and each different pair of tag and word gets its lemma once.
     Words that the model's tables lack get the best tag their ending and neighbours allow.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+    shared = texts.sparkSession.sparkContext.broadcast(model.packed())
 
-    @F.pandas_udf("array<struct<upos:string,lemma:string>>")
-    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = shared.value
+    @F.arrow_udf("array<struct<upos:string,lemma:string>>")
+    def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = Tagger.unpacked(*shared.value)
         for batch in batches:
-            found = ([(m.tags[t], k[1:]) for t, k in zip(m.path(list(keys)), keys)] for keys in batch)
-            yield pd.Series([[{"upos": t, "lemma": m.lemma(t, w)} for t, w in words] for words in found], dtype=object)
+            sizes = pc.list_value_length(batch).to_numpy(zero_copy_only=False).astype(np.int64)
+            encoded = batch.flatten().dictionary_encode()
+            keys, of = encoded.dictionary.to_pylist(), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            tags = m.paths(m.emissions(keys)[of], sizes).astype(np.int64)
+            pairs, which = np.unique(tags * max(1, len(keys)) + of, return_inverse=True)
+            lemmas = pa.array([m.lemma(m.tags[p // len(keys)], keys[p % len(keys)][1:]) for p in pairs.tolist()], pa.string())
+            words = pa.StructArray.from_arrays([pa.array(m.tags, pa.string()).take(pa.array(tags)), lemmas.take(pa.array(which.ravel()))], names=["upos", "lemma"])
+            yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), words)
 
     tagged = sentences(texts).withColumn("tagged", tag(keys_of(F.col("words"))))
     rows = tagged.select("doc_id", "sent", F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.col("tagged").alias("tagged"))).alias("pos", "t"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopweave.operators.places import stored
+
 # Words that are no themes. A shop adds its own name.
 STOP_WORDS = ("schuh", "frist", "juli", "kontaktformular")
 CRITICAL, POSITIVE = "Kritisch (1-3)", "Positiv (4-5)"
@@ -38,11 +40,12 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k: int) -> DataFrame
 
 
 def theme_counts(reviews: DataFrame, tagger: Callable[[DataFrame], DataFrame] = capitalised_words, stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
-    """rating_group, word, n: nouns of German reviews with stars. Reviews without title or text have no text."""
+    """rating_group, word, n: nouns of German reviews with stars, as a stored table: TF-IDF reads it three times, and texts should be tagged once. Reviews without title or text have no text."""
     prepared = reviews.filter((F.col("language") == "de") & F.col("stars").isNotNull()).select(
         F.col("id").alias("doc_id"), F.when(F.col("stars") <= 3, CRITICAL).otherwise(POSITIVE).alias("rating_group"), F.concat("title", F.lit(" "), "text").alias("text"))
     nouns = tagger(prepared.select("doc_id", "text")).filter(F.col("upos").isin("NOUN", "PROPN")).select("doc_id", F.lower("lemma").alias("word"))
-    return nouns.filter(~F.col("word").isin(*stop_words)).join(prepared.select("doc_id", "rating_group"), "doc_id", "left").groupBy("rating_group", "word").agg(F.count("*").alias("n"))
+    grouped = nouns.filter(~F.col("word").isin(*stop_words)).join(prepared.select("doc_id", "rating_group"), "doc_id", "left")
+    return stored(grouped.groupBy("rating_group", "word").agg(F.count("*").alias("n")), "themes")
 
 
 def noun_themes(reviews: DataFrame, tagger: Callable[[DataFrame], DataFrame] = capitalised_words, top_n: int = 10, stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:

@@ -110,3 +110,27 @@ def test_themes_take_the_tagger(spark):
     df = spark.createDataFrame([("1", "de", 1, "", "Teuer ist die Lieferung. Die Lieferungen sind teuer."), ("2", "de", 5, "", "Die Schuhe sind schön.")], "id string, language string, stars int, title string, text string")
     got = {(r["rating_group"], r["word"]): r["n"] for r in themes.noun_themes(df, lambda t: tagger.tag_sentences(t, model), stop_words=()).collect()}
     assert got == {(themes.CRITICAL, "lieferung"): 2, (themes.POSITIVE, "schuh"): 1}
+
+
+def test_sentences_of_a_batch_take_their_steps_together(spark):
+    rng = random.Random(11)
+    tags = ["A", "B", "C"]
+    heads = {f"_={w}": np.array([rng.randint(-2, 0) for _ in tags]) for w in "wxyz"}
+    model = tagger.Tagger(tags, np.array([[rng.randint(-2, 0) for _ in tags] for _ in range(4)]), heads, {}, 4)
+    some = [["_" + rng.choice("wxyz") for _ in range(rng.choice([1, 1, 2, 5, 40]))] for _ in range(50)]
+    together = model.paths(model.emissions([k for keys in some for k in keys]), np.array([len(keys) for keys in some])).tolist()
+    assert together == [t for keys in some for t in model.path(keys)]
+    assert model.paths(model.emissions([]), np.array([], np.int64)).tolist() == []
+
+
+def test_texts_are_tagged_once_for_themes(spark):
+    model, seen = tagger.train_tagger(treebank(spark)), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([("1", "de", 1, "", "Die Lieferungen sind teuer."), ("2", "de", 5, "", "Die Schuhe sind schön.")], "id string, language string, stars int, title string, text string")
+    got = themes.noun_themes(df, lambda t: tagger.tag_sentences(t.mapInArrow(count, t.schema), model)).collect()
+    assert len(got) == 1 and seen.value == 2
