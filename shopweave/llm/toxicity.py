@@ -124,7 +124,9 @@ class Numbers:
     def __init__(self, known: np.ndarray, tied: list[str]):
         self.known, self.size = known, len(known) + len(tied)
         self.tied = {t: len(known) + i for i, t in enumerate(tied)}
+        self.heads = {t[: BEGINNINGS[0]] for t in tied}
         self.several: list[tuple[int, list[int]]] = []
+        self.places: dict[tuple[int, ...], int] = {}
         # two generations, so that frequent words stay
         self.new: dict[str, int] = {}
         self.old: dict[str, int] = {}
@@ -141,19 +143,21 @@ class Numbers:
         """For each word its number, or, if it has tied beginnings, -2 less the place in several of all its numbers."""
         if len(self.new) > REMEMBERED:
             self.new, self.old = {}, self.new
-        unknown = [w for w in dict.fromkeys(flat) if w not in self.new]
         fresh = []
-        for w in unknown:
+        for w in set(flat).difference(self.new):
             if w in self.old:
                 self.new[w] = self.old[w]
             else:
                 fresh.append(w)
-        for w, i in zip(fresh, self.find(fresh).tolist(), strict=True):
-            own = [self.tied[t] for n in BEGINNINGS if len(w) > n and (t := w[:n] + "*") in self.tied] if self.tied else []
-            if own:
-                self.several.append((i, own))
-                i = -1 - len(self.several)
-            self.new[w] = i
+        self.new.update(zip(fresh, self.find(fresh).tolist(), strict=True))
+        for w in fresh if self.tied else ():
+            if w[: BEGINNINGS[0]] in self.heads and (own := [self.tied[t] for n in BEGINNINGS if len(w) > n and (t := w[:n] + "*") in self.tied]):
+                # words of the same numbers share a place, so that this does not grow with the texts
+                key = (self.new[w], *own)
+                if key not in self.places:
+                    self.places[key] = len(self.several)
+                    self.several.append((key[0], own))
+                self.new[w] = -2 - self.places[key]
         return np.fromiter(map(self.new.__getitem__, flat), dtype=np.int64, count=len(flat))
 
 
@@ -246,13 +250,16 @@ class BlockMaxIndex:
         self.rows[self.row[term[dense]], entry[dense]] = weight[dense]
         sparse = np.nonzero(~dense)[0].astype(np.int32)
         sparse = sparse[np.argsort(term[sparse], kind="stable")]
-        self.entry, term, self.weight = entry[sparse], term[sparse], weight[sparse].astype(np.float32)
+        # entry and weight lie side by side, as one number of 8 bytes, so that one look finds both
+        postings = np.empty((len(sparse), 2), dtype=np.int32)
+        postings[:, 0], term, postings[:, 1] = entry[sparse], term[sparse], weight[sparse].astype(np.float32).view(np.int32)
         del entry, dense, sparse
-        of = (self.entry // block).astype(np.int32)
+        of, heaviest = (postings[:, 0] // block).astype(np.int32), postings[:, 1].view(np.float32)
+        self.postings = postings.view(np.int64).ravel()
         heads = np.nonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (of[1:] != of[:-1])])[: len(term)])[0]
         self.run_start, self.run_block = heads.astype(np.int32), of[heads]
         self.run_length = np.diff(np.append(heads, len(term))).astype(np.int16)
-        self.run_most = np.maximum.reduceat(self.weight, heads) if len(heads) else self.weight
+        self.run_most = np.maximum.reduceat(heaviest, heads) if len(heads) else np.empty(0, dtype=np.float32)
         self.term_runs = np.searchsorted(term[heads], np.arange(n_terms + 1)).astype(np.int32)
 
     def frequent(self, terms: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
@@ -273,20 +280,24 @@ class BlockMaxIndex:
         terms, weights = terms[row < 0], weights[row < 0].astype(np.float32)
         lo = self.term_runs[terms]
         n = self.term_runs[terms + 1] - lo
-        runs = np.repeat(lo - np.cumsum(n, dtype=np.int32) + n, n) + np.arange(n.sum(), dtype=np.int32)
-        q, of = np.repeat(weights, n), self.run_block[runs]
+        ends = np.cumsum(n)
+        runs = np.repeat(lo - ends + n, n)
+        runs += np.arange(len(runs))
+        q, of = np.repeat(weights, n), self.run_block.take(runs).astype(np.intp)
         by_block = scores.reshape(self.blocks, self.block)
-        bound = by_block.max(axis=1) + np.bincount(of, q * self.run_most[runs], minlength=self.blocks)
+        bound = by_block.max(axis=1) + np.bincount(of, q * self.run_most.take(runs), minlength=self.blocks)
         done = np.zeros(self.blocks, dtype=bool)
 
         def look(at: np.ndarray) -> None:
             take = np.zeros(self.blocks, dtype=bool)
             take[at] = done[at] = True
-            mine = np.nonzero(take[of])[0]
-            r = runs[mine]
-            size = self.run_length[r].astype(np.int32)
-            place = np.repeat(self.run_start[r] - np.cumsum(size, dtype=np.int32) + size, size) + np.arange(size.sum(), dtype=np.int32)
-            scores[:] += np.bincount(self.entry[place], np.repeat(q[mine], size) * self.weight[place], minlength=len(scores))
+            mine = np.nonzero(take.take(of))[0]
+            r = runs.take(mine)
+            size = self.run_length.take(r).astype(np.intp)
+            place = np.repeat(self.run_start.take(r) - np.cumsum(size) + size, size)
+            place += np.arange(len(place))
+            found = self.postings.take(place)
+            scores[:] += np.bincount(found.view(np.int32)[::2], np.repeat(q.take(mine), size) * found.view(np.float32)[1::2], minlength=len(scores))
 
         def best() -> np.ndarray:
             rows = np.nonzero(done)[0]
@@ -325,7 +336,8 @@ class Examples:
     def __init__(self, entries: tuple, weight: np.ndarray, new: float, k: int):
         self.about, sizes, ids, unit = entries
         self.k, self.weight, self.new = k, weight, new
-        self.toxic = np.array([t / (t + c) for _, t, c, _ in self.about])
+        self.members = [np.array([x[i] for x in self.about], dtype=np.int64) for i in range(3)]
+        self.toxic = self.members[1] / (self.members[1] + self.members[2])
         self.place = {h: i for i, (_, _, _, h) in enumerate(self.about)}
         # ties go to the smaller doc_id, however the entries are arranged
         rank = np.empty(len(self.about), dtype=np.int32)
@@ -430,12 +442,13 @@ def _scored(docs: DataFrame, labels: DataFrame, k: int, per_class: int, max_term
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                scores, evidence = [], []
-                for v, near, cosine in all_.votes(lists(part, "ids"), lists(part, "counts"), part.column("rest").to_pylist()):
-                    scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))))
-                    evidence.append([dict(zip(("doc_id", "toxic", "clean"), all_.about[e][:3], strict=True)) | {"similarity": c} for e, c in zip(near.tolist(), cosine.tolist(), strict=True)])
+                got = all_.votes(lists(part, "ids"), lists(part, "counts"), part.column("rest").to_pylist())
+                scores = [1 / (1 + math.exp(-min(30.0, max(-30.0, a * math.log(v / (1 - v)) + b)))) for v, _, _ in got]
+                near, edges = np.concatenate([n for _, n, _ in got]), np.cumsum([0, *(len(n) for _, n, _ in got)], dtype=np.int32)
+                doc, toxic, clean = (pa.array(x[near]) for x in all_.members)
+                evidence = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays([doc, pa.array(np.concatenate([c for _, _, c in got])), toxic, clean], fields=list(ITEM)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), pa.array(evidence, pa.list_(ITEM))],
+                    [part.column("doc_id"), part.column("text_hash"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= 0.5) for x in scores], pa.int32()), evidence],
                     names=["doc_id", "text_hash", "held_out", "score", "predicted", "evidence"])
 
     return rows.mapInArrow(run, schema), found

@@ -729,3 +729,16 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
     docs(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
     labels.limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_forgotten_words_take_no_new_places(monkeypatch):
+    """Words with tied beginnings that a worker forgets and meets again keep their places, and their numbers."""
+    monkeypatch.setattr(toxicity, "REMEMBERED", 3)
+    numbers = toxicity.Numbers(np.sort(np.array([toxicity.word_hash(w) for w in ("abcdefg", "abcdx", "plain")])), ["abcd*", "abcdef*"])
+    flat, beginnings = ["abcdefg", "abcdefh", "abcdy", "abcd", "plain", "abcdx", "new"], [[3, 4], [3, 4], [3], [], [], [3], []]
+    for _ in range(50):
+        for word, own in zip(flat, beginnings, strict=True):
+            (code,) = numbers.codes([word]).tolist()
+            known = int(numbers.find([word])[0])
+            assert (numbers.several[-2 - code] if code < -1 else (code, [])) == (known, own)
+    assert len(numbers.several) == 4
