@@ -336,3 +336,12 @@ def test_declared_types_are_corrected(spark):
     got = media.sniff_media(df, carve=True).collect()
     assert [r["true_type"] for r in got] == ["application/octet-stream", "image/png", "application/octet-stream", "application/octet-stream"]
     assert bytes(got[0]["embedded"][0]["bytes"]) == png()
+
+
+def test_a_worker_remembers_few_words():
+    """As many as the stage before leaves room for, however many different words come."""
+    b = bpe.WordBpe(PATH)
+    for k in range(3):
+        b.encode(" ".join(f"w{i}" for i in range(k * 100_000, (k + 1) * 100_000)))
+    assert len(b.words) + len(b.words.old) <= 200_000
+    assert len(b.pairs) <= 100_000
