@@ -404,19 +404,66 @@ def join_large(crowd: DataFrame, percent: int) -> DataFrame:
 _MEASURED = pa.schema([("region", pa.int64()), ("fp", pa.int64()), ("free", pa.bool_()), ("near", pa.list_(pa.int64())), ("away", pa.list_(pa.float64()))])
 
 
-def join_all(sets: DataFrame, percent: int, largest: int = REGION) -> DataFrame:
-    """a, b: edges that connect what links connect among sets(region, fp, n, hashes); large regions are those of more than largest shingles or CROWD sets."""
+def rarest_keys(crowd: DataFrame, percent: int) -> DataFrame:
+    """fp, keys: of each set of crowd(fp, n, hashes) as many shingles as it may lack in a linked set and one more, those that fewest sets of the crowd have first, of which those are left that it shares.
+
+    Linked sets share one of these, whatever the order, so sets that share none are not linked.
+    Sets without any key are linked to no other set and left out.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sizes = part.column("n").to_numpy()
+                keys = np.frombuffer(b"".join(part.column("hashes").to_pylist()), dtype=np.int64)
+                least = -(-percent * sizes // 100)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column("fp").to_numpy(), sizes)), pa.array(np.repeat(least - 1, sizes))], names=["key", "fp", "rest"])
+
+    rows = crowd.select("fp", "n", "hashes").mapInArrow(each, "key bigint, fp bigint, rest bigint")
+    whole = rows.groupBy("key").agg(F.count("*").alias("whole")).filter("whole > 1")
+    # a set's shingles by rising count end with as many as are no keys
+    mine = rows.join(whole, "key").groupBy("fp", "rest").agg(F.sort_array(F.collect_list(F.struct("whole", "key"))).alias("mine")).filter(F.size("mine") > F.col("rest"))
+    return mine.select("fp", F.slice("mine.key", F.lit(1), (F.size("mine") - F.col("rest")).cast("int")).alias("keys"))
+
+
+def apart(crowd: DataFrame, percent: int) -> DataFrame:
+    """region, fp, n, hashes of those sets of crowd, smaller regions instead of large ones: sets share a region if rarest_keys connect them.
+
+    Of what is common at first the most frequent shingles alone are known, so in a large corpus regions also hang together by
+    shingles that are neither rare nor among these, and then mostly hold sets that have nothing to do with each other.
+    """
+    met = stored(shared_parts(rarest_keys(crowd, percent)).distinct(), "jac-apart")
+    found = components(met).select(F.col("node").alias("fp"), F.col("root").alias("region"))
+    out = stored(crowd.select("fp", "n", "hashes").join(found, "fp").select("region", "fp", "n", "hashes"), "jac-regions")
+    discard(met)
+    return out
+
+
+def _large(sets: DataFrame, largest: int) -> DataFrame:
+    """region, chunks of the regions of sets that are too large for a task."""
     weights = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count("*").alias("members")).filter((F.col("weight") > largest) | (F.col("members") > CROWD))
     chunks = F.greatest(F.ceil(2 * F.col("weight") / largest), F.ceil(F.col("members") / CROWD)).cast("int")
-    large = stored(weights.select("region", chunks.alias("chunks")), "jac-large")
+    return stored(weights.select("region", chunks.alias("chunks")), "jac-large")
+
+
+def join_all(sets: DataFrame, percent: int, largest: int = REGION) -> DataFrame:
+    """a, b: edges that connect what links connect among sets(region, fp, n, hashes); large regions are those of more than largest shingles or CROWD sets, and are first taken apart."""
+    large = _large(sets, largest)
     if large.isEmpty():
         return join_regions(sets, percent)
-    small = sets.join(large.select("region"), "region", "left_anti")
-    crowd = sets.join(large, "region").dropDuplicates(["fp"]).withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    crowd = stored(crowd, "jac-crowd")
-    found = join_large(crowd, percent)
+    found = join_regions(sets.join(large.select("region"), "region", "left_anti"), percent)
+    crowd = stored(sets.join(large.select("region"), "region").dropDuplicates(["fp"]), "jac-crowd")
+    parts = apart(crowd, percent)
     discard(crowd)
-    return join_regions(small, percent).unionByName(found)
+    still = _large(parts, largest)
+    found = found.unionByName(join_regions(parts.join(still.select("region"), "region", "left_anti"), percent))
+    if still.isEmpty():
+        return found
+    crowd = stored(parts.join(still, "region").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")), "jac-crowd")
+    found = found.unionByName(join_large(crowd, percent))
+    discard(crowd)
+    return found
 
 
 def _slot(doc_id: Column) -> Column:
