@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .shared import Remembered, discard, held, most_frequent, stored
+from .shared import Remembered, discard, held, most_frequent, parted, stored
 
 #: Words that a worker remembers the hashes of.
 REMEMBERED = 300_000
@@ -84,18 +84,22 @@ class Reach:
         return (100 - self.t) * total // (100 + self.t)
 
     def classes(self, n: int) -> list[tuple[int, int, int]]:
-        """The size classes in which a set of n members, SHORT at least, looks for partners: number, parts, parts to be compared."""
+        """The size classes in which a set of n members, SHORT at least, looks for partners: number, parts, parts to be compared.
+
+        How many parts there are is the class's; how many of them a set compares follows from its own size and that of the
+        largest partner that it can have in the class, so it is one more than can differ.
+        """
         hi, c = int(np.ceil(SHORT * GROWTH)), 0
         while n >= hi:
             hi, c = int(np.ceil(hi * GROWTH)), c + 1
-        out = [self._parts(c, hi)]
+        out = [self._parts(c, hi, n)]
         if 100 * n >= self.t * hi:  # the smallest sets of the next class may be in reach
-            out.append(self._parts(c + 1, int(np.ceil(hi * GROWTH))))
+            out.append(self._parts(c + 1, int(np.ceil(hi * GROWTH)), n))
         return out
 
-    def _parts(self, c: int, hi: int) -> tuple[int, int, int]:
+    def _parts(self, c: int, hi: int, n: int) -> tuple[int, int, int]:
         most = self.differing(2 * (hi - 1))
-        return c, most + 9 + most // 4, most + 1
+        return c, most + 9 + most // 4, self.differing(n + min(hi - 1, 100 * n // self.t)) + 1
 
     def linked(self, both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * both >= self.t * (a + b - both)
@@ -106,7 +110,7 @@ class Reach:
         Of a pair with a short set, each has as many of its rarest shingles as may differ
         and one more. Longer ones have a key for each part to be compared. Of the parts, as many as are spare are left
         out, those with the fewest shingles that are not common first, which spares empty parts. Linked sets agree in
-        one more part than that, so the last of these in this order has that many below it in both and is left out by
+        one more part than either leaves out, so the last of these in this order has that many below it in both and is left out by
         neither. Which shingles are called common changes the work, not the result.
         """
         n = len(s)
@@ -556,11 +560,15 @@ def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     # rows are told apart by their id and text, and only these keys are compared; which of equal rows stays is all the same
     ids = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id")).groupBy("key").agg(F.first("id").alias("id"), F.count("*").alias("rows"))
     found = _named(marked, named).filter("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id").distinct().join(ids, "key")
+    found = stored(found, "jac-found")
     order = F.struct(F.col("id").isNull(), "id", "key")
     kept = found.groupBy("component_id").agg(F.min_by(F.struct("key", "rows"), order).alias("k")).select("k.key", "k.rows")
-    blank = marked.filter("n_shingles = 0").select(F.col("doc_id").alias("key"), F.lit(1).cast("long").alias("rows")).distinct()
-    kept = stored(kept.unionByName(blank).select(F.col("key").alias("__jac_key"), F.col("rows").alias("__jac_rows")), "jac-kept")
-    discard(marked, named)
-    left = docs.withColumn("__jac_key", key).join(kept, "__jac_key")
-    once = left.filter("__jac_rows > 1").dropDuplicates(["__jac_key"])
-    return left.filter("__jac_rows = 1").unionByName(once).select(*docs.columns)
+    # what changes: keys of which nothing stays, and those kept of which only one row does
+    gone = found.select("key").join(kept.select("key"), "key", "left_anti").withColumn("rows", F.lit(0).cast("long"))
+    changed = stored(gone.unionByName(kept.filter("rows > 1")).select(F.col("key").alias("__jac_key"), F.col("rows").alias("__jac_rows")), "jac-changed")
+    discard(marked, named, found)
+    # most rows are certainly not among them and stay where they were read
+    maybe, rest = parted(docs.withColumn("__jac_key", key), F.col("__jac_key"), changed.select("__jac_key"))
+    stay = maybe.join(changed, "__jac_key", "left_anti")
+    once = maybe.join(changed.filter("__jac_rows > 1").select("__jac_key"), "__jac_key", "left_semi").dropDuplicates(["__jac_key"])
+    return rest.unionByName(stay).unionByName(once).select(*docs.columns)

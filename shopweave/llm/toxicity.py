@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, hashed_share, held, stored
+from .shared import discard, hashed_share, held, parted, stored
 
 #: Runs of letters and digits.
 _WORD = re.compile(r"[^\W_]+")
@@ -459,4 +459,6 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, k: int = 15, per_class: int
     scored, vectors_ = _scored(docs, labels, k, per_class, max_terms)
     gone = stored(scored.filter("predicted = 1").select("doc_id", "text_hash").distinct(), "tox-gone")
     discard(vectors_)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["text_hash"]), "left_anti")
+    # most rows are certainly not among them and stay where they were read
+    maybe, rest = parted(docs, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")), gone.select(F.xxhash64("doc_id", "text_hash").alias("key")))
+    return rest.unionByName(maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["doc_id"]) & F.xxhash64(maybe["text"]).eqNullSafe(gone["text_hash"]), "left_anti"))
