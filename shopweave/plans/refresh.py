@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shopweave.operators.upsert import in_window, next_window, replace_window, upsert_latest
+from shopweave.operators.upsert import in_window, next_window, replace_window, upsert_latest, upsert_placed
 from shopweave.session import new_path
-from shopweave.sources.masters import day_of, held_days, manifest, read_master, touched_days, write_master
+from shopweave.sources.masters import day_of, held_days, key_days, manifest, read_master, touched_days, write_master
 
 WAYS = ("upsert", "append", "replace")
 #: Versions of a master that a refresh leaves behind, for readers that have begun.
 KEEP = 3
+#: Rows of a day from which on it is dealt to several tasks.
+PART = 100_000
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -39,7 +41,23 @@ def merge_into(spark: SparkSession, master: str, new: DataFrame, merge: Merge, k
 
 
 def upsert_into(spark: SparkSession, master: str, new: DataFrame, keys: list[str], updated: str | None = None, by: str | None = None) -> list[str] | None:
-    """upsert_latest of new, a stored table, into the master at path; the days that were written, None for all."""
+    """upsert_latest of new, a stored table, into the master at path; the days that were written, None for all.
+
+    A master by day that holds each key once is not gathered by key: its directory tells where the keys of new are.
+    """
+    of = manifest(spark, master)
+    kinds = {f.name: f.dataType for f in of.schema.fields} if of.schema else {}
+    if by is not None and of.by == by and keys and of.keys == keys and all(k in new.columns and kinds.get(k) == new.schema[k].dataType for k in keys):
+        key_days(spark, master, new, keys).write.parquet(found := new_path(spark, "places"))
+        places = spark.read.parquet(found)
+        touched = sorted({*touched_days(spark, master, new, []), *(r["day"] for r in places.select("day").distinct().collect())})
+        if touched:
+            rows = [of.rows.get(d, 0) for d in touched]
+            # a day of many rows is dealt to as many tasks as its share asks for
+            parts = max(1, min(-(-max(rows) // PART), -(-int(spark.conf.get("spark.sql.shuffle.partitions")) * max(rows) // max(1, sum(rows)))))
+            merged = upsert_placed(new, read_master(spark, master, touched), keys, places, lambda df: day_of(df, by, of.unit), parts, updated)
+            write_master(merged, master, by, touched, keys, new, KEEP, unit=of.unit, dealt=True)
+        return touched
     return merge_into(spark, master, new, lambda a, b: upsert_latest(a, b, keys, updated), keys, by)
 
 

@@ -70,7 +70,7 @@ def _dealt(df: DataFrame, by: str, unit: str) -> DataFrame:
 
 
 def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list[str] | None = None, keys: list[str] | None = None, added: DataFrame | None = None, keep: int | None = None, base: int | None = None,
-                 unit: str = "day") -> int:
+                 unit: str = "day", dealt: bool = False) -> int:
     """Store df as the next version of the master at path and return its number.
 
     With by, a date or time column, rows are stored by day, or by month where unit says so, since days should hold enough rows to be worth a file each (what
@@ -82,7 +82,8 @@ def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list
 
     keys says that df's rows (with those that stay) are unique by these. A master by day then has a directory: (hash of a
     key, day) in hash buckets, made of df, or, where replaces is given, the former one and the rows added. It may
-    name days that no longer hold a key, never lack one that does. With keep, what only versions before the last keep name is deleted. base is the version before, where that is not the latest.
+    name days that no longer hold a key, never lack one that does. With keep, what only versions before the last keep name is deleted. base is the version before, where that is not the latest. dealt says that
+    df's partitions hold few days each, so that its rows can be written where they are.
     """
     spark = df.sparkSession
     last = manifest(spark, path, base)
@@ -93,7 +94,7 @@ def write_master(df: DataFrame, path: str, by: str | None = None, replaces: list
         df.write.parquet(target)
         next_one.held, next_one.rows = {None: now}, {None: spark.read.schema(df.schema).parquet(target).count()}
     else:
-        _dealt(df, by, unit).write.partitionBy(_DAY).parquet(target)
+        (df.withColumn(_DAY, day_of(df, by, unit)) if dealt else _dealt(df, by, unit)).write.partitionBy(_DAY).parquet(target)
         new = {r[_DAY]: r["count"] for r in spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_DAY, T.StringType())])).parquet(target).groupBy(_DAY).count().collect()}
         gone = {*new, *(last.held if replaces is None else replaces)}
         next_one.held = {d: v for d, v in last.held.items() if d not in gone} | dict.fromkeys(new, now)
@@ -155,8 +156,8 @@ def _bucket(h: Column) -> Column:
 
 
 def _write_keys(rows: DataFrame, path: str, keys: list[str], day: Column) -> None:
-    found = rows.select(key_hash(keys).alias("h"), day.alias("day")).distinct().withColumn(_BUCKET, _bucket(F.col("h")))
-    found.repartition(_BUCKET).sortWithinPartitions(_BUCKET, "h").write.partitionBy(_BUCKET).parquet(path)
+    found = rows.select(key_hash(keys).alias("h"), day.alias("day")).withColumn(_BUCKET, _bucket(F.col("h")))
+    found.repartition(_BUCKET).distinct().sortWithinPartitions(_BUCKET, "h").write.partitionBy(_BUCKET).parquet(path)
 
 
 def directory(spark: SparkSession, path: str, of: Manifest, buckets: list[int]) -> DataFrame:
@@ -165,6 +166,13 @@ def directory(spark: SparkSession, path: str, of: Manifest, buckets: list[int])
     return rows.filter(F.col(_VERSION).isin(of.directory) & F.col(_BUCKET).isin(buckets)).select("h", "day")
 
 
+def key_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of new, a stored table, with each day that may hold them by the directory of the master at path; a day may come twice."""
+    mine = new.select(*[F.col(f"`{k}`") for k in keys], key_hash(keys).alias("h")).distinct()
+    buckets = [r["b"] for r in mine.select(_bucket(F.col("h")).alias("b")).distinct().collect()]
+    return mine.join(directory(spark, path, manifest(spark, path), buckets), "h").drop("h")
+
+
 def touched_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> list[str]:
     """The days, as text, in which an upsert of new, a stored table, changes the master by day at path: those of new rows and, by the directory, those that may hold their keys now; nulls are equal. Of the master itself nothing is read."""
     of = manifest(spark, path)
